@@ -81,3 +81,359 @@ def fsimage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn(
         "copy", F.explode(F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
     ).drop("copy")
+
+
+def query_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col
+    lines = [
+        ("PLAN FRAGMENT 0",),
+        ("2:HASH JOIN",),
+        ("  |  cardinality=", c("o_custkey")),
+        ("0:OlapScanNode",),
+        ("     TABLE: t", c("o_custkey") % 50),
+        ("     partitions=", c("o_orderkey") % 12, "/", c("o_orderkey") % 3 * 12),
+        ("     cardinality=", _floor(c("o_totalprice")) * 100),
+        ("1:OlapScanNode",),
+        ("     TABLE: t", c("o_orderkey") % 50),
+        ("     partitions=1/", c("o_custkey") % 30),
+        ("     cardinality=", c("o_orderkey") * 1000),
+    ]
+    plan = F.concat(*[_text(*line, "\n") for line in lines])
+    return table(spark, sf_dir, "orders").select(
+        _text("q", c("o_orderkey")).alias("query_id"),
+        c("o_orderdate").alias("start_time"),
+        c("o_orderdate").alias("end_time"),
+        _text("u", c("o_custkey") % 9).alias("user"),
+        (c("o_orderkey") % 1000).alias("time_used"),
+        c("o_orderstatus").alias("state"),
+        F.lit(None).cast("string").alias("error_message"),
+        _text("select ", c("o_orderkey")).alias("sql"),
+        F.lit("ds").alias("database"),
+        plan.alias("plan"),
+    )
+
+
+def _log_time() -> Column:
+    return _text(
+        F.substring(F.col("ts").cast("string"), 1, 19), ",",
+        F.lpad((F.col("event_id") % 1000).cast("string"), 3, "0"),
+    )
+
+
+def _ids(column: str, width: int) -> Column:
+    return F.lpad(F.col(column).cast("string"), width, "0")
+
+
+def _container() -> Column:
+    return _text("container_1700000000000_", _ids("user_id", 4), "_01_", _ids("event_id", 6))
+
+
+def rm_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    message = (
+        F.when(
+            F.col("event_type") == "signup",
+            _text(" INFO x.RMStateStore: Storing application with id application_1700000000000_",
+                  _ids("user_id", 4)),
+        )
+        .when(F.col("event_type") == "error", " WARN noise")
+        .otherwise(
+            _text(" INFO x.RMContainerImpl: ", _container(),
+                  " Container Transitioned from NEW to ", F.upper("event_type"))
+        )
+    )
+    return table(spark, sf_dir, "events").select(
+        F.concat(_log_time(), message).alias("value"),
+        _text("rm-host-", F.col("user_id") % 3).alias("server_ip"),
+    )
+
+
+def nm_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    message = F.when(F.col("event_type") == "error", " WARN noise").otherwise(
+        _text(" INFO x.ContainerImpl: Container ", _container(), " transitioned from LOCALIZING to ",
+              F.upper("event_type"))
+    )
+    return table(spark, sf_dir, "events").select(
+        F.concat(_log_time(), message).alias("value"),
+        _text("nm-host-", F.col("user_id") % 3).alias("server_ip"),
+    )
+
+
+def project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("id"),
+        _text("project_", F.col("n_nationkey")).alias("name"),
+    )
+
+
+def process_definition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Definitions whose names repeat in several projects, for the run-time report."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        _text("process_", F.floor(F.col("c_custkey") / 3)).alias("name"),
+        F.col("c_nationkey").cast("bigint").alias("project_id"),
+    )
+
+
+def task_instance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col
+    process = F.floor(c("user_id") / 4)
+    start = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    return table(spark, sf_dir, "events").select(
+        c("event_id").alias("id"),
+        _text("task_", c("event_id") % 2).alias("name"),
+        process.alias("process_definition_id"),
+        (process * 100 + F.dayofmonth("ts")).alias("process_instance_id"),
+        start.alias("submit_time"),
+        start.alias("start_time"),
+        F.timestamp_add("SECOND", F.floor(c("value") * 10).cast("int"), start).alias("end_time"),
+        (c("event_id") % 3).cast("int").alias("retry_times"),
+    )
+
+
+def monitored_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opdiag.operators.runs import named_instances
+
+    names = named_instances(
+        task_instance(spark, sf_dir),
+        process_definition(spark, sf_dir),
+        project(spark, sf_dir),
+    ).select("project_name", "process_name", "task_name").distinct()
+    days = F.array(*[F.lit(day).cast("date") for day in (TODAY, LASTDAY)])
+    return names.withColumn("dt", F.explode(days))
+
+
+def workflow_definition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Definitions with their JSON document, for the lineage."""
+    c = F.col
+    key = c("c_custkey")
+
+    def task(name: str, kind: str, pre: str, more: str = "") -> str:
+        return f'{{"name":"{name}","type":"{kind}","preTasks":[{pre}]{more}}}'
+
+    document = F.concat(
+        F.lit('{"tasks":['),
+        # the earlier of two equal names, which must not count
+        F.when(key % 7 == 0, task("task_1", "PYTHON", "") + ",").otherwise(""),
+        F.lit(task("task_0", "SHELL", "") + ","),
+        F.lit(task("task_1", "SHELL", '"task_0"') + ","),
+        F.lit(task("py", "PYTHON", '"task_0"') + ","),
+        _text('{"name":"sub","type":"SUB_PROCESS","preTasks":["task_1"],'
+              '"params":{"processDefinitionId":', F.floor(key / 2), "}},"),
+        F.when(
+            key % 5 != 0,
+            _text('{"name":"dep","type":"DEPENDENT","dependence":{"dependTaskList":['
+                  '{"dependItemList":[{"projectId":', c("c_nationkey"), ',"definitionId":', key - 1,
+                  ',"depTasks":"', F.when(key % 2 == 0, "ALL").otherwise("task_1"),
+                  '"},{"depTasks":"task_0"}]}]}},'
+                  '{"name":"task_2","type":"SHELL","preTasks":["dep","sub"],"dependence":null},'),
+        ).otherwise(""),
+        F.lit('{"name":"end","type":"SHELL","preTasks":["task_1"'),
+        F.when(key % 13 == 0, ',"ghost"').otherwise(""),
+        F.lit("]}]}"),
+    )
+    return table(spark, sf_dir, "customer").select(
+        key.alias("id"),
+        _text("process_", key % 8).alias("name"),
+        c("c_nationkey").cast("bigint").alias("project_id"),
+        F.when(key % 11 == 0, 0).otherwise(1).alias("release_state"),
+        _text("2024-01-", F.lpad((key % 28 + 1).cast("string"), 2, "0"), " 10:00:00")
+        .alias("update_time"),
+        document.alias("process_definition_json"),
+    )
+
+
+DEFINITIONS_DT = "2024-01-26"
+
+
+def released(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opdiag.operators.lineage import released_definitions
+
+    return released_definitions(
+        workflow_definition(spark, sf_dir), project(spark, sf_dir), DEFINITIONS_DT
+    )
+
+
+def _launch(stage: Column) -> Column:
+    c = F.col
+    spread = c("l_orderkey") * 7919 + c("l_partkey") * 104729 + c("l_linenumber") * 1000003
+    return spread % (7200000 - 340000 * stage)
+
+
+def job_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col
+    stage, app = c("l_suppkey") % 20, c("l_suppkey") % 10
+    size, seconds = _floor(c("l_extendedprice")), c("l_quantity").cast("bigint")
+    reason = (
+        F.when(c("l_orderkey") % 500 == 1, "FetchFailedException: lost block")
+        .when(c("l_orderkey") % 500 == 2, "java.lang.OutOfMemoryError: Java heap space")
+        .when(c("l_orderkey") % 500 == 3, "AnalysisException: column not found")
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        _text("app_", app).alias("app_id"),
+        stage.cast("int").alias("stage_id"),
+        F.when(c("l_linestatus") == "O", "MAP").otherwise("REDUCE").alias("kind"),
+        F.when(c("l_partkey") % 16 == 0, "driver")
+        .otherwise(_text("exec_", c("l_partkey") % 8)).alias("executor_id"),
+        _launch(stage).alias("launch_ms"),
+        (seconds * 1000 * F.when(c("l_orderkey") % 1000 == 11, 50).otherwise(1)).alias("duration_ms"),
+        (size * 1000 * F.when(c("l_orderkey") % 1000 == 7, 50).otherwise(1)).alias("input_bytes"),
+        size.alias("input_records"),
+        ((c("l_returnflag") == "R") & (stage < 5)).alias("speculative"),
+        (seconds * 25 * app).alias("gc_ms"),
+        (seconds * 1000).alias("cpu_ms"),
+        (1000000 * app).alias("peak_memory"),
+        F.lit(10000000).cast("bigint").alias("allocated_memory"),
+        reason.alias("failure_reason"),
+    )
+
+
+def app_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = job_task(spark, sf_dir).groupBy("app_id", "stage_id").agg(
+        F.min("launch_ms").alias("submit_ms"),
+        F.max(F.col("launch_ms") + F.col("duration_ms")).alias("end_ms"),
+    )
+    return spans.select(
+        "app_id", F.floor(F.col("stage_id") / 4).cast("bigint").alias("execution_id"),
+        "stage_id", "submit_ms", "end_ms",
+    )
+
+
+def app_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    execution = F.col("execution_id")
+    plan = _text(
+        "AdaptiveSparkPlan\n+- Sort [a#1 ASC NULLS FIRST], ",
+        F.when(execution % 3 == 0, "true").otherwise("false"), ", 0\n   +- FileScan parquet t[a#1] ",
+        F.when(execution % 2 == 0, "PartitionFilters: []")
+        .otherwise("PartitionFilters: [isnotnull(dt#2)]"),
+        ", PushedFilters: []\n",
+    )
+    return (
+        app_stage(spark, sf_dir).select("app_id", "execution_id").distinct()
+        .withColumn("plan", plan)
+    )
+
+
+def app_executor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return job_task(spark, sf_dir).groupBy("app_id", "executor_id").agg(
+        (F.floor(F.count(F.lit(1)) / 100) + 1).cast("int").alias("cores"),
+        F.min("launch_ms").alias("start_ms"),
+        F.max(F.col("launch_ms") + F.col("duration_ms")).alias("end_ms"),
+    )
+
+
+def app_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        _text("app_", F.col("o_custkey")).alias("app_id"),
+        F.col("o_orderkey").alias("execution_id"),
+        (_floor(F.col("o_totalprice")) * 1000).alias("bytes"),
+    )
+
+
+def app_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        _text("app_", key).alias("app_id"),
+        ((key % 4 + 1) * 2**30).alias("driver_memory"),
+        ((key % 3 + 2) * 2**30).alias("executor_memory"),
+    )
+
+
+def sparse_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few long tasks per stage, so that stages have gaps."""
+    c = F.col
+    stage = c("l_partkey") % 200
+    return table(spark, sf_dir, "lineitem").select(
+        _text("app_", c("l_suppkey")).alias("app_id"),
+        stage.cast("int").alias("stage_id"),
+        _launch(stage % 20).alias("launch_ms"),
+        (c("l_quantity").cast("bigint") * 60000).alias("duration_ms"),
+    )
+
+
+def sparse_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sparse_task(spark, sf_dir).groupBy("app_id", "stage_id").agg(
+        F.min("launch_ms").alias("submit_ms"),
+        F.max(F.col("launch_ms") + F.col("duration_ms")).alias("end_ms"),
+    )
+
+
+def job_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About a dozen stages per job."""
+    c = F.col
+    start = _launch(c("l_linenumber"))
+    return table(spark, sf_dir, "lineitem").select(
+        _text("app_", c("l_suppkey")).alias("app_id"),
+        (c("l_partkey") % 50).cast("int").alias("job_id"),
+        start.alias("submit_ms"),
+        (start + c("l_quantity").cast("bigint") * 20000).alias("end_ms"),
+    )
+
+
+def app_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return job_stage(spark, sf_dir).groupBy("app_id", "job_id").agg(
+        (F.min("submit_ms") - 60000).alias("submit_ms"),
+        (F.max("end_ms") + 60000).alias("end_ms"),
+    )
+
+
+def workflow_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col
+    return table(spark, sf_dir, "events").select(
+        F.floor(c("user_id") / 4).alias("process_id"),
+        _text("task_", c("event_id") % 2).alias("task_name"),
+        c("ts").cast("date").alias("dt"),
+        c("event_id").alias("attempt_id"),
+        (c("event_id") % 4).cast("int").alias("retry_times"),
+        F.when(c("event_type").isin("error", "signup"), "FAILURE").otherwise("SUCCESS")
+        .alias("state"),
+        F.date_trunc("second", "ts").cast("timestamp_ntz").alias("start_time"),
+        F.floor(c("value") * 30).cast("bigint").alias("duration_s"),
+    )
+
+
+def tablet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("p_partkey")
+    unit = F.when(key % 3 == 0, 1000).when(key % 3 == 1, 1000000).otherwise(100000000)
+    return table(spark, sf_dir, "part").select(
+        _text("t", key % 20).alias("table_name"),
+        _text("p", F.col("p_size")).alias("partition_name"),
+        key.alias("tablet_id"),
+        F.when(key % 20 == 3, 0).otherwise(_floor(F.col("p_retailprice")) * unit).cast("bigint")
+        .alias("bytes"),
+    )
+
+
+def load_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        _text("t", F.col("user_id") % 20).alias("table_name"),
+        F.col("ts").alias("load_time"),
+        F.floor(F.col("value") * 1000).cast("bigint").alias("bytes"),
+    )
+
+
+def partition_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rows of five tables."""
+    names = ["ods_fsimage", "dwd_fsimage", "hdfs_storage", "hive_storage_dir", "hdfs_storage_user"]
+    which = F.array(*[F.lit(name) for name in names])
+    return table(spark, sf_dir, "orders").select(
+        F.get(which, (F.col("o_orderkey") % 5).cast("int")).alias("table_name"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("partition_key"),
+        F.col("o_orderdate").cast("date").alias("dt"),
+        F.col("o_orderkey").alias("id"),
+    )
+
+
+def task_version(spark: SparkSession, sf_dir: str, change: bool) -> DataFrame:
+    """Keyed rows with many versions; changes are an hour younger than the rows they replace."""
+    c = F.col
+    rows = table(spark, sf_dir, "orders").select(
+        c("o_orderdate").cast("date").alias("dt"),
+        _text(c("o_custkey") % 5).alias("project_id"),
+        _text(c("o_custkey") % 7).alias("process_id"),
+        _text(c("o_custkey") % 3).alias("task_id"),
+        _text("name_", c("o_orderkey")).alias("task_name"),
+        F.timestamp_add("SECOND", (c("o_orderkey") % 86400).cast("int"), c("o_orderdate"))
+        .alias("insert_time"),
+    )
+    later = F.timestamp_add("HOUR", F.lit(1), c("insert_time"))
+    return rows.withColumn("insert_time", later) if change else rows

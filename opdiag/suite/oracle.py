@@ -1,5 +1,21 @@
 """All oracle SQL, by query name."""
 
-from opdiag.suite import oracle_storage
+from opdiag.suite import (
+    oracle_jobs,
+    oracle_lineage,
+    oracle_plans,
+    oracle_runs,
+    oracle_storage,
+)
 
-SQL: dict[str, str] = {**oracle_storage.SQL}
+SQL: dict[str, str] = {
+    **oracle_storage.SQL,
+    **oracle_plans.SQL,
+    **oracle_lineage.SQL,
+    **oracle_runs.SQL,
+    **oracle_jobs.SQL,
+}
+SQL["export_history"] = (
+    "select * exclude (partition_key) replace (partition_key as etl_dt) from ("
+    f"select *, '20111105' as partition_key from ({oracle_storage.SQL['dir_storage_report']}))"
+)

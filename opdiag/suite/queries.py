@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opdiag.functions.paths import in_warehouse
-from opdiag.operators import ageing, storage
+from opdiag.operators import (
+    ageing,
+    closure,
+    containers,
+    jobs,
+    lineage,
+    retention,
+    runs,
+    storage,
+    warehouse,
+)
+from opdiag.plans import scans
+from opdiag.session import scratch_path
+from opdiag.streaming import containers as streams
 from opdiag.suite import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +35,14 @@ def _tables_only(flat: DataFrame) -> DataFrame:
     return flat.where(in_warehouse(F.col("p3")))
 
 
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return storage.dir_storage_report(_flat(spark, sf_dir), fx.AS_OF)
+
+
 STORAGE: dict[str, Query] = {
     "fsimage_flatten": _flat,
     "file_class_by_dir": lambda s, d: storage.file_class_by_dir(_flat(s, d), fx.AS_OF),
-    "dir_storage_report": lambda s, d: storage.dir_storage_report(_flat(s, d), fx.AS_OF),
+    "dir_storage_report": _report,
     "warehouse_storage_report": lambda s, d: storage.warehouse_storage_report(
         _flat(s, d), fx.AS_OF
     ),
@@ -42,4 +59,144 @@ STORAGE: dict[str, Query] = {
     "old_partition_touched": lambda s, d: ageing.old_partition_touched(_flat(s, d), fx.AS_OF),
 }
 
-QUERIES: dict[str, Query] = {**STORAGE}
+PLANS: dict[str, Query] = {
+    "plan_scan_cardinality": lambda s, d: scans.plan_scan_cardinality(
+        fx.query_record(s, d), "1990-01-01 00:00:00", "2010-12-31 23:59:59"
+    ),
+    "sr_query_frequency": lambda s, d: scans.query_frequency(fx.query_record(s, d)),
+}
+
+
+def _streamed(lines: Callable, parse: Callable) -> Query:
+    """Log lines go through files, the stream and its sink, and come back as a table."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_path(spark, "container-stream")
+        lines(spark, sf_dir).write.partitionBy("server_ip").text(f"{folder}/lines")
+        tagged = spark.readStream.schema("value string, server_ip string").text(f"{folder}/lines")
+        # files arrive in no time order, so the watermark has to span the whole log
+        streams.collect_changes(
+            tagged, parse, f"{folder}/changes", f"{folder}/progress", lateness="60 days"
+        ).awaitTermination()
+        return spark.read.parquet(f"{folder}/changes")
+
+    return run
+
+
+LOGS: dict[str, Query] = {
+    "rm_container_transitions": lambda s, d: containers.rm_container_transitions(fx.rm_log(s, d)),
+    "nm_container_transitions": lambda s, d: containers.nm_container_transitions(fx.nm_log(s, d)),
+    "rm_hour_transitions": lambda s, d: containers.rm_container_transitions(
+        containers.of_hour(fx.rm_log(s, d), "2024-01-05 10")
+    ),
+    "rm_container_stream": _streamed(fx.rm_log, containers.rm_container_transitions),
+    "nm_container_stream": _streamed(fx.nm_log, containers.nm_container_transitions),
+}
+
+
+def _closure(resolve: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        definitions = fx.released(spark, sf_dir)
+        return closure.upstream_closure(
+            lineage.workflow_tasks(definitions).where(F.col("task_type") == lineage.SHELL),
+            definitions,
+            lineage.lineage_edges(definitions, resolve),
+            fx.START_PROCESS,
+            fx.DEFINITIONS_DT,
+        )
+
+    return run
+
+
+LINEAGE: dict[str, Query] = {
+    "workflow_tasks": lambda s, d: lineage.workflow_tasks(fx.released(s, d)),
+    "rejected_pre_tasks": lambda s, d: lineage.rejected_pre_tasks(fx.released(s, d)),
+    "task_lineage_rows": lambda s, d: lineage.task_lineage_rows(
+        fx.released(s, d), fx.DEFINITIONS_DT
+    ),
+    "lineage_edges": lambda s, d: lineage.lineage_edges(fx.released(s, d)),
+    "lineage_edges_extended": lambda s, d: lineage.lineage_edges(fx.released(s, d), "extended"),
+    "mutual_edges": lambda s, d: lineage.mutual_edges(
+        lineage.lineage_edges(fx.released(s, d), "extended")
+    ),
+    "edge_dedupe": lambda s, d: lineage.edge_dedupe(
+        lineage.all_edges(fx.released(s, d), "extended")
+    ),
+    "upstream_closure": _closure("strict"),
+    "upstream_closure_extended": _closure("extended"),
+}
+
+
+def _day_over_day(match_project: bool) -> Query:
+    return lambda s, d: runs.key_task_day_over_day(
+        fx.monitored_task(s, d), fx.task_instance(s, d), fx.process_definition(s, d),
+        fx.project(s, d), fx.TODAY, fx.LASTDAY, match_project,
+    )
+
+
+RUNS: dict[str, Query] = {
+    "key_task_day_over_day": _day_over_day(False),
+    "key_task_day_over_day_by_project": _day_over_day(True),
+    "wf_final_failure": lambda s, d: runs.final_failures(fx.workflow_run(s, d)),
+    "wf_first_failure": lambda s, d: runs.first_failures(fx.workflow_run(s, d)),
+    "wf_long_failure": lambda s, d: runs.long_failures(fx.workflow_run(s, d), "2024-01-30"),
+    "wf_end_time_anomaly": lambda s, d: runs.end_time_anomalies(fx.workflow_run(s, d)),
+    "wf_duration_anomaly": lambda s, d: runs.duration_anomalies(fx.workflow_run(s, d)),
+    "wf_long_running": lambda s, d: runs.long_running(fx.workflow_run(s, d)),
+}
+
+# The default of five would select nearly every stage of these inputs.
+_FAR = 40
+
+JOBS: dict[str, Query] = {
+    "spark_sql_failure": lambda s, d: jobs.sql_failures(fx.job_task(s, d)),
+    "spark_shuffle_failure": lambda s, d: jobs.shuffle_failures(fx.job_task(s, d)),
+    "spark_oom": lambda s, d: jobs.oom_failures(fx.job_task(s, d)),
+    "spark_memory_waste": lambda s, d: jobs.memory_waste(fx.job_task(s, d)),
+    "spark_cpu_waste": lambda s, d: jobs.cpu_waste(fx.job_task(s, d), fx.app_executor(s, d)),
+    "spark_large_scan": lambda s, d: jobs.large_scan(
+        fx.job_task(s, d), fx.app_stage(s, d), fx.app_plan(s, d)
+    ),
+    "spark_broadcast_oom_risk": lambda s, d: jobs.broadcast_oom_risk(
+        fx.app_broadcast(s, d), fx.app_memory(s, d)
+    ),
+    "spark_data_skew": lambda s, d: jobs.data_skew(fx.job_task(s, d), threshold=_FAR),
+    "spark_job_idle": lambda s, d: jobs.job_idle(fx.app_job(s, d), fx.job_stage(s, d)),
+    "spark_stage_idle": lambda s, d: jobs.stage_idle(fx.sparse_stage(s, d), fx.sparse_task(s, d)),
+    "spark_task_tail": lambda s, d: jobs.task_tail(fx.job_task(s, d), threshold=_FAR),
+    "spark_hdfs_stall": lambda s, d: jobs.hdfs_stall(fx.job_task(s, d)),
+    "spark_speculation": lambda s, d: jobs.speculation(fx.job_task(s, d)),
+    "spark_global_sort": lambda s, d: jobs.global_sort(fx.app_stage(s, d), fx.app_plan(s, d)),
+    "mr_memory_waste": lambda s, d: jobs.memory_waste(fx.job_task(s, d)),
+    "mr_large_scan": lambda s, d: jobs.mr_large_scan(fx.job_task(s, d)),
+    "mr_task_tail": lambda s, d: jobs.task_tail(fx.job_task(s, d), jobs.KIND, _FAR),
+    "mr_data_skew": lambda s, d: jobs.data_skew(fx.job_task(s, d), jobs.KIND, _FAR),
+    "mr_speculation": lambda s, d: jobs.speculation(fx.job_task(s, d), jobs.KIND),
+    "mr_gc_anomaly": lambda s, d: jobs.gc_anomaly(fx.job_task(s, d)),
+}
+
+RETENTION_AS_OF = "2000-07-01"
+TASK_KEY = ("dt", "project_id", "process_id", "task_id")
+
+TABLES: dict[str, Query] = {
+    "sr_bucket_size": lambda s, d: warehouse.tablet_size_anomaly(fx.tablet(s, d)),
+    "sr_partition_size": lambda s, d: warehouse.partition_size_anomaly(fx.tablet(s, d)),
+    "sr_load_profile": lambda s, d: warehouse.load_profile(fx.load_job(s, d)),
+    "expired_partitions": lambda s, d: retention.expired_partitions(
+        fx.partition_list(s, d), RETENTION_AS_OF
+    ),
+    "retained_partitions": lambda s, d: retention.retained(
+        fx.partition_list(s, d), RETENTION_AS_OF
+    ),
+    "month_partition": lambda s, d: retention.retained_months(
+        retention.month_partition(fx.partition_list(s, d)), RETENTION_AS_OF
+    ),
+    "export_history": lambda s, d: retention.export_history(
+        _report(s, d).withColumn("partition_key", F.lit(fx.PARTITION))
+    ),
+    "upsert_latest": lambda s, d: retention.upsert_latest(
+        fx.task_version(s, d, False), fx.task_version(s, d, True), TASK_KEY
+    ),
+}
+
+QUERIES: dict[str, Query] = {**STORAGE, **PLANS, **LOGS, **LINEAGE, **RUNS, **JOBS, **TABLES}
