@@ -10,17 +10,19 @@ from opdiag.defaults import Fixed
 DEPTH = 7
 
 
-def path_prefix(path: Column, level: int) -> Column:
+def path_parts(path: Column) -> Column:
+    """Segments of a path; the first one is what stands before the first slash."""
+    return F.split(path, "/")
+
+
+def path_prefix(parts: Column, level: int) -> Column:
     """The first ``level`` segments as a path; NULL when the path is shorter."""
-    parts = F.split(path, "/")
-    pieces = []
-    for k in range(1, level + 1):
-        pieces += [F.lit("/"), F.get(parts, F.lit(k))]
-    return F.concat(*pieces)
+    lead = F.array_join(F.slice(parts, 2, level), "/")
+    return F.when(F.size(parts) > level, F.concat(F.lit("/"), lead))
 
 
-def path_prefixes(path: Column, depth: int = DEPTH) -> list[Column]:
-    return [path_prefix(path, k).alias(f"p{k}") for k in range(1, depth + 1)]
+def path_prefixes(parts: Column, depth: int = DEPTH) -> list[Column]:
+    return [path_prefix(parts, k).alias(f"p{k}") for k in range(1, depth + 1)]
 
 
 def split_at(text: Column, pattern: str, index: int) -> Column:

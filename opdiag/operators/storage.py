@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from opdiag.defaults import GIB, MIB, TIB, Fixed
 from opdiag.functions.classes import ACCESS_CLASSES, SIZE_CLASSES, access_class, as_date, size_class
 from opdiag.functions.numbers import share
-from opdiag.functions.paths import DEPTH, in_warehouse, path_prefixes
+from opdiag.functions.paths import DEPTH, in_warehouse, path_parts, path_prefixes
 from opdiag.schemas import FSIMAGE_KEY
 
 FLAT_COLUMNS = [
@@ -33,9 +33,9 @@ def flatten_listing(listing: DataFrame, partition_key: str) -> DataFrame:
     records = snapshot.groupBy(*FSIMAGE_KEY).agg(F.sum("filesize").alias("plain_size"))
     replication = F.col("replication")
     unusable = replication.isNull() | replication.isin(0, Fixed.UNREPLICATED)
-    return records.select(
+    return records.withColumn("_parts", path_parts(F.col("path"))).select(
         "*",
-        *path_prefixes(F.col("path")),
+        *path_prefixes(F.col("_parts")),
         F.when(unusable, F.col("plain_size"))
         .otherwise(replication.cast("bigint") * F.col("filesize"))
         .alias("filesize_total"),

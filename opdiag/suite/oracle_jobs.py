@@ -127,7 +127,7 @@ from fx_task group by app_id having cast(sum(gc_ms) as double) / cast(sum(cpu_ms
     "spark_memory_waste": _MEMORY_WASTE,
     "mr_memory_waste": _MEMORY_WASTE,
     "spark_cpu_waste": f"""with {FX_JOB_TASK},
-per_executor as (select app_id, executor_id, 1 + count(*) // 100 as cores, min(launch_ms) as a,
+per_executor as (select app_id, executor_id, 1 + count(*) // 50 as cores, min(launch_ms) as a,
                         max(launch_ms + duration_ms) as b, sum(duration_ms) as busy
                  from fx_task group by app_id, executor_id),
 roles as (select app_id, case when executor_id = 'driver' then 'driver' else 'executor' end as role,

@@ -10,7 +10,7 @@ fx_def as (
          || '{"name":"task_0","type":"SHELL","preTasks":[]},{"name":"task_1","type":"SHELL","preTasks":["task_0"]},'
          || '{"name":"py","type":"PYTHON","preTasks":["task_0"]},'
          || '{"name":"sub","type":"SUB_PROCESS","preTasks":["task_1"],"params":{"processDefinitionId":'
-         || (c_custkey // 2) || '}},'
+         || case c_custkey % 10 when 1 then c_custkey + 1 when 2 then c_custkey - 1 else c_custkey // 2 end || '}},'
          || case when c_custkey % 5 <> 0 then
               '{"name":"dep","type":"DEPENDENT","dependence":{"dependTaskList":[{"dependItemList":[{"projectId":'
               || c_nationkey || ',"definitionId":' || (c_custkey - 1) || ',"depTasks":"'
