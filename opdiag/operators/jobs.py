@@ -127,9 +127,13 @@ def _executions(plans: DataFrame, pattern: str) -> DataFrame:
     return plans.where(F.col("plan").rlike(pattern)).select("app_id", "execution_id").distinct()
 
 
-# How plan text prints an unrestricted scan and a global sort.
-OPEN_SCAN = r"PartitionFilters: \[\]"
-GLOBAL_SORT = r"Sort \[.*\], true, [0-9]+"
+# How plan text prints an unrestricted scan and a global sort. The one-line form names
+# empty partition filters; the formatted form leaves their line out of the scan's block.
+OPEN_SCAN = (
+    r"PartitionFilters: \[\]"
+    r"|\([0-9]+\) Scan (?:parquet|orc|csv|json|text|hive)[^\n]*\n(?:(?!PartitionFilters)[^\n]+\n)*+\n"
+)
+GLOBAL_SORT = r"\[[^\n]*(?:ASC|DESC)[^\n]*\], true, [0-9]+"
 
 
 def large_scan(

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +11,23 @@ from pyspark.sql.types import StructType
 
 from opdiag.operators.retention import export_history, upsert_latest
 
-MERGE_BYTES = 128_000_000
-
-
 def compacted(rows: DataFrame, *by: str) -> DataFrame:
     """Even output files: small partitions are merged and large ones split at run time."""
     return rows.hint("rebalance", *by)
 
 
+@contextmanager
+def _dynamic_partitions(spark: SparkSession):
+    """Inserts into a catalog table follow the session's setting, not a writer option."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def overwrite_partitions(
     rows: DataFrame, table: str, partition_by: Sequence[str] = ("partition_key",)
 ) -> None:
@@ -33,8 +42,8 @@ def overwrite_partitions(
     if not spark.catalog.tableExists(table):
         ordered.write.partitionBy(*partition_by).format("parquet").saveAsTable(table)
         return
-    writer = ordered.write.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(table, overwrite=True)
+    with _dynamic_partitions(spark):
+        ordered.write.insertInto(table, overwrite=True)
 
 
 def replace_table(rows: DataFrame, table: str) -> None:
@@ -80,8 +89,3 @@ def upsert(
     affected = current.join(touched, partition_by, "left_semi")
     merged = upsert_latest(affected, changes.select(*current.columns), keys, version)
     overwrite_partitions(merged.checkpoint(), table, partition_by)
-
-
-def file_count(total_bytes: int, target: int = MERGE_BYTES) -> int:
-    """Files of about ``target`` bytes for an output of known size."""
-    return max(1, math.ceil(total_bytes / target))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from opdiag.defaults import Fixed
 from opdiag.schemas import FSIMAGE_FILE
 
 CORRUPT = "_corrupt_record"
@@ -16,8 +17,8 @@ def read_listing(
 ) -> DataFrame:
     """A listing file as a snapshot partition.
 
-    Lines that do not fit the twelve columns, such as the header or paths that contain the
-    delimiter, are left out; ``keep_corrupt`` returns them too, in a column of their own.
+    The header line is skipped. Lines without exactly twelve columns, such as paths that contain
+    the delimiter, are left out; ``keep_corrupt`` returns them too, in a column of their own.
     """
     schema = StructType([*FSIMAGE_FILE.fields, StructField(CORRUPT, StringType())])
     rows = (
@@ -26,9 +27,8 @@ def read_listing(
         .option("sep", delimiter)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        # a line is judged by all its columns, whichever a query selects
-        .option("columnPruning", False)
         .csv(path)
+        .where(~F.col("path").eqNullSafe(Fixed.HEADER_PATH))
         .withColumn("partition_key", F.lit(partition_key))
     )
     if keep_corrupt:

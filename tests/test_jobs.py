@@ -108,8 +108,8 @@ def test_plan_diagnoses(spark):
     )
     plans = spark.createDataFrame(
         [("a", 5, "x\nSort [s#1[0] ASC], true, 0\nScan PartitionFilters: [], y"),
-         ("a", 5, "again Sort [a ASC], true, 0"),
-         ("a", 6, "Sort [a ASC], false, 0\nScan PartitionFilters: [dt = 1]")],
+         ("a", 5, "(1) Scan parquet t\nReadSchema: s\n\n(2) Sort\nArguments: [a ASC], true, 0\n\n"),
+         ("a", 6, "Sort [a ASC], false, 0\n(1) Scan parquet t\nPartitionFilters: [dt = 1]\n\n")],
         schemas.APP_PLAN,
     )
     assert rows(jobs.global_sort(stages, plans), "stage_id") == [(1,)]
