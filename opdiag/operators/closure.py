@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from opdiag.defaults import Fixed
@@ -19,6 +19,13 @@ def _small(frame: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
 
 
+def _cut(frame: DataFrame) -> tuple[DataFrame, int]:
+    """Writes a frame to the checkpoint folder and counts its rows on the way."""
+    observed = Observation()
+    saved = frame.observe(observed, F.count(F.lit(1)).alias("rows")).checkpoint()
+    return saved, observed.get["rows"]
+
+
 def reachable(edges: DataFrame, starts: DataFrame, max_hops: int = Fixed.MAX_HOPS) -> DataFrame:
     """Nodes (``kind``, ``id``, ``hop``) first reached in 1 to ``max_hops`` directed hops.
 
@@ -31,20 +38,17 @@ def reachable(edges: DataFrame, starts: DataFrame, max_hops: int = Fixed.MAX_HOP
     links = edges.select(
         F.col("src_kind").alias("kind"), F.col("src_id").alias("id"), "dst_kind", "dst_id"
     ).checkpoint()
-    newest = starts.select("kind", "id", F.lit(0).alias("hop")).checkpoint()
-    found = total = newest.count()
-    rounds = [newest]
+    newest, found = _cut(starts.select("kind", "id", F.lit(0).alias("hop")))
+    total, rounds = found, [newest]
     for hop in range(1, max_hops + 1):
         seen = reduce(DataFrame.unionByName, rounds).select("kind", "id")
-        newest = (
+        newest, found = _cut(
             links.join(_small(newest.select("kind", "id"), found), ["kind", "id"], "left_semi")
             .select(F.col("dst_kind").alias("kind"), F.col("dst_id").alias("id"))
             .distinct()
             .join(_small(seen, total), ["kind", "id"], "left_anti")
             .withColumn("hop", F.lit(hop))
-            .checkpoint()
         )
-        found = newest.count()
         if found == 0:
             break
         total += found

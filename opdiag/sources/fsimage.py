@@ -27,6 +27,8 @@ def read_listing(
         .option("sep", delimiter)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # a line is judged by its number of columns, however few of them a query selects
+        .option("columnPruning", False)
         .csv(path)
         .where(~F.col("path").eqNullSafe(Fixed.HEADER_PATH))
         .withColumn("partition_key", F.lit(partition_key))
