@@ -21,12 +21,15 @@ def share(part: Column, whole: Column, digits: int = 2) -> Column:
 
 
 def rank_bucket(value: Column, bits: int = 11) -> Column:
-    """Order-preserving bucket of a bigint: its sign, length and leading ``bits`` bits.
+    """Order-preserving bucket of a bigint: its sign, magnitude and leading ``bits`` bits.
 
     Numbers below ``2**bits`` keep a bucket of their own; larger ones share it with neighbours
     within a relative distance of ``2**(1 - bits)``. There are at most ``2 * 64 * 2**bits`` buckets.
+    The logarithm may be off by one next to a power of two, which moves a bucket limit but keeps
+    the order: equal numbers share a bucket and a larger number never gets a lower one.
     """
     size = F.abs(value)
-    shift = F.greatest(F.length(F.bin(size)) - bits, F.lit(0))
+    magnitude = F.floor(F.log2(F.greatest(size, F.lit(1).cast("bigint")))).cast("int")
+    shift = F.greatest(magnitude - (bits - 1), F.lit(0))
     lead = F.call_function("shiftright", size, shift) + shift * (1 << bits)
     return F.when(value < 0, -lead).otherwise(lead)

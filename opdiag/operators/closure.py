@@ -4,26 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opdiag.defaults import Fixed
-from opdiag.session import shared_dir
-
-
-BROADCAST_ROWS = 100_000
-
-
-def _small(frame: DataFrame, rows: int) -> DataFrame:
-    """Broadcasts a checkpointed frame whose counted rows are few; else leaves the choice open."""
-    return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
-
-
-def _cut(frame: DataFrame) -> tuple[DataFrame, int]:
-    """Writes a frame to the checkpoint folder and counts its rows on the way."""
-    observed = Observation()
-    saved = frame.observe(observed, F.count(F.lit(1)).alias("rows")).checkpoint()
-    return saved, observed.get["rows"]
+from opdiag.operators.sized import cut, if_few
 
 
 def reachable(edges: DataFrame, starts: DataFrame, max_hops: int = Fixed.MAX_HOPS) -> DataFrame:
@@ -34,19 +19,20 @@ def reachable(edges: DataFrame, starts: DataFrame, max_hops: int = Fixed.MAX_HOP
     stays short and a lost executor costs no earlier round; the driver only learns how many nodes
     a round found, which also tells whether they may be broadcast.
     """
-    shared_dir(edges.sparkSession)
-    links = edges.select(
-        F.col("src_kind").alias("kind"), F.col("src_id").alias("id"), "dst_kind", "dst_id"
-    ).checkpoint()
-    newest, found = _cut(starts.select("kind", "id", F.lit(0).alias("hop")))
+    links, _ = cut(
+        edges.select(
+            F.col("src_kind").alias("kind"), F.col("src_id").alias("id"), "dst_kind", "dst_id"
+        )
+    )
+    newest, found = cut(starts.select("kind", "id", F.lit(0).alias("hop")))
     total, rounds = found, [newest]
     for hop in range(1, max_hops + 1):
         seen = reduce(DataFrame.unionByName, rounds).select("kind", "id")
-        newest, found = _cut(
-            links.join(_small(newest.select("kind", "id"), found), ["kind", "id"], "left_semi")
+        newest, found = cut(
+            links.join(if_few(newest.select("kind", "id"), found), ["kind", "id"], "left_semi")
             .select(F.col("dst_kind").alias("kind"), F.col("dst_id").alias("id"))
             .distinct()
-            .join(_small(seen, total), ["kind", "id"], "left_anti")
+            .join(if_few(seen, total), ["kind", "id"], "left_anti")
             .withColumn("hop", F.lit(hop))
         )
         if found == 0:

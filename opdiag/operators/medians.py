@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opdiag.functions.numbers import rank_bucket
+from opdiag.operators.sized import cut, if_few
+
+BUCKET_BITS = 8
 
 
 def _middle(total: Column) -> tuple[Column, Column]:
@@ -20,6 +23,11 @@ def _holds(rank: Column, before: Column, weight: Column) -> Column:
     return (before < rank) & (rank <= before + weight)
 
 
+def _between(low: Column, high: Column) -> Column:
+    """Mean of the two middle elements; halved first, so that large ones do not overflow."""
+    return low / 2 + high / 2
+
+
 def weighted_median(
     counts: DataFrame, keys: Sequence[str], value: str, weight: str, name: str = "median"
 ) -> DataFrame:
@@ -36,12 +44,9 @@ def weighted_median(
     low, high = _middle(F.col("_total"))
     before = F.col("_upto") - F.col(weight)
     return ranked.groupBy(*keys).agg(
-        (
-            (
-                F.max(F.when(_holds(low, before, F.col(weight)), F.col(value)))
-                + F.max(F.when(_holds(high, before, F.col(weight)), F.col(value)))
-            )
-            / 2
+        _between(
+            F.max(F.when(_holds(low, before, F.col(weight)), F.col(value))),
+            F.max(F.when(_holds(high, before, F.col(weight)), F.col(value))),
         ).alias(name)
     )
 
@@ -50,12 +55,16 @@ def group_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """``keys``, ``median``, ``maximum`` and ``n`` of a bigint column; NULL values are left out.
 
     First only counts per value bucket are shuffled, at most a few thousand per group, and tell
-    which bucket holds the middle. Then only that bucket's values are counted and ranked. Both
-    steps combine before their shuffle, so one group holding a third of all rows is no hot spot.
+    which bucket holds the middle. Then only that bucket's values, less than a hundredth of the
+    range around the median, are counted and ranked. Both steps combine before their shuffle, so
+    one group holding a third of all rows is no hot spot.
+
+    The first step runs when this is called: its result, two rows per group at most, is written
+    and counted, and where that is small the second pass over the rows needs no shuffle to join it.
     """
     keys = list(keys)
     valued = rows.where(F.col(value).isNotNull()).select(
-        *keys, F.col(value).alias("_v"), rank_bucket(F.col(value)).alias("_b")
+        *keys, F.col(value).alias("_v"), rank_bucket(F.col(value), BUCKET_BITS).alias("_b")
     )
     buckets = valued.groupBy(*keys, "_b").agg(
         F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_max")
@@ -70,16 +79,16 @@ def group_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
         }
     )
     low, high = _middle(F.col("n"))
-    middle = ranked.where(
+    middle, found = cut(ranked.where(
         _holds(low, F.col("_before"), F.col("_n")) | _holds(high, F.col("_before"), F.col("_n"))
     ).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-             F.col("_b").alias("_mb"), "_before", "n", "maximum")
+             F.col("_b").alias("_mb"), "_before", "n", "maximum"))
     same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     condition = F.col("_b") == F.col("_mb")
     for test in same:
         condition = condition & test
     values = (
-        valued.join(middle, condition)
+        valued.join(if_few(middle, found), condition)
         .groupBy(*keys, "_b", "_v", "_before", "n", "maximum")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -91,12 +100,9 @@ def group_median(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     placed = values.withColumn("_before", F.col("_before") + F.sum("_n").over(within) - F.col("_n"))
     here = (F.col("_before"), F.col("_n"))
     return placed.groupBy(*keys).agg(
-        (
-            (
-                F.max(F.when(_holds(low, *here), F.col("_v")))
-                + F.max(F.when(_holds(high, *here), F.col("_v")))
-            )
-            / 2
+        _between(
+            F.max(F.when(_holds(low, *here), F.col("_v"))),
+            F.max(F.when(_holds(high, *here), F.col("_v"))),
         ).alias("median"),
         F.max("maximum").alias("maximum"),
         F.max("n").alias("n"),

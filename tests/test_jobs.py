@@ -2,29 +2,33 @@ import random
 import statistics
 from collections import defaultdict
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from opdiag import schemas
-from opdiag.operators import intervals, jobs, medians, retention, warehouse
+from opdiag.operators import intervals, jobs, medians, retention, sized, warehouse
 
 
-def test_group_median_against_brute_force(spark):
+@pytest.mark.parametrize("limit", [-1, 100_000])
+def test_group_median_against_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(sized, "BROADCAST_ROWS", limit)
     rng = random.Random(5)
     data = [
         (rng.choice("aaab"), rng.choice([rng.randint(-99, 99), rng.randint(0, 10**13), 7]))
         for _ in range(3000)
-    ] + [(None, 3), ("c", 4), ("c", 7), ("d", None), ("e", 2048), ("e", 2047), ("e", 4096)]
+    ] + [("f", 2**62), ("f", 2**63 - 1)] + [("g", 2**e + d) for e in range(1, 62) for d in (-1, 0, 1)] + [(None, 3), ("c", 4), ("c", 7), ("d", None), ("e", 2048), ("e", 2047), ("e", 4096)]
     groups = defaultdict(list)
     for key, value in data:
         if value is not None:
             groups[key].append(value)
     frame = spark.createDataFrame(data, "k string, v bigint")
     got = {r.k: (r.median, r.maximum, r.n) for r in medians.group_median(frame, ["k"], "v").collect()}
-    assert got == {k: (statistics.median(v), max(v), len(v)) for k, v in groups.items()}
+    middle = {k: sum(x / 2 for x in (statistics.median_low(v), statistics.median_high(v))) for k, v in groups.items()}
+    assert got == {k: (middle[k], max(v), len(v)) for k, v in groups.items()}
     counts = frame.where("v is not null").groupBy("k", "v").agg(F.count("*").alias("n"))
     got = {r.k: r.median for r in medians.weighted_median(counts, ["k"], "v", "n").collect()}
-    assert got == {k: statistics.median(v) for k, v in groups.items()}
+    assert got == middle
 
 
 def test_merged_intervals_against_brute_force(spark):
@@ -171,3 +175,9 @@ def test_upsert_prefers_the_highest_version_then_the_change(spark):
     assert rows(retention.upsert_latest(old, new, ["k"]), "k", "name") == [
         (1, "new"), (2, "kept"), (3, "change"), (4, "added"),
     ]
+
+
+def test_median_of_nothing(spark):
+    frame = spark.createDataFrame([("a", 1)], "k string, v bigint")
+    assert medians.group_median(frame.where("1 = 0"), ["k"], "v").count() == 0
+    assert medians.group_median(frame.where("v > 1"), ["k"], "v").count() == 0

@@ -5,7 +5,7 @@ from conftest import rows
 
 from opdiag import schemas
 from opdiag.defaults import Fixed
-from opdiag.operators import closure, lineage, runs
+from opdiag.operators import closure, lineage, runs, sized
 
 DAY = "2024-01-10"
 
@@ -130,7 +130,7 @@ def test_closure_hop_limit_and_cycles(spark):
 
 
 def test_closure_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(closure, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(sized, "BROADCAST_ROWS", -1)
     starts = spark.createDataFrame([("process", "p")], ["kind", "id"])
     assert closure.reachable(chain(spark, 20), starts).count() == 13
 
@@ -215,3 +215,12 @@ def test_anomalies_against_the_days_before(spark):
     ]
     # the history of day 21 are days 7 to 10, that of day 30 is day 21 alone
     assert rows(runs.end_time_anomalies(frame), "attempt_id", "verdict") == [(54, "late")]
+
+
+def test_closure_of_nothing(spark):
+    none = spark.createDataFrame([], "kind string, id string")
+    starts = spark.createDataFrame([("process", "p")], ["kind", "id"])
+    assert closure.reachable(chain(spark, 3), none).count() == 0
+    assert closure.reachable(chain(spark, 3), none.where("1 = 0")).count() == 0
+    assert closure.reachable(chain(spark, 3).where("1 = 0"), starts).count() == 0
+    assert closure.reachable(chain(spark, 3).limit(0), starts.limit(0)).count() == 0
