@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opdiag import schemas
 from opdiag.operators import closure, containers, lineage, runs, storage
+from opdiag.operators.sized import cut
 from opdiag.sinks import relations, tables
 from opdiag.sources import fsimage, logs
 
@@ -48,8 +49,9 @@ def lineage_day(
 ) -> None:
     """Writes the six lineage relations and upserts the tasks upstream of a process."""
     released = lineage.released_definitions(definitions, projects, day)
-    tasks = lineage.workflow_tasks(released)
-    edges = lineage.lineage_edges(released, resolve)
+    # both are read several times below, so they are written once
+    tasks, _ = cut(lineage.workflow_tasks(released))
+    edges, _ = cut(lineage.lineage_edges(released, resolve))
     relations.write_relations(relations.lineage_relations(released, tasks, edges), folder)
     found = closure.upstream_closure(
         tasks.where(F.col("task_type") == lineage.SHELL), released, edges, start_process, day

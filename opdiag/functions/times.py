@@ -27,10 +27,5 @@ def epoch_millis(wall_clock: Column, zone: str = "UTC") -> Column:
     return F.timestamp_diff("MILLISECOND", F.lit(_EPOCH).cast("timestamp_ntz"), utc)
 
 
-def time_of_day(wall_clock: Column) -> Column:
-    """``HH:mm:ss`` text."""
-    return F.substring(wall_clock.cast("string"), 12, 8)
-
-
 def second_of_day(wall_clock: Column) -> Column:
     return F.hour(wall_clock) * 3600 + F.minute(wall_clock) * 60 + F.second(wall_clock)

@@ -14,6 +14,7 @@ from opdiag.defaults import Ours
 from opdiag.functions.numbers import ratio
 from opdiag.operators.intervals import idle_time
 from opdiag.operators.medians import group_median
+from opdiag.operators.sized import cut, if_few, join_lookup
 
 APP = ("app_id",)
 STAGE = ("app_id", "stage_id")
@@ -53,9 +54,11 @@ def hdfs_stall(tasks: DataFrame, threshold: float = Ours.STALL_SHARE) -> DataFra
     """Tasks that read far more slowly, in bytes per second, than the median of their stage."""
     rate = F.floor(F.try_divide(F.col("input_bytes") * 1000, F.col("duration_ms"))).cast("bigint")
     rated = tasks.withColumn("rate", rate)
-    medians = group_median(rated, STAGE, "rate").select(*STAGE, F.col("median").alias("median_rate"))
+    medians, stages = cut(
+        group_median(rated, STAGE, "rate").select(*STAGE, F.col("median").alias("median_rate"))
+    )
     return (
-        rated.join(medians, list(STAGE))
+        join_lookup(rated, if_few(medians, stages), STAGE)
         .where(F.col("rate") < threshold * F.col("median_rate"))
         .select(*STAGE, "launch_ms", "duration_ms", "input_bytes", "rate", "median_rate")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opdiag.defaults import Fixed
+from opdiag.operators.sized import join_lookup
 from opdiag.schemas import DEFINITION_JSON
 
 EDGE = ["src_kind", "src_id", "dst_kind", "dst_id", "label"]
@@ -89,18 +90,16 @@ def _dependencies(definitions: DataFrame) -> DataFrame:
     defined = _defined_tasks(definitions)
     wanted = _with_id(defined).withColumn("pre_name", F.explode("pre_tasks"))
     listed = F.flatten(F.transform("depends", lambda item: item["dependItemList"]))
-    # joined on the text id, which neither side is partitioned by: both sides are shuffled for
-    # the join itself, so that a name which very many tasks wait for can be split at run time
     lookup = defined.select(
-        _task_id(F.col("process_id"), F.col("task_name")).alias("pre_key"),
+        "process_id",
+        F.col("task_name").alias("pre_name"),
         F.coalesce(F.size("depends") > 0, F.lit(False)).alias("external"),
         listed.alias("items"),
         (F.col("task_type") == SUB_PROCESS).alias("pre_is_sub"),
         F.col("sub_process_id").alias("pre_sub_id"),
     )
-    found = wanted.drop("depends").withColumn(
-        "pre_key", _task_id(F.col("process_id"), F.col("pre_name"))
-    ).join(lookup, "pre_key")
+    # very many tasks may wait for one name
+    found = join_lookup(wanted.drop("depends"), lookup, ["process_id", "pre_name"])
     # an internal dependency becomes a single item, so that one explode serves both forms
     nothing = F.lit(None)
     own = F.array(
@@ -119,11 +118,11 @@ def rejected_pre_tasks(definitions: DataFrame) -> DataFrame:
     """Preceding-task names that the workflow does not define."""
     defined = _defined_tasks(definitions)
     known = defined.select("process_id", F.col("task_name").alias("pre_task_name"))
-    return (
-        _with_id(defined)
-        .select(*_PROCESS, "task_name", F.explode("pre_tasks").alias("pre_task_name"))
-        .join(known, ["process_id", "pre_task_name"], "left_anti")
-        .select(*_PROCESS, "task_name", "pre_task_name")
+    named = _with_id(defined).select(
+        *_PROCESS, "task_name", F.explode("pre_tasks").alias("pre_task_name")
+    )
+    return join_lookup(named, known, ["process_id", "pre_task_name"], "left_anti").select(
+        *_PROCESS, "task_name", "pre_task_name"
     )
 
 

@@ -12,6 +12,7 @@ from opdiag.functions.classes import as_date
 from opdiag.functions.numbers import ratio, round_half_up
 from opdiag.functions.times import second_of_day, seconds_between
 from opdiag.operators.medians import weighted_median
+from opdiag.operators.sized import join_lookup
 
 _NAMES = ["project_name", "process_name", "task_name"]
 
@@ -187,7 +188,7 @@ def duration_anomalies(
     good = runs.where(F.col("state") == "SUCCESS")
     took, usual = F.col("duration_s"), F.col("usual")
     return (
-        good.join(_baseline(good, "duration_s", days), _INSTANCE)
+        join_lookup(good, _baseline(good, "duration_s", days), _INSTANCE)
         .where((took > high * usual) | (took < low * usual))
         .select(
             *_INSTANCE, "attempt_id", "duration_s", "usual",
@@ -204,7 +205,7 @@ def end_time_anomalies(
     good = runs.where(F.col("state") == "SUCCESS").withColumn("end_second", second_of_day(ended).cast("bigint"))
     shift = F.col("end_second") - F.col("usual")
     return (
-        good.join(_baseline(good, "end_second", days), _INSTANCE)
+        join_lookup(good, _baseline(good, "end_second", days), _INSTANCE)
         .where(F.abs(shift) > seconds)
         .select(
             *_INSTANCE, "attempt_id", "end_second", "usual",

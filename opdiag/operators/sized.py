@@ -1,7 +1,9 @@
-"""Intermediate results that are written down and counted, so that their size is known."""
+"""Joins against intermediate results: counted ones that may be broadcast, and skewed lookups."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -21,3 +23,17 @@ def cut(frame: DataFrame) -> tuple[DataFrame, int]:
 def if_few(frame: DataFrame, rows: int) -> DataFrame:
     """Broadcasts a counted frame when its rows are few; else the join is left to the optimizer."""
     return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
+
+
+def join_lookup(
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join with a frame of one row per key, in a form that run-time skew handling can split.
+
+    A hot key is only split where both inputs are shuffled for the join itself. A lookup that was
+    aggregated by the same keys would be reused as it is, so the keys' hash joins them as a
+    further key, which neither input is partitioned by.
+    """
+    spread = F.xxhash64(*keys).alias("_spread")
+    spread_lookup = lookup.select("*", spread)
+    return rows.select("*", spread).join(spread_lookup, [*keys, "_spread"], how).drop("_spread")

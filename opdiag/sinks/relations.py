@@ -26,7 +26,11 @@ def schema_of(name: str) -> StructType:
 def lineage_relations(
     definitions: DataFrame, tasks: DataFrame, edges: DataFrame
 ) -> dict[str, DataFrame]:
-    """Node and edge relations from the definitions, their tasks and their edges."""
+    """Node and edge relations from the definitions, their tasks and their edges.
+
+    Each relation is a pass over its input; write computed edges down before, for instance with
+    ``sized.cut``.
+    """
     frames = {
         "process": definitions.select(*RELATIONS["process"][1]),
         "task": tasks.where(F.col("task_type") == "SHELL").select(*RELATIONS["task"][1]),
@@ -48,3 +52,8 @@ def write_relations(frames: dict[str, DataFrame], folder: str) -> None:
         frame.write.mode("overwrite").option("header", True).option("sep", RELATIONS[name][0]).csv(
             f"{folder.rstrip('/')}/{name}"
         )
+
+
+def json_rows(rows: DataFrame) -> DataFrame:
+    """Rows as JSON objects, the load format of stores that take JSON; NULL fields are left out."""
+    return rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))

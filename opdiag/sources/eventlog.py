@@ -19,7 +19,7 @@ from opdiag.schemas import (
     JOB_TASK,
 )
 
-# How application ids look in log file names.
+# How application ids look in the names of logs or, for rolling logs, their folders.
 APP_IN_NAME = r"(application_\d+_\d+|app-\d+-\d+|local-\d+)"
 
 _TASK_END = """
@@ -43,9 +43,10 @@ _ACCUMULATED = "executionId bigint, accumUpdates array<array<bigint>>"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Event lines with the application id found in the file's name."""
+    """Event lines with the application id found at the end of the file's path."""
+    ids = F.regexp_extract_all("_metadata.file_path", F.lit(APP_IN_NAME), F.lit(1))
     return spark.read.option("recursiveFileLookup", True).text(path).select(
-        "value", F.regexp_extract("_metadata.file_name", APP_IN_NAME, 1).alias("app_id")
+        "value", F.try_element_at(ids, F.lit(-1)).alias("app_id")
     )
 
 

@@ -438,3 +438,39 @@ def task_version(spark: SparkSession, sf_dir: str, change: bool) -> DataFrame:
     )
     later = F.timestamp_add("HOUR", F.lit(1), c("insert_time"))
     return rows.withColumn("insert_time", later) if change else rows
+
+
+def task_end_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-log lines of finished tasks, by application, next to lines of other kinds."""
+    c = F.col
+    task = job_task(spark, sf_dir)
+    failed = c("failure_reason").isNotNull()
+    event = F.struct(
+        F.when(c("input_records") % 10 == 0, "SparkListenerTaskStart")
+        .otherwise("SparkListenerTaskEnd").alias("Event"),
+        c("stage_id").alias("Stage ID"),
+        c("kind").alias("Task Type"),
+        F.struct(
+            F.when(failed, "ExceptionFailure").otherwise("Success").alias("Reason"),
+            c("failure_reason").alias("Description"),
+        ).alias("Task End Reason"),
+        F.struct(
+            c("launch_ms").alias("Launch Time"),
+            (c("launch_ms") + c("duration_ms")).alias("Finish Time"),
+            c("executor_id").alias("Executor ID"),
+            c("speculative").alias("Speculative"),
+        ).alias("Task Info"),
+        F.struct(
+            (c("cpu_ms") * 1_000_000).alias("Executor CPU Time"),
+            c("gc_ms").alias("JVM GC Time"),
+            c("peak_memory").alias("Peak Execution Memory"),
+            F.struct(
+                c("input_bytes").alias("Bytes Read"), c("input_records").alias("Records Read")
+            ).alias("Input Metrics"),
+        ).alias("Task Metrics"),
+    )
+    number = F.substring("app_id", 5, 3)
+    return task.select(
+        F.to_json(event).alias("value"),
+        F.concat(F.lit("application_1700000000000_"), F.lpad(number, 4, "0")).alias("app"),
+    )

@@ -19,3 +19,18 @@ SQL["export_history"] = (
     "select * exclude (partition_key) replace (partition_key as etl_dt) from ("
     f"select *, '20111105' as partition_key from ({oracle_storage.SQL['dir_storage_report']}))"
 )
+SQL["fsimage_csv_load"] = oracle_storage.SQL["fsimage_flatten"]
+SQL["lineage_relation_files"] = (
+    "select src_id, label, dst_id, src_kind || '_' || dst_kind as name from ("
+    f"{oracle_lineage.SQL['lineage_edges_extended']})"
+)
+SQL["task_json_rows"] = (
+    "select cast(to_json(t) as varchar) as value from ("
+    f"{oracle_lineage.SQL['workflow_tasks']}) t"
+)
+SQL["event_log_tasks"] = f"""with {oracle_jobs.FX_JOB_TASK}
+select 'application_1700000000000_' || lpad(app_id[5:], 4, '0') as app_id, stage_id, kind, executor_id, launch_ms,
+       duration_ms, input_bytes, input_records, speculative, gc_ms, cpu_ms, peak_memory,
+       'ExceptionFailure: ' || failure_reason as failure_reason
+from fx_task where input_records % 10 <> 0"""
+SQL["mr_attempt_lines"] = f"with {oracle_jobs.FX_JOB_TASK} select * from fx_task"

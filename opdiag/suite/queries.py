@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opdiag import schemas
 from opdiag.functions.paths import in_warehouse
 from opdiag.operators import (
     ageing,
@@ -19,8 +21,11 @@ from opdiag.operators import (
     storage,
     warehouse,
 )
+from opdiag.operators.sized import cut
 from opdiag.plans import scans
 from opdiag.session import scratch_path
+from opdiag.sinks import relations
+from opdiag.sources import eventlog, fsimage, scheduler
 from opdiag.streaming import containers as streams
 from opdiag.suite import fixtures as fx
 
@@ -199,4 +204,55 @@ TABLES: dict[str, Query] = {
     ),
 }
 
-QUERIES: dict[str, Query] = {**STORAGE, **PLANS, **LOGS, **LINEAGE, **RUNS, **JOBS, **TABLES}
+
+
+def _listing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing goes through a delimited file, header lines included."""
+    folder = scratch_path(spark, "listing")
+    rows = fx.fsimage(spark, sf_dir).select(*schemas.FSIMAGE_FILE.names)
+    rows.write.option("header", True).csv(folder)
+    return storage.flatten_listing(
+        fsimage.read_listing(spark, folder, fx.PARTITION), fx.PARTITION
+    )
+
+
+def _relation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four edge relations go through their files."""
+    folder = scratch_path(spark, "relations")
+    definitions = fx.released(spark, sf_dir)
+    edges, _ = cut(lineage.lineage_edges(definitions, "extended"))
+    frames = relations.lineage_relations(definitions, lineage.workflow_tasks(definitions), edges)
+    relations.write_relations(frames, folder)
+    read = []
+    for name in ("process_task", "task_task", "task_process", "process_process"):
+        delimiter, columns = relations.RELATIONS[name]
+        frame = scheduler.read_relation(
+            spark, f"{folder}/{name}", relations.schema_of(name), delimiter
+        )
+        read.append(frame.toDF("src_id", "label", "dst_id").withColumn("name", F.lit(name)))
+    return reduce(DataFrame.unionByName, read)
+
+
+def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task events go through log files named by application."""
+    folder = scratch_path(spark, "events")
+    fx.task_end_events(spark, sf_dir).write.partitionBy("app").text(folder)
+    return eventlog.tasks(eventlog.read_lines(spark, folder)).drop("allocated_memory")
+
+
+def _attempt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task attempts go through JSON lines."""
+    folder = scratch_path(spark, "attempts")
+    fx.job_task(spark, sf_dir).write.json(folder)
+    return scheduler.read_attempts(spark, folder)
+
+
+FILES: dict[str, Query] = {
+    "fsimage_csv_load": _listing_file,
+    "lineage_relation_files": _relation_files,
+    "task_json_rows": lambda s, d: relations.json_rows(lineage.workflow_tasks(fx.released(s, d))),
+    "event_log_tasks": _event_log,
+    "mr_attempt_lines": _attempt_lines,
+}
+
+QUERIES: dict[str, Query] = {**STORAGE, **PLANS, **LOGS, **LINEAGE, **RUNS, **JOBS, **TABLES, **FILES}
