@@ -72,18 +72,18 @@ select {_columns('c', 'f', 'g')} from line where t <> ''"""
 
 SQL = {
     "plan_scan_cardinality": f"""with {FX_QUERY_RECORD},
-t1 as (select * exclude (plan), unnest(string_split(plan, 'ScanNode')) as scan from fx_query_record
+piece as (select * exclude (plan), unnest(string_split(plan, 'ScanNode')) as scan from fx_query_record
        where start_time between timestamp '1990-01-01' and timestamp '2010-12-31 23:59:59'
          and contains(plan, 'cardinality')),
-t2 as (select regexp_extract(scan, 'TABLE: (.*?)\\n', 1) as table_name,
+parsed as (select regexp_extract(scan, 'TABLE: (.*?)\\n', 1) as table_name,
               regexp_extract(scan, 'partitions=(.*?)\\n', 1) as partitions,
               regexp_extract(scan, 'cardinality=(.*?)\\n', 1) as cardinality, *
-       from t1 where contains(scan, 'cardinality'))
+       from piece where contains(scan, 'cardinality'))
 select table_name, partitions,
        try_cast(string_split(partitions, '/')[1] as double)
          / nullif(try_cast(string_split(partitions, '/')[2] as double), 0) as partitions_ratio,
        cardinality, query_id, start_time, end_time, "user", time_used, state, error_message, sql, "database", scan
-from t2 where try_cast(cardinality as bigint) >= 10000000""",
+from parsed where try_cast(cardinality as bigint) >= 10000000""",
     "sr_query_frequency": f"""with {FX_QUERY_RECORD},
 node as (select query_id, unnest(string_split(plan, 'ScanNode')[2:]) as scan from fx_query_record),
 named as (select query_id, regexp_extract(scan, 'TABLE: (.*?)\\n', 1) as table_name from node)

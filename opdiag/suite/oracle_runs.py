@@ -13,47 +13,50 @@ fx_instance as (
          date_trunc('second', ts) + to_seconds(cast(floor(value * 10) as integer)) as end_time,
          cast(event_id % 3 as integer) as retry_times
   from events),
-named as (select t1.id, t1.name as task_name, t2.name as process_name, t3.name as project_name, t1.process_instance_id,
-                 t1.submit_time, t1.start_time, t1.end_time, t1.retry_times
-          from fx_instance t1 join fx_definition t2 on t1.process_definition_id = t2.id
-          join fx_project t3 on t2.project_id = t3.id),
+named as (select i.id, i.name as task_name, d.name as process_name, p.name as project_name, i.process_instance_id,
+                 i.submit_time, i.start_time, i.end_time, i.retry_times
+          from fx_instance i join fx_definition d on i.process_definition_id = d.id
+          join fx_project p on d.project_id = p.id),
 fx_monitored as (select distinct project_name, process_name, task_name, d.dt
                  from named, (values (date '2024-01-10'), (date '2024-01-09')) d(dt))"""
 
 
-def _attempts(day: str, operator: str) -> str:
-    """The window form: row number over the task, first and last value over its instance."""
-    instance = "partition by project_name, process_name, task_name, process_instance_id"
+def _attempts(day: str) -> str:
+    """The earliest attempt per task name, with the minutes from its instance's first start to last end."""
+    minutes = _round("cast(date_diff('second', s.opened, s.closed) as double) / 60", 2)
     return f"""
-  select *, row_number() over (partition by task_name, process_name, project_name order by start_time, id) as rn,
-         date_diff('second',
-           first_value(start_time) over ({instance} order by start_time, id),
-           last_value(end_time) over ({instance} order by start_time, id
-                                      rows between unbounded preceding and unbounded following)) as cost
-  from named
-  where strftime(start_time, '%Y-%m-%d') = '{day}' and strftime(start_time, '%H:%M:%S') {operator} '06:00:00'"""
-
-
-_MINUTE = _round("cast(a2.cost as double) / 60", 2)
-
-
-def _day_over_day(project_match: str) -> str:
-    return f"""with {FX_SCHEDULER},
-a_now as ({_attempts("2024-01-10", "<")}), a_last as ({_attempts("2024-01-09", "<=")}),
-tmp1 as (select a1.project_name, a1.process_name, a1.task_name, a1.dt, a2.submit_time, a2.start_time, a2.end_time,
-                {_MINUTE} as m, a2.retry_times
-         from fx_monitored a1 join a_now a2 on a1.task_name = a2.task_name and a1.process_name = a2.process_name
-           and a1.project_name = a2.project_name where a1.dt = date '2024-01-10' and a2.rn = 1),
-tmp2 as (select a1.project_name, a1.process_name, a1.task_name, a2.start_time, {_MINUTE} as m, a2.retry_times
-         from fx_monitored a1 join a_last a2 on a1.task_name = a2.task_name and a1.process_name = a2.process_name
-           {project_match} where a1.dt = date '2024-01-09' and a2.rn = 1)
-select tmp1.project_name, tmp1.process_name, tmp1.task_name, tmp1.dt, tmp1.submit_time, tmp1.start_time, tmp1.end_time,
-       tmp2.m as lastday_taken_minute, tmp1.m as taken_minute,
-       cast(date_diff('second', tmp2.start_time, tmp1.start_time) - 86400 as integer) as start_diff_second,
-       {_round("(tmp1.m - tmp2.m) / nullif(tmp2.m, 0)", 4)} as dod,
-       cast(tmp1.retry_times as varchar) as retry_times, cast(tmp2.retry_times as varchar) as lastday_retry_times
-from tmp1 left join tmp2 on tmp1.task_name = tmp2.task_name and tmp1.process_name = tmp2.process_name
-  and tmp1.project_name = tmp2.project_name"""
+  select distinct on (n.project_name, n.process_name, n.task_name)
+         n.project_name, n.process_name, n.task_name, n.submit_time, n.start_time, n.end_time,
+         cast(n.retry_times as varchar) as retries, {minutes} as minutes
+  from early_{day[-2:]} n join (
+    select project_name, process_name, task_name, process_instance_id, min(start_time) as opened,
+           arg_max(end_time, (start_time, id)) as closed
+    from early_{day[-2:]} group by all) s
+    using (project_name, process_name, task_name, process_instance_id)
+  order by n.project_name, n.process_name, n.task_name, n.start_time, n.id"""
+
+
+def _early(day: str, operator: str) -> str:
+    return f"""early_{day[-2:]} as (select * from named where cast(start_time as date) = date '{day}'
+             and cast(start_time as time) {operator} time '06:00:00')"""
+
+
+_CHANGE = _round("(f.minutes - b.minutes) / nullif(b.minutes, 0)", 4)
+
+
+def _day_over_day(match: str) -> str:
+    """``match`` holds the columns by which the previous day's runs are found."""
+    return f"""with {FX_SCHEDULER}, {_early("2024-01-10", "<")}, {_early("2024-01-09", "<=")},
+fresh as ({_attempts("2024-01-10")}), earlier as ({_attempts("2024-01-09")}),
+watched as (select distinct project_name, process_name, task_name from fx_monitored),
+before_it as (select w.project_name, w.process_name, w.task_name, e.start_time, e.minutes, e.retries
+              from watched w join earlier e using ({match}))
+select project_name, process_name, task_name, date '2024-01-10' as dt, f.submit_time, f.start_time, f.end_time,
+       b.minutes as lastday_taken_minute, f.minutes as taken_minute,
+       cast(date_diff('second', b.start_time, f.start_time) - 86400 as integer) as start_diff_second,
+       {_CHANGE} as dod, f.retries as retry_times, b.retries as lastday_retry_times
+from watched join fresh f using (project_name, process_name, task_name)
+left join before_it b using (project_name, process_name, task_name)"""
 
 
 FX_RUN = """
@@ -85,8 +88,8 @@ where {test}"""
 
 
 SQL = {
-    "key_task_day_over_day": _day_over_day(""),
-    "key_task_day_over_day_by_project": _day_over_day("and a1.project_name = a2.project_name"),
+    "key_task_day_over_day": _day_over_day("process_name, task_name"),
+    "key_task_day_over_day_by_project": _day_over_day("project_name, process_name, task_name"),
     "wf_final_failure": f"""with {FX_RUN}, {_FINAL}
 select process_id, task_name, dt, attempt_id, retry_times, start_time, duration_s from final""",
     "wf_first_failure": f"""with {FX_RUN}
