@@ -27,8 +27,9 @@ def storage_day(
     reports read only its partition and the few columns they need.
     """
     ods, dwd = f"{database}.ods_fsimage", f"{database}.dwd_fsimage"
-    tables.overwrite_partitions(fsimage.read_listing(spark, listing, day), ods)
-    tables.overwrite_partitions(storage.flatten_listing(spark.table(ods), day), dwd)
+    tables.overwrite_partitions(fsimage.read_listing(spark, listing, day), ods, compact=False)
+    flattened = storage.flatten_listing(spark.table(ods), day)
+    tables.overwrite_partitions(flattened, dwd, compact=False)
     flat = fsimage.snapshot(spark.table(dwd), day)
     for name, report in REPORTS.items():
         table = f"{database}.{name}"

@@ -35,6 +35,11 @@ def retained(
     return rows.where(F.col("partition_key") >= oldest_kept(as_of, days))
 
 
+def month_shifted(as_of: str | dt.date, months: int) -> Column:
+    """The ``yyyyMM`` key ``months`` after the month of ``as_of``."""
+    return F.date_format(F.add_months(as_date(as_of), months), "yyyyMM")
+
+
 def month_partition(rows: DataFrame, date_column: str = "dt") -> DataFrame:
     """Adds the ``yyyyMM`` key of monthly partitions."""
     return rows.withColumn("month", F.date_format(date_column, "yyyyMM"))
@@ -47,10 +52,9 @@ def retained_months(
     ahead: int = Fixed.MONTHS_AHEAD,
 ) -> DataFrame:
     """Rows of the sliding month range around ``as_of``."""
-    first, last = (
-        F.date_format(F.add_months(as_date(as_of), shift), "yyyyMM") for shift in (-months, ahead)
+    return rows.where(
+        F.col("month").between(month_shifted(as_of, -months), month_shifted(as_of, ahead))
     )
-    return rows.where(F.col("month").between(first, last))
 
 
 def export_history(report: DataFrame) -> DataFrame:

@@ -5,11 +5,26 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from opdiag.defaults import Fixed
-from opdiag.operators.retention import oldest_kept
+from opdiag.operators.retention import month_shifted, oldest_kept
+
+
+def _drop_before(spark: SparkSession, table: str, key: str, oldest: Column) -> list[str]:
+    """Drops partitions with a key below ``oldest``.
+
+    The keys come from the catalog; a range cannot be dropped in one statement, but a list can.
+    """
+    listed = spark.sql(f"show partitions {table}").select(
+        F.regexp_extract("partition", f"{key}=([^/]+)", 1).alias("value")
+    )
+    old = [row.value for row in listed.where(F.col("value") < oldest).distinct().collect()]
+    if old:
+        each = ", ".join(f"partition ({key}='{value}')" for value in old)
+        spark.sql(f"alter table {table} drop if exists {each}")
+    return sorted(old)
 
 
 def drop_expired(
@@ -19,18 +34,16 @@ def drop_expired(
     days: int = Fixed.RETENTION_DAYS,
     key: str = "partition_key",
 ) -> dict[str, list[str]]:
-    """Drops partitions with a key before ``as_of`` minus ``days``, and says which.
+    """Drops daily partitions from before ``as_of`` minus ``days``, and says which."""
+    return {table: _drop_before(spark, table, key, oldest_kept(as_of, days)) for table in tables}
 
-    The keys come from the catalog; a range cannot be dropped in one statement, but a list can.
-    """
-    dropped: dict[str, list[str]] = {}
-    for table in tables:
-        listed = spark.sql(f"show partitions {table}").select(
-            F.regexp_extract("partition", f"{key}=([^/]+)", 1).alias("value")
-        )
-        old = [row.value for row in listed.where(F.col("value") < oldest_kept(as_of, days)).collect()]
-        if old:
-            each = ", ".join(f"partition ({key}='{value}')" for value in sorted(set(old)))
-            spark.sql(f"alter table {table} drop if exists {each}")
-        dropped[table] = sorted(set(old))
-    return dropped
+
+def drop_expired_months(
+    spark: SparkSession,
+    tables: Iterable[str],
+    as_of: str | dt.date,
+    months: int = Fixed.MONTHS_KEPT_REPORT,
+    key: str = "month",
+) -> dict[str, list[str]]:
+    """Drops monthly partitions from before ``as_of`` minus ``months``, and says which."""
+    return {table: _drop_before(spark, table, key, month_shifted(as_of, -months)) for table in tables}

@@ -29,16 +29,22 @@ def _dynamic_partitions(spark: SparkSession):
 
 
 def overwrite_partitions(
-    rows: DataFrame, table: str, partition_by: Sequence[str] = ("partition_key",)
+    rows: DataFrame,
+    table: str,
+    partition_by: Sequence[str] = ("partition_key",),
+    compact: bool = True,
 ) -> None:
     """Replaces the partitions that occur in ``rows`` and keeps the others.
 
     Columns go by position into an existing table, as ``insert`` does; partition columns last.
+    ``compact`` shuffles once more to even out file sizes; leave it off for one large partition
+    whose rows come from a scan or a shuffle, which are already of even size.
     """
     partition_by = list(partition_by)
     spark = rows.sparkSession
     ordered = rows.select(*[c for c in rows.columns if c not in partition_by], *partition_by)
-    ordered = compacted(ordered, *partition_by)
+    if compact:
+        ordered = compacted(ordered, *partition_by)
     if not spark.catalog.tableExists(table):
         ordered.write.partitionBy(*partition_by).format("parquet").saveAsTable(table)
         return
@@ -62,6 +68,30 @@ def append(rows: DataFrame, table: str, schema: StructType) -> None:
     shaped.write.mode("append").format("parquet").saveAsTable(table)
 
 
+MAX_LISTED_PARTITIONS = 1000
+
+
+def _of_partitions(current: DataFrame, touched: DataFrame) -> DataFrame:
+    """Rows of the touched partitions.
+
+    A limited number of partitions is named in the filter, so that the scan leaves out all others;
+    more of them are joined.
+    """
+    names = touched.columns
+    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
+    if len(listed) > MAX_LISTED_PARTITIONS:
+        return current.join(touched, names, "left_semi")
+    if len(names) == 1:
+        return current.where(F.col(names[0]).isin([row[0] for row in listed]))
+    either = F.lit(False)
+    for row in listed:
+        each = F.lit(True)
+        for name in names:
+            each = each & (F.col(name) == F.lit(row[name]))
+        either = either | each
+    return current.where(either)
+
+
 def upsert(
     changes: DataFrame,
     table: str,
@@ -85,7 +115,6 @@ def upsert(
         return
     shared_dir(spark)
     current = spark.table(table)
-    touched = changes.select(*partition_by).distinct()
-    affected = current.join(touched, partition_by, "left_semi")
+    affected = _of_partitions(current, changes.select(*partition_by).distinct())
     merged = upsert_latest(affected, changes.select(*current.columns), keys, version)
     overwrite_partitions(merged.checkpoint(), table, partition_by)

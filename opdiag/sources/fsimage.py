@@ -49,3 +49,9 @@ def latest_partition(spark: SparkSession, table: str) -> str | None:
         F.regexp_extract("partition", "partition_key=([^/]+)", 1).alias("key")
     )
     return keys.agg(F.max("key")).first()[0]
+
+
+def newest_file(spark: SparkSession, folder: str, name_glob: str = "*") -> str | None:
+    """Path of the last changed file; only the folder is listed, no content is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(folder)
+    return files.agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]

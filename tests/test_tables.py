@@ -11,7 +11,7 @@ from test_workflow import definitions, depends, schedule, shell
 
 from opdiag import flows, schemas
 from opdiag.operators import jobs, lineage
-from opdiag.operators.retention import export_history
+from opdiag.operators.retention import export_history, month_partition
 from opdiag.session import scratch_path, shared_dir
 from opdiag.sinks import relations, retention, tables
 from opdiag.sources import eventlog, fsimage, logs, scheduler
@@ -53,6 +53,12 @@ def test_overwrite_keeps_other_partitions(spark, database):
     assert rows(fsimage.snapshot(spark.table(table), "2"), "v") == [(3,)]
 
 
+def test_partitions_of_two_columns(spark):
+    frame = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 1, 3)], "p string, q int, v int")
+    touched = spark.createDataFrame([("a", 2), ("b", 1), ("c", 3)], "p string, q int")
+    assert rows(tables._of_partitions(frame, touched), "v") == [(2,), (3,)]
+
+
 def test_retention_drops_partitions(spark, database):
     table, other = f"{database}.t", f"{database}.o"
     days = [("20231110",), ("20231111",), ("20240110",)]
@@ -63,7 +69,26 @@ def test_retention_drops_partitions(spark, database):
     assert rows(spark.table(table), "partition_key") == [("20231111",), ("20240110",)]
 
 
-def test_upsert_rewrites_only_what_changes(spark, database):
+def test_month_retention_drops_partitions(spark, database):
+    table = f"{database}.t"
+    days = spark.createDataFrame([("2022-11-30",), ("2022-12-01",), ("2024-01-10",)], "d string")
+    frame = month_partition(days.selectExpr("cast(d as date) as dt"))
+    tables.overwrite_partitions(frame, table, ["month"])
+    assert retention.drop_expired_months(spark, [table], "2024-01-10") == {table: ["202211"]}
+    assert rows(spark.table(table), "month") == [("202212",), ("202401",)]
+
+
+def test_newest_file(spark, tmp_path):
+    for age, name in enumerate(("fsimage_01", "fsimage_03", "other")):
+        (tmp_path / name).write_text("x")
+        os.utime(tmp_path / name, (1000 - age, 1000 - age))
+    assert fsimage.newest_file(spark, str(tmp_path), "*fsimage_0*").endswith("fsimage_01")
+    assert fsimage.newest_file(spark, str(tmp_path), "none*") is None
+
+
+@pytest.mark.parametrize("listed", [0, 1000])
+def test_upsert_rewrites_only_what_changes(spark, database, monkeypatch, listed):
+    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", listed)
     table, keys = f"{database}.m", ["dt", "task_id"]
     shape = "dt date, task_id string, name string, insert_time timestamp_ntz"
     day = lambda d: dt.date(2024, 1, d)
@@ -75,6 +100,10 @@ def test_upsert_rewrites_only_what_changes(spark, database):
     assert rows(spark.table(table), "dt", "task_id", "name") == [
         (day(1), "a", "newer"), (day(1), "b", "kept"), (day(2), "a", "other"), (day(3), "c", "added"),
     ]
+    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 1000)
+    kept = tables._of_partitions(spark.table(table), spark.createDataFrame([(day(2),)], "dt date"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert rows(kept, "name") == [("other",)] and "PartitionFilters: [isnotnull(dt" in plan
     with pytest.raises(ValueError):
         tables.upsert(spark.createDataFrame(change, shape), table, ["task_id"])
 
