@@ -21,6 +21,8 @@ def build_session(app: str = "opdiag", cores: int | str = "*", **conf: str) -> S
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # building a column otherwise records the Python stack each time, over a second per query
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
