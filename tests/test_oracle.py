@@ -4,9 +4,9 @@ import pytest
 from compare import compare, duck
 from conftest import SMALL
 
-from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, ORACLE = queries(), oracle_sql()
+from __spark_entry__ import entry
+from opdiag.suite.oracle import SQL as ORACLE
+from opdiag.suite.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
