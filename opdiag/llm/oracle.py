@@ -1,3 +1,71 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
 
-SQL: dict[str, str] = {}
+Each statement is written from the definition in the operator's docstring, not from its steps.
+"""
+
+_WORDS = (
+    "regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"
+)
+
+
+def _shingles(name: str, table: str, key: str, short: bool) -> str:
+    """Common table expressions for the distinct shingles of a table's texts.
+
+    ``short`` gives texts of one to four words a shingle of all their words.
+    """
+    words = _WORDS.format(text="text")
+    least = "greatest(len(w) - 4, 1)" if short else "len(w) - 4"
+    return f"""
+    {name}_words AS (SELECT {key}, {words} AS w FROM {table}),
+    {name} AS (
+        SELECT DISTINCT {key}, array_to_string(list_slice(w, i, i + 4), ' ') AS shingle
+        FROM (SELECT {key}, w, unnest(range(1, {least} + 1)) AS i FROM {name}_words
+              WHERE len(w) > 0)
+    )"""
+
+
+OP7 = f"""
+WITH {_shingles("doc_shingles", "documents", "doc_id", False)},
+{_shingles("item_shingles", "benchmark", "item_id", False)},
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id),
+shared AS (
+    SELECT doc_id, item_id, count(*) AS n_shared
+    FROM doc_shingles JOIN item_shingles USING (shingle) GROUP BY doc_id, item_id
+)
+SELECT doc_id, item_id, n_shingles, n_shared
+FROM shared JOIN sizes USING (item_id) WHERE n_shared >= 0.8 * n_shingles
+"""
+
+OP10 = f"""
+WITH RECURSIVE {_shingles("sets", "documents", "doc_id", True)},
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_common
+    FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    GROUP BY x.doc_id, y.doc_id
+),
+links AS (
+    SELECT a, b, n_common = p.n AND n_common = q.n AS alike
+    FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE n_common >= 0.8 * (p.n + q.n - n_common)
+),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+),
+groups AS (SELECT a AS doc_id, min(b) AS group_id FROM reach GROUP BY a),
+counts AS (
+    SELECT a AS doc_id, count(*) AS n, min(CASE WHEN alike THEN b END) AS first_alike
+    FROM links GROUP BY a
+)
+SELECT d.doc_id, least(d.doc_id, coalesce(first_alike, d.doc_id)) AS class_id, group_id,
+       coalesce(n, 0) AS n_links
+FROM documents d LEFT JOIN groups USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op7_decontamination": OP7,
+    "op10_jaccard_join": OP10,
+}

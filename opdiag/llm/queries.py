@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opdiag.llm import byte_bpe, token_counts
+from opdiag.llm import byte_bpe, decontamination, jaccard_join, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -29,7 +29,21 @@ def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "encoded.*")
 
 
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contained_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(F.col("id").alias("doc_id"), "item_id", "n_shingles", "n_shared")
+
+
+def jaccard_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "group_id", "n_links")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts_query,
     "op2_byte_bpe": byte_bpe_query,
+    "op7_decontamination": decontamination_query,
+    "op10_jaccard_join": jaccard_join_query,
 }
