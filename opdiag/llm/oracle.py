@@ -65,7 +65,29 @@ SELECT d.doc_id, least(d.doc_id, coalesce(first_alike, d.doc_id)) AS class_id, g
 FROM documents d LEFT JOIN groups USING (doc_id) LEFT JOIN counts USING (doc_id)
 """
 
+OP8 = """
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+),
+digests AS (
+    SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes,
+           unhex(sha1(payload))::BIT::VARCHAR AS bits,
+           max(page_id) OVER (PARTITION BY payload) AS largest
+    FROM payloads
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + list_sum(list_transform(range(5), lambda j:
+               substr(bits, (5 * i + j + 1)::BIGINT, 1)::INTEGER * (1 << (4 - j)::INTEGER)))::BIGINT,
+           1)), '') AS payload_digest,
+       CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> largest THEN largest END AS refers_to
+FROM digests
+"""
+
 SQL: dict[str, str] = {
     "op7_decontamination": OP7,
+    "op8_warc": OP8,
     "op10_jaccard_join": OP10,
 }

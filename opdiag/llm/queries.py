@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opdiag.llm import byte_bpe, decontamination, jaccard_join, token_counts
+from opdiag.llm import byte_bpe, decontamination, jaccard_join, quality_rules, token_counts, warc
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -29,6 +29,13 @@ def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "encoded.*")
 
 
+def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judged(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+    return judged.withColumnRenamed("id", "doc_id")
+
+
 def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contained_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -41,9 +48,16 @@ def jaccard_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "class_id", "group_id", "n_links")
 
 
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts_query,
     "op2_byte_bpe": byte_bpe_query,
+    "op3_quality_rules": quality_rules_query,
     "op7_decontamination": decontamination_query,
+    "op8_warc": warc_query,
     "op10_jaccard_join": jaccard_join_query,
 }
