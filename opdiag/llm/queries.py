@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opdiag.llm import byte_bpe, decontamination, jaccard_join, quality_rules, token_counts, warc
+from opdiag.llm import byte_bpe, decontamination, jaccard_join, pii, quality_rules, token_counts, warc
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -36,6 +36,10 @@ def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumnRenamed("id", "doc_id")
 
 
+def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contained_items(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts_query,
     "op2_byte_bpe": byte_bpe_query,
     "op3_quality_rules": quality_rules_query,
+    "op5_pii": pii_query,
     "op7_decontamination": decontamination_query,
     "op8_warc": warc_query,
     "op10_jaccard_join": jaccard_join_query,

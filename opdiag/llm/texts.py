@@ -34,8 +34,9 @@ def _plain_table() -> np.ndarray:
 
 
 PLAIN = _plain_table()
-BLANK = np.ones(256, bool)
-BLANK[[9, 10, 11, 12, 13, 32]] = False
+#: Non-zero outside of ASCII white space.
+BLANK = np.maximum(np.arange(256), 1).astype(np.uint8)
+BLANK[[9, 10, 11, 12, 13, 32]] = 0
 
 
 def powers(base: np.uint64, count: int) -> np.ndarray:
@@ -105,38 +106,60 @@ def _power_tables(count: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def word_hashes(
-    raw: np.ndarray, offsets: np.ndarray, table: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of consecutive texts in one buffer: hash, text number, start and end in ``raw``.
+class Words:
+    """Words of consecutive texts in one buffer.
 
-    ``table`` maps a byte to its word byte, or to 0 outside of words.
+    ``hashes``, ``owner`` (number of the text), ``begin`` and ``end`` (places in the buffer) have
+    an entry per word. ``table`` maps a byte to its word byte, or to 0 outside of words.
     """
-    low, high = int(offsets[0]), int(offsets[-1])
-    code = table[raw[low:high]]
-    inside = code != 0
-    starts_of = offsets[:-1] - low
-    first = np.empty(len(code), bool)
-    if len(code):
-        first[0] = True
-        first[1:] = ~inside[:-1]
-        first[starts_of[starts_of < len(code)]] = True
-    first &= inside
-    last = np.empty(len(code), bool)
-    if len(code):
-        last[-1] = True
-        last[:-1] = ~inside[1:]
-        cuts = starts_of[(starts_of > 0) & (starts_of < len(code))] - 1
-        last[cuts] = True
-    last &= inside
-    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = _power_tables(len(code))
-    sums = np.empty(len(code) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((code.astype(np.uint64) + np.uint64(1)) * up[: len(code)], out=sums[1:])
-    hashes = mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
-    owner = np.searchsorted(starts_of, begin, side="right") - 1
-    return hashes, owner, begin + low, end + low
+
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, table: np.ndarray):
+        self.raw, self.low = raw, int(offsets[0])
+        code = table[raw[self.low : int(offsets[-1])]]
+        inside = code != 0
+        starts_of = offsets[:-1] - self.low
+        first, last = np.empty(len(code), bool), np.empty(len(code), bool)
+        if len(code):
+            first[0] = last[-1] = True
+            first[1:], last[:-1] = ~inside[:-1], ~inside[1:]
+            first[starts_of[starts_of < len(code)]] = True
+            last[starts_of[(starts_of > 0) & (starts_of < len(code))] - 1] = True
+        begin = np.flatnonzero(first & inside)
+        end = np.flatnonzero(last & inside) + 1
+        up, self._down = _power_tables(len(code))
+        self._sums = np.empty(len(code) + 1, np.uint64)
+        self._sums[0] = 0
+        np.cumsum((code.astype(np.uint64) + np.uint64(1)) * up[: len(code)], out=self._sums[1:])
+        self.begin, self.end = begin + self.low, end + self.low
+        self.owner = np.searchsorted(starts_of, begin, side="right") - 1
+        self.hashes = self.heads(None)
+
+    def heads(self, length: int | None) -> np.ndarray:
+        """Hashes of the first ``length`` bytes of every word, or of all of them."""
+        begin, end = self.begin - self.low, self.end - self.low
+        if length is not None:
+            end = np.minimum(end, begin + length)
+        total = (self._sums[end] - self._sums[begin]) * self._down[begin]
+        return mix(total + (end - begin).astype(np.uint64))
+
+
+def text_words(column: pa.Array, table: np.ndarray) -> Iterator[tuple[int, Words]]:
+    """Words of a text column in runs of texts, with the number of the first text of a run.
+
+    A text over ``PIECE`` bytes comes in several runs, cut between words.
+    """
+    raw, offsets = utf8(column)
+    for start, stop in text_groups(offsets):
+        low, high = int(offsets[start]), int(offsets[stop])
+        if stop - start > 1 or high - low <= PIECE:
+            yield start, Words(raw, offsets[start : stop + 1], table)
+            continue
+        while low < high:
+            end = min(low + PIECE, high)
+            while end < high and table[raw[end]]:
+                end += 1
+            yield start, Words(raw, np.array([low, end]), table)
+            low = end
 
 
 def text_groups(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, int]]:
@@ -149,18 +172,6 @@ def text_groups(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, i
         start = stop
 
 
-def _long_text_words(raw: np.ndarray, low: int, high: int, table: np.ndarray) -> np.ndarray:
-    found = []
-    start = low
-    while start < high:
-        end = min(start + PIECE, high)
-        while end < high and table[raw[end]]:
-            end += 1
-        found.append(word_hashes(raw, np.array([start, end]), table)[0])
-        start = end
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
-
-
 def shingle_hashes(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of five consecutive words of one text, and their text numbers."""
     size = SHINGLE_WORDS
@@ -186,10 +197,12 @@ def text_shingles(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarra
     for start, stop in text_groups(offsets):
         count = stop - start
         if count == 1 and offsets[stop] - offsets[start] > PIECE:
-            words = _long_text_words(raw, int(offsets[start]), int(offsets[stop]), PLAIN)
+            parts = text_words(column.slice(start, 1), PLAIN)
+            words = np.concatenate([part.hashes for _, part in parts])
             owner = np.zeros(len(words), np.int64)
         else:
-            words, owner, _, _ = word_hashes(raw, offsets[start : stop + 1], PLAIN)
+            found = Words(raw, offsets[start : stop + 1], PLAIN)
+            words, owner = found.hashes, found.owner
         totals = np.bincount(owner, minlength=count)
         hashes, at = shingle_hashes(words, owner)
         few = np.flatnonzero((totals > 0) & (totals < SHINGLE_WORDS))
