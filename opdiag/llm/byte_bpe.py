@@ -33,7 +33,8 @@ AT_ONCE = 1 << 16
 WORD = 8  # ranks are split into a word number and WORD bits within it
 MASK = (1 << WORD) - 1
 
-ENCODED = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
+DIGESTS = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
+ENCODED = "struct<ids:array<int>,n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
 
 
 LATIN = 0x180  # texts below this code point take the standard library's pattern engine
@@ -196,13 +197,18 @@ class Vocabulary:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
-    def digest(self, text: str | None) -> tuple[int, str, str]:
-        """Token count, SHA-256 of the packed ids, SHA-256 of what the ids decode to."""
+    def digest(self, text: str | None, kept: list[bytes] | None = None) -> tuple[int, str, str]:
+        """Token count, SHA-256 of the packed ids, SHA-256 of what the ids decode to.
+
+        The packed ids are added to ``kept``, if given.
+        """
         count, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
         for part in self.encode_packed(text or ""):
             of_ids.update(part)
             count += len(part) // 4
             of_text.update(self.decode(np.frombuffer(part, "<u4").tolist()))
+            if kept is not None:
+                kept.append(part)
         return count, of_ids.hexdigest(), of_text.hexdigest()
 
 
@@ -211,8 +217,8 @@ def _vocabulary(rank_file: bytes, pattern: str) -> Vocabulary:
     return Vocabulary(rank_file, pattern)
 
 
-def encoder(spark: SparkSession, path: str, pattern: str):
-    """Function from a text column to a column of ``ENCODED``.
+def encoder(spark: SparkSession, path: str, pattern: str, with_ids: bool = False):
+    """Function from a text column to a column of ``DIGESTS``, or ``ENCODED`` with the ids.
 
     ``path`` is a rank file that the driver reads; its content, a fixed vocabulary, is broadcast.
     A null text is encoded like an empty one: no tokens, digests of no bytes.
@@ -220,33 +226,22 @@ def encoder(spark: SparkSession, path: str, pattern: str):
     with open(path, "rb") as file:
         shared = ship(spark).sparkContext.broadcast(file.read())
 
-    @F.arrow_udf(ENCODED)
+    @F.arrow_udf(ENCODED if with_ids else DIGESTS)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(shared.value, pattern)
         for batch in batches:
-            rows = [vocabulary.digest(text.as_py()) for text in batch]
+            kept = [] if with_ids else None
+            rows = [vocabulary.digest(text.as_py(), kept) for text in batch]
             counts, ids, decoded = zip(*rows) if rows else ((), (), ())
-            yield pa.StructArray.from_arrays(
-                [pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
-                 pa.array(decoded, pa.string())],
-                ["n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return encode
-
-
-def token_ids(spark: SparkSession, path: str, pattern: str):
-    """Function from a text column to its ids, for training files."""
-    with open(path, "rb") as file:
-        shared = ship(spark).sparkContext.broadcast(file.read())
-
-    @F.arrow_udf("array<int>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        vocabulary = _vocabulary(shared.value, pattern)
-        for batch in batches:
-            yield pa.array(
-                [vocabulary.encode(text.as_py() or "") for text in batch], pa.list_(pa.int32())
-            )
+            columns = [pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
+                       pa.array(decoded, pa.string())]
+            names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+                values = np.frombuffer(b"".join(kept), "<i4")
+                columns.insert(0, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
+                names.insert(0, "ids")
+            yield pa.StructArray.from_arrays(columns, names)
 
     return encode
 

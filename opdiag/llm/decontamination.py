@@ -146,3 +146,14 @@ def _sketches(item_shingles: DataFrame, sizes: DataFrame, threshold: float) -> D
 def _listed(item_shingles: DataFrame) -> DataFrame:
     """One row per item with its shingles; an item is one text, so the list is bounded by it."""
     return item_shingles.groupBy("item").agg(F.collect_list("shingle").alias("shingles"))
+
+
+def without_items(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """``docs`` without the rows whose text contains an item; see ``contained_items``."""
+    path = scratch_path(docs.sparkSession, "contaminated")
+    contained_items(docs, items, **options).select(
+        F.col("text_hash").alias("__item_hash")
+    ).distinct().write.parquet(path)
+    found = docs.sparkSession.read.parquet(path)
+    text_col = options.get("text_col", "text")
+    return docs.join(found, F.xxhash64(F.col(text_col)) == F.col("__item_hash"), "left_anti")

@@ -456,23 +456,13 @@ def _exact_links(members: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def similar_documents(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    threshold: float = THRESHOLD,
-    miss: float = MISS,
-) -> DataFrame:
-    """One row per input row: ``id, class_id, group_id, n_links``.
+def _resolved(
+    docs: DataFrame, id_col: str, text_col: str, threshold: float, miss: float
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with words and what became of them, and rows without words.
 
-    ``class_id`` is the least id among the texts with the same shingles, ``group_id`` the least id
-    among all texts that links at the threshold connect, directly or over others. ``n_links``
-    counts the other rows whose shingles have a Jaccard similarity of at least the threshold, rows
-    with the same shingles included. Shingles are five consecutive words; words are runs of ASCII
-    letters, digits and non-ASCII characters, ASCII letters in lower case. A text of one to four
-    words has one shingle of all its words. A text without words, a null one too, is in a class of
-    its own row and has no links. Rows may repeat ids or have none: null ids come last among the
-    members of a class, and a class or group that has no other id has a null one.
+    The first frame has ``id, text_hash, class_id, group_id, group_hash, n_links``; ``group_hash``
+    is the text hash of the group's first row, the one with the least id.
     """
     spark = ship(docs.sparkSession)
     shared_dir(spark)
@@ -518,19 +508,72 @@ def similar_documents(
         .join(linked, "set_id", "left")
         .withColumn("root", F.coalesce("root", "set_id"))
     )
-    heads = of_class.groupBy("root").agg(F.min("id").alias("group_id"))
+    heads = of_class.groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("head")
+    )
     of_class = _saved(
         join_lookup(of_class, heads, ["root"]).select(
-            "high", "low", F.col("id").alias("class_id"), "group_id",
+            "high", "low", F.col("id").alias("class_id"), F.col("head.id").alias("group_id"),
+            F.col("head.text_hash").alias("group_hash"),
             (F.coalesce("linked", F.lit(0)) + F.col("shares") - 1).alias("n_links"),
         ),
         "classes",
     )
-    with_words = join_lookup(named.select("id", "high", "low"), of_class, ["high", "low"]).select(
-        "id", "class_id", "group_id", "n_links"
-    )
-    without = rows.filter("high is null").select(
+    narrow = named.select("id", "text_hash", "high", "low")
+    return join_lookup(narrow, of_class, ["high", "low"]), rows.filter("high is null")
+
+
+def similar_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    miss: float = MISS,
+) -> DataFrame:
+    """One row per input row: ``id, class_id, group_id, n_links``.
+
+    ``class_id`` is the least id among the texts with the same shingles, ``group_id`` the least id
+    among all texts that links at the threshold connect, directly or over others. ``n_links``
+    counts the other rows whose shingles have a Jaccard similarity of at least the threshold, rows
+    with the same shingles included. Shingles are five consecutive words; words are runs of ASCII
+    letters, digits and non-ASCII characters, ASCII letters in lower case. A text of one to four
+    words has one shingle of all its words. A text without words, a null one too, is in a class of
+    its own row and has no links. Rows may repeat ids or have none: null ids come last among the
+    members of a class, and a class or group that has no other id has a null one.
+    """
+    with_words, without = _resolved(docs, id_col, text_col, threshold, miss)
+    columns = ["id", "class_id", "group_id", "n_links"]
+    return with_words.select(*columns).union(without.select(
         "id", F.col("id").alias("class_id"), F.col("id").alias("group_id"),
         F.lit(0).cast("long").alias("n_links"),
+    ))
+
+
+def one_per_group(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    miss: float = MISS,
+) -> DataFrame:
+    """``docs`` with the row of the least id of every group; rows without words all stay.
+
+    Only the rows that go are joined with the documents. Of rows that repeat both the id and the
+    text one stays.
+    """
+    with_words, _ = _resolved(docs, id_col, text_col, threshold, miss)
+    stays = F.col("id").eqNullSafe(F.col("group_id")) & (F.col("text_hash") == F.col("group_hash"))
+    decided = _saved(
+        with_words.select("id", "text_hash", stays.alias("stays"))
+        .groupBy("id", "text_hash").agg(F.first("stays").alias("stays"), F.count(F.lit(1)).alias("n"))
+        .filter("not stays or n > 1")
+        .select(F.col("id").alias("__near_id"), F.col("text_hash").alias("__near_hash"),
+                F.col("stays").alias("__near_stays")),
+        "decided",
     )
-    return with_words.union(without)
+    text_hash = F.xxhash64(F.col(text_col))
+    same = (text_hash == F.col("__near_hash")) & F.col(id_col).cast("long").eqNullSafe(F.col("__near_id"))
+    joined = docs.join(decided, same, "left")
+    single = joined.filter("__near_stays is null")
+    repeated = joined.filter("__near_stays").dropDuplicates(["__near_id", "__near_hash"])
+    return single.select(*docs.columns).union(repeated.select(*docs.columns))
