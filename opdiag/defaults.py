@@ -33,7 +33,9 @@ class Fixed:
 
 
 class Ours:
-    HISTORY_DAYS = 14
+    HISTORY_RUNS = 14
+    # How far back these runs are looked for when a range of days is judged; covers monthly tasks.
+    HISTORY_DAYS = 450
     END_SHIFT_SECONDS = 30 * 60
     DURATION_HIGH = 2.0
     DURATION_LOW = 0.5

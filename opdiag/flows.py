@@ -48,12 +48,17 @@ def lineage_day(
     task_table: str,
     resolve: str = "strict",
 ) -> None:
-    """Writes the six lineage relations and upserts the tasks upstream of a process."""
+    """Writes the six lineage relations and upserts the tasks upstream of a process.
+
+    The relations have every edge as defined, also of sub-process tasks and to tasks that do not
+    exist; which ends exist is decided where they are loaded, as for the closure here.
+    """
     released = lineage.released_definitions(definitions, projects, day)
     # both are read several times below, so they are written once
     tasks, _ = cut(lineage.workflow_tasks(released))
     edges, _ = cut(lineage.lineage_edges(released, resolve))
-    relations.write_relations(relations.lineage_relations(released, tasks, edges), folder)
+    raw = lineage.edge_dedupe(lineage.all_edges(released, "raw"))
+    relations.write_relations(relations.lineage_relations(released, tasks, raw), folder)
     found = closure.upstream_closure(
         tasks.where(F.col("task_type") == lineage.SHELL), released, edges, start_process, day
     ).withColumn("insert_time", F.current_timestamp().cast("timestamp_ntz"))

@@ -21,9 +21,9 @@ from opdiag.functions.times import parsed, years_before
 _FILE = ["path", "username", "groupname", "filesize", "accesstime", "modificationtime"]
 
 
-def _accessed_files(flat: DataFrame) -> DataFrame:
+def _accessed_files(flat: DataFrame, never_accessed: str) -> DataFrame:
     """Non-empty warehouse files with a real access time."""
-    never = F.lit(Fixed.NEVER_ACCESSED).cast("timestamp_ntz")
+    never = F.lit(never_accessed).cast("timestamp_ntz")
     accessed = F.col("accesstime").isNotNull() & ~parsed(F.col("accesstime")).eqNullSafe(never)
     return flat.where(in_warehouse(F.col("p3")) & accessed & (F.col("filesize") > 0))
 
@@ -34,12 +34,18 @@ def _either_time(test) -> Column:
 
 
 def stale_warehouse_files(
-    flat: DataFrame, as_of: str | dt.date, years: int = Fixed.STALE_YEARS
+    flat: DataFrame,
+    as_of: str | dt.date,
+    years: int = Fixed.STALE_YEARS,
+    never_accessed: str = Fixed.NEVER_ACCESSED,
 ) -> DataFrame:
-    """Warehouse files last accessed or last modified more than ``years`` years ago, sorted."""
+    """Warehouse files last accessed or last modified more than ``years`` years ago, sorted.
+
+    ``never_accessed`` is how the listing's time zone prints the time of a file never read.
+    """
     limit = years_before(as_date(as_of), years).cast("timestamp_ntz")
     return (
-        _accessed_files(flat)
+        _accessed_files(flat, never_accessed)
         .where(_either_time(lambda time: time < limit))
         .select(
             *_FILE,
@@ -57,6 +63,7 @@ def old_partition_touched(
     as_of: str | dt.date,
     years: int = Fixed.STALE_YEARS,
     days: int = Fixed.TOUCHED_DAYS,
+    never_accessed: str = Fixed.NEVER_ACCESSED,
 ) -> DataFrame:
     """Files of partitions dated over ``years`` years ago that were used in the last ``days`` days.
 
@@ -65,7 +72,7 @@ def old_partition_touched(
     today = as_date(as_of)
     recent = F.date_sub(today, days).cast("timestamp_ntz")
     return (
-        _accessed_files(flat)
+        _accessed_files(flat, never_accessed)
         .where(partition_value(F.col("p6"), "2") != "")
         .where(_either_time(lambda time: time > recent))
         .select(

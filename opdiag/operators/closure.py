@@ -8,16 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opdiag.defaults import Fixed
-from opdiag.operators.sized import cut, if_few
+from opdiag.operators.sized import cut
 
 
 def reachable(edges: DataFrame, starts: DataFrame, max_hops: int = Fixed.MAX_HOPS) -> DataFrame:
     """Nodes (``kind``, ``id``, ``hop``) first reached in 1 to ``max_hops`` directed hops.
 
     ``starts`` holds distinct ``kind``, ``id`` rows. Each round joins only the newest nodes with
-    the edges and drops those seen before. Rounds are cut by a reliable checkpoint, so the plan
+    the edges and drops those seen before. Rounds are written to the shared folder, so the plan
     stays short and a lost executor costs no earlier round; the driver only learns how many nodes
-    a round found, which also tells whether they may be broadcast.
+    a round found.
     """
     links, _ = cut(
         edges.select(
@@ -25,19 +25,18 @@ def reachable(edges: DataFrame, starts: DataFrame, max_hops: int = Fixed.MAX_HOP
         )
     )
     newest, found = cut(starts.select("kind", "id", F.lit(0).alias("hop")))
-    total, rounds = found, [newest]
+    rounds = [newest]
     for hop in range(1, max_hops + 1):
         seen = reduce(DataFrame.unionByName, rounds).select("kind", "id")
         newest, found = cut(
-            links.join(if_few(newest.select("kind", "id"), found), ["kind", "id"], "left_semi")
+            links.join(newest.select("kind", "id"), ["kind", "id"], "left_semi")
             .select(F.col("dst_kind").alias("kind"), F.col("dst_id").alias("id"))
             .distinct()
-            .join(if_few(seen, total), ["kind", "id"], "left_anti")
+            .join(seen, ["kind", "id"], "left_anti")
             .withColumn("hop", F.lit(hop))
         )
         if found == 0:
             break
-        total += found
         rounds.append(newest)
     return reduce(DataFrame.unionByName, rounds).where(F.col("hop") > 0)
 

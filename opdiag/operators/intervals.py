@@ -40,14 +40,17 @@ def merged(intervals: DataFrame, keys: Sequence[str], slot_ms: int = SLOT_MS) ->
 def idle_time(spans: DataFrame, intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per span the time no interval of the same key covers, head and tail included.
 
-    ``spans`` has one ``span_start``, ``span_end`` row per key; parts outside it do not count.
+    ``spans`` has ``span_start``, ``span_end`` rows; parts outside of a span do not count. A span
+    listed twice is one span; a key may have several, such as the attempts of a stage.
     """
     keys = list(keys)
+    span = [*keys, "span_start", "span_end"]
+    spans = spans.select(*span).distinct()
     pieces = merged(intervals, keys).join(spans, keys)
     inside = F.least("end_ms", "span_end") - F.greatest("start_ms", "span_start")
-    covered = pieces.groupBy(*keys).agg(F.sum(F.greatest(inside, F.lit(0))).alias("covered_ms"))
+    covered = pieces.groupBy(*span).agg(F.sum(F.greatest(inside, F.lit(0))).alias("covered_ms"))
     total = F.col("span_end") - F.col("span_start")
-    return spans.join(covered, keys, "left").select(
+    return spans.join(covered, span, "left").select(
         *keys,
         total.alias("total_ms"),
         (total - F.coalesce("covered_ms", F.lit(0))).alias("idle_ms"),

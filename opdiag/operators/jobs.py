@@ -14,7 +14,7 @@ from opdiag.defaults import Ours
 from opdiag.functions.numbers import ratio
 from opdiag.operators.intervals import idle_time
 from opdiag.operators.medians import group_median
-from opdiag.operators.sized import cut, if_few, join_lookup
+from opdiag.operators.sized import cut, join_lookup
 
 APP = ("app_id",)
 STAGE = ("app_id", "stage_id")
@@ -51,14 +51,17 @@ def task_tail(
 
 
 def hdfs_stall(tasks: DataFrame, threshold: float = Ours.STALL_SHARE) -> DataFrame:
-    """Tasks that read far more slowly, in bytes per second, than the median of their stage."""
+    """Tasks that read far more slowly, in bytes per second, than the median of their stage.
+
+    Tasks that read nothing, or whose input is not known, are no readers and do not count.
+    """
     rate = F.floor(F.try_divide(F.col("input_bytes") * 1000, F.col("duration_ms"))).cast("bigint")
-    rated = tasks.withColumn("rate", rate)
-    medians, stages = cut(
+    rated = tasks.where(F.col("input_bytes") > 0).withColumn("rate", rate)
+    medians, _ = cut(
         group_median(rated, STAGE, "rate").select(*STAGE, F.col("median").alias("median_rate"))
     )
     return (
-        join_lookup(rated, if_few(medians, stages), STAGE)
+        join_lookup(rated, medians, STAGE)
         .where(F.col("rate") < threshold * F.col("median_rate"))
         .select(*STAGE, "launch_ms", "duration_ms", "input_bytes", "rate", "median_rate")
     )
@@ -246,6 +249,11 @@ def sql_failures(tasks: DataFrame, pattern: str = Ours.SQL_FAILURE) -> DataFrame
     return failures(tasks, pattern)
 
 
+def unit_failures(failed: DataFrame, pattern: str) -> DataFrame:
+    """Jobs, SQL executions and executors (``APP_FAILURE``) whose reason matches."""
+    return failed.where(F.col("failure_reason").rlike(pattern))
+
+
 def shuffle_failures(tasks: DataFrame, pattern: str = Ours.SHUFFLE_FAILURE) -> DataFrame:
     return failures(tasks, pattern)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opdiag.defaults import Fixed
-from opdiag.operators.sized import join_lookup
+from opdiag.operators.sized import cut, join_lookup
 from opdiag.schemas import DEFINITION_JSON
 
 EDGE = ["src_kind", "src_id", "dst_kind", "dst_id", "label"]
@@ -41,6 +41,12 @@ def _task_id(process_id: Column, task_name: Column) -> Column:
     return F.concat(process_id.cast("string"), F.lit("-"), task_name)
 
 
+def rejected_definitions(definitions: DataFrame) -> DataFrame:
+    """Released definitions whose JSON has no readable list of tasks."""
+    document = F.from_json("process_definition_json", DEFINITION_JSON)
+    return definitions.where(document["tasks"].isNull()).select(*_PROCESS, "process_definition_json")
+
+
 def _defined_tasks(definitions: DataFrame) -> DataFrame:
     """Every task of every definition; of equally named ones the last counts.
 
@@ -81,19 +87,19 @@ def workflow_tasks(definitions: DataFrame) -> DataFrame:
     return _with_id(_defined_tasks(definitions)).select(*_PROCESS, "task_id", "task_name", "task_type")
 
 
-def _dependencies(definitions: DataFrame) -> DataFrame:
+def _dependencies(defined: DataFrame) -> DataFrame:
     """One row per dependency of a task, resolved through the preceding task's definition.
 
     A preceding task with a dependence list stands for the listed tasks of other workflows;
     otherwise the preceding task itself is meant.
     """
-    defined = _defined_tasks(definitions)
     wanted = _with_id(defined).withColumn("pre_name", F.explode("pre_tasks"))
     listed = F.flatten(F.transform("depends", lambda item: item["dependItemList"]))
     lookup = defined.select(
         "process_id",
         F.col("task_name").alias("pre_name"),
-        F.coalesce(F.size("depends") > 0, F.lit(False)).alias("external"),
+        # an object with an empty list is a dependence, on nothing
+        F.col("depends").isNotNull().alias("external"),
         listed.alias("items"),
         (F.col("task_type") == SUB_PROCESS).alias("pre_is_sub"),
         F.col("sub_process_id").alias("pre_sub_id"),
@@ -132,18 +138,20 @@ def task_lineage_rows(definitions: DataFrame, dt: str) -> DataFrame:
 
     A dependency on a whole workflow has no ``pre_task_id``.
     """
+    # read three times below: the JSON is parsed once and the tasks are written down
+    defined, _ = cut(_defined_tasks(definitions))
     item = F.col("item")
     other = item["projectId"].isNotNull()
     pre_process = F.when(other, item["definitionId"]).otherwise(F.col("process_id"))
     whole = other & (item["depTasks"] == "ALL")
-    dependent = _dependencies(definitions).select(
+    dependent = _dependencies(defined).select(
         *_PROCESS, "task_id", "task_name",
         F.when(other, item["projectId"]).otherwise(F.col("project_id")).alias("pre_project_id"),
         pre_process.alias("pre_process_id"),
         F.when(~whole, _task_id(pre_process, item["depTasks"])).alias("pre_task_id"),
         item["depTasks"].alias("pre_task_name"),
     )
-    tasks = _with_id(_defined_tasks(definitions))
+    tasks = _with_id(defined)
     contained = F.struct(
         F.col("process_id").cast("string").alias("task_id"),
         F.col("process_name").alias("task_name"),
@@ -176,28 +184,40 @@ def _edge(src_kind, src_id, dst_kind, dst_id, label: str) -> Column:
     return F.struct(*[part.cast("string").alias(name) for part, name in zip(parts, EDGE)])
 
 
-def lineage_nodes(definitions: DataFrame) -> DataFrame:
+def lineage_nodes(definitions: DataFrame, defined: DataFrame | None = None) -> DataFrame:
     """Node kinds and ids: every process and every shell task."""
-    tasks = _with_id(_defined_tasks(definitions)).where(F.col("task_type") == SHELL)
+    defined = _defined_tasks(definitions) if defined is None else defined
+    tasks = _with_id(defined).where(F.col("task_type") == SHELL)
     return definitions.select(
         F.lit("process").alias("kind"), F.col("process_id").cast("string").alias("id")
     ).unionByName(tasks.select(F.lit("task").alias("kind"), F.col("task_id").alias("id")))
 
 
 def all_edges(definitions: DataFrame, resolve: str = "strict") -> DataFrame:
-    """Contains and depends-on edges as defined, whether or not their ends exist."""
-    if resolve not in ("strict", "extended"):
-        raise ValueError(f"resolve must be strict or extended, not {resolve!r}")
+    """Contains and depends-on edges as defined, whether or not their ends exist.
+
+    ``raw`` names a sub-process task like any other and adds the edge from its process to the
+    sub-process; ``strict`` leaves that edge out; ``extended`` puts the sub-process in its place.
+    """
+    return _edges_of(cut(_defined_tasks(definitions))[0], resolve)
+
+
+def _edges_of(defined: DataFrame, resolve: str) -> DataFrame:
+    if resolve not in ("raw", "strict", "extended"):
+        raise ValueError(f"resolve must be raw, strict or extended, not {resolve!r}")
     process, task = F.lit("process"), F.lit("task")
     extended = F.lit(resolve == "extended")
     is_sub = F.col("task_type") == SUB_PROCESS
     own_kind = F.when(is_sub & extended, process).otherwise(task)
 
-    tasks = _with_id(_defined_tasks(definitions))
+    tasks = _with_id(defined)
     contains = _edge(process, F.col("process_id"), own_kind, F.col("task_id"), Fixed.CONTAINS)
     to_sub = _edge(process, F.col("process_id"), process, F.col("sub_process_id"), Fixed.DEPENDS)
     within = tasks.select(
-        F.explode(F.when(is_sub & extended, F.array(contains, to_sub)).otherwise(F.array(contains)))
+        F.explode(
+            F.when(is_sub & F.lit(resolve != "strict"), F.array(contains, to_sub))
+            .otherwise(F.array(contains))
+        )
         .alias("e")
     )
 
@@ -212,7 +232,7 @@ def all_edges(definitions: DataFrame, resolve: str = "strict") -> DataFrame:
         .when(to_pre_sub, F.col("pre_sub_id").cast("string"))
         .otherwise(_task_id(pre_process, item["depTasks"]))
     )
-    depends = _dependencies(definitions).select(
+    depends = _dependencies(defined).select(
         _edge(own_kind, F.col("task_id"), dst_kind, dst_id, Fixed.DEPENDS).alias("e")
     )
 
@@ -225,8 +245,9 @@ def lineage_edges(definitions: DataFrame, resolve: str = "strict") -> DataFrame:
     ``strict`` knows process and shell-task nodes, so edges of sub-process tasks vanish.
     ``extended`` lets a sub-process task stand for its process, in both directions.
     """
-    nodes = lineage_nodes(definitions)
-    edges = edge_dedupe(all_edges(definitions, resolve))
+    defined, _ = cut(_defined_tasks(definitions))
+    nodes = lineage_nodes(definitions, defined)
+    edges = edge_dedupe(_edges_of(defined, resolve))
     for end in ("src", "dst"):
         known = nodes.select(F.col("kind").alias(f"{end}_kind"), F.col("id").alias(f"{end}_id"))
         edges = edges.join(known, [f"{end}_kind", f"{end}_id"], "left_semi")

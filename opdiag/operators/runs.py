@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opdiag.defaults import Fixed, Ours
 from opdiag.functions.classes import as_date
 from opdiag.functions.numbers import ratio, round_half_up
-from opdiag.functions.times import second_of_day, seconds_between
-from opdiag.operators.medians import weighted_median
+from opdiag.functions.times import seconds_between
 from opdiag.operators.sized import join_lookup
 
 _NAMES = ["project_name", "process_name", "task_name"]
@@ -161,34 +160,91 @@ def long_running(runs: DataFrame, seconds: int = Fixed.LONG_RUN_SECONDS) -> Data
     )
 
 
-def _baseline(runs: DataFrame, value: str, days: int) -> DataFrame:
-    """Median of ``value`` per task over the ``days`` days before each day.
+_TASK = ["process_id", "task_name"]
 
-    Runs are first counted per task, day and second, then each count is copied to the days whose
-    history it belongs to: what is copied and ranked is bounded by the seconds that occur, not by
-    the number of runs.
+
+def _numbered(rows: DataFrame, value: str) -> DataFrame:
+    return rows.select(
+        *_TASK, F.date_trunc("hour", "start_time").alias("_hour"), "start_time", "attempt_id", value
+    )
+
+
+def _baseline(runs: DataFrame, value: str, count: int) -> DataFrame:
+    """Per run the median of ``value`` over the ``count`` runs of the task before it, as ``usual``.
+
+    Runs are ordered within their task and hour, so a task with a third of all runs is spread over
+    its hours. What an hour needs from earlier ones, its last runs, is carried over: hours are
+    chained by a window that has one short row per hour.
     """
-    daily = runs.groupBy(*_INSTANCE, value).agg(F.count(F.lit(1)).alias("runs"))
-    ahead = F.sequence(F.date_add("dt", 1), F.date_add("dt", days))
-    history = (
-        daily.withColumn("dt", F.explode(ahead))
-        .groupBy(*_INSTANCE, value)
-        .agg(F.sum("runs").alias("runs"))
+    rows = _numbered(runs, value)
+    order = ["start_time", "attempt_id"]
+    hour = Window.partitionBy(*_TASK, "_hour")
+    last = (
+        rows.withColumn("_back", F.row_number().over(hour.orderBy(*[F.desc(c) for c in order])))
+        .where(F.col("_back") <= count)
+        .groupBy(*_TASK, "_hour")
+        .agg(F.sort_array(F.collect_list(F.struct(*order, value))).alias("_last"))
     )
-    return weighted_median(history, _INSTANCE, value, "runs", "usual")
+    # every hour in the table has a run, so ``count`` hours hold ``count`` runs
+    chain = Window.partitionBy(*_TASK).orderBy("_hour").rowsBetween(-count, -1)
+    carried = last.select(*_TASK, "_hour", F.flatten(F.collect_list("_last").over(chain)).alias("_c"))
+    carried = carried.select(
+        *_TASK, "_hour", F.explode(F.slice("_c", F.greatest(F.size("_c") - count, F.lit(0)) + 1, count))
+        .alias("_c"),
+    ).select(*_TASK, "_hour", "_c.*", F.lit(False).alias("_own"))
+    before = hour.orderBy("_own", *order).rowsBetween(-count, -1)
+    return (
+        rows.withColumn("_own", F.lit(True)).unionByName(carried)
+        .withColumn("_values", F.sort_array(F.collect_list(value).over(before)))
+        .where("_own and size(_values) > 0")
+        .withColumn("usual", _middle_of(F.col("_values")))
+        .select(*_TASK, "attempt_id", "start_time", "usual")
+    )
+
+
+def _middle_of(values: Column) -> Column:
+    """Median of a sorted array."""
+    low = F.floor((F.size(values) - 1) / 2).cast("int")
+    high = F.floor(F.size(values) / 2).cast("int")
+    return F.get(values, low) / 2 + F.get(values, high) / 2
+
+
+def _judged(
+    runs: DataFrame, since: str | None, until: str | None, history_days: int | None
+) -> tuple[DataFrame, Column]:
+    """Successful runs that matter for a range of days, and which of them are in the range."""
+    day, wanted = F.col("dt"), F.lit(True)
+    good = runs.where(F.col("state") == "SUCCESS")
+    if until is not None:
+        good, wanted = good.where(day <= as_date(until)), wanted & (day <= as_date(until))
+    if since is not None:
+        wanted = wanted & (day >= as_date(since))
+        if history_days is not None:
+            good = good.where(day >= F.date_sub(as_date(since), history_days))
+    return good, wanted
 
 
 def duration_anomalies(
     runs: DataFrame,
-    days: int = Ours.HISTORY_DAYS,
+    count: int = Ours.HISTORY_RUNS,
     high: float = Ours.DURATION_HIGH,
     low: float = Ours.DURATION_LOW,
+    since: str | None = None,
+    until: str | None = None,
+    history_days: int | None = Ours.HISTORY_DAYS,
 ) -> DataFrame:
-    """Successful runs far longer or shorter than the task's median of the preceding days."""
-    good = runs.where(F.col("state") == "SUCCESS")
+    """Successful runs far longer or shorter than the median of the task's preceding runs.
+
+    Days from ``since`` to ``until`` are judged, by default all; then only they and
+    ``history_days`` before them are read.
+    """
+    good, wanted = _judged(runs, since, until, history_days)
     took, usual = F.col("duration_s"), F.col("usual")
     return (
-        join_lookup(good, _baseline(good, "duration_s", days), _INSTANCE)
+        join_lookup(
+            good.where(wanted), _baseline(good, "duration_s", count),
+            [*_TASK, "attempt_id", "start_time"],
+        )
         .where((took > high * usual) | (took < low * usual))
         .select(
             *_INSTANCE, "attempt_id", "duration_s", "usual",
@@ -198,14 +254,27 @@ def duration_anomalies(
 
 
 def end_time_anomalies(
-    runs: DataFrame, days: int = Ours.HISTORY_DAYS, seconds: int = Ours.END_SHIFT_SECONDS
+    runs: DataFrame,
+    count: int = Ours.HISTORY_RUNS,
+    seconds: int = Ours.END_SHIFT_SECONDS,
+    since: str | None = None,
+    until: str | None = None,
+    history_days: int | None = Ours.HISTORY_DAYS,
 ) -> DataFrame:
-    """Successful runs that end far from the time of day at which the task usually ends."""
-    ended = F.timestamp_add("SECOND", F.col("duration_s"), F.col("start_time"))
-    good = runs.where(F.col("state") == "SUCCESS").withColumn("end_second", second_of_day(ended).cast("bigint"))
+    """Successful runs that end far from the time at which the task's preceding runs ended.
+
+    An end is measured from the midnight of the run's own day, so that a run over midnight ends
+    after 86,400 seconds. Ranges of days work as for ``duration_anomalies``.
+    """
+    good, wanted = _judged(runs, since, until, history_days)
+    begun = F.timestamp_diff("SECOND", F.col("dt").cast("timestamp_ntz"), F.col("start_time"))
+    good = good.withColumn("end_second", (begun + F.col("duration_s")).cast("bigint"))
     shift = F.col("end_second") - F.col("usual")
     return (
-        join_lookup(good, _baseline(good, "end_second", days), _INSTANCE)
+        join_lookup(
+            good.where(wanted), _baseline(good, "end_second", count),
+            [*_TASK, "attempt_id", "start_time"],
+        )
         .where(F.abs(shift) > seconds)
         .select(
             *_INSTANCE, "attempt_id", "end_second", "usual",

@@ -1,4 +1,4 @@
-"""Joins against intermediate results: counted ones that may be broadcast, and skewed lookups."""
+"""Intermediate results: frames that are written down, and skewed lookups."""
 
 from __future__ import annotations
 
@@ -7,22 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from opdiag.session import shared_dir
-
-BROADCAST_ROWS = 100_000
-
+from opdiag.session import scratch_path
 
 def cut(frame: DataFrame) -> tuple[DataFrame, int]:
-    """Writes a frame to the checkpoint folder and counts its rows on the way."""
-    shared_dir(frame.sparkSession)
-    observed = Observation()
-    saved = frame.observe(observed, F.count(F.lit(1)).alias("rows")).checkpoint()
-    return saved, observed.get["rows"]
+    """Writes a frame to the shared folder, reads it back, and counts its rows on the way.
 
-
-def if_few(frame: DataFrame, rows: int) -> DataFrame:
-    """Broadcasts a counted frame when its rows are few; else the join is left to the optimizer."""
-    return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
+    The files tell the optimizer the frame's size in bytes, so that it broadcasts it in a join
+    exactly where its own limit allows.
+    """
+    spark = frame.sparkSession
+    observed, path = Observation(), scratch_path(spark, "cut")
+    frame.observe(observed, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path), observed.get["rows"]
 
 
 def join_lookup(

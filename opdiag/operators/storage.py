@@ -12,7 +12,7 @@ from opdiag.defaults import GIB, MIB, TIB, Fixed
 from opdiag.functions.classes import ACCESS_CLASSES, SIZE_CLASSES, access_class, as_date, size_class
 from opdiag.functions.numbers import share
 from opdiag.functions.paths import DEPTH, in_warehouse, path_parts, path_prefixes
-from opdiag.schemas import FSIMAGE_KEY
+from opdiag.schemas import FSIMAGE_FILE
 
 FLAT_COLUMNS = [
     "path", *[f"p{k}" for k in range(1, DEPTH + 1)], "blockscount", "filesize_total",
@@ -30,7 +30,7 @@ def flatten_listing(listing: DataFrame, partition_key: str) -> DataFrame:
     snapshot = listing.where(
         (F.col("partition_key") == partition_key) & (F.col("path") != Fixed.HEADER_PATH)
     )
-    records = snapshot.groupBy(*FSIMAGE_KEY).agg(F.sum("filesize").alias("plain_size"))
+    records = snapshot.groupBy(*FSIMAGE_FILE.names).agg(F.sum("filesize").alias("plain_size"))
     replication = F.col("replication")
     unusable = replication.isNull() | replication.isin(0, Fixed.UNREPLICATED)
     return records.withColumn("_parts", path_parts(F.col("path"))).select(

@@ -29,12 +29,6 @@ FSIMAGE_FILE = _struct(
     path=_S, replication=_I, modificationtime=_S, accesstime=_S, preferredblocksize=_L,
     blockscount=_I, filesize=_L, nsquota=_L, dsquota=_L, permission=_S, username=_S, groupname=_S,
 )
-# The order in which the twelve attributes identify a record.
-FSIMAGE_KEY = [
-    "path", "blockscount", "accesstime", "filesize", "replication", "modificationtime",
-    "preferredblocksize", "nsquota", "dsquota", "permission", "username", "groupname",
-]
-
 PROJECT = _struct(id=_L, name=_S)
 PROCESS_DEFINITION = _struct(
     id=_L, name=_S, project_id=_L, release_state=_I, update_time=_S, process_definition_json=_S,
@@ -89,7 +83,11 @@ JOB_TASK = _struct(
     peak_memory=_L, allocated_memory=_L, failure_reason=_S,
 )
 MR_TASK_ATTEMPT = JOB_TASK
-APP_STAGE = _struct(app_id=_S, job_id=_I, execution_id=_L, stage_id=_I, submit_ms=_L, end_ms=_L)
+APP_STAGE = _struct(
+    app_id=_S, job_id=_I, execution_id=_L, stage_id=_I, stage_attempt=_I, submit_ms=_L, end_ms=_L,
+)
+# ``unit`` names what failed: a job, an SQL execution or an executor.
+APP_FAILURE = _struct(app_id=_S, unit=_S, end_ms=_L, failure_reason=_S)
 APP_JOB = _struct(app_id=_S, job_id=_I, execution_id=_L, submit_ms=_L, end_ms=_L)
 APP_PLAN = _struct(app_id=_S, execution_id=_L, plan=_S)
 APP_EXECUTOR = _struct(app_id=_S, executor_id=_S, cores=_I, start_ms=_L, end_ms=_L)

@@ -68,28 +68,14 @@ def append(rows: DataFrame, table: str, schema: StructType) -> None:
     shaped.write.mode("append").format("parquet").saveAsTable(table)
 
 
-MAX_LISTED_PARTITIONS = 1000
-
-
 def _of_partitions(current: DataFrame, touched: DataFrame) -> DataFrame:
-    """Rows of the touched partitions.
+    """Rows of the touched partitions; the scan leaves out all others.
 
-    A limited number of partitions is named in the filter, so that the scan leaves out all others;
-    more of them are joined.
+    The names of the touched partitions, one small row each, reach the driver, where the write
+    keeps them anyway. They are compared as one JSON value, in which a NULL is a value like others.
     """
-    names = touched.columns
-    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return current.join(touched, names, "left_semi")
-    if len(names) == 1:
-        return current.where(F.col(names[0]).isin([row[0] for row in listed]))
-    either = F.lit(False)
-    for row in listed:
-        each = F.lit(True)
-        for name in names:
-            each = each & (F.col(name) == F.lit(row[name]))
-        either = either | each
-    return current.where(either)
+    name = F.to_json(F.struct(*touched.columns), {"ignoreNullFields": "false"})
+    return current.where(name.isin([row[0] for row in touched.select(name).collect()]))
 
 
 def upsert(

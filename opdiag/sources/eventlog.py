@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from opdiag.schemas import (
     APP_BROADCAST,
     APP_EXECUTOR,
+    APP_FAILURE,
     APP_JOB,
     APP_MEMORY,
     APP_PLAN,
@@ -24,18 +25,26 @@ APP_IN_NAME = r"(application_\d+_\d+|app-\d+-\d+|local-\d+)"
 
 _TASK_END = """
 `Stage ID` int, `Task Type` string,
-`Task End Reason` struct<`Reason`: string, `Class Name`: string, `Description`: string, `Message`: string>,
+`Task End Reason` struct<`Reason`: string, `Class Name`: string, `Description`: string, `Message`: string,
+  `Loss Reason`: string, `Kill Reason`: string>,
 `Task Info` struct<`Launch Time`: bigint, `Finish Time`: bigint, `Executor ID`: string, `Speculative`: boolean>,
 `Task Executor Metrics` struct<`JVMHeapMemory`: bigint>,
 `Task Metrics` struct<`Executor CPU Time`: bigint, `JVM GC Time`: bigint, `Peak Execution Memory`: bigint,
   `Shuffle Read Metrics`: struct<`Remote Bytes Read`: bigint, `Local Bytes Read`: bigint>,
   `Input Metrics`: struct<`Bytes Read`: bigint, `Records Read`: bigint>>
 """
-_STAGE_DONE = "`Stage Info` struct<`Stage ID`: int, `Submission Time`: bigint, `Completion Time`: bigint>"
+_STAGE_DONE = """
+`Stage Info` struct<`Stage ID`: int, `Stage Attempt ID`: int, `Submission Time`: bigint, `Completion Time`: bigint>
+"""
 _JOB_START = "`Job ID` int, `Submission Time` bigint, `Stage IDs` array<int>, `Properties` map<string, string>"
-_JOB_END = "`Job ID` int, `Completion Time` bigint"
+_JOB_END = """
+`Job ID` int, `Completion Time` bigint,
+`Job Result` struct<`Result`: string, `Exception`: struct<`Message`: string>>
+"""
+_SQL_END = "executionId bigint, `time` bigint, errorMessage string"
 _EXECUTOR_ADDED = "`Timestamp` bigint, `Executor ID` string, `Executor Info` struct<`Total Cores`: int>"
-_EXECUTOR_REMOVED = "`Timestamp` bigint, `Executor ID` string"
+_EXECUTOR_REMOVED = "`Timestamp` bigint, `Executor ID` string, `Removed Reason` string"
+_APP_START = "`Timestamp` bigint"
 _APP_END = "`Timestamp` bigint"
 _ENVIRONMENT = "`Spark Properties` map<string, string>"
 _PLAN = "executionId bigint, physicalPlanDescription string"
@@ -91,13 +100,13 @@ def tasks(lines: DataFrame) -> DataFrame:
     """One row per finished task attempt."""
     info, metrics = F.col("Task Info"), F.col("Task Metrics")
     reason, shuffled = F.col("Task End Reason"), metrics["Shuffle Read Metrics"]
-    read = [
-        F.coalesce(c, F.lit(0))
-        for c in (metrics["Input Metrics"]["Bytes Read"], shuffled["Remote Bytes Read"],
-                  shuffled["Local Bytes Read"])
-    ]
-    detail = F.concat_ws(": ", reason["Reason"], reason["Class Name"],
-                         F.coalesce(reason["Description"], reason["Message"]))
+    parts = [metrics["Input Metrics"]["Bytes Read"], shuffled["Remote Bytes Read"],
+             shuffled["Local Bytes Read"]]
+    known = parts[0].isNotNull() | parts[1].isNotNull() | parts[2].isNotNull()
+    read = [F.coalesce(part, F.lit(0)) for part in parts]
+    detail = F.concat_ws(": ", reason["Reason"], reason["Class Name"], F.coalesce(
+        reason["Description"], reason["Message"], reason["Loss Reason"], reason["Kill Reason"]
+    ))
     ended = _events(lines, "SparkListenerTaskEnd", _TASK_END).select(
         "app_id",
         F.col("Stage ID").alias("stage_id"),
@@ -105,7 +114,7 @@ def tasks(lines: DataFrame) -> DataFrame:
         info["Executor ID"].alias("executor_id"),
         info["Launch Time"].alias("launch_ms"),
         (info["Finish Time"] - info["Launch Time"]).alias("duration_ms"),
-        (read[0] + read[1] + read[2]).alias("input_bytes"),
+        F.when(known, read[0] + read[1] + read[2]).alias("input_bytes"),
         metrics["Input Metrics"]["Records Read"].alias("input_records"),
         info["Speculative"].alias("speculative"),
         metrics["JVM GC Time"].alias("gc_ms"),
@@ -148,23 +157,70 @@ def jobs(lines: DataFrame) -> DataFrame:
     return _job_starts(lines).join(ends, ["app_id", "job_id"]).select(*APP_JOB.names)
 
 
+def job_failures(lines: DataFrame) -> DataFrame:
+    """Jobs that did not succeed, with the first line of their reason: ``APP_FAILURE``."""
+    result = F.col("Job Result")
+    return _events(lines, "SparkListenerJobEnd", _JOB_END).where(
+        result["Result"] != "JobSucceeded"
+    ).select(
+        "app_id", F.concat(F.lit("job "), F.col("Job ID")).alias("unit"),
+        F.col("Completion Time").alias("end_ms"),
+        F.coalesce(result["Exception"]["Message"], result["Result"]).alias("failure_reason"),
+    ).select(*APP_FAILURE.names)
+
+
+def sql_execution_failures(lines: DataFrame) -> DataFrame:
+    """SQL executions that ended with an error, analysis errors included: ``APP_FAILURE``."""
+    return _events(lines, "SparkListenerSQLExecutionEnd", _SQL_END).where(
+        F.length("errorMessage") > 0
+    ).select(
+        "app_id", F.concat(F.lit("execution "), F.col("executionId")).alias("unit"),
+        F.col("time").alias("end_ms"), F.col("errorMessage").alias("failure_reason"),
+    ).select(*APP_FAILURE.names)
+
+
+def executor_losses(lines: DataFrame) -> DataFrame:
+    """Executors that were removed, with the reason: ``APP_FAILURE``."""
+    return _events(lines, "SparkListenerExecutorRemoved", _EXECUTOR_REMOVED).select(
+        "app_id", F.concat(F.lit("executor "), F.col("Executor ID")).alias("unit"),
+        F.col("Timestamp").alias("end_ms"), F.col("Removed Reason").alias("failure_reason"),
+    ).select(*APP_FAILURE.names)
+
+
+def stage_jobs(lines: DataFrame) -> DataFrame:
+    """Every job that a stage belongs to, with its SQL execution."""
+    return _job_starts(lines).select(
+        "app_id", "job_id", "execution_id", F.explode("stage_ids").alias("stage_id")
+    ).distinct()
+
+
 def stages(lines: DataFrame) -> DataFrame:
-    """Completed stages with their job and SQL execution."""
+    """Completed stage attempts, one row each, with the first job that lists the stage.
+
+    ``stage_jobs`` has the other jobs of a shared stage.
+    """
     done = F.col("Stage Info")
     completed = _events(lines, "SparkListenerStageCompleted", _STAGE_DONE).select(
         "app_id",
         done["Stage ID"].alias("stage_id"),
+        F.coalesce(done["Stage Attempt ID"], F.lit(0)).alias("stage_attempt"),
         done["Submission Time"].alias("submit_ms"),
         done["Completion Time"].alias("end_ms"),
+    ).distinct()
+    owner = stage_jobs(lines).groupBy("app_id", "stage_id").agg(
+        F.min(F.struct("job_id", "execution_id")).alias("job")
     )
-    owned = _job_starts(lines).select(
-        "app_id", "job_id", "execution_id", F.explode("stage_ids").alias("stage_id")
-    )
-    return completed.join(owned, ["app_id", "stage_id"]).select(*APP_STAGE.names)
+    return completed.join(owner, ["app_id", "stage_id"], "left").select(
+        "*", "job.job_id", "job.execution_id"
+    ).select(*APP_STAGE.names)
 
 
 def executors(lines: DataFrame) -> DataFrame:
-    """Executors with their cores and the time they lived."""
+    """Executors with their cores and the time they lived.
+
+    Only in local mode an executor is named driver. Elsewhere the driver gets a row of its own:
+    the cores it was given, one by default, for the time of the application.
+    """
     added = _events(lines, "SparkListenerExecutorAdded", _EXECUTOR_ADDED).select(
         "app_id",
         F.col("Executor ID").alias("executor_id"),
@@ -177,8 +233,21 @@ def executors(lines: DataFrame) -> DataFrame:
     ended = _events(lines, "SparkListenerApplicationEnd", _APP_END).select(
         "app_id", F.col("Timestamp").alias("app_end_ms")
     )
+    settings = _events(lines, "SparkListenerEnvironmentUpdate", _ENVIRONMENT).select(
+        "app_id",
+        F.try_element_at("Spark Properties", F.lit("spark.driver.cores")).try_cast("int").alias("set"),
+    ).groupBy("app_id").agg(F.max("set").alias("set"))
+    begun = _events(lines, "SparkListenerApplicationStart", _APP_START).select(
+        "app_id", F.col("Timestamp").alias("start_ms")
+    )
+    drivers = (
+        begun.join(settings, "app_id", "left")
+        .join(added.where("executor_id = 'driver'"), "app_id", "left_anti")
+        .select("app_id", F.lit("driver").alias("executor_id"),
+                F.coalesce("set", F.lit(1)).alias("cores"), "start_ms")
+    )
     return (
-        added.join(removed, ["app_id", "executor_id"], "left")
+        added.unionByName(drivers).join(removed, ["app_id", "executor_id"], "left")
         .join(ended, "app_id", "left")
         .withColumn("end_ms", F.coalesce("removed_ms", "app_end_ms"))
         .select(*APP_EXECUTOR.names)

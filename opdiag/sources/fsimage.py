@@ -2,40 +2,40 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from opdiag.defaults import Fixed
 from opdiag.schemas import FSIMAGE_FILE
 
-CORRUPT = "_corrupt_record"
-
-
 def read_listing(
-    spark: SparkSession, path: str, partition_key: str, delimiter: str = ",", keep_corrupt: bool = False
+    spark: SparkSession, path: str, partition_key: str, delimiter: str = ","
 ) -> DataFrame:
-    """A listing file as a snapshot partition.
+    """A listing file as a snapshot partition, one row per line but the header.
 
-    The header line is skipped. Lines without exactly twelve columns, such as paths that contain
-    the delimiter, are left out; ``keep_corrupt`` returns them too, in a column of their own.
+    The last eleven columns are taken from the right, so a path may hold the delimiter. A line with
+    fewer columns is read from the left and the others are NULL, and so is a value that is not of
+    its column's type. Which columns a query selects makes no difference to its rows.
     """
-    schema = StructType([*FSIMAGE_FILE.fields, StructField(CORRUPT, StringType())])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", False)
-        .option("sep", delimiter)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        # a line is judged by its number of columns, however few of them a query selects
-        .option("columnPruning", False)
-        .csv(path)
+    names = FSIMAGE_FILE.names
+    parts = F.split("value", re.escape(delimiter), -1)
+    lines = spark.read.text(path).select(parts.alias("parts"))
+    spare = F.size("parts") - len(names)
+    whole = F.concat_ws(delimiter, F.slice("parts", F.lit(1), F.greatest(spare, F.lit(0)) + 1))
+    values = [whole] + [
+        F.get("parts", F.greatest(spare, F.lit(0)) + at) for at in range(1, len(names))
+    ]
+    columns = [
+        F.nullif(value, F.lit("")).try_cast(field.dataType).alias(field.name)
+        for value, field in zip(values, FSIMAGE_FILE.fields)
+    ]
+    return (
+        lines.select(*columns)
         .where(~F.col("path").eqNullSafe(Fixed.HEADER_PATH))
         .withColumn("partition_key", F.lit(partition_key))
     )
-    if keep_corrupt:
-        return rows
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def snapshot(rows: DataFrame, partition_key: str) -> DataFrame:

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
-from opdiag.functions.times import parsed
 from opdiag.schemas import CONTAINER_STATE
 from opdiag.sources.logs import with_host
 
-# Repeated lines of one file or of rotated copies agree in these columns.
+# Repeated lines, of one file or of rotated copies, agree in these columns.
 IDENTITY = ["application_id", "container_id", "from_state", "to_state", "change_time", "server_ip"]
 
 
@@ -26,20 +26,23 @@ def stream_lines(
     return with_host(reader.load(folder))
 
 
-def without_repeats(changes: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Drops repeated state changes that arrive within ``lateness`` of each other.
+DAY = "day"
 
-    State is one key per distinct change and is forgotten once the watermark passes, so it is
-    bounded by the changes of that period.
+
+def published(
+    spark: SparkSession, target: str, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """Distinct collected changes, optionally of the days from ``since`` to ``until``.
+
+    Repeats share their day, so a range of days reads only its partitions.
     """
-    # a watermark needs a time with a zone; wall-clock order is all that matters here
-    event_time = parsed(F.col("change_time")).cast("timestamp")
-    return (
-        changes.withColumn("_event_time", event_time)
-        .withWatermark("_event_time", lateness)
-        .dropDuplicatesWithinWatermark(IDENTITY)
-        .drop("_event_time")
-    )
+    schema = StructType([*CONTAINER_STATE.fields, StructField(DAY, StringType())])
+    rows = spark.read.schema(schema).parquet(target)
+    if since is not None:
+        rows = rows.where(F.col(DAY) >= since)
+    if until is not None:
+        rows = rows.where(F.col(DAY) <= until)
+    return rows.dropDuplicates([*IDENTITY, DAY]).select(*CONTAINER_STATE.names)
 
 
 def collect_changes(
@@ -47,21 +50,20 @@ def collect_changes(
     parse: Callable[[DataFrame], DataFrame],
     target: str,
     checkpoint: str,
-    lateness: str | None = "1 hour",
     once: bool = True,
     every: str = "1 hour",
 ) -> StreamingQuery:
-    """Appends parsed changes to a parquet folder, each input file exactly once.
+    """Appends parsed changes to a parquet folder by day, each input file exactly once.
 
-    ``once`` takes what has arrived since the last run and stops; otherwise the query runs on and
-    triggers ``every`` so often.
+    No line is left out, however late its host delivers it: the query keeps no state and no
+    watermark. ``published`` takes repeats away when the folder is read. ``once`` takes what has
+    arrived since the last run and stops; otherwise the query runs on and triggers ``every`` so
+    often.
     """
-    changes = parse(lines)
-    if lateness:
-        changes = without_repeats(changes, lateness)
+    day = F.left("change_time", F.lit(10)).alias(DAY)
     writer = (
-        changes.select(*CONTAINER_STATE.names)
-        .writeStream.format("parquet")
+        parse(lines).select(*CONTAINER_STATE.names, day)
+        .writeStream.format("parquet").partitionBy(DAY)
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

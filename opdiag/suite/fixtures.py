@@ -443,11 +443,14 @@ def task_version(spark: SparkSession, sf_dir: str, change: bool) -> DataFrame:
 def task_end_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event-log lines of finished tasks, by application, next to lines of other kinds."""
     c = F.col
-    task = job_task(spark, sf_dir)
+    # some tasks have a line about their start besides the one about their end
+    steps = F.when(c("input_records") % 10 == 0, F.array(F.lit("Start"), F.lit("End"))).otherwise(
+        F.array(F.lit("End"))
+    )
+    task = job_task(spark, sf_dir).withColumn("step", F.explode(steps))
     failed = c("failure_reason").isNotNull()
     event = F.struct(
-        F.when(c("input_records") % 10 == 0, "SparkListenerTaskStart")
-        .otherwise("SparkListenerTaskEnd").alias("Event"),
+        F.concat(F.lit("SparkListenerTask"), c("step")).alias("Event"),
         c("stage_id").alias("Stage ID"),
         c("kind").alias("Task Type"),
         F.struct(

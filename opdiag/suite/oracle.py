@@ -20,10 +20,12 @@ SQL["export_history"] = (
     f"select *, '20111105' as partition_key from ({oracle_storage.SQL['dir_storage_report']}))"
 )
 SQL["fsimage_csv_load"] = oracle_storage.SQL["fsimage_flatten"]
-SQL["lineage_relation_files"] = (
-    "select src_id, label, dst_id, src_kind || '_' || dst_kind as name from ("
-    f"{oracle_lineage.SQL['lineage_edges_extended']})"
-)
+SQL["listing_odd_paths"] = f"""with {oracle_storage.FX_FSIMAGE}
+select path || ',a,' || blockscount as path, replication, modificationtime, accesstime, preferredblocksize,
+       blockscount, filesize, case when blockscount <> 2 then nsquota end as nsquota, dsquota, permission,
+       username, groupname
+from fx_ods_fsimage"""
+SQL["lineage_relation_files"] = oracle_lineage.RELATION_FILES
 SQL["task_json_rows"] = (
     "select cast(to_json(t) as varchar) as value from ("
     f"{oracle_lineage.SQL['workflow_tasks']}) t"
@@ -32,5 +34,5 @@ SQL["event_log_tasks"] = f"""with {oracle_jobs.FX_JOB_TASK}
 select 'application_1700000000000_' || lpad(app_id[5:], 4, '0') as app_id, stage_id, kind, executor_id, launch_ms,
        duration_ms, input_bytes, input_records, speculative, gc_ms, cpu_ms, peak_memory,
        'ExceptionFailure: ' || failure_reason as failure_reason
-from fx_task where input_records % 10 <> 0"""
+from fx_task"""
 SQL["mr_attempt_lines"] = f"with {oracle_jobs.FX_JOB_TASK} select * from fx_task"

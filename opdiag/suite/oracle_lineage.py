@@ -113,7 +113,24 @@ select date '2024-01-26' as dt, cast(project_id as varchar) as project_id, cast(
 from task where task_type = 'SHELL' and task_id in (select id from walk where kind = 'task' and hop > 0)"""
 
 
+_RAW = _STRICT.replace("""
+  from dependency)""", """
+  from dependency
+  union all
+  select 'process', cast(process_id as varchar), 'process', cast(sub_id as varchar), '依赖'
+  from task where task_type = 'SUB_PROCESS')""")
+
+RELATION_FILES = f"""with {FX_DEF}, {_RAW}
+select distinct src_id, label, dst_id, src_kind || '_' || dst_kind as name from raw_edge
+union all select cast(process_id as varchar), null, null, 'process' from rel
+union all select task_id, null, null, 'task' from task where task_type = 'SHELL'"""
+
+_REJECTED = f"""with {FX_DEF}
+select project_id, project_name, process_id, process_name from rel where process_id % 9 = 0"""
+
+
 SQL = {
+    "rejected_definitions": _REJECTED,
     "workflow_tasks": f"""with {FX_DEF}
 select project_id, project_name, process_id, process_name, task_id, task_name, task_type from task""",
     "rejected_pre_tasks": f"""with {FX_DEF}

@@ -72,18 +72,23 @@ select {_columns('c', 'f', 'g')} from line where t <> ''"""
 
 SQL = {
     "plan_scan_cardinality": f"""with {FX_QUERY_RECORD},
-piece as (select * exclude (plan), unnest(string_split(plan, 'ScanNode')) as scan from fx_query_record
-       where start_time between timestamp '1990-01-01' and timestamp '2010-12-31 23:59:59'
-         and contains(plan, 'cardinality')),
-parsed as (select regexp_extract(scan, 'TABLE: (.*?)\\n', 1) as table_name,
-              regexp_extract(scan, 'partitions=(.*?)\\n', 1) as partitions,
-              regexp_extract(scan, 'cardinality=(.*?)\\n', 1) as cardinality, *
-       from piece where contains(scan, 'cardinality'))
+node as (select * exclude (plan), unnest(string_split(plan, 'ScanNode')) as scan from fx_query_record),
+row_of as (select row_number() over () as r, * from node),
+line as (select r, row_number() over (partition by r) as pos, l
+         from (select r, unnest(string_split(scan, chr(10))) as l from row_of)),
+mark as (select r, l[strpos(l, 'TABLE: ') + 7:] as t, l[strpos(l, 'partitions=') + 11:] as p,
+                l[strpos(l, 'cardinality=') + 12:] as c, strpos(l, 'TABLE: ') as ht, strpos(l, 'partitions=') as hp,
+                strpos(l, 'cardinality=') as hc, pos from line),
+value as (select r, coalesce(min_by(t, pos) filter (ht > 0), '') as table_name,
+                 coalesce(min_by(p, pos) filter (hp > 0), '') as partitions,
+                 min_by(c, pos) filter (hc > 0) as cardinality from mark group by r)
 select table_name, partitions,
-       try_cast(string_split(partitions, '/')[1] as double)
-         / nullif(try_cast(string_split(partitions, '/')[2] as double), 0) as partitions_ratio,
+       try_cast(split_part(partitions, '/', 1) as double)
+         / nullif(try_cast(split_part(partitions, '/', 2) as double), 0) as partitions_ratio,
        cardinality, query_id, start_time, end_time, "user", time_used, state, error_message, sql, "database", scan
-from parsed where try_cast(cardinality as bigint) >= 10000000""",
+from row_of join value using (r)
+where try_cast(cardinality as bigint) >= 10000000
+  and start_time >= timestamp '1990-01-01' and start_time <= timestamp '2010-12-31 23:59:59'""",
     "sr_query_frequency": f"""with {FX_QUERY_RECORD},
 node as (select query_id, unnest(string_split(plan, 'ScanNode')[2:]) as scan from fx_query_record),
 named as (select query_id, regexp_extract(scan, 'TABLE: (.*?)\\n', 1) as table_name from node)

@@ -74,17 +74,12 @@ final as (select * from (select *, row_number() over (partition by process_id, t
 
 def _anomaly(value: str, test: str, verdict: str) -> str:
     return f"""with {FX_RUN},
-good as (select *, cast(extract(hour from e) * 3600 + extract(minute from e) * 60 + extract(second from e) as bigint)
-                     as end_second
-         from (select *, start_time + to_seconds(duration_s) as e from fx_run where state = 'SUCCESS')),
-days as (select distinct process_id, task_name, dt from good),
-usual as (select d.process_id, d.task_name, d.dt, median(cast(h.{value} as double)) as usual
-          from days d join good h on d.process_id = h.process_id and d.task_name = h.task_name
-            and h.dt between d.dt - 14 and d.dt - 1
-          group by d.process_id, d.task_name, d.dt)
-select g.process_id, g.task_name, g.dt, g.attempt_id, g.{value}, u.usual, {verdict} as verdict
-from good g join usual u on g.process_id = u.process_id and g.task_name = u.task_name and g.dt = u.dt
-where {test}"""
+good as (select *, date_diff('second', cast(dt as timestamp), start_time) + duration_s as end_second
+         from fx_run where state = 'SUCCESS'),
+g as (select *, median(cast({value} as double)) over (
+          partition by process_id, task_name order by start_time, attempt_id
+          rows between 14 preceding and 1 preceding) as usual from good)
+select process_id, task_name, dt, attempt_id, {value}, usual, {verdict} as verdict from g where {test}"""
 
 
 SQL = {
@@ -99,12 +94,12 @@ where state = 'SUCCESS' and retry_times > 1""",
 select process_id, task_name, count(distinct dt) as failed_days, max(dt) as last_failed from final
 where dt between date '2024-01-21' and date '2024-01-30' group by process_id, task_name""",
     "wf_end_time_anomaly": _anomaly(
-        "end_second", "abs(g.end_second - u.usual) > 1800",
-        "case when g.end_second > u.usual then 'late' else 'early' end",
+        "end_second", "abs(end_second - usual) > 1800",
+        "case when end_second > usual then 'late' else 'early' end",
     ),
     "wf_duration_anomaly": _anomaly(
-        "duration_s", "g.duration_s > 2 * u.usual or g.duration_s < 0.5 * u.usual",
-        "case when g.duration_s > u.usual then 'long' else 'short' end",
+        "duration_s", "duration_s > 2 * usual or duration_s < 0.5 * usual",
+        "case when duration_s > usual then 'long' else 'short' end",
     ),
     "wf_long_running": f"""with {FX_RUN}
 select process_id, task_name, dt, attempt_id, state, start_time, duration_s from fx_run where duration_s > 7200""",

@@ -73,17 +73,21 @@ PLANS: dict[str, Query] = {
 
 
 def _streamed(lines: Callable, parse: Callable) -> Query:
-    """Log lines go through files, the stream and its sink, and come back as a table."""
+    """Log lines go through files, the stream and its sink, and come back as a table.
+
+    The second half of the day arrives before the first one, in a run of its own.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = scratch_path(spark, "container-stream")
-        lines(spark, sf_dir).write.partitionBy("server_ip").text(f"{folder}/lines")
-        tagged = spark.readStream.schema("value string, server_ip string").text(f"{folder}/lines")
-        # files arrive in no time order, so the watermark has to span the whole log
-        streams.collect_changes(
-            tagged, parse, f"{folder}/changes", f"{folder}/progress", lateness="60 days"
-        ).awaitTermination()
-        return spark.read.parquet(f"{folder}/changes")
+        early = F.substring("value", 12, 2) < "12"
+        for part in (lines(spark, sf_dir).where(~early), lines(spark, sf_dir).where(early)):
+            part.write.mode("append").partitionBy("server_ip").text(f"{folder}/lines")
+            tagged = spark.readStream.schema("value string, server_ip string").text(f"{folder}/lines")
+            streams.collect_changes(
+                tagged, parse, f"{folder}/changes", f"{folder}/progress"
+            ).awaitTermination()
+        return streams.published(spark, f"{folder}/changes")
 
     return run
 
@@ -115,6 +119,9 @@ def _closure(resolve: str) -> Query:
 
 LINEAGE: dict[str, Query] = {
     "workflow_tasks": lambda s, d: lineage.workflow_tasks(fx.released(s, d)),
+    "rejected_definitions": lambda s, d: lineage.rejected_definitions(_broken(s, d)).drop(
+        "process_definition_json"
+    ),
     "rejected_pre_tasks": lambda s, d: lineage.rejected_pre_tasks(fx.released(s, d)),
     "task_lineage_rows": lambda s, d: lineage.task_lineage_rows(
         fx.released(s, d), fx.DEFINITIONS_DT
@@ -172,7 +179,7 @@ JOBS: dict[str, Query] = {
     "spark_hdfs_stall": lambda s, d: jobs.hdfs_stall(fx.job_task(s, d)),
     "spark_speculation": lambda s, d: jobs.speculation(fx.job_task(s, d)),
     "spark_global_sort": lambda s, d: jobs.global_sort(fx.app_stage(s, d), fx.app_plan(s, d)),
-    "mr_memory_waste": lambda s, d: jobs.memory_waste(fx.job_task(s, d)),
+    "mr_memory_waste": lambda s, d: jobs.memory_waste(_attempt_lines(s, d)),
     "mr_large_scan": lambda s, d: jobs.mr_large_scan(fx.job_task(s, d)),
     "mr_task_tail": lambda s, d: jobs.task_tail(fx.job_task(s, d), jobs.KIND, _FAR),
     "mr_data_skew": lambda s, d: jobs.data_skew(fx.job_task(s, d), jobs.KIND, _FAR),
@@ -209,26 +216,51 @@ TABLES: dict[str, Query] = {
 def _listing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing goes through a delimited file, header lines included."""
     folder = scratch_path(spark, "listing")
-    rows = fx.fsimage(spark, sf_dir).select(*schemas.FSIMAGE_FILE.names)
-    rows.write.option("header", True).csv(folder)
+    _listing_lines(fx.fsimage(spark, sf_dir)).write.text(folder)
     return storage.flatten_listing(
         fsimage.read_listing(spark, folder, fx.PARTITION), fx.PARTITION
     )
 
 
+def _listing_lines(rows: DataFrame) -> DataFrame:
+    """Lines as the listing tool prints them: no quotes, nothing for a missing value."""
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in schemas.FSIMAGE_FILE.names]
+    return rows.select(F.concat_ws(",", *fields).alias("value"))
+
+
+def _odd_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose path holds delimiters or whose size is no number, through a listing file."""
+    folder = scratch_path(spark, "listing")
+    odd = fx.fsimage(spark, sf_dir).withColumns({
+        "path": F.concat("path", F.lit(",a,"), F.col("blockscount").cast("string")),
+        "nsquota": F.when(F.col("blockscount") == 2, "none").otherwise(F.col("nsquota").cast("string")),
+    })
+    _listing_lines(odd).write.text(folder)
+    return fsimage.read_listing(spark, folder, fx.PARTITION).drop("partition_key")
+
+
+def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Definitions of which every ninth was cut off."""
+    text = F.col("process_definition_json")
+    cut_off = F.when(F.col("process_id") % 9 == 0, F.left(text, F.length(text) - 3)).otherwise(text)
+    return fx.released(spark, sf_dir).withColumn("process_definition_json", cut_off)
+
+
 def _relation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four edge relations go through their files."""
+    """The six relations go through their files; node relations give their id only."""
     folder = scratch_path(spark, "relations")
     definitions = fx.released(spark, sf_dir)
-    edges, _ = cut(lineage.lineage_edges(definitions, "extended"))
+    edges, _ = cut(lineage.edge_dedupe(lineage.all_edges(definitions, "raw")))
     frames = relations.lineage_relations(definitions, lineage.workflow_tasks(definitions), edges)
     relations.write_relations(frames, folder)
     read = []
-    for name in ("process_task", "task_task", "task_process", "process_process"):
-        delimiter, columns = relations.RELATIONS[name]
+    for name, (delimiter, columns) in relations.RELATIONS.items():
         frame = scheduler.read_relation(
             spark, f"{folder}/{name}", relations.schema_of(name), delimiter
         )
+        if len(columns) != 3:
+            none = F.lit(None).cast("string")
+            frame = frame.select(f"{name}_id", none.alias("label"), none.alias("dst_id"))
         read.append(frame.toDF("src_id", "label", "dst_id").withColumn("name", F.lit(name)))
     return reduce(DataFrame.unionByName, read)
 
@@ -249,6 +281,7 @@ def _attempt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FILES: dict[str, Query] = {
     "fsimage_csv_load": _listing_file,
+    "listing_odd_paths": _odd_paths,
     "lineage_relation_files": _relation_files,
     "task_json_rows": lambda s, d: relations.json_rows(lineage.workflow_tasks(fx.released(s, d))),
     "event_log_tasks": _event_log,

@@ -7,12 +7,12 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from opdiag import schemas
-from opdiag.operators import intervals, jobs, medians, retention, sized, warehouse
+from opdiag.operators import intervals, jobs, medians, retention, warehouse
 
 
-@pytest.mark.parametrize("limit", [-1, 100_000])
-def test_group_median_against_brute_force(spark, monkeypatch, limit):
-    monkeypatch.setattr(sized, "BROADCAST_ROWS", limit)
+@pytest.mark.parametrize("bound, parts", [(200_000, 4096), (3, 2), (1, 7)])
+def test_group_median_against_brute_force(spark, monkeypatch, bound, parts):
+    monkeypatch.setattr(medians, "PARTS", parts)
     rng = random.Random(5)
     data = [
         (rng.choice("aaab"), rng.choice([rng.randint(-99, 99), rng.randint(0, 10**13), 7]))
@@ -23,7 +23,7 @@ def test_group_median_against_brute_force(spark, monkeypatch, limit):
         if value is not None:
             groups[key].append(value)
     frame = spark.createDataFrame(data, "k string, v bigint")
-    got = {r.k: (r.median, r.maximum, r.n) for r in medians.group_median(frame, ["k"], "v").collect()}
+    got = {r.k: (r.median, r.maximum, r.n) for r in medians.group_median(frame, ["k"], "v", bound).collect()}
     middle = {k: sum(x / 2 for x in (statistics.median_low(v), statistics.median_high(v))) for k, v in groups.items()}
     assert got == {k: (middle[k], max(v), len(v)) for k, v in groups.items()}
     counts = frame.where("v is not null").groupBy("k", "v").agg(F.count("*").alias("n"))
@@ -108,7 +108,7 @@ def test_cpu_waste_keeps_idle_executors(spark):
 def test_plan_diagnoses(spark):
     long, short = 1_800_001, 1_800_000
     stages = spark.createDataFrame(
-        [("a", 0, 5, 1, 0, long), ("a", 0, 6, 2, 0, long), ("a", 0, 5, 3, 0, short)], schemas.APP_STAGE
+        [("a", 0, 5, 1, 0, 0, long), ("a", 0, 6, 2, 0, 0, long), ("a", 0, 5, 3, 0, 0, short)], schemas.APP_STAGE
     )
     plans = spark.createDataFrame(
         [("a", 5, "x\nSort [s#1[0] ASC], true, 0\nScan PartitionFilters: [], y"),
@@ -181,3 +181,37 @@ def test_median_of_nothing(spark):
     frame = spark.createDataFrame([("a", 1)], "k string, v bigint")
     assert medians.group_median(frame.where("1 = 0"), ["k"], "v").count() == 0
     assert medians.group_median(frame.where("v > 1"), ["k"], "v").count() == 0
+
+
+def test_close_values_are_divided_until_a_task_ranks_few(spark, monkeypatch):
+    ranked = []
+    inside = medians._inside
+
+    def watched(valued, middle, names):
+        found = inside(valued, middle, names)
+        ranked.append(found.count())
+        return found
+
+    monkeypatch.setattr(medians, "_inside", watched)
+    size = F.lit(134_217_728) + F.col("id") * 3
+    frame = spark.range(60_000).select(F.lit("k").alias("k"), size.alias("v"))
+    found = medians.group_median(frame, ["k"], "v", 500).first()
+    assert found.median == 134_217_728 + 3 * 29_999.5 and found.n == 60_000
+    assert ranked[0] > 500 >= ranked[-1]
+
+
+def test_idle_time_of_spans_that_repeat_or_share_a_key(spark):
+    spans = spark.createDataFrame(
+        [("a", 0, 100), ("a", 0, 100), ("a", 200, 300), ("b", 0, 10)],
+        "k string, span_start long, span_end long",
+    )
+    busy = spark.createDataFrame([("a", 10, 50), ("a", 190, 220)], "k string, start_ms long, end_ms long")
+    assert rows(intervals.idle_time(spans, busy, ["k"])) == [("a", 100, 60), ("a", 100, 80), ("b", 10, 10)]
+
+
+def test_tasks_that_read_nothing_are_not_stalled(spark):
+    base = {name: None for name in schemas.JOB_TASK.names}
+    made = [dict(base, app_id="a", stage_id=1, launch_ms=at, duration_ms=1000, input_bytes=size)
+            for at, size in enumerate([1000, 1000, 1000, 1, 0, 0, 0, 0, None])]
+    frame = spark.createDataFrame(made, schemas.JOB_TASK)
+    assert rows(jobs.hdfs_stall(frame), "launch_ms", "median_rate") == [(3, 1000.0)]

@@ -79,9 +79,8 @@ def test_hot_key_is_split_in_a_lookup_join(spark):
         assert sum(r.n for r in out.collect()) == 200_000
 
 
-def test_small_middle_buckets_are_broadcast_and_large_ones_not(spark, monkeypatch):
+def test_small_middle_buckets_are_broadcast_and_large_ones_not(spark):
     rows = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     assert "BroadcastHashJoin" in plan_of(medians.group_median(rows, ["k"], "v"))
-    monkeypatch.setattr(sized, "BROADCAST_ROWS", -1)
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         assert "SortMergeJoin" in plan_of(medians.group_median(rows, ["k"], "v"))

@@ -71,7 +71,7 @@ def test_stream_equals_batch_without_repeats(spark, tmp_path, restart):
         run()
     (folder / name.format(2)).write_text("\n".join(texts[:5]) + "\n")
     run()
-    got = rows(spark.read.parquet(str(tmp_path / "out")))
+    got = rows(streams.published(spark, str(tmp_path / "out")))
     batch = containers.nm_container_transitions(lines(spark, *texts, host="host1")).unionByName(
         containers.nm_container_transitions(lines(spark, *texts[:5], host="host2"))
     )
@@ -115,3 +115,23 @@ def test_frequency_counts_a_query_once_per_table(spark):
     twice = node("t", "1/1", 1) + node("t", "1/1", 1)
     got = scans.query_frequency(record(spark, twice, node("t", "1/1", 1) + node("u", "1/1", 1), "x", None))
     assert [tuple(r) for r in got.collect()] == [("t", 2), ("u", 1)]
+
+
+def test_no_line_is_lost_however_late_its_host(spark, tmp_path):
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    name = "hadoop-yarn-NODEMANAGER-host{}.log"
+    line = NM.format("container_17_0002_01_000001")
+    late = [line, line.replace(" 10:", " 08:"), line.replace("2024-01-05", "2024-01-03")]
+    for at, text in enumerate(late):
+        (folder / name.format(at)).write_text(text + "\n" + text + "\n")
+        streams.collect_changes(
+            streams.stream_lines(spark, str(folder), "*NODEMANAGER*"),
+            containers.nm_container_transitions, str(tmp_path / "out"), str(tmp_path / "progress"),
+        ).awaitTermination()
+    times = [r.change_time for r in streams.published(spark, str(tmp_path / "out")).collect()]
+    assert len(times) == 3 and len(set(times)) == 3
+    some = streams.published(spark, str(tmp_path / "out"), "2024-01-04", "2024-01-05")
+    assert some.count() == 2
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-04" in plan[plan.index("PartitionFilters") :]

@@ -1,11 +1,13 @@
 import datetime as dt
+import statistics
+import random
 import json
 
 from conftest import rows
 
 from opdiag import schemas
 from opdiag.defaults import Fixed
-from opdiag.operators import closure, lineage, runs, sized
+from opdiag.operators import closure, lineage, runs
 
 DAY = "2024-01-10"
 
@@ -129,10 +131,79 @@ def test_closure_hop_limit_and_cycles(spark):
     assert closure.reachable(chain(spark, 3), starts).count() == 3
 
 
-def test_closure_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(sized, "BROADCAST_ROWS", -1)
-    starts = spark.createDataFrame([("process", "p")], ["kind", "id"])
-    assert closure.reachable(chain(spark, 20), starts).count() == 13
+def test_closure_without_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        starts = spark.createDataFrame([("process", "p")], ["kind", "id"])
+        assert closure.reachable(chain(spark, 20), starts).count() == 13
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_dependence_on_an_empty_list_is_no_edge(spark):
+    text = (
+        '{"tasks":[{"name":"a","type":"SHELL","preTasks":["dep","own"]},'
+        '{"name":"own","type":"SHELL","preTasks":[]},'
+        '{"name":"dep","type":"DEPENDENT","dependence":{"dependTaskList":[]}}]}'
+    )
+    frame = spark.createDataFrame([(1, "p", 7, "f", text), (1, "p", 8, "g", text[:-4]), (1, "p", 9, "h", None)], (
+        "project_id long, project_name string, process_id long, process_name string, "
+        "process_definition_json string"
+    ))
+    edges = rows(lineage.lineage_edges(frame), "src_id", "dst_id")
+    assert edges == [("7", "7-a"), ("7", "7-own"), ("7-a", "7-own")]
+    made = lineage.task_lineage_rows(frame, "2024-01-01").where("task_id = '7-a'")
+    assert rows(made, "pre_task_id") == [("7-own",)]
+    assert rows(lineage.rejected_definitions(frame), "process_id") == [(8,), (9,)]
+
+
+def test_raw_relations_name_sub_processes(spark):
+    text = '{"tasks":[{"name":"s","type":"SUB_PROCESS","preTasks":["gone"],"params":{"processDefinitionId":99}}]}'
+    frame = spark.createDataFrame([(1, "p", 7, "f", text)], (
+        "project_id long, project_name string, process_id long, process_name string, "
+        "process_definition_json string"
+    ))
+    raw = rows(lineage.all_edges(frame, "raw"), "src_kind", "src_id", "dst_kind", "dst_id")
+    assert raw == [("process", "7", "process", "99"), ("process", "7", "task", "99")]
+
+
+def made_runs(spark, *made):
+    shape = schemas.WORKFLOW_RUN
+    return spark.createDataFrame(
+        [(1, "t", at(s).date() if d is None else d, n, 0, "SUCCESS", at(s), took)
+         for n, (s, took, d) in enumerate(made)], shape
+    )
+
+
+def test_a_run_over_midnight_is_not_early(spark):
+    made = [(f"2024-01-{d:02d} 23:50:00", 540, None) for d in range(1, 16)]
+    made += [("2024-01-16 23:50:00", 630, None), ("2024-01-17 23:50:00", 4000, None)]
+    found = rows(runs.end_time_anomalies(made_runs(spark, *made)), "dt", "end_second", "verdict")
+    assert found == [(dt.date(2024, 1, 17), 23 * 3600 + 50 * 60 + 4000, "late")]
+
+
+def test_monthly_tasks_have_a_baseline_of_runs(spark):
+    made = [(f"2023-{m:02d}-01 06:00:00", 100, None) for m in range(1, 13)] + [("2024-01-01 06:00:00", 900, None)]
+    frame = made_runs(spark, *made)
+    assert rows(runs.duration_anomalies(frame), "dt", "usual") == [(dt.date(2024, 1, 1), 100.0)]
+    judged = runs.duration_anomalies(frame, since="2024-01-01", until="2024-01-31", history_days=200)
+    assert rows(judged, "usual", "verdict") == [(100.0, "long")]
+    assert runs.duration_anomalies(frame, since="2023-12-01", until="2023-12-31").count() == 0
+
+
+def test_baselines_against_brute_force(spark):
+    draw = random.Random(8)
+    made = [(f"2024-01-{draw.randint(1, 9):02d} {draw.randint(0, 3):02d}:{draw.randint(0, 59):02d}:00",
+             draw.randint(1, 50), None) for _ in range(120)]
+    frame = made_runs(spark, *made)
+    ordered = sorted((at(s), n, took) for n, (s, took, _) in enumerate(made))
+    expected = {}
+    for place, (_, number, _) in enumerate(ordered):
+        before = [took for _, _, took in ordered[max(0, place - 14) : place]]
+        if before:
+            expected[number] = statistics.median(before)
+    got = {r.attempt_id: r.usual for r in runs._baseline(frame, "duration_s", 14).collect()}
+    assert got == expected
 
 
 def at(text):
