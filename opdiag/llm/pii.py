@@ -206,9 +206,9 @@ def disclosing_terms(docs: DataFrame, mentions: DataFrame, text_col: str) -> Dat
         F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0))
     )).alias("term"))
     with_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    total = docs.agg(F.count(F.lit(1)).alias("total"))
+    total = docs.agg(F.count(F.lit(1)).alias("total")).scalar()
     joined = join_lookup(join_lookup(pairs, entities, ["entity"]), with_term, ["term"])
-    joined = joined.crossJoin(F.broadcast(total))  # one row
+    joined = joined.withColumn("total", total)
     pmi = F.log2(F.col("both") * F.col("total") / (F.col("with_entity") * F.col("with_term")))
     information = F.log2(F.col("total") / F.col("with_entity"))
     share = pmi - GENERALISE * information
