@@ -134,28 +134,27 @@ def test_toxicity_on_held_out_documents(spark):
 
 
 def made_sentences():
-    """Toxic sentences name one group more often than the others do."""
+    """Toxic sentences name one group more often; only some of them have an insult to tell by."""
     rows = []
-    for at in range(240):
+    for at in range(400):
         toxic = at % 2
-        group = "muslims" if (at % 10 < 8) == bool(toxic) else "christians"
-        insult = f"are scum{at % 3}" if toxic else f"met today at noon{at % 5}"
-        rows.append((at, f"Yesterday some {group} {insult} near place{at % 7}.", toxic))
+        group = "muslims" if (at % 20 < 16) == bool(toxic) else "christians"
+        insult = " scum" if toxic and at % 6 == 1 else ""
+        rows.append((at, f"Yesterday some {group}{insult} came near place{at % 7}.", toxic))
     return rows
 
 
 def test_swapping_groups_changes_less_with_the_penalty(spark):
     frame = spark.createDataFrame(made_sentences(), "doc_id long, text string, toxic int")
     docs, labels = frame.select("doc_id", "text"), frame.select("doc_id", "toxic")
-    neutral = pa.array(["The muslims met here.", "The christians met here."])
+    neutral = pa.array(["The muslims came here.", "The christians came here."])
     gaps = []
     for fairness in (0.0, 1.0):
         model = toxicity.train(docs, labels, fairness=fairness)
         scores = model.score(neutral)
-        gaps.append(abs(scores[0] - scores[1]))
-        assert model.score(pa.array(["They are scum1"]))[0] > 0.5
-    assert gaps[1] < 0.3 * gaps[0]
-    assert model.score(neutral)[0] < 0.5
+        gaps.append(abs(np.diff(np.log(scores / (1 - scores))))[0])
+        assert model.score(pa.array(["Some scum came near."]))[0] > 0.5
+    assert gaps[0] > 0.5 and gaps[1] < 0.3 * gaps[0]
 
 
 def test_swapped_sentences():
