@@ -1,7 +1,8 @@
 """Spark event logs as task, stage, job, executor, plan, memory and broadcast tables.
 
-A log line is one JSON event. Each table reads only the lines of its event kinds, told by a
-substring, with a schema of the fields it needs; fields a version does not write are NULL.
+A log line is one JSON event. Each table reads only the lines of its event kinds, with a
+schema of the fields it needs; fields a version does not write are NULL. ``land`` sorts all lines into
+partitions by kind in one pass, for when several tables are wanted.
 """
 
 from __future__ import annotations
@@ -59,13 +60,47 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _is_kind(kind: str) -> Column:
-    """The event name comes first, so a long line is told by its head."""
-    return F.col("value").rlike(f'^\\{{"Event":"[A-Za-z.]*{kind}"')
+# Kinds of events that the tables below are made of.
+KINDS = (
+    "SparkListenerTaskEnd", "SparkListenerStageCompleted", "SparkListenerJobStart",
+    "SparkListenerJobEnd", "SparkListenerExecutorAdded", "SparkListenerExecutorRemoved",
+    "SparkListenerApplicationStart", "SparkListenerApplicationEnd",
+    "SparkListenerEnvironmentUpdate", "SparkListenerSQLExecutionStart",
+    "SparkListenerSQLAdaptiveExecutionUpdate", "SparkListenerSQLExecutionEnd",
+    "SparkListenerDriverAccumUpdates",
+)
+
+
+def land(lines: DataFrame, folder: str, day: str) -> None:
+    """Writes the lines of the known kinds once, partitioned by day and kind.
+
+    Every table then reads the partitions of its kinds only, in place of all text. The day is that
+    of the collection; landing a day again replaces it.
+    """
+    kind = F.regexp_extract("value", r'^\{"Event":"[A-Za-z.]*?(SparkListener[A-Za-z]+)"', 1)
+    (
+        lines.select("app_id", "value", F.lit(day).alias("day"), kind.alias("kind"))
+        .where(F.col("kind").isin(*KINDS))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "kind").parquet(folder)
+    )
+
+
+def landed(spark: SparkSession, folder: str, day: str) -> DataFrame:
+    """Lines that were landed on a day, for the tables below."""
+    shape = "app_id string, value string, day string, kind string"
+    return spark.read.schema(shape).parquet(folder).where(F.col("day") == day)
+
+
+def _of_kind(lines: DataFrame, *kinds: str) -> DataFrame:
+    """Lines of some kinds: by partition if they have landed, else by the head of each line."""
+    if "kind" in lines.columns:
+        return lines.where(F.col("kind").isin(*kinds))
+    return lines.where(F.col("value").rlike(f'^\\{{"Event":"[A-Za-z.]*({"|".join(kinds)})"'))
 
 
-def _events(lines: DataFrame, kind: str, schema: str) -> DataFrame:
-    chosen = lines.where(_is_kind(kind))
+def _events(lines: DataFrame, kind: str | tuple[str, ...], schema: str) -> DataFrame:
+    chosen = _of_kind(lines, *([kind] if isinstance(kind, str) else kind))
     return chosen.select("app_id", F.from_json("value", schema).alias("e")).select("app_id", "e.*")
 
 
@@ -255,7 +290,7 @@ def executors(lines: DataFrame) -> DataFrame:
 
 
 # Both events carry a plan.
-_PLANNED = "(SparkListenerSQLExecutionStart|SparkListenerSQLAdaptiveExecutionUpdate)"
+_PLANNED = ("SparkListenerSQLExecutionStart", "SparkListenerSQLAdaptiveExecutionUpdate")
 
 
 def plans(lines: DataFrame) -> DataFrame:
@@ -277,7 +312,7 @@ def broadcasts(lines: DataFrame) -> DataFrame:
         "value", F.lit(r'"name":"data size","accumulatorId":(\d+)'), F.lit(1)
     )
     sizes = (
-        lines.where(_is_kind(_PLANNED))
+        _of_kind(lines, *_PLANNED)
         .select("app_id", F.explode(named).alias("id"))
         .select("app_id", F.col("id").cast("bigint").alias("accumulator"))
         .distinct()

@@ -477,3 +477,66 @@ def task_end_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(event).alias("value"),
         F.concat(F.lit("application_1700000000000_"), F.lpad(number, 4, "0")).alias("app"),
     )
+
+
+def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-log lines of stages, jobs, executors and executions, by application.
+
+    Every fifth stage has two attempts, every stage belongs to a job of its own and a shared one,
+    every third job and execution fails, and every executor but the driver is removed.
+    """
+    c = F.col
+    listener, sql = "SparkListener", "org.apache.spark.sql.execution.ui.SparkListener"
+
+    def lines(rows: DataFrame, kind: str, prefix: str = listener, **fields) -> DataFrame:
+        parts = [F.lit(prefix + kind).alias("Event")]
+        parts += [value.alias(name.replace("_", " ")) for name, value in fields.items()]
+        return rows.select("app_id", F.to_json(F.struct(*parts)).alias("value"))
+
+    stage, executor = sparse_stage(spark, sf_dir), app_executor(spark, sf_dir)
+    attempts = stage.withColumn("attempt", F.explode(
+        F.when(c("stage_id") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    ))
+    own = F.floor(c("stage_id") / 4).cast("int")
+    jobs = stage.select(
+        "app_id", "stage_id", "submit_ms", "end_ms", F.explode(F.array(own, F.lit(1000))).alias("job_id")
+    ).groupBy("app_id", "job_id").agg(
+        F.collect_list("stage_id").alias("stages"), F.min("submit_ms").alias("submit_ms"),
+        F.max("end_ms").alias("end_ms"),
+    )
+    failed = c("job_id") % 3 == 0
+    result = F.when(failed, F.struct(
+        F.lit("JobFailed").alias("Result"), F.struct(_text("stage of ", c("job_id"), " failed").alias("Message")).alias("Exception")
+    )).otherwise(F.struct(
+        F.lit("JobSucceeded").alias("Result"),
+        F.struct(F.lit(None).cast("string").alias("Message")).alias("Exception"),
+    ))
+    apps = executor.groupBy("app_id").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"))
+    workers = executor.where("executor_id <> 'driver'")
+    made = [
+        lines(attempts, "StageCompleted", Stage_Info=F.struct(
+            c("stage_id").alias("Stage ID"), c("attempt").alias("Stage Attempt ID"),
+            (c("submit_ms") + c("attempt")).alias("Submission Time"),
+            (c("end_ms") + c("attempt")).alias("Completion Time"),
+        )),
+        lines(jobs, "JobStart", Job_ID=c("job_id"), Submission_Time=c("submit_ms"), Stage_IDs=c("stages"),
+              Properties=F.create_map(F.lit("spark.sql.execution.id"), c("job_id").cast("string"))),
+        lines(jobs, "JobEnd", Job_ID=c("job_id"), Completion_Time=c("end_ms"), Job_Result=result),
+        lines(jobs, "SQLExecutionEnd", sql, executionId=c("job_id"), time=c("end_ms"),
+              errorMessage=F.when(failed, _text("AnalysisException: ", c("job_id"))).otherwise("")),
+        lines(workers, "ExecutorAdded", Timestamp=c("start_ms"), Executor_ID=c("executor_id"),
+              Executor_Info=F.struct(c("cores").alias("Total Cores"))),
+        lines(workers, "ExecutorRemoved", Timestamp=c("end_ms"), Executor_ID=c("executor_id"),
+              Removed_Reason=_text("Container killed by ", c("executor_id"), " for exceeding memory limits")),
+        lines(apps, "ApplicationStart", Timestamp=c("start_ms")),
+        lines(apps, "ApplicationEnd", Timestamp=c("end_ms")),
+        lines(apps, "EnvironmentUpdate", Spark_Properties=F.create_map(
+            F.lit("spark.driver.cores"), (c("end_ms") % 4 + 1).cast("string"),
+            F.lit("spark.driver.memory"), _text(c("end_ms") % 4 + 1, "g"),
+        )),
+    ]
+    both = made[0]
+    for frame in made[1:]:
+        both = both.unionByName(frame)
+    # application ids as they look in file names
+    return both.select("value", F.concat(F.lit("app-1700000000-"), F.substring("app_id", 5, 9)).alias("app"))

@@ -36,3 +36,39 @@ select 'application_1700000000000_' || lpad(app_id[5:], 4, '0') as app_id, stage
        'ExceptionFailure: ' || failure_reason as failure_reason
 from fx_task"""
 SQL["mr_attempt_lines"] = f"with {oracle_jobs.FX_JOB_TASK} select * from fx_task"
+
+_APP = "'app-1700000000-' || app_id[5:]"
+_EVENTS = f"""{oracle_jobs.FX_JOB_TASK}, {oracle_jobs.SPARSE},
+fx_job as (select app_id, job_id, min(a) as a, max(b) as b
+           from (select *, unnest([stage_id // 4, 1000]) as job_id from fx_span) group by app_id, job_id),
+fx_exec as (select app_id, executor_id, cast(1 + count(*) // 50 as integer) as cores, min(launch_ms) as a,
+                   max(launch_ms + duration_ms) as b from fx_task group by app_id, executor_id),
+fx_app as (select app_id, min(a) as a, max(b) as b from fx_exec group by app_id)"""
+SQL |= {
+    "event_log_stages": f"""with {_EVENTS}
+select {_APP} as app_id, cast(stage_id // 4 as integer) as job_id, cast(stage_id // 4 as bigint) as execution_id,
+       stage_id, n as stage_attempt, a + n as submit_ms, b + n as end_ms
+from fx_span, (values (cast(0 as integer)), (cast(1 as integer))) as v(n) where n = 0 or stage_id % 5 = 0""",
+    "event_log_stage_jobs": f"""with {_EVENTS}
+select {_APP} as app_id, cast(j as integer) as job_id, cast(j as bigint) as execution_id, stage_id
+from (select *, unnest([stage_id // 4, 1000]) as j from fx_span)""",
+    "event_log_jobs": f"""with {_EVENTS}
+select {_APP} as app_id, cast(job_id as integer) as job_id, cast(job_id as bigint) as execution_id,
+       a as submit_ms, b as end_ms from fx_job""",
+    "event_log_executors": f"""with {_EVENTS}
+select {_APP} as app_id, executor_id, cores, a as start_ms, b as end_ms from fx_exec where executor_id <> 'driver'
+union all select {_APP}, 'driver', cast(b % 4 + 1 as integer), a, b from fx_app""",
+    "event_log_memory": f"""with {_EVENTS}
+select {_APP} as app_id, cast((b % 4 + 1) * 1073741824 as bigint) as driver_memory,
+       cast(1073741824 as bigint) as executor_memory from fx_app""",
+    "job_failure": f"""with {_EVENTS}
+select {_APP} as app_id, 'job ' || job_id as unit, b as end_ms, 'stage of ' || job_id || ' failed' as failure_reason
+from fx_job where job_id % 3 = 0""",
+    "sql_execution_failure": f"""with {_EVENTS}
+select {_APP} as app_id, 'execution ' || job_id as unit, b as end_ms, 'AnalysisException: ' || job_id as failure_reason
+from fx_job where job_id % 3 = 0""",
+    "executor_oom": f"""with {_EVENTS}
+select {_APP} as app_id, 'executor ' || executor_id as unit, b as end_ms,
+       'Container killed by ' || executor_id || ' for exceeding memory limits' as failure_reason
+from fx_exec where executor_id <> 'driver'""",
+}

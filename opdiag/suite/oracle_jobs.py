@@ -75,7 +75,7 @@ select *, cast(idle_ms as double) / total_ms as idle_share from both_ends
 where cast(idle_ms as double) / total_ms > 0.3"""
 
 
-_SPARSE = f"""
+SPARSE = f"""
 fx_interval as (select 'app_' || l_suppkey as app_id, cast(l_partkey % 200 as integer) as stage_id,
                        {_launch("(l_partkey % 200 % 20)")} as s,
                        {_launch("(l_partkey % 200 % 20)")} + cast(l_quantity as bigint) * 60000 as e
@@ -151,7 +151,7 @@ memory as (select 'app_' || c_custkey as app_id,
 select app_id, broadcast_bytes, memory, cast(broadcast_bytes as double) / memory as broadcast_share
 from total join memory using (app_id) where cast(broadcast_bytes as double) / memory > cast(0.3 as double)""",
     "spark_job_idle": _idle(_JOBS, "app_id, job_id"),
-    "spark_stage_idle": _idle(_SPARSE, "app_id, stage_id"),
+    "spark_stage_idle": _idle(SPARSE, "app_id, stage_id"),
     "spark_global_sort": f"""with {FX_PLAN}
 select s.app_id, s.stage_id, s.execution_id, s.end_ms - s.submit_ms as duration_ms
 from fx_stage s join fx_plan p on s.app_id = p.app_id and s.execution_id = p.execution_id

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opdiag import schemas
+from opdiag.defaults import Ours
 from opdiag.functions.paths import in_warehouse
 from opdiag.operators import (
     ageing,
@@ -272,6 +273,18 @@ def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eventlog.tasks(eventlog.read_lines(spark, folder)).drop("allocated_memory")
 
 
+def _landed(table: Callable[[DataFrame], DataFrame]) -> Query:
+    """Events go through log files and the landed partitions."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_path(spark, "events")
+        fx.app_events(spark, sf_dir).write.partitionBy("app").text(f"{folder}/logs")
+        eventlog.land(eventlog.read_lines(spark, f"{folder}/logs"), f"{folder}/landed", "2024-01-10")
+        return table(eventlog.landed(spark, f"{folder}/landed", "2024-01-10"))
+
+    return run
+
+
 def _attempt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task attempts go through JSON lines."""
     folder = scratch_path(spark, "attempts")
@@ -285,6 +298,18 @@ FILES: dict[str, Query] = {
     "lineage_relation_files": _relation_files,
     "task_json_rows": lambda s, d: relations.json_rows(lineage.workflow_tasks(fx.released(s, d))),
     "event_log_tasks": _event_log,
+    "event_log_stages": _landed(eventlog.stages),
+    "event_log_stage_jobs": _landed(eventlog.stage_jobs),
+    "event_log_jobs": _landed(eventlog.jobs),
+    "event_log_executors": _landed(eventlog.executors),
+    "event_log_memory": _landed(eventlog.memory),
+    "job_failure": _landed(eventlog.job_failures),
+    "sql_execution_failure": _landed(
+        lambda lines: jobs.unit_failures(eventlog.sql_execution_failures(lines), Ours.SQL_FAILURE)
+    ),
+    "executor_oom": _landed(
+        lambda lines: jobs.unit_failures(eventlog.executor_losses(lines), Ours.OOM_FAILURE)
+    ),
     "mr_attempt_lines": _attempt_lines,
 }
 

@@ -312,3 +312,19 @@ def test_reasons_of_failures(spark, tmp_path):
     assert rows(eventlog.executors(lines), "executor_id", "cores", "start_ms", "end_ms") == [
         ("3", 4, 1, 7), ("driver", 2, 0, 100),
     ]
+
+
+def test_landed_events_are_read_by_kind(spark, tmp_path):
+    folder = event_file(
+        tmp_path, event("ApplicationStart", Timestamp=1), event("TaskStart", **{"Stage ID": 1}),
+        event("JobEnd", **{"Job ID": 1, "Completion Time": 5, "Job Result": {"Result": "JobFailed"}}),
+    )
+    for _ in range(2):  # landing a day again changes nothing
+        eventlog.land(eventlog.read_lines(spark, folder), str(tmp_path / "landed"), "2024-01-01")
+    lines = eventlog.landed(spark, str(tmp_path / "landed"), "2024-01-01")
+    assert rows(lines, "kind") == [("SparkListenerApplicationStart",), ("SparkListenerJobEnd",)]
+    found = eventlog.job_failures(lines)
+    assert rows(found, "unit", "failure_reason") == [("job 1", "JobFailed")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "kind" in plan[plan.index("PartitionFilters: [") :].split("PushedFilters")[0]
+    assert plan.count("Scan") == 1
