@@ -31,13 +31,13 @@ def named_instances(
     )
 
 
-def _before_cutoff(day: str, inclusive: bool) -> Column:
+def _before_cutoff(day: str, inclusive: bool, cutoff: str) -> Column:
     """Starts on ``day`` up to the cut-off, as a plain range that a scan can use.
 
     Times are cut to whole seconds first, so an inclusive limit covers its whole second.
     """
     midnight = F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
-    limit = F.lit(f"{day} {Fixed.CUTOFF}").cast("timestamp_ntz")
+    limit = F.lit(f"{day} {cutoff}").cast("timestamp_ntz")
     if inclusive:
         limit = limit + F.expr("interval 1 second")
     return (F.col("start_time") >= midnight) & (F.col("start_time") < limit)
@@ -79,8 +79,9 @@ def key_task_day_over_day(
     today: str,
     lastday: str,
     match_project: bool = False,
+    cutoff: str = Fixed.CUTOFF,
 ) -> DataFrame:
-    """Monitored tasks that start before 06:00: their minutes against the previous day.
+    """Monitored tasks that start before the cut-off: their minutes against the previous day.
 
     The previous day's runs are found by task and process name alone, and may therefore fan out
     over projects; ``match_project`` adds the project.
@@ -88,7 +89,7 @@ def key_task_day_over_day(
     named = named_instances(instances, definitions, projects)
 
     def of_day(day: str, inclusive: bool, keys: list[str]) -> DataFrame:
-        attempts = first_attempts(named.where(_before_cutoff(day, inclusive)))
+        attempts = first_attempts(named.where(_before_cutoff(day, inclusive, cutoff)))
         others = [c for c in _NAMES if c not in keys]
         watched = monitored.where(F.col("dt") == F.lit(day).cast("date")).select("dt", *_NAMES)
         return watched.join(attempts.drop(*others), keys)

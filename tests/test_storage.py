@@ -102,6 +102,50 @@ def test_user_shares(spark):
     ]
 
 
+def worked_listing(spark):
+    """Ten files whose report is worked out by hand; 2024-01-10 is the day."""
+    tib, mib = 1024**4, 1024**2
+    root = "/user/hive/warehouse"
+    return storage.flatten_listing(listing(
+        spark,
+        # path, size, replication, access time
+        (f"{root}/a.db/t1/f1", 2 * tib // 4, 2, "2024-01-09 10:00"),   # big, hot: 1 TiB with copies
+        (f"{root}/a.db/t1/f2", 200 * mib, 1, "2023-12-01 10:00"),      # medium, warm
+        (f"{root}/a.db/t2/f1", 10, 3, "2023-06-01 10:00"),             # small, cold: 30 bytes
+        (f"{root}/b.db/t1/f1", 0, 3, "2020-01-01 10:00"),              # empty, very old
+        (f"{root}/b.db/t1/f1", 0, 3, "2020-01-01 10:00"),              # the same record once more
+        ("/tmp/x", 128 * mib, 16020, "2024-01-10 10:00"),              # medium, hot: not multiplied
+        ("/tmp/x", 128 * mib, 16020, "2024-01-10 10:00"),              # added up with its copy
+        ("/tmp/y", 1, 0, "2024-01-03 10:00"),                          # small, hot
+        ("/odd/z", -5, 1, "2024-01-03 10:00"),                         # no size class: no row
+        ("/", 5, 1, "2024-01-03 10:00"),                               # the root is no directory
+    ), DAY)
+
+
+def test_worked_directory_report(spark):
+    report = storage.dir_storage_report(worked_listing(spark), AS_OF)
+    names = ["dir_name", "storage_measure", "dir_size", *storage.SIZE_CLASSES, *storage.ACCESS_CLASSES, "etl_dt"]
+    mib, tib = 1024**2, 1024**4
+    assert rows(report, *names) == [
+        ("/tmp", (2 * 128 * mib + 1) / tib, 2, 0, 1, 1, 0, 2, 0, 0, 0, "20240110"),
+        ("/user", (tib + 200 * mib + 30) / tib, 4, 1, 1, 1, 1, 1, 1, 1, 1, "20240110"),
+    ]
+
+
+def test_worked_warehouse_report(spark):
+    report = storage.warehouse_storage_report(worked_listing(spark), AS_OF)
+    names = ["db_count", "table_count", "storage_measure", "dir_size", *storage.SIZE_CLASSES, *storage.ACCESS_CLASSES]
+    mib, gib = 1024**2, 1024**3
+    # t1 of the two databases has two paths, so there are three tables
+    assert rows(report, *names) == [(2, 3, (1024 * gib + 200 * mib + 30) / gib, 4, 1, 1, 1, 1, 1, 1, 1, 1)]
+
+
+def test_never_accessed_follows_the_time_zone(spark):
+    flat = storage.flatten_listing(listing(spark, (f"{ROOT}/f", 1, 3, "1970-01-01 00:00", "2024-01-01 08:00")), DAY)
+    assert ageing.stale_warehouse_files(flat, AS_OF).count() == 1
+    assert ageing.stale_warehouse_files(flat, AS_OF, never_accessed="1970-01-01 00:00:00").count() == 0
+
+
 def test_partition_values(spark):
     values = ["202406", "2024-06", "20240607", "2024-06-07", "2024067", "302406", "2024-6", "|bar"]
     frame = spark.createDataFrame([(f"/w/d/t/dt={v}",) for v in values] + [("/w/d/t/x",)], "p string")
