@@ -1,6 +1,6 @@
 """Similarity join on five-word shingles by chosen paths.
 
-Texts with the same set of shingles form a class, and one member stands for it. A representative
+Texts with the same set of shingles are copies, and one of them stands for all. A representative
 has a signature of independent minima of its shingles. In each run a set takes some coordinates of
 its signature, chosen at random but alike for all sets, and moves to one bucket per chosen
 coordinate and value; the expected number is one over the threshold, so that a similar pair keeps
@@ -461,8 +461,8 @@ def _resolved(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with words and what became of them, and rows without words.
 
-    The first frame has ``id, text_hash, class_id, group_id, group_hash, n_links``; ``group_hash``
-    is the text hash of the group's first row, the one with the least id.
+    The first frame has ``id, text_hash, copy_id, class_id, class_hash, n_links``; ``class_hash``
+    is the text hash of the row that the class is named by, the one with the least id.
     """
     spark = ship(docs.sparkSession)
     shared_dir(spark)
@@ -513,8 +513,8 @@ def _resolved(
     )
     of_class = _saved(
         join_lookup(of_class, heads, ["root"]).select(
-            "high", "low", F.col("id").alias("class_id"), F.col("head.id").alias("group_id"),
-            F.col("head.text_hash").alias("group_hash"),
+            "high", "low", F.col("id").alias("copy_id"), F.col("head.id").alias("class_id"),
+            F.col("head.text_hash").alias("class_hash"),
             (F.coalesce("linked", F.lit(0)) + F.col("shares") - 1).alias("n_links"),
         ),
         "classes",
@@ -530,21 +530,21 @@ def similar_documents(
     threshold: float = THRESHOLD,
     miss: float = MISS,
 ) -> DataFrame:
-    """One row per input row: ``id, class_id, group_id, n_links``.
+    """One row per input row: ``id, class_id, copy_id, n_links``.
 
-    ``class_id`` is the least id among the texts with the same shingles, ``group_id`` the least id
-    among all texts that links at the threshold connect, directly or over others. ``n_links``
+    ``class_id`` is the least id among all texts that links at the threshold connect, directly or
+    over others, ``copy_id`` the least id among the texts with the same shingles. ``n_links``
     counts the other rows whose shingles have a Jaccard similarity of at least the threshold, rows
     with the same shingles included. Shingles are five consecutive words; words are runs of ASCII
     letters, digits and non-ASCII characters, ASCII letters in lower case. A text of one to four
     words has one shingle of all its words. A text without words, a null one too, is in a class of
     its own row and has no links. Rows may repeat ids or have none: null ids come last among the
-    members of a class, and a class or group that has no other id has a null one.
+    members, and a class that has no other id has a null one.
     """
     with_words, without = _resolved(docs, id_col, text_col, threshold, miss)
-    columns = ["id", "class_id", "group_id", "n_links"]
+    columns = ["id", "class_id", "copy_id", "n_links"]
     return with_words.select(*columns).union(without.select(
-        "id", F.col("id").alias("class_id"), F.col("id").alias("group_id"),
+        "id", F.col("id").alias("class_id"), F.col("id").alias("copy_id"),
         F.lit(0).cast("long").alias("n_links"),
     ))
 
@@ -556,13 +556,13 @@ def one_per_group(
     threshold: float = THRESHOLD,
     miss: float = MISS,
 ) -> DataFrame:
-    """``docs`` with the row of the least id of every group; rows without words all stay.
+    """``docs`` with the row of the least id of every class; rows without words all stay.
 
     Only the rows that go are joined with the documents. Of rows that repeat both the id and the
     text one stays.
     """
     with_words, _ = _resolved(docs, id_col, text_col, threshold, miss)
-    stays = F.col("id").eqNullSafe(F.col("group_id")) & (F.col("text_hash") == F.col("group_hash"))
+    stays = F.col("id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("class_hash"))
     decided = _saved(
         with_words.select("id", "text_hash", stays.alias("stays"))
         .groupBy("id", "text_hash").agg(F.first("stays").alias("stays"), F.count(F.lit(1)).alias("n"))

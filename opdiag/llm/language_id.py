@@ -127,8 +127,8 @@ def fit(windows: np.ndarray, target: np.ndarray, languages: tuple[str, ...]) ->
 
 
 def train(
-    docs: DataFrame, learnable: Column, text_col: str = "text", lang_col: str = "lang",
-    per_language: int = SAMPLE_PER_LANGUAGE,
+    docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text",
+    lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE,
 ) -> Network:
     """Trains on a bounded sample of the rows that ``learnable`` holds for.
 
@@ -138,9 +138,9 @@ def train(
     spark = ship(docs.sparkSession)
     text, lang = F.col(text_col), F.col(lang_col)
     known = docs.filter(learnable & lang.isNotNull() & (F.length(text) > 0)).select(
-        lang.alias("lang"), text.alias("text")
+        lang.alias("lang"), text.alias("text"), F.col(id_col).alias("id")
     )
-    sample = bounded_sample(known, "lang", per_language, "text")
+    sample = bounded_sample(known, "lang", per_language, "id", "text").select("lang", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -60,7 +60,7 @@ counts AS (
     SELECT a AS doc_id, count(*) AS n, min(CASE WHEN alike THEN b END) AS first_alike
     FROM links GROUP BY a
 )
-SELECT d.doc_id, least(d.doc_id, coalesce(first_alike, d.doc_id)) AS class_id, group_id,
+SELECT d.doc_id, group_id AS class_id, least(d.doc_id, coalesce(first_alike, d.doc_id)) AS copy_id,
        coalesce(n, 0) AS n_links
 FROM documents d LEFT JOIN groups USING (doc_id) LEFT JOIN counts USING (doc_id)
 """

@@ -96,7 +96,7 @@ def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def jaccard_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "class_id", "group_id", "n_links")
+    return found.select(F.col("id").alias("doc_id"), "class_id", "copy_id", "n_links")
 
 
 def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:

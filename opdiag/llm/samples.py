@@ -16,9 +16,11 @@ def remainder(id_col: str, divisor: int) -> Column:
 def bounded_sample(rows: DataFrame, class_col: str, per_class: int, *keys: str) -> DataFrame:
     """About ``per_class`` rows of each class, chosen by a hash of the keys.
 
-    Every class keeps the share of its rows that gives the wanted number on average, so the choice
-    needs neither a sort nor a group in one task. Rows with a null class are left out. The number of
-    classes must be small: one row per class reaches the driver.
+    Every class keeps the share of its rows that gives the wanted number on average, so no group
+    meets in one task. Rows that agree in all keys are chosen together; where that makes many, the
+    first ``4 * per_class`` rows per class by hash stay, so the sample is bounded whatever the
+    data. Rows with a null class are left out. The number of classes must be small: one row per
+    class reaches the driver.
     """
     known = rows.filter(F.col(class_col).isNotNull())
     counts = known.groupBy(class_col).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -26,7 +28,8 @@ def bounded_sample(rows: DataFrame, class_col: str, per_class: int, *keys: str)
     share = F.lit(0.0)
     for row in counts:
         share = F.when(F.col(class_col) == row[0], min(1.0, per_class / row["n"])).otherwise(share)
-    return known.filter(place < share)
+    bound = max(1, 4 * per_class * len(counts))
+    return known.filter(place < share).orderBy(place, *keys).limit(bound)
 
 
 class Sparse:

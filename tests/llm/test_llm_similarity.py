@@ -103,7 +103,7 @@ def test_similar_documents_against_brute_force(spark):
     rows = list(enumerate(made)) + [(None, made[3]), (None, "no other text has these words"), (7, made[7]),
                                     (7, "the same id but quite another text here"), (900, None), (901, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").select(
-        "doc_id", "text", F.lit("x").alias("id"), F.lit(1).alias("group_id")
+        "doc_id", "text", F.lit("x").alias("id"), F.lit(1).alias("class_id")
     )
     found = jaccard_join.similar_documents(docs.repartition(3)).collect()
     key = lambda row: tuple(-1 if x is None else x for x in row)
@@ -111,7 +111,7 @@ def test_similar_documents_against_brute_force(spark):
     for row in brute_groups(rows):
         expected.append(row)
     # rows without words stay alone
-    assert sorted(((r.id, r.group_id, r.n_links) for r in found), key=key) == sorted(expected, key=key)
+    assert sorted(((r.id, r.class_id, r.n_links) for r in found), key=key) == sorted(expected, key=key)
 
 
 def test_one_row_of_each_group_stays(spark):
@@ -136,7 +136,7 @@ def test_a_tight_group_is_split_over_blocks(spark, monkeypatch):
     rows = list(enumerate(family(3, 90, 150, 6)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = jaccard_join.similar_documents(docs).collect()
-    assert sorted((r.id, r.group_id, r.n_links) for r in found) == sorted(brute_groups(rows))
+    assert sorted((r.id, r.class_id, r.n_links) for r in found) == sorted(brute_groups(rows))
 
 
 def test_no_documents(spark):
