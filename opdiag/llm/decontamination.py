@@ -20,16 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opdiag.llm import bitmaps
 from opdiag.llm.shipping import ship
 from opdiag.llm.texts import SHINGLE_WORDS, distinct_by_text, text_shingles
 from opdiag.operators.sized import join_lookup
 from opdiag.session import scratch_path
 
 THRESHOLD = 0.8
-#: Bits of the bitmap that tells the documents' shingles from the items', 2 MiB; a fixed size.
-BITMAP_BITS = 24
-_WORD_BITS = 6
-
 HITS = "id bigint, text_hash bigint, shingle bigint"
 
 
@@ -49,9 +46,7 @@ def _shingles(rows: DataFrame, bitmap: np.ndarray | None = None) -> DataFrame:
             for start, hashes, at, totals in text_shingles(batch.column(2)):
                 kept = totals[at] >= SHINGLE_WORDS
                 if bitmap is not None:
-                    bit = hashes >> np.uint64(64 - BITMAP_BITS)
-                    word = bitmap[(bit >> np.uint64(3)).astype(np.int64)]
-                    kept &= ((word >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+                    kept &= bitmaps.has(bitmap, hashes)
                 hashes, at = distinct_by_text(hashes[kept], at[kept])
                 rows_at = pa.array(at + start)
                 yield pa.RecordBatch.from_arrays(
@@ -62,21 +57,6 @@ def _shingles(rows: DataFrame, bitmap: np.ndarray | None = None) -> DataFrame:
     return rows.mapInArrow(split, HITS)
 
 
-def _bitmap(item_shingles: DataFrame) -> np.ndarray:
-    """Bits of the items' shingles; at most 2 ** 18 rows of one long reach the driver."""
-    bit = F.shiftrightunsigned("shingle", 64 - BITMAP_BITS)
-    words = (
-        item_shingles.select(F.shiftrightunsigned(bit, _WORD_BITS).alias("word"), bit.alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(bit & {(1 << _WORD_BITS) - 1} as int))")).alias("bits"))
-        .collect()
-    )
-    out = np.zeros(1 << (BITMAP_BITS - _WORD_BITS), np.int64)
-    for row in words:
-        out[row.word] = row.bits
-    return out.view(np.uint8)
-
-
 def contained_items(
     docs: DataFrame,
     items: DataFrame,
@@ -103,7 +83,7 @@ def contained_items(
     )
     sizes = item_shingles.groupBy("item", "item_id").agg(F.count(F.lit(1)).alias("n_shingles"))
     path = scratch_path(spark, "hits")
-    _shingles(_narrow(docs, id_col, text_col), _bitmap(item_shingles)).distinct().write.parquet(path)
+    _shingles(_narrow(docs, id_col, text_col), bitmaps.of(item_shingles, "shingle")).distinct().write.parquet(path)
     hits = spark.read.parquet(path)
     by_text = hits.select("text_hash", "shingle").distinct()
     candidates = (

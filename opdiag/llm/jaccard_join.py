@@ -18,12 +18,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opdiag.llm import bitmaps
 from opdiag.llm.components import components
 from opdiag.llm.shipping import ship
 from opdiag.llm.texts import distinct_by_text, mix, text_shingles
@@ -558,8 +560,9 @@ def one_per_group(
 ) -> DataFrame:
     """``docs`` with the row of the least id of every class; rows without words all stay.
 
-    Only the rows that go are joined with the documents. Of rows that repeat both the id and the
-    text one stays.
+    Only documents whose text may be among those that go are joined with the decisions, as a bitmap
+    of fixed size tells; the others are not shuffled. Of rows that repeat both the id and the text
+    one stays.
     """
     with_words, _ = _resolved(docs, id_col, text_col, threshold, miss)
     stays = F.col("id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("class_hash"))
@@ -571,9 +574,14 @@ def one_per_group(
                 F.col("stays").alias("__near_stays")),
         "decided",
     )
-    text_hash = F.xxhash64(F.col(text_col))
-    same = (text_hash == F.col("__near_hash")) & F.col(id_col).cast("long").eqNullSafe(F.col("__near_id"))
-    joined = docs.join(decided, same, "left")
+    known = bitmaps.tester(docs.sparkSession, bitmaps.of(decided, "__near_hash"))
+    marked = docs.withColumn("__near_text", F.xxhash64(F.col(text_col)))
+    marked = marked.withColumn("__near_known", known("__near_text"))
+    same = (F.col("__near_text") == F.col("__near_hash")) & F.col(id_col).cast("long").eqNullSafe(
+        F.col("__near_id")
+    )
+    joined = marked.filter("__near_known").join(decided, same, "left")
     single = joined.filter("__near_stays is null")
     repeated = joined.filter("__near_stays").dropDuplicates(["__near_id", "__near_hash"])
-    return single.select(*docs.columns).union(repeated.select(*docs.columns))
+    kept = [marked.filter("not __near_known"), single, repeated]
+    return reduce(DataFrame.union, [frame.select(*docs.columns) for frame in kept])
