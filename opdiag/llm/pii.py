@@ -1,9 +1,9 @@
 """Personal data: fixed patterns, and terms that give protected values away.
 
 The patterns find e-mail addresses, network addresses, card and phone numbers; each value found is a
-protected entity. How strongly a nearby term reveals an entity is estimated from the corpus: the
-pointwise mutual information of entity and term, against the information that the entity itself
-carries. PMI(c;t) = log2(p(c,t) / (p(c) p(t))) and IC(c) = -log2 p(c), with the shares of documents as
+protected entity. How strongly a term reveals an entity is estimated from the corpus: the pointwise
+mutual information of entity and term, counted per document over whole texts, however far apart they
+stand, against the information that the entity itself carries. Words inside of values are no terms. PMI(c;t) = log2(p(c,t) / (p(c) p(t))) and IC(c) = -log2 p(c), with the shares of documents as
 probabilities. A term with PMI >= ``GENERALISE`` * IC is replaced by a general word in the documents
 that hold the entity, one with PMI >= ``REMOVE`` * IC is taken out. A pair must be seen in at least
 ``SUPPORT`` different texts: a word met once says nothing about its neighbour.
@@ -190,25 +190,98 @@ def _mentions(places: Column) -> Column:
     return F.array_distinct(F.concat(*[near(kind) for kind in KINDS]))
 
 
-def disclosing_terms(docs: DataFrame, mentions: DataFrame, text_col: str) -> DataFrame:
-    """``entity, term, remove``: terms near an entity that exceed the threshold.
+def _masked(kind: str, text: Column) -> Column:
+    """The text with a line end in place of each valid value of the kind."""
+    pattern = F.lit(PATTERNS[kind])
+    masked = let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda values: F.array_join(
+        F.transform(F.split(text, pattern, -1), lambda gap, at: F.concat(gap, F.when(
+            at >= F.size(values), ""
+        ).when(_valid(kind, F.get(values, at)), "\n").otherwise(F.get(values, at)))), "",
+    ))
+    return F.when(_possible(kind, text), masked).otherwise(text)
+
+
+def _with_words(rows: DataFrame, text_col: str) -> DataFrame:
+    """``rows`` with the distinct terms of their texts, in lower case, in place of the texts.
+
+    What only stands inside of values is no term. One column per kind, as nested functions take the
+    analyzer a multiple of the time per level.
+    """
+    rows = rows.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
+    for kind in KINDS:
+        rows = rows.withColumn(text_col, _masked(kind, F.col(text_col)))
+    words = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0))
+    return rows.withColumn("words", F.array_distinct(words)).drop(text_col)
+
+
+def _entities(places: Column) -> Column:
+    """Distinct entities of one text."""
+
+    def of(kind: str) -> Column:
+        return F.transform(places[kind], lambda place: _entity(kind, place["value"]))
+
+    return F.array_distinct(F.concat(*[of(kind) for kind in KINDS]))
 
-    ``mentions`` has ``text_hash, entity, term``, one row per document and pair. Counts are of
-    documents, copies included; the support is of different texts.
+
+def entity_terms(docs: DataFrame, text_col: str) -> DataFrame:
+    """``text_hash, rows, entity, term, with_entity, with_term``: what stands in one text.
+
+    One row per different text, entity and term of it, wherever in the text they stand; ``rows`` is
+    the number of documents with the text, ``with_entity`` and ``with_term`` are the documents with
+    the one and the other. Left out are pairs that cannot exceed the threshold whatever their
+    number: entities and terms of less than ``SUPPORT`` texts or documents, and, as a PMI is at most
+    log2(total / with_term), terms of more than total * (with_entity / total) ** ``GENERALISE``
+    documents.
     """
-    per_text = mentions.groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
-    pairs = per_text.groupBy("entity", "term").agg(
-        F.sum("rows").alias("both"), F.count(F.lit(1)).alias("texts")
+    spark, text = docs.sparkSession, F.col(text_col)
+    texts = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    path = scratch_path(spark, "holding")
+    found = (
+        texts.withColumn("entities", _entities(base_places(F.col("text"))))
+        .filter(F.size("entities") > 0).groupBy("text_hash")
+        .agg(F.count(F.lit(1)).alias("rows"), F.first("entities").alias("entities"),
+             F.first("text").alias("text"))
     )
-    entities = pairs.filter("term is null").select("entity", F.col("both").alias("with_entity"))
-    pairs = pairs.filter(F.col("term").isNotNull() & (F.col("texts") >= SUPPORT))
-    words = docs.select(F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0))
-    )).alias("term"))
-    with_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    _with_words(found, "text").write.parquet(path)
+    holding = spark.read.parquet(path)
+    held = holding.select("text_hash", "rows", F.explode("entities").alias("entity"))
     total = docs.agg(F.count(F.lit(1)).alias("total")).scalar()
-    joined = join_lookup(join_lookup(pairs, entities, ["entity"]), with_term, ["term"])
-    joined = joined.withColumn("total", total)
+    supported = (
+        held.groupBy("entity")
+        .agg(F.sum("rows").alias("with_entity"), F.count(F.lit(1)).alias("texts"))
+        .filter(F.col("texts") >= SUPPORT).drop("texts")
+        .withColumn("most", (1 + 1e-6) * total * F.pow(F.col("with_entity") / total, F.lit(GENERALISE)))
+    )
+    path = scratch_path(spark, "held")
+    join_lookup(held, supported, ["entity"]).write.parquet(path)
+    held = spark.read.parquet(path)
+    widest = held.groupBy("text_hash").agg(F.max("most").alias("widest"))
+    terms = (
+        holding.select("text_hash", "words").join(widest, "text_hash")
+        .select("text_hash", "widest", F.explode("words").alias("term"))
+    )
+    with_term = (
+        _with_words(docs.select(text.alias("text")), "text").select(F.explode("words").alias("term"))
+        .groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+        .filter(F.col("with_term") >= SUPPORT)
+    )
+    terms = join_lookup(terms, with_term, ["term"]).filter("with_term <= widest").drop("widest")
+    return held.join(terms, "text_hash").filter("with_term <= most").select(
+        "text_hash", "rows", "entity", "term", "with_entity", "with_term"
+    )
+
+
+def disclosing_terms(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``entity, term, remove``: terms in the texts of an entity that exceed the threshold.
+
+    ``pairs`` is made by ``entity_terms``. All counts are of documents, copies included, and of
+    whole texts; the support is of different texts.
+    """
+    joined = pairs.groupBy("entity", "term").agg(
+        F.sum("rows").alias("both"), F.count(F.lit(1)).alias("texts"),
+        F.first("with_entity").alias("with_entity"), F.first("with_term").alias("with_term"),
+    ).filter(F.col("texts") >= SUPPORT)
+    joined = joined.withColumn("total", docs.agg(F.count(F.lit(1)).alias("total")).scalar())
     pmi = F.log2(F.col("both") * F.col("total") / (F.col("with_entity") * F.col("with_term")))
     information = F.log2(F.col("total") / F.col("with_entity"))
     share = pmi - GENERALISE * information
@@ -227,8 +300,10 @@ def _with_findings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.explode(_mentions(base_places(F.col(text_col)))).alias("mention"),
     ).select("id", "text_hash", "mention.*").write.parquet(path)
     mentions = spark.read.parquet(path)
-    path = scratch_path(spark, "disclosing")
-    disclosing_terms(docs, mentions, text_col).write.parquet(path)
+    path = scratch_path(spark, "pairs")
+    entity_terms(docs, text_col).write.parquet(path)
+    path, pairs = scratch_path(spark, "disclosing"), spark.read.parquet(path)
+    disclosing_terms(docs, pairs).write.parquet(path)
     disclosing = spark.read.parquet(path)
     path = scratch_path(spark, "terms")
     (

@@ -192,6 +192,23 @@ def test_terms_that_only_stand_by_the_entity_are_removed(spark):
     assert clean[1] == " [EMAIL]" and clean[2] == "dear : [EMAIL]"
 
 
+def test_terms_count_over_whole_texts(spark):
+    plain = [(at, f"some text of number {at}") for at in range(100, 160)]
+    filler = "some text of number " * 10
+    named = [
+        (1, f"Orlova {filler} a@x.org"), (2, f"a@x.org {filler} by Orlova"),
+        (3, "Novak, born 1985, card 4111 1111 1111 1111"), (4, "card 4111 1111 1111 1111, 1999, Novak"),
+        (5, "Svobod, c@y.org"), (6, f"c@y.org {filler} Svobod"), (6, f"c@y.org {filler} Svobod"),
+    ]
+    docs = spark.createDataFrame(plain + named, "doc_id long, text string")
+    found = pii.disclosing_terms(docs, pii.entity_terms(docs, "text")).collect()
+    assert {tuple(row) for row in found} >= {
+        ("email:a@x.org", "orlova", True), ("card:4111111111111111", "novak", True),
+        ("email:c@y.org", "svobod", True),
+    }
+    assert not {"some", "text", "org"} & {row.term for row in found}
+
+
 def test_sanitised_rows_keep_their_columns(spark):
     docs = spark.createDataFrame(PERSONAL, "doc_id long, text string").select(
         F.lit(1).alias("id"), "text", "doc_id", F.lit(2).alias("terms")
