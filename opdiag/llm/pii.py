@@ -6,7 +6,8 @@ mutual information of entity and term, counted per document over whole texts, ho
 stand, against the information that the entity itself carries. Words inside of values are no terms. PMI(c;t) = log2(p(c,t) / (p(c) p(t))) and IC(c) = -log2 p(c), with the shares of documents as
 probabilities. A term with PMI >= ``GENERALISE`` * IC is replaced by a general word in the documents
 that hold the entity, one with PMI >= ``REMOVE`` * IC is taken out. A pair must be seen in at least
-``SUPPORT`` different texts: a word met once says nothing about its neighbour.
+``SUPPORT`` different texts: a word met once says nothing about its neighbour. A document with the
+term alone keeps it: without the entity there is nothing that it could give away.
 
 Everything is made of built-in expressions, joins and aggregates. Patterns are written so that the
 pattern engine needs linear time and no recursion on texts of any length.
@@ -32,8 +33,6 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE)))
 
-#: Code points to either side of a value in which a term counts as near it.
-NEAR = 60
 SUPPORT = 2
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -69,7 +68,7 @@ def _before(lengths: Column) -> Column:
 
 
 def _places(text: Column, pattern: Column) -> Column:
-    """Matches with ``start``, ``end`` (code points, end exclusive), ``value`` and text around."""
+    """Matches with ``start``, ``end`` (code points, end exclusive) and ``value``."""
 
     def located(both: Column) -> Column:
         values, gaps = both["values"], both["gaps"]
@@ -80,8 +79,6 @@ def _places(text: Column, pattern: Column) -> Column:
             F.get(before, at) + F.length(F.get(gaps, at)),
             lambda start: F.struct(
                 start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"),
-                _whole_words(F.get(gaps, at), True).alias("left"),
-                _whole_words(F.get(gaps, at + 1), False).alias("right"),
             ),
         )))
 
@@ -94,17 +91,6 @@ def _places(text: Column, pattern: Column) -> Column:
     )
 
 
-def _whole_words(gap: Column, at_end: bool) -> Column:
-    """The near end of a gap, without the part of a word that the cut leaves."""
-    if at_end:
-        near = F.regexp_replace(F.substring(gap, -NEAR, NEAR), r"^[\p{L}\p{N}]+", "")
-        whole = F.length(gap) < NEAR
-    else:
-        near = F.regexp_replace(F.substring(gap, 1, NEAR), r"[\p{L}\p{N}]+$", "")
-        whole = F.length(gap) <= NEAR
-    return F.when(whole, gap).otherwise(near)
-
-
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -146,7 +132,7 @@ def _possible(kind: str, text: Column) -> Column:
     }[kind]
 
 
-_PLACE = "array<struct<start:bigint,end:bigint,value:string,left:string,right:string>>"
+_PLACE = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
 def base_places(text: Column) -> Column:
@@ -174,22 +160,6 @@ def _entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(kind + ":"), plain)
 
 
-def _mentions(places: Column) -> Column:
-    """Distinct (entity, term) of one text; the term is null once per entity, for counting."""
-
-    def near(kind: str) -> Column:
-        return F.flatten(F.transform(places[kind], lambda place: F.transform(
-            F.concat(
-                F.array(F.lit(None).cast("string")),
-                F.regexp_extract_all(F.lower(place["left"]), F.lit(TERM), F.lit(0)),
-                F.regexp_extract_all(F.lower(place["right"]), F.lit(TERM), F.lit(0)),
-            ),
-            lambda term: F.struct(_entity(kind, place["value"]).alias("entity"), term.alias("term")),
-        )))
-
-    return F.array_distinct(F.concat(*[near(kind) for kind in KINDS]))
-
-
 def _masked(kind: str, text: Column) -> Column:
     """The text with a line end in place of each valid value of the kind."""
     pattern = F.lit(PATTERNS[kind])
@@ -290,16 +260,9 @@ def disclosing_terms(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def _with_findings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _with_findings(docs: DataFrame, text_col: str) -> DataFrame:
     """``docs`` with the base places and the terms that each text must lose."""
     spark = docs.sparkSession
-    identity = F.col(id_col).cast("long")
-    path = scratch_path(spark, "mentions")
-    docs.select(
-        identity.alias("id"), F.xxhash64(text_col).alias("text_hash"),
-        F.explode(_mentions(base_places(F.col(text_col)))).alias("mention"),
-    ).select("id", "text_hash", "mention.*").write.parquet(path)
-    mentions = spark.read.parquet(path)
     path = scratch_path(spark, "pairs")
     entity_terms(docs, text_col).write.parquet(path)
     path, pairs = scratch_path(spark, "disclosing"), spark.read.parquet(path)
@@ -307,19 +270,15 @@ def _with_findings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     disclosing = spark.read.parquet(path)
     path = scratch_path(spark, "terms")
     (
-        join_lookup(mentions, disclosing, ["entity", "term"])
-        .groupBy("id", "text_hash", "term").agg(F.max("remove").alias("remove"))
-        .groupBy("id", "text_hash").agg(
+        join_lookup(pairs.select("text_hash", "entity", "term"), disclosing, ["entity", "term"])
+        .groupBy("text_hash", "term").agg(F.max("remove").alias("remove"))
+        .groupBy("text_hash").agg(
             F.sort_array(F.collect_list(F.struct("term", "remove"))).alias(_TERMS)
         ).write.parquet(path)
     )
-    terms = spark.read.parquet(path).withColumnsRenamed({"id": "__pii_id", "text_hash": "__pii_hash"})
-    rows = docs.withColumn(_HASH, F.xxhash64(text_col))
-    same = (F.col(_HASH) == F.col("__pii_hash")) & identity.eqNullSafe(F.col("__pii_id"))
-    return (
-        rows.join(terms, same, "left").drop("__pii_id", "__pii_hash", _HASH)
-        .withColumn(_PLACES, base_places(F.col(text_col)))
-    )
+    terms = spark.read.parquet(path).withColumnRenamed("text_hash", _HASH)
+    rows = join_lookup(docs.withColumn(_HASH, F.xxhash64(text_col)), terms, [_HASH], "left")
+    return rows.drop(_HASH).withColumn(_PLACES, base_places(F.col(text_col)))
 
 
 def _term_places(text: Column, terms: Column) -> Column:
@@ -367,7 +326,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``spans`` lists all places as kind:start:end, base kinds first and then ``term``. A null text is
     treated like an empty one. Rows with the same id are judged by their own texts.
     """
-    rows = _with_findings(docs.select(id_col, text_col), id_col, text_col)
+    rows = _with_findings(docs.select(id_col, text_col), text_col)
     base = F.concat(*[_named(kind, F.col(_PLACES)[kind]) for kind in KINDS])
     return rows.select(
         F.col(id_col).cast("long").alias("id"), F.col(_PLACES),
@@ -386,7 +345,7 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     Places that overlap are replaced together, by the words of the one that starts first.
     """
-    rows = _with_findings(docs, id_col, text_col)
+    rows = _with_findings(docs, text_col)
     text = F.col(text_col)
     start = F.struct(F.lit(0).cast("long").alias("done"), F.array().cast("array<string>").alias("parts"))
 

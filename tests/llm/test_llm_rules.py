@@ -209,6 +209,19 @@ def test_terms_count_over_whole_texts(spark):
     assert not {"some", "text", "org"} & {row.term for row in found}
 
 
+def test_terms_go_wherever_they_stand_beside_the_entity(spark):
+    plain = [(at, f"some text of number {at}") for at in range(100, 160)]
+    filler = "some text of number " * 10
+    named = [
+        (1, "Orlova a@x.org"), (2, "a@x.org Orlova"), (3, f"Orlova: {filler}a@x.org"),
+        (None, f"Orlova: {filler}a@x.org"), (4, "the name Novak b@x.org"),
+    ]
+    docs = spark.createDataFrame(plain + named, "doc_id long, text string")
+    clean = {row.doc_id: row.text for row in pii.sanitised(docs).collect()}
+    assert clean[3] == clean[None] == f": {filler}[EMAIL]"
+    assert clean[4] == "the name Novak [EMAIL]" and all(clean[key] == text for key, text in plain)
+
+
 def test_sanitised_rows_keep_their_columns(spark):
     docs = spark.createDataFrame(PERSONAL, "doc_id long, text string").select(
         F.lit(1).alias("id"), "text", "doc_id", F.lit(2).alias("terms")
