@@ -340,7 +340,10 @@ def candidate_links(sets: DataFrame, threshold: float = THRESHOLD, miss: float =
 
 
 def _family_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Shingles of the members' texts, read again from the documents."""
+    """Shingles of the members' texts, read again from the documents, one row per set.
+
+    Rows that repeat an id and its text are reduced to one before the shingles are made.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -371,9 +374,9 @@ def _family_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str
         F.col(text_col).alias("text"),
     )
     same = (members["text_hash"] == texts["doc_hash"]) & members["id"].eqNullSafe(texts["doc"])
-    joined = members.join(texts, same).select(
-        "family", "set_id", "shares", "high", "low", "text"
-    )
+    joined = members.join(texts, same).groupBy("set_id").agg(
+        *[F.first(name).alias(name) for name in ("family", "shares", "high", "low", "text")]
+    ).select("family", "set_id", "shares", "high", "low", "text")
     return joined.mapInArrow(read, MEMBERS)
 
 

@@ -216,3 +216,18 @@ def test_contained_items_against_brute_force(spark):
     assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted(
         (row for row in docs if row[1] not in hit), key=str
     )
+
+
+def test_repeated_rows_give_one_set_to_their_family(spark):
+    text = " ".join(f"w{at}" for at in range(60))
+    rows = [(1, text)] * 600 + [(None, text + " more")] * 300 + [(2, "another text of six words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = jaccard_join.shingle_sets(docs, "doc_id", "text").dropDuplicates(["high", "low"])
+    members = sets.select(
+        F.lit(1).cast("long").alias("family"), F.xxhash64("high", "low").alias("set_id"),
+        F.lit(1).cast("long").alias("shares"), "high", "low", "id", "text_hash",
+    )
+    found = jaccard_join._family_sets(docs, members, "doc_id", "text")
+    assert sorted(len(row.hashes) for row in found.collect()) == [1, 56, 57]
+    counted = jaccard_join.similar_documents(docs).groupBy("id", "class_id", "n_links").count().collect()
+    assert {tuple(row) for row in counted} == {(1, 1, 899, 600), (None, 1, 899, 300), (2, 2, 0, 1)}
