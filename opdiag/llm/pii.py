@@ -36,7 +36,8 @@ PATTERNS = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE)))
 SUPPORT = 2
 GENERALISE = 0.8
 REMOVE = 0.95
-TERM = r"\p{L}[\p{L}\p{N}]{2,}"
+#: Every word is a term, with its combining marks; support and PMI decide.
+TERM = r"[\p{L}\p{N}][\p{L}\p{M}\p{N}]*+"
 
 _HASH, _PLACES, _TERMS = "__pii_text_hash", "__pii_places", "__pii_terms"
 
@@ -285,7 +286,7 @@ def _term_places(text: Column, terms: Column) -> Column:
     """Places of the listed terms that do not touch a base place's text."""
     words = F.array_join(F.transform(terms, lambda one: one["term"]), "|")
     pattern = F.concat(
-        F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), words, F.lit(r")(?![\p{L}\p{N}])")
+        F.lit(r"(?iu)(?<![\p{L}\p{M}\p{N}])(?:"), words, F.lit(r")(?![\p{L}\p{M}\p{N}])")
     )
     return F.when(terms.isNull(), F.array().cast(_PLACE)).otherwise(
         _places(F.coalesce(text, F.lit("")), pattern).cast(_PLACE)

@@ -222,6 +222,15 @@ def test_terms_go_wherever_they_stand_beside_the_entity(spark):
     assert clean[4] == "the name Novak [EMAIL]" and all(clean[key] == text for key, text in plain)
 
 
+def test_any_word_can_be_a_term(spark):
+    plain = [(at, f"some text of number {at}") for at in range(100, 160)]
+    named = [(1, "Ng 7x21 e\u0301va a@x.org"), (2, "a@x.org 7X21 E\u0301va NG")]
+    docs = spark.createDataFrame(plain + named, "doc_id long, text string")
+    clean = {row.doc_id: row.text for row in pii.sanitised(docs).collect()}
+    assert clean[1] == "   [EMAIL]" and clean[2] == "[EMAIL]   "
+    assert all(clean[key] == text for key, text in plain)
+
+
 def test_sanitised_rows_keep_their_columns(spark):
     docs = spark.createDataFrame(PERSONAL, "doc_id long, text string").select(
         F.lit(1).alias("id"), "text", "doc_id", F.lit(2).alias("terms")
