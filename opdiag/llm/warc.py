@@ -338,8 +338,19 @@ def resolved(records: DataFrame) -> DataFrame:
     return joined.withColumn("payload_bytes", F.coalesce("payload_bytes", "full_bytes")).drop("full_bytes")
 
 
+def verified(records: DataFrame) -> DataFrame:
+    """``records``; an error is raised for one that does not fit its digests."""
+    message = F.concat(F.lit("digests do not hold in "), F.coalesce("path", F.lit("no path")))
+    return records.filter(
+        F.when(F.col("digests_hold"), True).otherwise(F.raise_error(message).cast("boolean"))
+    )
+
+
 def round_trip(spark: SparkSession, pages: DataFrame, **columns) -> DataFrame:
-    """Writes ``pages`` as archives in the shared folder and returns the records read back."""
+    """Writes ``pages`` as archives in the shared folder and returns the records read back.
+
+    Reading a record that does not fit its digests fails.
+    """
     folder = scratch_path(spark, "warc")
     manifest = write_archives(plan_records(pages, **columns), folder)
-    return resolved(read_archives(manifest))
+    return resolved(verified(read_archives(manifest)))

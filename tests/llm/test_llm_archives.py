@@ -115,3 +115,12 @@ def test_query_returns_every_page(spark):
         data = (page.html or "").encode()
         assert rows[page.page_id].payload_bytes == len(data)
         assert rows[page.page_id].payload_digest == warc.base32_sha1(data)
+
+
+def test_records_that_do_not_verify_raise(spark):
+    good = spark.createDataFrame([("a", True)], "path string, digests_hold boolean")
+    bad = spark.createDataFrame([("b", False), ("c", None)], "path string, digests_hold boolean")
+    assert warc.verified(good).count() == 1
+    for path in ("b", "c"):
+        with pytest.raises(Exception, match="digests do not hold in " + path):
+            warc.verified(good.union(bad.filter(f"path = '{path}'"))).collect()
