@@ -34,8 +34,8 @@ class Fixed:
 
 class Ours:
     HISTORY_RUNS = 14
-    # How far back these runs are looked for when a range of days is judged; covers monthly tasks.
-    HISTORY_DAYS = 450
+    # How far back these runs are looked for when a range of days is judged; None: all days.
+    HISTORY_DAYS = None
     END_SHIFT_SECONDS = 30 * 60
     DURATION_HIGH = 2.0
     DURATION_LOW = 0.5

@@ -236,8 +236,8 @@ def duration_anomalies(
 ) -> DataFrame:
     """Successful runs far longer or shorter than the median of the task's preceding runs.
 
-    Days from ``since`` to ``until`` are judged, by default all; then only they and
-    ``history_days`` before them are read.
+    Days from ``since`` to ``until`` are judged, by default all. With ``history_days``
+    only so many days before ``since`` are read; rare tasks then have fewer predecessors.
     """
     good, wanted = _judged(runs, since, until, history_days)
     took, usual = F.col("duration_s"), F.col("usual")

@@ -191,6 +191,14 @@ def test_monthly_tasks_have_a_baseline_of_runs(spark):
     assert runs.duration_anomalies(frame, since="2023-12-01", until="2023-12-31").count() == 0
 
 
+def test_rare_tasks_are_judged_alike_with_since(spark):
+    made = [(f"{y}-{m:02d}-01 06:00:00", 10 if y < 2023 else 100, None) for y in range(2020, 2024) for m in (1, 4, 7, 10)]
+    frame = made_runs(spark, *made)
+    whole = rows(runs.duration_anomalies(frame).where("dt = '2023-10-01'"), "usual", "verdict")
+    ranged = runs.duration_anomalies(frame, since="2023-10-01", until="2023-10-01")
+    assert rows(ranged, "usual", "verdict") == whole == [(10.0, "long")]
+
+
 def test_baselines_against_brute_force(spark):
     draw = random.Random(8)
     made = [(f"2024-01-{draw.randint(1, 9):02d} {draw.randint(0, 3):02d}:{draw.randint(0, 59):02d}:00",
