@@ -13,9 +13,12 @@ from opdiag.llm import (
     decontamination,
     jaccard_join,
     language_id,
+    piece_bpe,
     pii,
+    prefix_trie,
     quality_model,
     quality_rules,
+    structure_repair,
     token_counts,
     toxicity,
     warc,
@@ -23,6 +26,7 @@ from opdiag.llm import (
 from opdiag.llm.samples import remainder
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +108,21 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def piece_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encode = piece_bpe.encoder(spark, PIECES)
+    encoded = table(spark, sf_dir, "documents").select("doc_id", encode("text").alias("encoded"))
+    return encoded.select("doc_id", "encoded.*")
+
+
+def prefix_trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+def structure_repair_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = structure_repair.damaged(table(spark, sf_dir, "conversations"))
+    return structure_repair.summaries(turns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts_query,
     "op2_byte_bpe": byte_bpe_query,
@@ -115,4 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": warc_query,
     "op9_toxicity": toxicity_query,
     "op10_jaccard_join": jaccard_join_query,
+    "op11_piece_bpe": piece_bpe_query,
+    "op12_prefix_trie": prefix_trie_query,
+    "op13_structure_repair": structure_repair_query,
 }

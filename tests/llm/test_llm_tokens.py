@@ -7,13 +7,15 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 import tiktoken
 from conftest import SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from opdiag.llm import byte_bpe, token_counts
+from opdiag.llm import byte_bpe, piece_bpe, token_counts
+from opdiag.llm.queries import PIECES as QUERY_PIECES
 from opdiag.llm.queries import QUERIES, RANKS
 
 with open(RANKS, "rb") as file:
@@ -152,3 +154,54 @@ def test_pieces_keep_words_whole(size):
 def test_rank_file_is_not_copied():
     assert base64.b64decode(CONTENT.split()[0])
     assert RANKS.startswith(public_tokenizers.path(""))
+
+
+PIECES = piece_bpe.Vocabulary(open(QUERY_PIECES, "rb").read())
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=QUERY_PIECES)
+
+
+def piece_digests(text):
+    ids = LIBRARY.encode(text or "")
+    return (
+        len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+        hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest(),
+    )
+
+
+@given(st.text(max_size=60) | st.text("abe th▁ \n1é北", max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_pieces_equal_the_public_library(text):
+    ids = PIECES.encode(text)
+    assert ids == LIBRARY.encode(text)
+    assert PIECES.decode(ids).decode() == LIBRARY.decode(ids)
+
+
+def test_long_words_and_runs_of_spaces_in_pieces(monkeypatch):
+    random.seed(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(random.choice(letters) for _ in range(20_000)), "a" * 5000, "the" * 2000]
+    texts += [" " * n + "x" for n in range(14, 36)] + ["ing" * 50 + " " * 40, "x " * 3000]
+    for text in texts:
+        assert PIECES.encode(text) == LIBRARY.encode(text)
+    monkeypatch.setattr(piece_bpe, "CHARS", 50)
+    for text in texts[1:] + ["北京 and more words. " * 40, "y" * 49, "y" * 50]:
+        assert PIECES.encode(text) == LIBRARY.encode(text)
+
+
+def test_pieces_of_odd_rows(spark):
+    docs = spark.createDataFrame(TEXTS, "doc_id long, text string").withColumn("ids", F.lit(1))
+    encode, decode = piece_bpe.encoder(spark, QUERY_PIECES, True), piece_bpe.decoder(spark, QUERY_PIECES)
+    rows = docs.select("text", encode("text").alias("e")).withColumn("back", decode("e.ids")).collect()
+    assert len(rows) == len(TEXTS)
+    for row in rows:
+        assert (row.e.n_tokens, row.e.ids_sha256, row.e.decoded_sha256) == piece_digests(row.text)
+        assert row.e.ids == LIBRARY.encode(row.text or "") and row.back == (row.text or "")
+    assert docs.limit(0).select(encode("text")).count() == 0
+
+
+def test_piece_query_covers_every_document(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    rows = QUERIES["op11_piece_bpe"](spark, SMALL).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        assert (row.n_tokens, row.ids_sha256, row.decoded_sha256) == piece_digests(texts[row.doc_id])
