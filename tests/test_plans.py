@@ -5,6 +5,7 @@ from contextlib import contextmanager
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from opdiag.defaults import Fixed
 from opdiag.operators import medians, runs, sized, storage
 from opdiag.suite import fixtures as fx
 from opdiag.suite.queries import QUERIES
@@ -51,7 +52,7 @@ def test_scans_read_only_what_is_needed(spark):
 def test_start_times_are_ranged_for_the_scan(spark, tmp_path):
     fx.task_instance(spark, SMALL).write.parquet(str(tmp_path / "i"))
     stored = spark.read.parquet(str(tmp_path / "i"))
-    plan = plan_of(stored.where(runs._before_cutoff("2024-01-10", False)))
+    plan = plan_of(stored.where(runs._before_cutoff("2024-01-10", False, Fixed.CUTOFF)))
     assert "PushedFilters" in plan and "GreaterThanOrEqual(start_time" in plan and "LessThan(start_time" in plan
 
 
