@@ -30,6 +30,9 @@ def join_lookup(
     aggregated by the same keys would be reused as it is, so the keys' hash joins them as a
     further key, which neither input is partitioned by.
     """
-    spread = F.xxhash64(*keys).alias("_spread")
+    name = "_spread"
+    while name in {*rows.columns, *lookup.columns}:
+        name += "_"
+    spread = F.xxhash64(*keys).alias(name)
     spread_lookup = lookup.select("*", spread)
-    return rows.select("*", spread).join(spread_lookup, [*keys, "_spread"], how).drop("_spread")
+    return rows.select("*", spread).join(spread_lookup, [*keys, name], how).drop(name)
