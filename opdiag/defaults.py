@@ -33,6 +33,7 @@ class Fixed:
 
 
 class Ours:
+    FILE_BYTES = 128 * MIB  # size that files of tables are brought to
     HISTORY_RUNS = 14
     # How far back these runs are looked for when a range of days is judged; None: all days.
     HISTORY_DAYS = None

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opdiag import schemas
-from opdiag.operators import closure, containers, lineage, runs, storage
+from opdiag.functions.classes import as_date
+from opdiag.operators import baselines, closure, containers, lineage, runs, storage
 from opdiag.operators.sized import cut
-from opdiag.sinks import relations, tables
+from opdiag.sinks import ledger, relations, tables
 from opdiag.sources import fsimage, logs
 
 REPORTS = {
@@ -81,14 +82,90 @@ def run_time_day(
     tables.append(report, table, schemas.DEPTASKS)
 
 
-def log_hour(
-    spark: SparkSession, folder: str, hour: str, table: str, zone: str = "UTC"
+def baseline_day(
+    runs: DataFrame,
+    day: str,
+    state_table: str,
+    duration_table: str,
+    end_time_table: str,
+    folder: str | None = None,
 ) -> None:
-    """Appends one clock hour of container state changes; ``hour`` is ``yyyy-MM-dd HH``."""
-    since = hour.replace(" ", "T") + ":00:00"
-    for kind, parse in (
-        (logs.NODE_MANAGER, containers.nm_container_transitions),
-        (logs.RESOURCE_MANAGER, containers.rm_container_transitions),
+    """Judges one day's runs against the state before it, and writes verdicts and the new state.
+
+    ``runs`` is partitioned by ``dt``; only the day's partition and the newest earlier state are
+    read. Without any state all earlier runs are folded into one first. Judging a day again gives
+    the same rows, since every day's state has its own partition; days come in order of time. New
+    tables lie below ``folder``, by default in the warehouse.
+    """
+    spark = runs.sparkSession
+    earlier = [key for key in tables.partition_values(spark, state_table, "dt") if key < day]
+    if earlier:
+        state = spark.table(state_table).where(F.col("dt") == max(earlier)).drop("dt")
+    else:
+        state = baselines.state_of(runs.where(F.col("dt") < as_date(day)))
+        state, _ = cut(state)
+    today = runs.where(F.col("dt") == as_date(day))
+    for table, judge in (
+        (duration_table, baselines.day_duration_anomalies),
+        (end_time_table, baselines.day_end_time_anomalies),
     ):
-        lines = containers.of_hour(logs.read_lines(spark, folder, kind, since), hour)
-        tables.append(parse(lines, zone), table, schemas.CONTAINER_STATE)
+        verdicts = judge(state, today).withColumn("dt", F.lit(day))
+        tables.overwrite_partitions(verdicts, table, ["dt"], location=_below(folder, table))
+    new = baselines.next_state(state, today).withColumn("dt", F.lit(day))
+    tables.overwrite_partitions(new, state_table, ["dt"], location=_below(folder, state_table))
+
+
+def _below(folder: str | None, table: str) -> str | None:
+    return None if folder is None else f"{folder}/{table}"
+
+
+KINDS = {
+    logs.NODE_MANAGER: containers.nm_container_transitions,
+    logs.RESOURCE_MANAGER: containers.rm_container_transitions,
+}
+_CHANGE = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schemas.CONTAINER_STATE)
+
+
+def log_hour(
+    spark: SparkSession,
+    folder: str,
+    hour: str,
+    target: str,
+    zone: str = "UTC",
+    all_files: bool = False,
+) -> int:
+    """Loads container state changes up to one clock hour; ``hour`` is ``yyyy-MM-dd HH``.
+
+    Files that were loaded before and have not changed since are not read again, so an hour can be
+    run any number of times; lines that arrive after their hour are loaded by the next run. Lines of
+    later hours are left for theirs. Files that have not changed since the hour began, in the session
+    time zone, hold none of its lines and are left out; ``all_files`` takes them too, after runs that
+    were missed. Returns the number of files read; ``logged`` has the rows.
+    """
+    files, since = 0, None if all_files else hour.replace(" ", "T") + ":00:00"
+    for kind, parse in KINDS.items():
+        found = ledger.listed(spark, folder, f"*{kind}*", since)
+
+        def read(names: list[str], parse=parse) -> DataFrame:
+            lines = logs.lines_of_files(spark, names)
+            return parse(lines, zone, keep=["file"]).withColumn(
+                "part", F.left("change_time", F.lit(13))
+            ).where(F.col("part") <= hour)
+
+        files += ledger.load_new(spark, found, read, f"{target}/{kind}", hour)
+    return files
+
+
+def logged(
+    spark: SparkSession, target: str, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """Loaded container state changes, optionally of the hours from ``since`` to ``until``."""
+    frames = []
+    for kind in KINDS:
+        rows = ledger.loaded(spark, f"{target}/{kind}", _CHANGE)
+        if since is not None:
+            rows = rows.where(F.col("part") >= since)
+        if until is not None:
+            rows = rows.where(F.col("part") <= until)
+        frames.append(rows.select(*schemas.CONTAINER_STATE.names))
+    return frames[0].unionByName(frames[1])

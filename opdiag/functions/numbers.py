@@ -33,3 +33,10 @@ def rank_bucket(value: Column, bits: int = 11) -> Column:
     shift = F.greatest(magnitude - (bits - 1), F.lit(0))
     lead = F.call_function("shiftright", size, shift) + shift * (1 << bits)
     return F.when(value < 0, -lead).otherwise(lead)
+
+
+def middle_of(values: Column) -> Column:
+    """Median of a sorted array."""
+    low = F.floor((F.size(values) - 1) / 2).cast("int")
+    high = F.floor(F.size(values) / 2).cast("int")
+    return F.get(values, low) / 2 + F.get(values, high) / 2

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ _NODE_LINE = _TIME + r".*Container ({container}) transitioned from (\w+) to (\w+
 _RESOURCE_LINE = _TIME + r".*({container}) Container Transitioned from (\w+) to (\w+).*$"
 _STORED_LINE = _TIME + r".*Storing application with id (application_\d+_\d+).*$"
 _FIRST_CONTAINER = "_01_000001"
+_APPLICATION_FIELD = _CUT + r"application(_\d+_\d+)" + _CUT
 
 
 def of_hour(lines: DataFrame, hour: str) -> DataFrame:
@@ -29,7 +32,7 @@ def _line(pattern: str, accept_epoch: bool) -> str:
     return pattern.replace("{container}", container)
 
 
-def _changes(fields: DataFrame, zone: str) -> DataFrame:
+def _changes(fields: DataFrame, zone: str, keep: Sequence[str]) -> DataFrame:
     """State changes from rows of ``f = [time, container, from, to]``."""
     container = F.col("f")[1]
     time = F.replace(F.col("f")[0], F.lit(","), F.lit("."))
@@ -41,29 +44,29 @@ def _changes(fields: DataFrame, zone: str) -> DataFrame:
         F.col("f")[3].alias("to_state"),
         time.alias("change_time"),
         epoch_millis(parsed(time), zone).alias("timestamp_ms"),
-        "server_ip",
-    ).select(*CONTAINER_STATE.names)
+        "server_ip", *keep,
+    ).select(*CONTAINER_STATE.names, *keep)
 
 
 def nm_container_transitions(
-    lines: DataFrame, zone: str = "UTC", accept_epoch: bool = False
+    lines: DataFrame, zone: str = "UTC", accept_epoch: bool = False, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Node-manager lines (``value``, ``server_ip``) as state changes; works on streams too.
 
     A cheap substring test drops most lines; one regex pass then cuts a line into its fields.
-    ``accept_epoch`` also takes container ids with an epoch part.
+    ``accept_epoch`` also takes container ids with an epoch part; columns to ``keep`` stay.
     """
     cut = F.regexp_replace(
         "value", _line(_NODE_LINE, accept_epoch), _CUT.join(("$1", "$2", "$3", "$4"))
     )
     fields = lines.where(F.col("value").contains(" transitioned from ")).select(
-        F.split(cut, _CUT).alias("f"), "server_ip"
+        F.split(cut, _CUT).alias("f"), "server_ip", *keep
     )
-    return _changes(fields, zone)
+    return _changes(fields, zone, keep)
 
 
 def rm_container_transitions(
-    lines: DataFrame, zone: str = "UTC", accept_epoch: bool = False
+    lines: DataFrame, zone: str = "UTC", accept_epoch: bool = False, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Resource-manager lines as state changes.
 
@@ -75,9 +78,9 @@ def rm_container_transitions(
         started, _line(_RESOURCE_LINE, accept_epoch), _CUT.join(("$1", "$2", "$3", "$4"))
     )
     named = F.regexp_replace(
-        cut, f"{_CUT}application(_\\d+_\\d+){_CUT}", f"{_CUT}container$1{_FIRST_CONTAINER}{_CUT}"
+        cut, _APPLICATION_FIELD, f"{_CUT}container$1{_FIRST_CONTAINER}{_CUT}"
     )
     fields = lines.where(
         F.col("value").contains(stored) | F.col("value").contains(moved)
-    ).select(F.split(named, _CUT).alias("f"), "server_ip")
-    return _changes(fields, zone)
+    ).select(F.split(named, _CUT).alias("f"), "server_ip", *keep)
+    return _changes(fields, zone, keep)

@@ -160,6 +160,35 @@ def large_scan(
     return read.join(open_stages, list(STAGE))
 
 
+def open_scans(stage_nodes: DataFrame, min_rows: int = Ours.LARGE_SCAN_ROWS) -> DataFrame:
+    """Scans without a partition filter that put out too many rows, with the stage that ran them.
+
+    ``stage_nodes`` ties plan nodes to stages (``sources.plangraph``), so that a pruned scan or
+    another stage of the same execution is not blamed.
+    """
+    unlimited = F.coalesce(
+        F.col("partition_filters") == "[]", F.col("detail").contains("PartitionFilters: []")
+    )
+    return stage_nodes.where(
+        F.col("node").startswith("Scan ") & unlimited & (F.col("rows_out") > min_rows)
+    ).select(*STAGE, "stage_attempt", "execution_id", "path", F.col("node").alias("scan"), "rows_out")
+
+
+def sorting_stages(
+    stage_nodes: DataFrame, stages: DataFrame, min_ms: int = Ours.SORT_STAGE_MS
+) -> DataFrame:
+    """Long stage attempts that ran a global sort themselves."""
+    sorts = stage_nodes.where(
+        (F.col("node") == "Sort") & F.col("detail").rlike(GLOBAL_SORT)
+    ).select(*STAGE, "stage_attempt").distinct()
+    return (
+        stages.withColumn("duration_ms", F.col("end_ms") - F.col("submit_ms"))
+        .where(F.col("duration_ms") > min_ms)
+        .join(sorts, [*STAGE, "stage_attempt"], "left_semi")
+        .select(*STAGE, "stage_attempt", "execution_id", "duration_ms")
+    )
+
+
 def mr_large_scan(tasks: DataFrame, min_rows: int = Ours.LARGE_SCAN_ROWS) -> DataFrame:
     """Jobs that read too many rows."""
     return (

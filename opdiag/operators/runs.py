@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opdiag.defaults import Fixed, Ours
 from opdiag.functions.classes import as_date
-from opdiag.functions.numbers import ratio, round_half_up
+from opdiag.functions.numbers import middle_of, ratio, round_half_up
 from opdiag.functions.times import seconds_between
 from opdiag.operators.sized import join_lookup
 
@@ -198,18 +198,11 @@ def _baseline(runs: DataFrame, value: str, count: int) -> DataFrame:
         rows.withColumn("_own", F.lit(True)).unionByName(carried)
         .withColumn("_values", F.sort_array(F.collect_list(value).over(before)))
         .where("_own and size(_values) > 0")
-        .withColumn("usual", _middle_of(F.col("_values")))
+        .withColumn("usual", middle_of(F.col("_values")))
         .select(*_TASK, "attempt_id", "start_time", "usual")
     )
 
 
-def _middle_of(values: Column) -> Column:
-    """Median of a sorted array."""
-    low = F.floor((F.size(values) - 1) / 2).cast("int")
-    high = F.floor(F.size(values) / 2).cast("int")
-    return F.get(values, low) / 2 + F.get(values, high) / 2
-
-
 def _judged(
     runs: DataFrame, since: str | None, until: str | None, history_days: int | None
 ) -> tuple[DataFrame, Column]:

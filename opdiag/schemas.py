@@ -90,6 +90,15 @@ APP_STAGE = _struct(
 APP_FAILURE = _struct(app_id=_S, unit=_S, end_ms=_L, failure_reason=_S)
 APP_JOB = _struct(app_id=_S, job_id=_I, execution_id=_L, submit_ms=_L, end_ms=_L)
 APP_PLAN = _struct(app_id=_S, execution_id=_L, plan=_S)
+# One row per node and metric; ``accumulator`` names the metric's counter.
+APP_PLAN_NODE = _struct(
+    app_id=_S, execution_id=_L, path=_S, node=_S, detail=_S, partition_filters=_S,
+    accumulator=_L, metric=_S,
+)
+STAGE_NODE = _struct(
+    app_id=_S, execution_id=_L, stage_id=_I, stage_attempt=_I, path=_S, node=_S, detail=_S,
+    partition_filters=_S, rows_out=_L,
+)
 APP_EXECUTOR = _struct(app_id=_S, executor_id=_S, cores=_I, start_ms=_L, end_ms=_L)
 APP_MEMORY = _struct(app_id=_S, driver_memory=_L, executor_memory=_L)
 APP_BROADCAST = _struct(app_id=_S, execution_id=_L, bytes=_L)

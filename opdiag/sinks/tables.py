@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,6 +16,20 @@ def compacted(rows: DataFrame, *by: str) -> DataFrame:
     return rows.hint("rebalance", *by)
 
 
+def _located(writer: DataFrameWriter, location: str | None) -> DataFrameWriter:
+    writer = writer.format("parquet")
+    return writer if location is None else writer.option("path", location)
+
+
+def partition_values(spark: SparkSession, table: str, key: str) -> list[str]:
+    """Values of a table's partition column, from the catalog; none if there is no table."""
+    if not spark.catalog.tableExists(table):
+        return []
+    listed = spark.sql(f"show partitions {table}")
+    value = F.regexp_extract("partition", f"{key}=([^/]+)", 1)
+    return sorted(row[0] for row in listed.select(value).distinct().collect())
+
+
 @contextmanager
 def _dynamic_partitions(spark: SparkSession):
     """Inserts into a catalog table follow the session's setting, not a writer option."""
@@ -33,12 +47,14 @@ def overwrite_partitions(
     table: str,
     partition_by: Sequence[str] = ("partition_key",),
     compact: bool = True,
+    location: str | None = None,
 ) -> None:
     """Replaces the partitions that occur in ``rows`` and keeps the others.
 
     Columns go by position into an existing table, as ``insert`` does; partition columns last.
     ``compact`` shuffles once more to even out file sizes; leave it off for one large partition
-    whose rows come from a scan or a shuffle, which are already of even size.
+    whose rows come from a scan or a shuffle, which are already of even size. A new table lies at
+    ``location``, by default in the warehouse.
     """
     partition_by = list(partition_by)
     spark = rows.sparkSession
@@ -46,26 +62,28 @@ def overwrite_partitions(
     if compact:
         ordered = compacted(ordered, *partition_by)
     if not spark.catalog.tableExists(table):
-        ordered.write.partitionBy(*partition_by).format("parquet").saveAsTable(table)
+        _located(ordered.write.partitionBy(*partition_by), location).saveAsTable(table)
         return
     with _dynamic_partitions(spark):
         ordered.write.insertInto(table, overwrite=True)
 
 
-def replace_table(rows: DataFrame, table: str) -> None:
+def replace_table(rows: DataFrame, table: str, location: str | None = None) -> None:
     """Drops and creates a table from a query."""
-    compacted(rows).write.mode("overwrite").format("parquet").saveAsTable(table)
+    _located(compacted(rows).write.mode("overwrite"), location).saveAsTable(table)
 
 
-def publish_export(spark: SparkSession, report_table: str, export_table: str) -> None:
+def publish_export(
+    spark: SparkSession, report_table: str, export_table: str, location: str | None = None
+) -> None:
     """Writes all partitions of a report as an export table."""
-    replace_table(export_history(spark.table(report_table)), export_table)
+    replace_table(export_history(spark.table(report_table)), export_table, location)
 
 
-def append(rows: DataFrame, table: str, schema: StructType) -> None:
+def append(rows: DataFrame, table: str, schema: StructType, location: str | None = None) -> None:
     """Appends rows by column name, cast to the table's schema."""
     shaped = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    shaped.write.mode("append").format("parquet").saveAsTable(table)
+    _located(shaped.write.mode("append"), location).saveAsTable(table)
 
 
 def _of_partitions(current: DataFrame, touched: DataFrame) -> DataFrame:

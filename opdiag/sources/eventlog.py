@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opdiag.defaults import Ours
 from opdiag.schemas import (
     APP_BROADCAST,
     APP_EXECUTOR,
@@ -20,6 +21,7 @@ from opdiag.schemas import (
     APP_STAGE,
     JOB_TASK,
 )
+from opdiag.sinks import ledger
 
 # How application ids look in the names of logs or, for rolling logs, their folders.
 APP_IN_NAME = r"(application_\d+_\d+|app-\d+-\d+|local-\d+)"
@@ -52,11 +54,16 @@ _PLAN = "executionId bigint, physicalPlanDescription string"
 _ACCUMULATED = "executionId bigint, accumUpdates array<array<bigint>>"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Event lines with the application id found at the end of the file's path."""
+    return _read(spark, path).drop("file")
+
+
+def _read(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ids = F.regexp_extract_all("_metadata.file_path", F.lit(APP_IN_NAME), F.lit(1))
     return spark.read.option("recursiveFileLookup", True).text(path).select(
-        "value", F.try_element_at(ids, F.lit(-1)).alias("app_id")
+        "value", F.try_element_at(ids, F.lit(-1)).alias("app_id"),
+        F.col("_metadata.file_path").alias("file"),
     )
 
 
@@ -77,30 +84,61 @@ def land(lines: DataFrame, folder: str, day: str) -> None:
     Every table then reads the partitions of its kinds only, in place of all text. The day is that
     of the collection; landing a day again replaces it.
     """
-    kind = F.regexp_extract("value", r'^\{"Event":"[A-Za-z.]*?(SparkListener[A-Za-z]+)"', 1)
     (
-        lines.select("app_id", "value", F.lit(day).alias("day"), kind.alias("kind"))
-        .where(F.col("kind").isin(*KINDS))
+        _by_kind(lines).withColumn("day", F.lit(day)).hint("rebalance", "kind")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("day", "kind").parquet(folder)
     )
 
 
+def _by_kind(lines: DataFrame) -> DataFrame:
+    """Lines of the known kinds."""
+    kind = F.regexp_extract("value", r'^\{"Event":"[A-Za-z.]*?(SparkListener[A-Za-z]+)"', 1)
+    return lines.withColumn("kind", kind).where(F.col("kind").isin(*KINDS))
+
+
+def land_new(
+    spark: SparkSession, logs: str, target: str, file_bytes: int = Ours.FILE_BYTES
+) -> int:
+    """Lands files of a log folder that are new or have grown, each version once.
+
+    Lines are brought together by kind, in partitions of about ``file_bytes`` before compression, so
+    the number of files written does not depend on how many applications there are. Returns the
+    number of files read.
+    """
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+
+    def read(files: list[str]) -> DataFrame:
+        return _by_kind(_read(spark, files)).withColumn("part", F.lit("")).hint("rebalance", "kind")
+
+    spark.conf.set(key, str(file_bytes))
+    try:
+        return ledger.load_new(spark, ledger.listed(spark, logs), read, target, partition_by=["kind"])
+    finally:
+        spark.conf.set(key, before)
+
+
+def landed_new(spark: SparkSession, target: str) -> DataFrame:
+    """Lines of the newest version of every landed file, for the tables below."""
+    return ledger.loaded(spark, target, "app_id string, value string, kind string").drop("part", "file")
+
+
 def landed(spark: SparkSession, folder: str, day: str) -> DataFrame:
     """Lines that were landed on a day, for the tables below."""
     shape = "app_id string, value string, day string, kind string"
     return spark.read.schema(shape).parquet(folder).where(F.col("day") == day)
 
 
-def _of_kind(lines: DataFrame, *kinds: str) -> DataFrame:
+def of_kind(lines: DataFrame, *kinds: str) -> DataFrame:
     """Lines of some kinds: by partition if they have landed, else by the head of each line."""
     if "kind" in lines.columns:
         return lines.where(F.col("kind").isin(*kinds))
     return lines.where(F.col("value").rlike(f'^\\{{"Event":"[A-Za-z.]*({"|".join(kinds)})"'))
 
 
-def _events(lines: DataFrame, kind: str | tuple[str, ...], schema: str) -> DataFrame:
-    chosen = _of_kind(lines, *([kind] if isinstance(kind, str) else kind))
+def parsed(lines: DataFrame, kind: str | tuple[str, ...], schema: str) -> DataFrame:
+    chosen = of_kind(lines, *([kind] if isinstance(kind, str) else kind))
     return chosen.select("app_id", F.from_json("value", schema).alias("e")).select("app_id", "e.*")
 
 
@@ -123,7 +161,7 @@ def memory(lines: DataFrame) -> DataFrame:
         for role in ("driver", "executor")
     ]
     return (
-        _events(lines, "SparkListenerEnvironmentUpdate", _ENVIRONMENT)
+        parsed(lines, "SparkListenerEnvironmentUpdate", _ENVIRONMENT)
         .select("app_id", *sizes)
         .groupBy("app_id")
         .agg(*[F.max(name).alias(name) for name in ("driver_memory", "executor_memory")])
@@ -142,7 +180,7 @@ def tasks(lines: DataFrame) -> DataFrame:
     detail = F.concat_ws(": ", reason["Reason"], reason["Class Name"], F.coalesce(
         reason["Description"], reason["Message"], reason["Loss Reason"], reason["Kill Reason"]
     ))
-    ended = _events(lines, "SparkListenerTaskEnd", _TASK_END).select(
+    ended = parsed(lines, "SparkListenerTaskEnd", _TASK_END).select(
         "app_id",
         F.col("Stage ID").alias("stage_id"),
         F.col("Task Type").alias("kind"),
@@ -175,7 +213,7 @@ def tasks(lines: DataFrame) -> DataFrame:
 
 def _job_starts(lines: DataFrame) -> DataFrame:
     execution = F.try_element_at("Properties", F.lit("spark.sql.execution.id"))
-    return _events(lines, "SparkListenerJobStart", _JOB_START).select(
+    return parsed(lines, "SparkListenerJobStart", _JOB_START).select(
         "app_id",
         F.col("Job ID").alias("job_id"),
         execution.try_cast("bigint").alias("execution_id"),
@@ -186,7 +224,7 @@ def _job_starts(lines: DataFrame) -> DataFrame:
 
 def jobs(lines: DataFrame) -> DataFrame:
     """Finished jobs and their times."""
-    ends = _events(lines, "SparkListenerJobEnd", _JOB_END).select(
+    ends = parsed(lines, "SparkListenerJobEnd", _JOB_END).select(
         "app_id", F.col("Job ID").alias("job_id"), F.col("Completion Time").alias("end_ms")
     )
     return _job_starts(lines).join(ends, ["app_id", "job_id"]).select(*APP_JOB.names)
@@ -195,7 +233,7 @@ def jobs(lines: DataFrame) -> DataFrame:
 def job_failures(lines: DataFrame) -> DataFrame:
     """Jobs that did not succeed, with the first line of their reason: ``APP_FAILURE``."""
     result = F.col("Job Result")
-    return _events(lines, "SparkListenerJobEnd", _JOB_END).where(
+    return parsed(lines, "SparkListenerJobEnd", _JOB_END).where(
         result["Result"] != "JobSucceeded"
     ).select(
         "app_id", F.concat(F.lit("job "), F.col("Job ID")).alias("unit"),
@@ -206,7 +244,7 @@ def job_failures(lines: DataFrame) -> DataFrame:
 
 def sql_execution_failures(lines: DataFrame) -> DataFrame:
     """SQL executions that ended with an error, analysis errors included: ``APP_FAILURE``."""
-    return _events(lines, "SparkListenerSQLExecutionEnd", _SQL_END).where(
+    return parsed(lines, "SparkListenerSQLExecutionEnd", _SQL_END).where(
         F.length("errorMessage") > 0
     ).select(
         "app_id", F.concat(F.lit("execution "), F.col("executionId")).alias("unit"),
@@ -216,7 +254,7 @@ def sql_execution_failures(lines: DataFrame) -> DataFrame:
 
 def executor_losses(lines: DataFrame) -> DataFrame:
     """Executors that were removed, with the reason: ``APP_FAILURE``."""
-    return _events(lines, "SparkListenerExecutorRemoved", _EXECUTOR_REMOVED).select(
+    return parsed(lines, "SparkListenerExecutorRemoved", _EXECUTOR_REMOVED).select(
         "app_id", F.concat(F.lit("executor "), F.col("Executor ID")).alias("unit"),
         F.col("Timestamp").alias("end_ms"), F.col("Removed Reason").alias("failure_reason"),
     ).select(*APP_FAILURE.names)
@@ -235,7 +273,7 @@ def stages(lines: DataFrame) -> DataFrame:
     ``stage_jobs`` has the other jobs of a shared stage.
     """
     done = F.col("Stage Info")
-    completed = _events(lines, "SparkListenerStageCompleted", _STAGE_DONE).select(
+    completed = parsed(lines, "SparkListenerStageCompleted", _STAGE_DONE).select(
         "app_id",
         done["Stage ID"].alias("stage_id"),
         F.coalesce(done["Stage Attempt ID"], F.lit(0)).alias("stage_attempt"),
@@ -256,23 +294,23 @@ def executors(lines: DataFrame) -> DataFrame:
     Only in local mode an executor is named driver. Elsewhere the driver gets a row of its own:
     the cores it was given, one by default, for the time of the application.
     """
-    added = _events(lines, "SparkListenerExecutorAdded", _EXECUTOR_ADDED).select(
+    added = parsed(lines, "SparkListenerExecutorAdded", _EXECUTOR_ADDED).select(
         "app_id",
         F.col("Executor ID").alias("executor_id"),
         F.col("Executor Info")["Total Cores"].alias("cores"),
         F.col("Timestamp").alias("start_ms"),
     )
-    removed = _events(lines, "SparkListenerExecutorRemoved", _EXECUTOR_REMOVED).select(
+    removed = parsed(lines, "SparkListenerExecutorRemoved", _EXECUTOR_REMOVED).select(
         "app_id", F.col("Executor ID").alias("executor_id"), F.col("Timestamp").alias("removed_ms")
     )
-    ended = _events(lines, "SparkListenerApplicationEnd", _APP_END).select(
+    ended = parsed(lines, "SparkListenerApplicationEnd", _APP_END).select(
         "app_id", F.col("Timestamp").alias("app_end_ms")
     )
-    settings = _events(lines, "SparkListenerEnvironmentUpdate", _ENVIRONMENT).select(
+    settings = parsed(lines, "SparkListenerEnvironmentUpdate", _ENVIRONMENT).select(
         "app_id",
         F.try_element_at("Spark Properties", F.lit("spark.driver.cores")).try_cast("int").alias("set"),
     ).groupBy("app_id").agg(F.max("set").alias("set"))
-    begun = _events(lines, "SparkListenerApplicationStart", _APP_START).select(
+    begun = parsed(lines, "SparkListenerApplicationStart", _APP_START).select(
         "app_id", F.col("Timestamp").alias("start_ms")
     )
     drivers = (
@@ -290,12 +328,15 @@ def executors(lines: DataFrame) -> DataFrame:
 
 
 # Both events carry a plan.
-_PLANNED = ("SparkListenerSQLExecutionStart", "SparkListenerSQLAdaptiveExecutionUpdate")
+PLANNED = ("SparkListenerSQLExecutionStart", "SparkListenerSQLAdaptiveExecutionUpdate")
 
 
 def plans(lines: DataFrame) -> DataFrame:
-    """Plan text of SQL executions; re-planned versions are rows of their own."""
-    return _events(lines, _PLANNED, _PLAN).select(
+    """Plan text of SQL executions; re-planned versions are rows of their own.
+
+    A line that is no readable event has none.
+    """
+    return parsed(lines, PLANNED, _PLAN).where("executionId is not null").select(
         "app_id",
         F.col("executionId").alias("execution_id"),
         F.col("physicalPlanDescription").alias("plan"),
@@ -312,13 +353,13 @@ def broadcasts(lines: DataFrame) -> DataFrame:
         "value", F.lit(r'"name":"data size","accumulatorId":(\d+)'), F.lit(1)
     )
     sizes = (
-        _of_kind(lines, *_PLANNED)
+        of_kind(lines, *PLANNED)
         .select("app_id", F.explode(named).alias("id"))
         .select("app_id", F.col("id").cast("bigint").alias("accumulator"))
         .distinct()
     )
     reported = (
-        _events(lines, "SparkListenerDriverAccumUpdates", _ACCUMULATED)
+        parsed(lines, "SparkListenerDriverAccumUpdates", _ACCUMULATED)
         .select("app_id", "executionId", F.explode("accumUpdates").alias("u"))
         .select(
             "app_id",

@@ -36,3 +36,11 @@ def read_lines(
     if server_ip is not None:
         return lines.withColumn("server_ip", F.lit(server_ip))
     return with_host(lines)
+
+
+def lines_of_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Lines of the given files, with their host and their file."""
+    return spark.read.text(files).select(
+        "value", F.regexp_extract("_metadata.file_name", HOST_IN_NAME, 1).alias("server_ip"),
+        F.col("_metadata.file_path").alias("file"),
+    )

@@ -540,3 +540,99 @@ def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         both = both.unionByName(frame)
     # application ids as they look in file names
     return both.select("value", F.concat(F.lit("app-1700000000-"), F.substring("app_id", 5, 9)).alias("app"))
+
+
+def plan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-log lines of stages, plans, broadcasts and memory, by application.
+
+    An execution has four stages: the first reads a table without a partition filter, the second
+    one with a filter, the third sorts (globally in every third execution), the fourth does neither.
+    The plan's scans lie below ten nodes with one child each.
+    """
+    c = F.col
+    listener, sql = "SparkListener", "org.apache.spark.sql.execution.ui.SparkListener"
+    stage = sparse_stage(spark, sf_dir).withColumn("execution", F.floor(c("stage_id") / 4))
+    first, kind = c("execution") * 10, c("stage_id") % 4
+
+    def accumulator(number: Column, value: Column) -> Column:
+        return F.struct(number.cast("bigint").alias("ID"), value.cast("string").alias("Value"))
+
+    worked = F.when(kind == 3, F.array(accumulator(first + 9, F.lit(1)))).otherwise(
+        F.array(accumulator(first + kind, (c("end_ms") - c("submit_ms")) * 5))
+    )
+    completed = F.to_json(F.struct(
+        F.lit(listener + "StageCompleted").alias("Event"),
+        F.struct(
+            c("stage_id").alias("Stage ID"), F.lit(0).alias("Stage Attempt ID"),
+            c("submit_ms").alias("Submission Time"), c("end_ms").alias("Completion Time"),
+            worked.alias("Accumulables"),
+        ).alias("Stage Info"),
+    ))
+    execution = stage.groupBy("app_id", "execution").agg(
+        F.collect_list("stage_id").alias("stages"), F.min("submit_ms").alias("submit_ms")
+    )
+
+    def node(name: Column | str, detail: Column | str, metrics: list, children: list, filters=None) -> Column:
+        values = [value if isinstance(value, Column) else F.lit(value) for value in (name, detail)]
+        named = [
+            F.struct(F.lit(what).alias("name"), (c("execution") * 10 + at).alias("accumulatorId"))
+            for what, at in metrics
+        ]
+        return F.struct(
+            values[0].alias("nodeName"), values[1].alias("simpleString"),
+            (F.array(*children) if children else F.array().cast("array<string>")).alias("children"),
+            F.create_map(F.lit("PartitionFilters"), F.lit(filters)).alias("metadata"),
+            (F.array(*named) if named else F.array().cast("array<string>")).alias("metrics"),
+        )
+
+    rows = "number of output rows"
+    scans = [
+        node("Scan parquet t.open", "FileScan parquet t.open[a#1]", [(rows, 0)], [], "[]"),
+        node("Scan parquet t.pruned", "FileScan parquet t.pruned[a#1]", [(rows, 1)], [],
+             "[isnotnull(dt#2)]"),
+    ]
+    tree = node("SortMergeJoin", "SortMergeJoin [a#1], [a#1], Inner", [(rows, 8)], scans)
+    for _ in range(9):
+        tree = node("Project", "Project [a#1]", [], [tree])
+    order = _text("Sort [a#1 ASC NULLS FIRST], ", F.when(c("execution") % 3 == 0, "true").otherwise("false"), ", 0")
+    tree = node("Sort", order, [("sort time", 2)], [tree])
+    exchange = F.when(c("execution") % 2 == 0, _text(
+        '{"name":"data size","accumulatorId":', c("execution") * 10 + 7, "}"
+    )).otherwise("none")
+    started = F.to_json(F.struct(
+        F.lit(sql + "SQLExecutionStart").alias("Event"), c("execution").alias("executionId"),
+        _text("plan of ", c("execution")).alias("physicalPlanDescription"),
+        tree.alias("sparkPlanInfo"),
+    ))
+    # the size of a broadcast is named by a node further down, which only broadcasts() looks for
+    replanned = F.concat(
+        F.lit('{"Event":"' + sql + 'SQLAdaptiveExecutionUpdate","executionId":'), c("execution"),
+        F.lit(',"physicalPlanDescription":"again","sparkPlanInfo":{"nodeName":"Exchange","children":[],"metrics":['),
+        exchange, F.lit("]}}"),
+    )
+    updates = F.array(F.array(c("execution") * 10 + 7, c("submit_ms") * 1000), F.array(c("execution") * 10 + 6, F.lit(5).cast("bigint")))
+    driver = F.to_json(F.struct(
+        F.lit(sql + "DriverAccumUpdates").alias("Event"), c("execution").alias("executionId"),
+        updates.alias("accumUpdates"),
+    ))
+    job = F.to_json(F.struct(
+        F.lit(listener + "JobStart").alias("Event"), c("execution").alias("Job ID"),
+        c("submit_ms").alias("Submission Time"), c("stages").alias("Stage IDs"),
+        F.create_map(F.lit("spark.sql.execution.id"), c("execution").cast("string")).alias("Properties"),
+    ))
+    memory = F.to_json(F.struct(
+        F.lit(listener + "EnvironmentUpdate").alias("Event"),
+        F.create_map(F.lit("spark.driver.memory"), F.lit("2g"), F.lit("spark.executor.memory"), F.lit("3g"))
+        .alias("Spark Properties"),
+    ))
+    broken = c("execution") % 2 == 1  # a plan that cannot be read
+    lines = [
+        stage.select("app_id", completed.alias("value")),
+        execution.select("app_id", F.explode(F.array(started, job, driver)).alias("value")),
+        execution.select("app_id", F.when(broken, F.left(replanned, F.length(replanned) - 3)).otherwise(replanned).alias("value")),
+        execution.select("app_id").distinct().select("app_id", memory.alias("value")),
+    ]
+    both = lines[0]
+    for frame in lines[1:]:
+        both = both.unionByName(frame)
+    return both.select("value", F.concat(F.lit("app-1700000000-"), F.substring("app_id", 5, 9)).alias("app"))

@@ -72,3 +72,48 @@ select {_APP} as app_id, 'executor ' || executor_id as unit, b as end_ms,
        'Container killed by ' || executor_id || ' for exceeding memory limits' as failure_reason
 from fx_exec where executor_id <> 'driver'""",
 }
+
+_PLANNED = f"""{oracle_jobs.SPARSE},
+fx_execution as (select {_APP} as app_id, cast(stage_id // 4 as bigint) as execution_id, min(a) as a
+                 from fx_span group by app_id, stage_id // 4),
+fx_node(path, node, detail, partition_filters, metric, k) as (
+  select * from (values
+    ('0', 'Sort', 'sort', null, 'sort time', 2),
+    (repeat('0.', 10) || '0', 'SortMergeJoin', 'SortMergeJoin [a#1], [a#1], Inner', null, 'number of output rows', 8),
+    (repeat('0.', 11) || '0', 'Scan parquet t.open', 'FileScan parquet t.open[a#1]', '[]', 'number of output rows', 0),
+    (repeat('0.', 11) || '1', 'Scan parquet t.pruned', 'FileScan parquet t.pruned[a#1]', '[isnotnull(dt#2)]',
+     'number of output rows', 1)) v
+  union all select repeat('0.', i) || '0', 'Project', 'Project [a#1]', null, null, null from range(1, 10) r(i)
+  union all select '0', 'Exchange', null, null, 'data size', 7),
+fx_plan_node as (
+  select app_id, execution_id, path, node,
+         case when detail = 'sort' then 'Sort [a#1 ASC NULLS FIRST], '
+              || case when execution_id % 3 = 0 then 'true' else 'false' end || ', 0' else detail end as detail,
+         partition_filters, execution_id * 10 + k as accumulator, metric
+  from fx_execution, fx_node where node <> 'Exchange' or execution_id % 2 = 0),
+fx_stage_node as (
+  select n.app_id, n.execution_id, stage_id, 0 as stage_attempt, path, node, detail, partition_filters,
+         case when metric = 'number of output rows' then (b - a) * 5 end as rows_out, a, b
+  from fx_plan_node n join (select {_APP} as app_id, stage_id, a, b from fx_span) s
+    on s.app_id = n.app_id and n.execution_id = s.stage_id // 4 and n.accumulator = n.execution_id * 10 + s.stage_id % 4
+  where s.stage_id % 4 <> 3)"""
+_BROADCAST = "execution_id % 2 = 0"  # only these plans name the size of a broadcast in readable JSON
+SQL |= {
+    "event_log_plan_nodes": f"with {_PLANNED} select * from fx_plan_node",
+    "event_log_stage_nodes": f"with {_PLANNED} select * exclude (a, b) from fx_stage_node",
+    "event_log_plans": f"""with {_PLANNED}
+select app_id, execution_id, 'plan of ' || execution_id as plan from fx_execution
+union all select app_id, execution_id, 'again' from fx_execution where {_BROADCAST}""",
+    "event_log_broadcasts": f"""with {_PLANNED}
+select app_id, execution_id, a * 1000 as bytes from fx_execution where {_BROADCAST}""",
+    "event_log_broadcast_risk": f"""with {_PLANNED},
+total as (select app_id, cast(sum(a * 1000) as bigint) as broadcast_bytes from fx_execution where {_BROADCAST} group by app_id)
+select app_id, broadcast_bytes, cast(2147483648 as bigint) as memory, broadcast_bytes / 2147483648.0::double as broadcast_share
+from total where broadcast_bytes / 2147483648.0::double > 0.3::double""",
+    "spark_open_scan": f"""with {_PLANNED}
+select app_id, stage_id, stage_attempt, execution_id, path, node as scan, rows_out from fx_stage_node
+where node = 'Scan parquet t.open' and rows_out > 10000000""",
+    "spark_sorting_stage": f"""with {_PLANNED}
+select app_id, stage_id, stage_attempt, execution_id, b - a as duration_ms from fx_stage_node
+where node = 'Sort' and execution_id % 3 = 0 and b - a > 1800000""",
+}

@@ -15,59 +15,35 @@ fx_query_record as (
          || '     cardinality=' || (o_orderkey * 1000) || chr(10) as plan
   from orders)"""
 
-_LOG_TIME = "substr(cast(ts as varchar), 1, 19) || ',' || lpad(cast(event_id % 1000 as varchar), 3, '0')"
-_USER = "lpad(cast(user_id as varchar), 4, '0')"
-_CONTAINER = f"'container_1700000000000_' || {_USER} || '_01_' || lpad(cast(event_id as varchar), 6, '0')"
+# The expected changes come from the events that the log lines are made of; no line is parsed.
+_CHANGE = """
+change as (
+  select *, lpad(cast(user_id as varchar), 4, '0') as app, lpad(cast(event_id as varchar), 6, '0') as number,
+         substr(cast(ts as varchar), 1, 19) || '.' || lpad(cast(event_id % 1000 as varchar), 3, '0') as change_time,
+         epoch_ms(date_trunc('second', ts)) + event_id % 1000 as timestamp_ms
+  from events where event_type <> 'error')"""
 
-FX_RM_LOG = f"""
-fx_log as (
-  select {_LOG_TIME} || case
-           when event_type = 'signup' then ' INFO x.RMStateStore: Storing application with id application_1700000000000_' || {_USER}
-           when event_type = 'error' then ' WARN noise'
-           else ' INFO x.RMContainerImpl: ' || {_CONTAINER} || ' Container Transitioned from NEW to ' || upper(event_type) end
-           as value,
-         'rm-host-' || (user_id % 3) as server_ip
-  from events)"""
 
-FX_NM_LOG = f"""
-fx_log as (
-  select {_LOG_TIME} || case when event_type = 'error' then ' WARN noise'
-           else ' INFO x.ContainerImpl: Container ' || {_CONTAINER} || ' transitioned from LOCALIZING to ' || upper(event_type) end
-           as value,
-         'nm-host-' || (user_id % 3) as server_ip
-  from events)"""
+def _changed(first: str, number: str, from_state: str, to_state: str, host: str) -> str:
+    return f"""select '{first}_' || app as application_id, 'container_1700000000000_' || app || '_01_' || {number}
+       as container_id, {from_state} as from_state, {to_state} as to_state, change_time, timestamp_ms,
+       '{host}' || (user_id % 3) as server_ip from change"""
 
-_TIME = r"^(\d+-\d+-\d+\s\d+:\d+:\d+,\d+)"
 
+def rm_sql(where: str = "true") -> str:
+    """Every change of a container, and the birth of an application on signup."""
+    stored = "event_type = 'signup'"
+    number = f"case when {stored} then '000001' else number end"
+    states = f"case when {stored} then 'INIT' else 'NEW' end", f"case when {stored} then 'NEW' else upper(event_type) end"
+    changed = _changed("application_1700000000000", number, *states, "rm-host-")
+    return f"with {_CHANGE} {changed} where {where}"
 
-def _columns(container: str, from_state: str, to_state: str) -> str:
-    return f"""'application_' || regexp_extract({container}, 'container_(\\d+_\\d+)_\\d+_\\d+', 1) as application_id,
-       {container} as container_id, {from_state} as from_state, {to_state} as to_state,
-       replace(t, ',', '.') as change_time, epoch_ms(cast(replace(t, ',', '.') as timestamp)) as timestamp_ms,
-       server_ip"""
 
-
-def rm_sql(fixture: str = FX_RM_LOG, where: str = "true") -> str:
-    stored = _TIME + r".*Storing application with id (application_\d+_\d+)"
-    moved = _TIME + r".*(container_\d+_\d+_\d+_\d+) Container Transitioned from (\w+) to (\w+)"
-    return f"""with {fixture},
-line as (select *, regexp_extract(value, '{stored}', 1) as st, regexp_extract(value, '{stored}', 2) as app,
-                regexp_extract(value, '{moved}', 1) as mt, regexp_extract(value, '{moved}', 2) as cid,
-                regexp_extract(value, '{moved}', 3) as f, regexp_extract(value, '{moved}', 4) as g
-         from fx_log where {where}),
-named as (select server_ip, st as t, replace(app, 'application', 'container') || '_01_000001' as c, 'INIT' as f, 'NEW' as g
-          from line where st <> ''
-          union all select server_ip, mt, cid, f, g from line where st = '' and mt <> '')
-select {_columns('c', 'f', 'g')} from named"""
-
-
-def nm_sql(fixture: str = FX_NM_LOG, where: str = "true") -> str:
-    moved = _TIME + r".*Container (container_\d+_\d+_\d+_\d+) transitioned from (\w+) to (\w+)"
-    return f"""with {fixture},
-line as (select server_ip, regexp_extract(value, '{moved}', 1) as t, regexp_extract(value, '{moved}', 2) as c,
-                regexp_extract(value, '{moved}', 3) as f, regexp_extract(value, '{moved}', 4) as g
-         from fx_log where {where})
-select {_columns('c', 'f', 'g')} from line where t <> ''"""
+def nm_sql(where: str = "true") -> str:
+    changed = _changed(
+        "application_1700000000000", "number", "'LOCALIZING'", "upper(event_type)", "nm-host-"
+    )
+    return f"with {_CHANGE} {changed} where {where}"
 
 
 SQL = {
@@ -96,7 +72,14 @@ select table_name, count(distinct query_id) as query_count from named where tabl
 group by table_name order by query_count desc, table_name""",
     "rm_container_transitions": rm_sql(),
     "nm_container_transitions": nm_sql(),
-    "rm_hour_transitions": rm_sql(where="starts_with(value, '2024-01-05 10')"),
+    "rm_hour_transitions": rm_sql("starts_with(change_time, '2024-01-05 10')"),
     "rm_container_stream": rm_sql(),
     "nm_container_stream": nm_sql(),
+    "rm_container_stream_state": f"""with change as ({rm_sql()}),
+clock as (select server_ip, right(container_id, 1) as part, max(timestamp_ms) as newest from change
+          where substr(change_time, 12, 2) >= '12' group by all)
+select change.*, coalesce(substr(change_time, 12, 2) < '12' and timestamp_ms < newest - 3600000, false) as late
+from change left join clock on clock.server_ip = change.server_ip and part = right(container_id, 1)""",
+    "log_hour_repeated": f"select * from ({nm_sql()}) union all select * from ({rm_sql()})",
+    "log_files_by_name": nm_sql("user_id % 3 <> 0"),
 }

@@ -104,3 +104,8 @@ where dt between date '2024-01-21' and date '2024-01-30' group by process_id, ta
     "wf_long_running": f"""with {FX_RUN}
 select process_id, task_name, dt, attempt_id, state, start_time, duration_s from fx_run where duration_s > 7200""",
 }
+_DAYS = "dt in (date '2024-01-28', date '2024-01-29', date '2024-01-30')"
+SQL |= {
+    f"{name}_daily": f"select * from ({SQL[name]}) where {_DAYS}"
+    for name in ("wf_end_time_anomaly", "wf_duration_anomaly")
+}

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opdiag import schemas
+from opdiag import flows, schemas
 from opdiag.defaults import Ours
 from opdiag.functions.paths import in_warehouse
 from opdiag.operators import (
@@ -26,7 +27,7 @@ from opdiag.operators.sized import cut
 from opdiag.plans import scans
 from opdiag.session import scratch_path
 from opdiag.sinks import relations
-from opdiag.sources import eventlog, fsimage, scheduler
+from opdiag.sources import eventlog, fsimage, logs, plangraph, scheduler
 from opdiag.streaming import containers as streams
 from opdiag.suite import fixtures as fx
 
@@ -93,6 +94,24 @@ def _streamed(lines: Callable, parse: Callable) -> Query:
     return run
 
 
+def _deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of the stream with state: the afternoons, the mornings, then all lines again."""
+    folder = scratch_path(spark, "container-state")
+    lines = fx.rm_log(spark, sf_dir)
+    morning = F.substring("value", 12, 2) < "12"
+    for part in (lines.where(~morning), lines.where(morning), lines):
+        part.write.mode("append").partitionBy("server_ip").text(f"{folder}/lines")
+        tagged = spark.readStream.schema("value string, server_ip string").text(f"{folder}/lines")
+        streams.collect_distinct(
+            tagged, containers.rm_container_transitions, f"{folder}/changes", f"{folder}/progress",
+            part=F.right("container_id", F.lit(1)),
+        ).awaitTermination()
+    changes = f"{folder}/changes"
+    return streams.on_time(spark, changes).withColumn("late", F.lit(False)).unionByName(
+        streams.late_changes(spark, changes).withColumn("late", F.lit(True))
+    )
+
+
 LOGS: dict[str, Query] = {
     "rm_container_transitions": lambda s, d: containers.rm_container_transitions(fx.rm_log(s, d)),
     "nm_container_transitions": lambda s, d: containers.nm_container_transitions(fx.nm_log(s, d)),
@@ -101,6 +120,7 @@ LOGS: dict[str, Query] = {
     ),
     "rm_container_stream": _streamed(fx.rm_log, containers.rm_container_transitions),
     "nm_container_stream": _streamed(fx.nm_log, containers.nm_container_transitions),
+    "rm_container_stream_state": _deduplicated,
 }
 
 
@@ -158,6 +178,30 @@ RUNS: dict[str, Query] = {
     "wf_long_running": lambda s, d: runs.long_running(fx.workflow_run(s, d)),
 }
 
+BASELINE_DAYS = ("2024-01-28", "2024-01-29", "2024-01-30")
+
+
+def _daily(anomaly: str) -> Query:
+    """Verdicts of three days, each judged from the state that the day before it left."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder, mark = scratch_path(spark, "baselines"), uuid.uuid4().hex[:8]
+        fx.workflow_run(spark, sf_dir).write.partitionBy("dt").parquet(f"{folder}/runs")
+        stored = spark.read.schema(schemas.WORKFLOW_RUN).parquet(f"{folder}/runs")
+        names = [f"{name}_{mark}" for name in ("run_state", "duration_anomaly", "end_time_anomaly")]
+        for day in BASELINE_DAYS:
+            flows.baseline_day(stored, day, *names, folder)
+        verdicts = spark.table(f"{anomaly}_{mark}")
+        return verdicts.withColumn("dt", F.col("dt").cast("date"))
+
+    return run
+
+
+RUNS |= {
+    "wf_end_time_anomaly_daily": _daily("end_time_anomaly"),
+    "wf_duration_anomaly_daily": _daily("duration_anomaly"),
+}
+
 # The default of five would select nearly every stage of these inputs.
 _FAR = 40
 
@@ -273,18 +317,92 @@ def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eventlog.tasks(eventlog.read_lines(spark, folder)).drop("allocated_memory")
 
 
-def _landed(table: Callable[[DataFrame], DataFrame]) -> Query:
-    """Events go through log files and the landed partitions."""
+_LANDED: dict[tuple, str] = {}
+
+
+def _landed(table: Callable[[DataFrame], DataFrame], events: Callable = fx.app_events) -> Query:
+    """Events go through log files and the landed partitions.
+
+    Rows over the same events share one landing per application: every further one finds that no
+    log file is new.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        folder = scratch_path(spark, "events")
-        fx.app_events(spark, sf_dir).write.partitionBy("app").text(f"{folder}/logs")
-        eventlog.land(eventlog.read_lines(spark, f"{folder}/logs"), f"{folder}/landed", "2024-01-10")
-        return table(eventlog.landed(spark, f"{folder}/landed", "2024-01-10"))
+        key = (spark.sparkContext.applicationId, sf_dir, events.__name__)
+        if key not in _LANDED:
+            folder = scratch_path(spark, "events")
+            events(spark, sf_dir).write.partitionBy("app").text(f"{folder}/logs")
+            _LANDED[key] = folder
+        folder = _LANDED[key]
+        eventlog.land_new(spark, f"{folder}/logs", f"{folder}/landed")
+        return table(eventlog.landed_new(spark, f"{folder}/landed"))
 
     return run
 
 
+def _stage_nodes(lines: DataFrame) -> DataFrame:
+    return plangraph.stage_nodes(plangraph.plan_nodes(lines), plangraph.stage_accumulators(lines))
+
+
+def _planned(table: Callable[[DataFrame], DataFrame]) -> Query:
+    return _landed(table, fx.plan_events)
+
+
+def _by_name(spark: SparkSession, lines: DataFrame, folder: str) -> None:
+    """Writes one log file per host, named by kind and host (``host``); it replaces an older one."""
+    arrived = scratch_path(spark, "arrived")
+    lines.repartition("host").write.partitionBy("host").text(arrived)
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    files = paths(arrived).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(paths(folder))
+    for status in files.globStatus(paths(f"{arrived}/host=*/part-*")):
+        path = status.getPath()
+        named = paths(f"{folder}/{path.getParent().getName().removeprefix('host=')}")
+        files.delete(named, False)
+        files.rename(path, named)
+
+
+def _host_files(spark: SparkSession, lines: DataFrame, kind: str, folder: str) -> None:
+    host = F.concat(F.lit(f"{kind}-"), "server_ip", F.lit(".log")).alias("host")
+    _by_name(spark, lines.select("value", host), folder)
+
+
+def _files_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Node-manager lines by file name; resource-manager files and one that is too old stay out."""
+    folder = scratch_path(spark, "log-files")
+    _host_files(spark, fx.nm_log(spark, sf_dir), logs.NODE_MANAGER, folder)
+    _host_files(spark, fx.rm_log(spark, sf_dir), logs.RESOURCE_MANAGER, folder)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{logs.NODE_MANAGER}-nm-host-0.log")
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(old, 946684800000, -1)  # 2000
+    lines = logs.read_lines(spark, folder, logs.NODE_MANAGER, "2020-01-01T00:00:00")
+    return containers.nm_container_transitions(lines)
+
+
+LOG_HOURS = ("2024-01-05 10", "2024-01-05 10", "2024-01-30 23", "2024-01-30 23")
+
+
+def _hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An hour is loaded twice; then one host's file arrives late, another's has grown.
+
+    The third run loads all hours that are left, the fourth finds nothing new.
+    """
+    folder = scratch_path(spark, "log-hours")
+    parts = {
+        logs.NODE_MANAGER: fx.nm_log(spark, sf_dir), logs.RESOURCE_MANAGER: fx.rm_log(spark, sf_dir)
+    }
+    first, second = F.col("server_ip").endswith("0"), F.col("server_ip").endswith("1")
+    arrivals = {
+        0: first | (second & (F.col("value") < "2024-01-04")),
+        2: ~first,
+    }
+    for number, hour in enumerate(LOG_HOURS):
+        if number in arrivals:
+            for kind, lines in parts.items():
+                _host_files(spark, lines.where(arrivals[number]), kind, f"{folder}/logs")
+        flows.log_hour(spark, f"{folder}/logs", hour, f"{folder}/loaded")
+    return flows.logged(spark, f"{folder}/loaded")
+
+
 def _attempt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task attempts go through JSON lines."""
     folder = scratch_path(spark, "attempts")
@@ -311,6 +429,19 @@ FILES: dict[str, Query] = {
         lambda lines: jobs.unit_failures(eventlog.executor_losses(lines), Ours.OOM_FAILURE)
     ),
     "mr_attempt_lines": _attempt_lines,
+    "event_log_plan_nodes": _planned(plangraph.plan_nodes),
+    "event_log_stage_nodes": _planned(_stage_nodes),
+    "event_log_plans": _planned(eventlog.plans),
+    "event_log_broadcasts": _planned(eventlog.broadcasts),
+    "event_log_broadcast_risk": _planned(lambda lines: jobs.broadcast_oom_risk(
+        eventlog.broadcasts(lines), eventlog.memory(lines)
+    )),
+    "spark_open_scan": _planned(lambda lines: jobs.open_scans(_stage_nodes(lines))),
+    "spark_sorting_stage": _planned(
+        lambda lines: jobs.sorting_stages(_stage_nodes(lines), eventlog.stages(lines))
+    ),
+    "log_hour_repeated": _hours,
+    "log_files_by_name": _files_by_name,
 }
 
 QUERIES: dict[str, Query] = {**STORAGE, **PLANS, **LOGS, **LINEAGE, **RUNS, **JOBS, **TABLES, **FILES}

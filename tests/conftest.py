@@ -27,6 +27,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def database(spark, request):
+    name = "db_" + request.node.name.replace("[", "_").replace("]", "").lower()
+    spark.sql(f"create database {name}")
+    yield name
+    spark.sql(f"drop database {name} cascade")
+
+
 def rows(frame, *columns):
     """Rows as sorted tuples."""
     chosen = frame.select(*columns) if columns else frame
