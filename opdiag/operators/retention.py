@@ -80,3 +80,31 @@ def upsert_latest(
         .select(*keys, *[F.col(f"_latest.{name}") for name in (version, *rest)])
         .select(*columns)
     )
+
+
+def month_plan(
+    partitions: DataFrame,
+    as_of: str | dt.date,
+    months: int = Fixed.MONTHS_KEPT_REPORT,
+    ahead: int = Fixed.MONTHS_AHEAD,
+) -> DataFrame:
+    """What the sliding month range around ``as_of`` needs: ``table_name, month, action``.
+
+    The range that is wanted is held against the partitions that exist (table_name, month): those
+    missing are to be added, ahead of their time too, those before the range dropped; months after
+    it are kept.
+    """
+    first = F.add_months(F.trunc(as_date(as_of), "month"), -months)
+    last = F.add_months(F.trunc(as_date(as_of), "month"), ahead)
+    every = F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("_month")
+    exists = partitions.select("table_name", "month").distinct().withColumn("_there", F.lit(True))
+    wanted = exists.select("table_name").distinct().select("table_name", every).select(
+        "table_name", F.date_format("_month", "yyyyMM").alias("month"), F.lit(True).alias("_wanted")
+    )
+    action = (
+        F.when(F.col("_there").isNull(), "add")
+        .when(F.col("month") < month_shifted(as_of, -months), "drop").otherwise("keep")
+    )
+    return wanted.join(exists, ["table_name", "month"], "full").select(
+        "table_name", "month", action.alias("action")
+    )

@@ -636,3 +636,63 @@ def plan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     for frame in lines[1:]:
         both = both.unionByName(frame)
     return both.select("value", F.concat(F.lit("app-1700000000-"), F.substring("app_id", 5, 9)).alias("app"))
+
+
+def job_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job-history lines of task attempts: started, then finished, failed, killed, or nothing yet."""
+    c = F.col
+    kind = F.when(c("l_linestatus") == "O", "MAP").otherwise("REDUCE")
+    # orders repeat line numbers, so that the part and the price name the attempt as well
+    number = _text(
+        c("l_orderkey") * 10 + c("l_linenumber"), "_", c("l_partkey") * 1_000_000_000 + _floor(c("l_extendedprice") * 100)
+    )
+    attempt = _text(
+        "attempt_1700000000000_000", c("l_suppkey") % 10, "_", F.lower(F.left(kind, F.lit(1))), "_", number
+    )
+    fate = c("l_orderkey") % 7
+    seconds, size = c("l_quantity").cast("bigint"), _floor(c("l_extendedprice"))
+
+    def counts(**values: Column) -> Column:
+        return F.array(*[
+            F.struct(F.lit(name).alias("name"), value.cast("bigint").alias("value"))
+            for name, value in values.items()
+        ])
+
+    def group(name: str, inside: Column) -> Column:
+        return F.struct(F.lit(name).alias("name"), inside.alias("counts"))
+
+    worked = F.concat(
+        F.when(kind == "MAP", counts(MAP_INPUT_RECORDS=size)).otherwise(
+            counts(REDUCE_INPUT_RECORDS=size, REDUCE_SHUFFLE_BYTES=size * 3)
+        ),
+        counts(GC_TIME_MILLIS=seconds * 25, CPU_MILLISECONDS=seconds * 1000,
+               PHYSICAL_MEMORY_BYTES=size * 10, COMMITTED_HEAP_BYTES=size * 20),
+    )
+    groups = F.array(
+        group("org.apache.hadoop.mapreduce.FileSystemCounter", counts(HDFS_BYTES_READ=size * 1000, FILE_BYTES_READ=size)),
+        group("org.apache.hadoop.mapreduce.TaskCounter", worked),
+    )
+    start = _launch(c("l_suppkey") % 20)
+
+    def event(type_: Column, what: Column) -> Column:
+        return F.to_json(F.struct(type_.alias("type"), F.create_map(F.lit("Event"), what).alias("event")))
+
+    started = event(F.concat(kind, F.lit("_ATTEMPT_STARTED")), F.struct(
+        attempt.alias("attemptId"), kind.alias("taskType"), start.alias("startTime"),
+        _text("node", c("l_partkey") % 8).alias("trackerName"),
+        F.when(c("l_returnflag") == "R", "SPECULATIVE").otherwise("VIRGIN").alias("avataar"),
+    ))
+    outcome = F.when(fate == 1, "FAILED").when(fate == 2, "KILLED")
+    ended = event(
+        F.concat(kind, F.lit("_ATTEMPT_"), F.coalesce(outcome, F.lit("FINISHED"))),
+        F.struct(
+            attempt.alias("attemptId"), kind.alias("taskType"), (start + seconds * 1000).alias("finishTime"),
+            outcome.alias("status"), F.when(outcome.isNull(), "SUCCEEDED").alias("taskStatus"),
+            F.when(fate == 1, _text("Error: ", c("l_orderkey"))).alias("error"),
+            F.struct(F.lit("COUNTERS").alias("name"), groups.alias("groups")).alias("counters"),
+        ),
+    )
+    lines = F.when(fate == 0, F.array(started)).otherwise(F.array(ended, started))
+    return table(spark, sf_dir, "lineitem").select(F.explode(F.concat(
+        lines, F.when(c("l_linenumber") == 1, F.array(F.lit("Avro-Json"))).otherwise(F.array().cast("array<string>"))
+    )).alias("value"))

@@ -117,3 +117,10 @@ where node = 'Scan parquet t.open' and rows_out > 10000000""",
 select app_id, stage_id, stage_attempt, execution_id, b - a as duration_ms from fx_stage_node
 where node = 'Sort' and execution_id % 3 = 0 and b - a > 1800000""",
 }
+SQL["table_exported"] = " union all ".join(
+    f"select * replace ('{day}' as etl_dt) from ({oracle_storage.SQL['dir_storage_report']})"
+    for day in ("20111105", "20111106")
+)
+SQL["newest_listing"] = f"""with {oracle_storage.FX_FSIMAGE}
+select path, replication, modificationtime, accesstime, preferredblocksize, blockscount, filesize, nsquota, dsquota,
+       permission, username, groupname from fx_ods_fsimage where path is distinct from 'Path'"""

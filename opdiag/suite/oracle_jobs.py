@@ -183,3 +183,41 @@ select dt, project_id, process_id, task_id, task_name, insert_time from (
   select *, row_number() over (partition by dt, project_id, process_id, task_id
                                order by insert_time desc, new desc, task_name desc) as r from versions) where r = 1""",
 }
+SQL |= {
+    "table_partitions_overwritten": f"""with {FX_TABLET}
+select table_name, partition_name, tablet_id, case when tablet_id % 3 = 1 then bytes + 1 else bytes end as bytes,
+       cast(tablet_id % 3 as integer) as pt from fx_tablet""",
+    "table_appended": f"with {FX_TABLET} select * from fx_tablet",
+    "files_compacted": f"with {FX_TABLET} select *, cast(tablet_id % 3 as integer) as pt from fx_tablet",
+    "keyed_table": f"""with first as ({_VERSION.format(later="", new=0)}),
+second as ({_VERSION.format(later="+ interval 1 hour", new=1)}),
+versions as (
+  select * from first union all select * from second
+  union all select * replace (insert_time + interval 2 hour as insert_time, 2 as new) from first where task_id = '1'
+  union all select * replace (insert_time + interval 3 hour as insert_time, 3 as new, cast(null as date) as dt) from second)
+select dt, project_id, process_id, task_id, task_name, insert_time from (
+  select *, row_number() over (partition by dt, project_id, process_id, task_id
+                               order by insert_time desc, new desc, task_name desc) as r from versions) where r = 1""",
+    "month_partition_plan": f"""with {FX_PARTITION},
+there as (select distinct table_name, strftime(dt, '%Y%m') as month from fx_partition),
+wanted as (select table_name, strftime(m, '%Y%m') as month from (select distinct table_name from there),
+           (select unnest(range(date '2000-07-01', date '2001-10-01', interval 1 month)) as m))
+select coalesce(t.table_name, w.table_name) as table_name, coalesce(t.month, w.month) as month,
+       case when t.month is null then 'add' when t.month < '200007' then 'drop' else 'keep' end as action
+from wanted w full join there t on t.table_name = w.table_name and t.month = w.month""",
+    "mr_job_history": f"""
+select 'job_1700000000000_000' || (l_suppkey % 10) as app_id, case when kind = 'MAP' then 0 else 1 end as stage_id, kind,
+       'node' || (l_partkey % 8) as executor_id, launch as launch_ms, case when ended then seconds * 1000 end as duration_ms,
+       case when ended then size * 1000 + case when kind = 'MAP' then 0 else size * 3 end end as input_bytes,
+       case when ended then size end as input_records, l_returnflag = 'R' as speculative,
+       case when ended then seconds * 25 end as gc_ms, case when ended then seconds * 1000 end as cpu_ms,
+       case when ended then size * 10 end as peak_memory, case when ended then size * 20 end as allocated_memory,
+       case when l_orderkey % 7 = 1 then 'Error: ' || l_orderkey end as failure_reason,
+       case l_orderkey % 7 when 0 then 'RUNNING' when 1 then 'FAILED' when 2 then 'KILLED' else 'SUCCEEDED' end as state,
+       'attempt_1700000000000_000' || (l_suppkey % 10) || '_' || lower(kind[1]) || '_'
+         || (l_orderkey * 10 + l_linenumber) || '_' || (l_partkey * 1000000000 + cast(floor(l_extendedprice * 100) as bigint))
+         as attempt_id
+from (select *, case when l_linestatus = 'O' then 'MAP' else 'REDUCE' end as kind, l_orderkey % 7 <> 0 as ended,
+             cast(l_quantity as bigint) as seconds, cast(floor(l_extendedprice) as bigint) as size,
+             {_launch("(l_suppkey % 20)")} as launch from lineitem)""",
+}

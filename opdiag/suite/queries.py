@@ -26,8 +26,8 @@ from opdiag.operators import (
 from opdiag.operators.sized import cut
 from opdiag.plans import scans
 from opdiag.session import scratch_path
-from opdiag.sinks import relations
-from opdiag.sources import eventlog, fsimage, logs, plangraph, scheduler
+from opdiag.sinks import compaction, keyed, relations, tables
+from opdiag.sources import eventlog, fsimage, jobhistory, logs, plangraph, scheduler
 from opdiag.streaming import containers as streams
 from opdiag.suite import fixtures as fx
 
@@ -233,6 +233,7 @@ JOBS: dict[str, Query] = {
 }
 
 RETENTION_AS_OF = "2000-07-01"
+MONTHS_AS_OF = "2001-08-15"  # in the last month of the given tables
 TASK_KEY = ("dt", "project_id", "process_id", "task_id")
 
 TABLES: dict[str, Query] = {
@@ -248,6 +249,9 @@ TABLES: dict[str, Query] = {
     "month_partition": lambda s, d: retention.retained_months(
         retention.month_partition(fx.partition_list(s, d)), RETENTION_AS_OF
     ),
+    "month_partition_plan": lambda s, d: retention.month_plan(
+        retention.month_partition(fx.partition_list(s, d)), MONTHS_AS_OF
+    ),
     "export_history": lambda s, d: retention.export_history(
         _report(s, d).withColumn("partition_key", F.lit(fx.PARTITION))
     ),
@@ -410,7 +414,88 @@ def _attempt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scheduler.read_attempts(spark, folder)
 
 
+def _table_name(name: str) -> str:
+    return f"{name}_{uuid.uuid4().hex[:8]}"
+
+
+def _overwritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of three partitions is written a second time."""
+    name, place = _table_name("tablet"), scratch_path(spark, "tablet")
+    rows = fx.tablet(spark, sf_dir).withColumn("pt", (F.col("tablet_id") % 3).cast("int"))
+    tables.overwrite_partitions(rows, name, ["pt"], location=place)
+    again = rows.where("pt = 1").withColumn("bytes", F.col("bytes") + 1)
+    tables.overwrite_partitions(again, name, ["pt"], compact=False)
+    return spark.table(name)
+
+
+def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report's table gets a second day, and its export is made anew from both."""
+    name, export, place = _table_name("report"), _table_name("export"), scratch_path(spark, "report")
+    report, _ = cut(_report(spark, sf_dir))
+    for day in (fx.PARTITION, "20111106"):
+        rows = report.withColumn("partition_key", F.lit(day))
+        tables.overwrite_partitions(rows, name, location=f"{place}/report")
+        tables.publish_export(spark, name, export, location=f"{place}/export")
+    return spark.table(export)
+
+
+def _appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, place = _table_name("loads"), scratch_path(spark, "loads")
+    rows = fx.tablet(spark, sf_dir)
+    for part in (rows.where("tablet_id % 2 = 0"), rows.where("tablet_id % 2 = 1")):
+        tables.append(part, name, schemas.TABLET, location=place)
+    return spark.table(name)
+
+
+def _newest_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three listings of growing length arrive; the newest file is loaded."""
+    folder = scratch_path(spark, "listings")
+    whole = fx.fsimage(spark, sf_dir)
+    for number, rows in enumerate((whole.where("blockscount = 1"), whole.where("blockscount < 3"), whole)):
+        lines = _listing_lines(rows).withColumn("host", F.lit(f"fsimage_{number}.csv"))
+        _by_name(spark, lines, folder)
+    newest = fsimage.newest_file(spark, folder, "fsimage_*")
+    return fsimage.read_listing(spark, newest, fx.PARTITION).drop("partition_key")
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of many small files, and what it holds after they were merged."""
+    folder = scratch_path(spark, "small-files")
+    rows = fx.tablet(spark, sf_dir).withColumn("pt", (F.col("tablet_id") % 3).cast("int"))
+    rows.repartition(40).write.partitionBy("pt").parquet(folder)
+    compaction.compact(spark, folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three upserts with repeated keys, the last one with NULL days, and a fold before it."""
+    first, second = fx.task_version(spark, sf_dir, False), fx.task_version(spark, sf_dir, True)
+    hours = lambda n: F.timestamp_add("HOUR", F.lit(n), "insert_time")
+    table = keyed.KeyedTable(
+        spark, _table_name("task_version"), scratch_path(spark, "keyed"), TASK_KEY, buckets=16
+    )
+    table.create(first)
+    table.upsert(second)
+    table.upsert(first.where("task_id = '1'").withColumn("insert_time", hours(2)))
+    table.fold()
+    table.upsert(second.withColumn("dt", F.lit(None).cast("date")).withColumn("insert_time", hours(3)))
+    return table.read()
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "history")
+    fx.job_history(spark, sf_dir).write.text(folder)
+    return jobhistory.attempts(jobhistory.read_history(spark, folder))
+
+
 FILES: dict[str, Query] = {
+    "table_partitions_overwritten": _overwritten,
+    "table_exported": _exported,
+    "table_appended": _appended,
+    "newest_listing": _newest_listing,
+    "files_compacted": _compacted,
+    "keyed_table": _keyed,
+    "mr_job_history": _history,
     "fsimage_csv_load": _listing_file,
     "listing_odd_paths": _odd_paths,
     "lineage_relation_files": _relation_files,
