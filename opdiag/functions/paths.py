@@ -45,7 +45,11 @@ _PARTITION_VALUE = (
 )
 
 
-def partition_value(partition_path: Column, lead: str = "[1|2]") -> Column:
+# Fixed value: how a partition's value begins. The bar is a member of the class, not an alternative.
+LEAD = "[1|2]"
+
+
+def partition_value(partition_path: Column, lead: str = LEAD) -> Column:
     """Text after ``name=`` when it starts with ``lead``, else an empty string."""
     return F.regexp_extract(partition_path, f"/([^/]+)=({lead}.*)", 2)
 

@@ -31,29 +31,6 @@ def _between(low: Column, high: Column) -> Column:
     return low / 2 + high / 2
 
 
-def weighted_median(
-    counts: DataFrame, keys: Sequence[str], value: str, weight: str, name: str = "median"
-) -> DataFrame:
-    """Median per group of distinct bigint values with their counts.
-
-    One group's distinct values pass through one task, sorted; use it where the values are bounded
-    by their meaning, such as seconds of a day.
-    """
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumns(
-        {"_upto": F.sum(weight).over(upto), "_total": F.sum(weight).over(group)}
-    )
-    low, high = _middle(F.col("_total"))
-    before = F.col("_upto") - F.col(weight)
-    return ranked.groupBy(*keys).agg(
-        _between(
-            F.max(F.when(_holds(low, before, F.col(weight)), F.col(value))),
-            F.max(F.when(_holds(high, before, F.col(weight)), F.col(value))),
-        ).alias(name)
-    )
-
-
 def group_median(
     rows: DataFrame, keys: Sequence[str], value: str, bound: int = BOUND
 ) -> DataFrame:

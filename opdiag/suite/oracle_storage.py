@@ -1,4 +1,8 @@
-"""DuckDB SQL for the file-listing queries."""
+"""DuckDB SQL for the file-listing queries.
+
+Fixed values in it, which must equal the operators': the names of size and temperature classes and
+their limits, the replication that marks a directory, and the pattern ``[1|2]`` of partition values.
+"""
 
 FX_FSIMAGE = """
 fx_raw as (

@@ -26,9 +26,6 @@ def test_group_median_against_brute_force(spark, monkeypatch, bound, parts):
     got = {r.k: (r.median, r.maximum, r.n) for r in medians.group_median(frame, ["k"], "v", bound).collect()}
     middle = {k: sum(x / 2 for x in (statistics.median_low(v), statistics.median_high(v))) for k, v in groups.items()}
     assert got == {k: (middle[k], max(v), len(v)) for k, v in groups.items()}
-    counts = frame.where("v is not null").groupBy("k", "v").agg(F.count("*").alias("n"))
-    got = {r.k: r.median for r in medians.weighted_median(counts, ["k"], "v", "n").collect()}
-    assert got == middle
 
 
 def test_merged_intervals_against_brute_force(spark):
