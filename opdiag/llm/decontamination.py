@@ -1,7 +1,7 @@
 """Benchmark items inside documents, by size-partitioned MinHash containment search.
 
 Items are partitioned by the size of their shingle sets, in powers of two. The sketch of an item is
-the bottom of its shingles under one random permutation, and its length belongs to the partition:
+the bottom of its shingles under one random permutation, shingles that many items share last, and its length belongs to the partition:
 with containment ``t`` and at most ``u`` shingles, ``floor((1 - t) * u) + 1`` minima. A document
 that holds the share ``t`` of an item can miss at most ``(1 - t) * u`` of its shingles, so it holds at
 least one minimum of the sketch: the search has no false negatives, however long the document is.
@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opdiag.llm import bitmaps
-from opdiag.llm.shipping import ship
-from opdiag.llm.texts import SHINGLE_WORDS, distinct_by_text, text_shingles
+from opdiag.llm.shipping import released, ship
+from opdiag.llm.texts import SHINGLE_WORDS, distinct_by_text, text_windows
 from opdiag.operators.sized import join_lookup
 from opdiag.session import scratch_path
 
 THRESHOLD = 0.8
+SHARED = 8  # items that may have a shingle before it comes last in their sketches
 HITS = "id bigint, text_hash bigint, shingle bigint"
 
 
@@ -37,16 +38,37 @@ def _narrow(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _shingles(rows: DataFrame, bitmap: np.ndarray | None = None) -> DataFrame:
-    """``HITS`` of texts with at least five words, for a bitmap only those whose bit is set."""
+def _item_shingles(rows: DataFrame) -> DataFrame:
+    """``HITS`` with ``size``, the words of a shingle; a short item has one shingle of all its words."""
 
+    @released
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, names = batch.column(0), batch.column(1)
-            for start, hashes, at, totals in text_shingles(batch.column(2)):
-                kept = totals[at] >= SHINGLE_WORDS
-                if bitmap is not None:
-                    kept &= bitmaps.has(bitmap, hashes)
+            every = range(1, SHINGLE_WORDS + 1)
+            for start, hashes, at, size, totals in text_windows(batch.column(2), every):
+                own = size == np.minimum(totals[at], SHINGLE_WORDS)
+                hashes, at = distinct_by_text(hashes[own], at[own])
+                rows_at = pa.array(at + start)
+                sizes = np.minimum(totals[at], SHINGLE_WORDS).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(rows_at), names.take(rows_at), pa.array(hashes.view(np.int64)),
+                     pa.array(sizes)],
+                    ["id", "text_hash", "shingle", "size"],
+                )
+
+    return rows.mapInArrow(split, f"{HITS}, size int")
+
+
+def _hits(rows: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
+    """``HITS`` of texts: their windows of the given sizes whose bit is set."""
+
+    @released
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, names = batch.column(0), batch.column(1)
+            for start, hashes, at, *_ in text_windows(batch.column(2), sizes):
+                kept = bitmaps.has(bitmap, hashes)
                 hashes, at = distinct_by_text(hashes[kept], at[kept])
                 rows_at = pa.array(at + start)
                 yield pa.RecordBatch.from_arrays(
@@ -70,25 +92,29 @@ def contained_items(
 
     A text contains an item if it has at least the share ``threshold`` of the item's distinct
     shingles. Shingles are five consecutive words; words are runs of ASCII letters, digits and
-    non-ASCII characters, ASCII letters in lower case. Items and texts of fewer than five words, and
-    null ones, have no shingle and match nothing. Rows with the same id and text give one row, rows
+    non-ASCII characters, ASCII letters in lower case. An item of one to four words is one shingle
+    of all its words, which a text contains where the words follow one another. Items and texts
+    without words, and null ones, match nothing. Rows with the same id and text give one row, rows
     with the same id and different texts are judged one by one (``text_hash`` tells them apart).
     Rows without an id are judged too. Items with the same id are told apart by their texts.
     """
     spark = ship(docs.sparkSession)
     path = scratch_path(spark, "item-shingles")
-    _shingles(_narrow(items, item_id_col, item_text_col)).distinct().write.parquet(path)
-    item_shingles = spark.read.parquet(path).select(
+    _item_shingles(_narrow(items, item_id_col, item_text_col)).distinct().write.parquet(path)
+    stored = spark.read.parquet(path)
+    wanted = sorted(row.size for row in stored.select("size").distinct().collect()) or [SHINGLE_WORDS]
+    item_shingles = stored.select(
         F.xxhash64("id", "text_hash").alias("item"), F.col("id").alias("item_id"), "shingle"
     )
     sizes = item_shingles.groupBy("item", "item_id").agg(F.count(F.lit(1)).alias("n_shingles"))
     path = scratch_path(spark, "hits")
-    _shingles(_narrow(docs, id_col, text_col), bitmaps.of(item_shingles, "shingle")).distinct().write.parquet(path)
+    known = bitmaps.of(item_shingles, "shingle")
+    _hits(_narrow(docs, id_col, text_col), known, wanted).distinct().write.parquet(path)
     hits = spark.read.parquet(path)
     by_text = hits.select("text_hash", "shingle").distinct()
     candidates = (
         join_lookup(by_text, _sketches(item_shingles, sizes, threshold), ["shingle"])
-        .select("text_hash", F.explode("items").alias("item")).distinct()
+        .select("text_hash", "item").distinct()
     )
     shared = (
         join_lookup(candidates, _listed(item_shingles), ["item"])
@@ -106,20 +132,27 @@ def contained_items(
 
 
 def _sketches(item_shingles: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
-    """``shingle, items``: the items that have a shingle in their sketch."""
+    """``shingle, item``: the shingles in the sketch of each item.
+
+    The order of the permutation counts among shingles that at most ``SHARED`` items have; those
+    that more items have come last. Any choice of so many shingles misses nothing, and this one does
+    not bring every text with a common phrase together with every item that has it.
+    """
     # Partitions hold sizes over 2 ** (k - 1) up to 2 ** k; the upper end sets the sketch's length.
     largest = F.pow(F.lit(2.0), F.ceil(F.log2("n_shingles") - 1e-9))
     lengths = sizes.select(
         "item", (F.floor((1 - threshold) * largest + 1e-9) + 1).cast("int").alias("length")
     )
-    at = F.xxhash64("shingle", F.lit(97))
-    ordered = item_shingles.groupBy("item").agg(
-        F.sort_array(F.collect_list(F.struct(at.alias("at"), "shingle"))).alias("minima")
+    common = item_shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n_items"))
+    counted = join_lookup(item_shingles.select("item", "shingle"), common, ["shingle"])
+    place = F.struct(
+        (F.col("n_items") > SHARED).alias("common"), F.xxhash64("shingle", F.lit(97)).alias("at"), "shingle"
     )
+    ordered = counted.groupBy("item").agg(F.sort_array(F.collect_list(place)).alias("minima"))
     return (
         ordered.join(lengths, "item")
         .select("item", F.explode(F.slice("minima", F.lit(1), F.col("length"))).alias("one"))
-        .groupBy(F.col("one.shingle").alias("shingle")).agg(F.collect_set("item").alias("items"))
+        .select("one.shingle", "item")
     )
 
 

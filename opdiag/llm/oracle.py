@@ -26,8 +26,14 @@ def _shingles(name: str, table: str, key: str, short: bool) -> str:
 
 
 OP7 = f"""
-WITH {_shingles("doc_shingles", "documents", "doc_id", False)},
-{_shingles("item_shingles", "benchmark", "item_id", False)},
+WITH {_shingles("item_shingles", "benchmark", "item_id", True)},
+sizes_used AS (SELECT DISTINCT least(len(w), 5) AS size FROM item_shingles_words WHERE len(w) > 0),
+doc_words AS (SELECT doc_id, {_WORDS.format(text="text")} AS w FROM documents),
+doc_shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + size - 1), ' ') AS shingle
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+          FROM doc_words, sizes_used WHERE len(w) >= size)
+),
 sizes AS (SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id),
 shared AS (
     SELECT doc_id, item_id, count(*) AS n_shared

@@ -8,7 +8,7 @@ task holds a few arrays over ``PIECE`` bytes besides its batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -172,9 +172,10 @@ def text_groups(offsets: np.ndarray, size: int = PIECE) -> Iterator[tuple[int, i
         start = stop
 
 
-def shingle_hashes(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of five consecutive words of one text, and their text numbers."""
-    size = SHINGLE_WORDS
+def shingle_hashes(
+    words: np.ndarray, owner: np.ndarray, size: int = SHINGLE_WORDS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of ``size`` consecutive words of one text, and their text numbers."""
     if len(words) < size:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     count = len(words) - size + 1
@@ -186,6 +187,38 @@ def shingle_hashes(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np
     return mix(total[whole]), owner[:count][whole]
 
 
+def text_windows(
+    column: pa.Array, sizes: Sequence[int]
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of texts: number of the first one, hashes of windows of some sizes, their text.
+
+    Four arrays follow the number: hash, text within the run and size of each window, and the words
+    of each text.
+    """
+    raw, offsets = utf8(column)
+    for start, stop in text_groups(offsets):
+        words, owner, totals = _words_of(column, raw, offsets, start, stop)
+        found = [shingle_hashes(words, owner, size) for size in sizes]
+        size_of = np.repeat(np.array(sizes, np.int32), [len(hashes) for hashes, _ in found])
+        yield (start, np.concatenate([hashes for hashes, _ in found]),
+               np.concatenate([at for _, at in found]), size_of, totals)
+
+
+def _words_of(
+    column: pa.Array, raw: np.ndarray, offsets: np.ndarray, start: int, stop: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of a run of texts, their text within the run, and words per text."""
+    count = stop - start
+    if count == 1 and offsets[stop] - offsets[start] > PIECE:
+        parts = text_words(column.slice(start, 1), PLAIN)
+        words = np.concatenate([part.hashes for _, part in parts])
+        owner = np.zeros(len(words), np.int64)
+    else:
+        found = Words(raw, offsets[start : stop + 1], PLAIN)
+        words, owner = found.hashes, found.owner
+    return words, owner, np.bincount(owner, minlength=count)
+
+
 def text_shingles(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """For runs of texts: number of the first one, shingle hashes, their text, words per text.
 
@@ -195,15 +228,7 @@ def text_shingles(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarra
     """
     raw, offsets = utf8(column)
     for start, stop in text_groups(offsets):
-        count = stop - start
-        if count == 1 and offsets[stop] - offsets[start] > PIECE:
-            parts = text_words(column.slice(start, 1), PLAIN)
-            words = np.concatenate([part.hashes for _, part in parts])
-            owner = np.zeros(len(words), np.int64)
-        else:
-            found = Words(raw, offsets[start : stop + 1], PLAIN)
-            words, owner = found.hashes, found.owner
-        totals = np.bincount(owner, minlength=count)
+        words, owner, totals = _words_of(column, raw, offsets, start, stop)
         hashes, at = shingle_hashes(words, owner)
         few = np.flatnonzero((totals > 0) & (totals < SHINGLE_WORDS))
         if len(few):

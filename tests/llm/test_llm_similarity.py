@@ -173,14 +173,20 @@ def test_components(spark, links):
     assert found == {node: root(node) for node in up}
 
 
+def windows_of(text, size):
+    words = words_of(text)
+    return {tuple(words[at : at + size]) for at in range(len(words) - size + 1)} if size else set()
+
+
 def brute_contained(docs, items, threshold=0.8):
     out = set()
     for doc, text in docs:
-        held = shingles_of(text, False)
+        held = {size: windows_of(text, size) for size in range(1, 6)}
         for item, wanted in items:
-            wanted = shingles_of(wanted, False)
-            if wanted and len(wanted & held) >= threshold * len(wanted):
-                out.add((doc, item, len(wanted), len(wanted & held)))
+            size = min(len(words_of(wanted)), 5)
+            wanted, held_here = windows_of(wanted, size), held.get(size, set())
+            if wanted and len(wanted & held_here) >= threshold * len(wanted):
+                out.add((doc, item, len(wanted), len(wanted & held_here)))
     return out
 
 
@@ -218,6 +224,42 @@ def test_contained_items_against_brute_force(spark):
     )
 
 
+def test_short_items_are_found_whole(spark):
+    docs = spark.createDataFrame(
+        [(1, "Paris is the Capital of France, they say"), (2, "the capital, of France"), (3, "capital of the France"),
+         (4, "yes"), (5, "oh yes"), (6, None), (7, "the capital of")], "doc_id long, text string")
+    items = spark.createDataFrame(
+        [(1, "the capital of France"), (2, "Yes!"), (3, "")], "item_id long, text string")
+    found = decontamination.contained_items(docs, items).collect()
+    assert sorted((r.id, r.item_id, r.n_shingles, r.n_shared) for r in found) == [
+        (1, 1, 1, 1), (2, 1, 1, 1), (4, 2, 1, 1), (5, 2, 1, 1)
+    ]
+
+
+@pytest.mark.parametrize("count", [60, 120])
+def test_a_shared_template_makes_few_candidates(spark, count):
+    template = "which of these twelve words is the one that fits here best"
+    draw = random.Random(4)
+    own = lambda: " ".join(f"w{draw.randrange(10**6)}" for _ in range(25))
+    item_rows = [(at, f"{template} {own()}") for at in range(count)]
+    items = spark.createDataFrame(item_rows, "id long, text string").select(
+        "id", F.xxhash64("text").alias("text_hash"), "text"
+    )
+    shingles = decontamination._item_shingles(items).select(
+        F.xxhash64("id", "text_hash").alias("item"), "shingle"
+    ).distinct()
+    sizes = shingles.groupBy("item").agg(F.count(F.lit(1)).alias("n_shingles"))
+    sketches = decontamination._sketches(shingles, sizes, 0.8)
+    # no shingle of the template is in a sketch, so a text that only has the template is no candidate
+    assert sketches.groupBy("shingle").count().where("count > 1").count() == 0
+    docs = [(at, f"{template} {own()}") for at in range(count)] + [(10**6, item_rows[3][1])]
+    found = decontamination.contained_items(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(item_rows, "item_id long, text string"),
+    ).collect()
+    assert [(r.id, r.item_id) for r in found] == [(10**6, 3)]
+
+
 def test_repeated_rows_give_one_set_to_their_family(spark):
     text = " ".join(f"w{at}" for at in range(60))
     rows = [(1, text)] * 600 + [(None, text + " more")] * 300 + [(2, "another text of six words")]
