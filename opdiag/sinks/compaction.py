@@ -79,8 +79,9 @@ def compact(
         [(numbers[row.bin], row.folder, row.file) for row in small], _MOVES
     )
     stored = _stored(spark, folder)
-    relative = small[0].folder.rsplit(folder.rstrip("/").rsplit("/", 1)[-1], 1)[-1]
-    partitions = {part.split("=")[0] for part in relative.split("/") if "=" in part}
+    above = set(folder.split("/"))
+    below = [part for part in small[0].folder.split("/") if "=" in part and part not in above]
+    partitions = {part.split("=")[0] for part in below}
     columns = [name for name in stored.columns if name not in partitions]
     rows = (
         stored.where(F.col("_metadata.file_size") < int(ENOUGH * file_bytes))

@@ -36,7 +36,7 @@ def contents(spark, folder):
 
 
 def test_only_small_files_are_merged_to_the_target(spark, tmp_path):
-    folder = tmp_path / "t"
+    folder = tmp_path / "day"
     made_folder(spark, folder)
     before, times = contents(spark, folder), {p: (p.stat().st_size, p.stat().st_mtime_ns) for p in parquet_files(folder)}
     large = [p for p, (size, _) in times.items() if size >= compaction.ENOUGH * TARGET]
