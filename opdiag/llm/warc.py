@@ -328,7 +328,10 @@ def _row(path: str, record: dict) -> dict:
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """Records with the payload size of revisits taken from the response that they refer to."""
+    """Records with the payload size of revisits taken from the response that they refer to.
+
+    The records are joined with themselves, so they should have been written down before.
+    """
     answers = (
         records.filter("record_type = 'response'")
         .groupBy(F.col("page_id").alias("refers_to"), "payload_digest")
@@ -349,8 +352,10 @@ def verified(records: DataFrame) -> DataFrame:
 def round_trip(spark: SparkSession, pages: DataFrame, **columns) -> DataFrame:
     """Writes ``pages`` as archives in the shared folder and returns the records read back.
 
-    Reading a record that does not fit its digests fails.
+    Reading a record that does not fit its digests fails. Every archive is read and inflated once:
+    what was read, which is small beside the payloads, is written down first.
     """
     folder = scratch_path(spark, "warc")
     manifest = write_archives(plan_records(pages, **columns), folder)
-    return resolved(verified(read_archives(manifest)))
+    verified(read_archives(manifest)).write.parquet(f"{folder}/records")
+    return resolved(spark.read.schema(RECORDS).parquet(f"{folder}/records"))
