@@ -3,9 +3,10 @@
 A text is split by a pattern; each match is merged on its own. The pairs of a match wait in a rank
 queue: one bucket per merge rank holds positions of the linked list of symbols, and a two-level
 bitmap over the ranks finds the lowest bucket in use by find-first-set. Entries whose pair has
-changed meanwhile are skipped when they come up. Work per merge is constant, so a match of
-millions of bytes takes time in proportion to its length. Short matches are remembered in a table
-of bounded size.
+changed meanwhile are skipped when they come up. Positions of one rank come up from the left, as a
+heap, so a merge takes constant time but for runs of equal pairs, where it takes the logarithm of
+their number: a match of millions of bytes takes time about in proportion to its length. Short
+matches are remembered in a table of bounded size.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import regex
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from opdiag.llm.shipping import ship
+from opdiag.llm.shipping import released, ship
 
 REMEMBERED = 400_000
 REMEMBERED_CHARS = 48
@@ -227,6 +228,7 @@ def encoder(spark: SparkSession, path: str, pattern: str, with_ids: bool = False
         shared = ship(spark).sparkContext.broadcast(file.read())
 
     @F.arrow_udf(ENCODED if with_ids else DIGESTS)
+    @released
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(shared.value, pattern)
         for batch in batches:
@@ -252,6 +254,7 @@ def decoded(spark: SparkSession, path: str, pattern: str):
         shared = ship(spark).sparkContext.broadcast(file.read())
 
     @F.arrow_udf("binary")
+    @released
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(shared.value, pattern)
         for batch in batches:

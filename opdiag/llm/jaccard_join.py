@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from opdiag.llm import bitmaps
 from opdiag.llm.components import components
-from opdiag.llm.shipping import ship
+from opdiag.llm.shipping import released, ship
 from opdiag.llm.texts import distinct_by_text, mix, text_shingles
 from opdiag.operators.sized import join_lookup
 from opdiag.session import scratch_path, shared_dir
@@ -82,6 +82,7 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     Rows without words have null names and signatures.
     """
 
+    @released
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, text_hash, texts = batch.column(0), batch.column(1), batch.column(2)
@@ -157,6 +158,7 @@ PATHS = "node bigint, set_id bigint"
 
 
 def _first_paths(sets: DataFrame, runs: int, threshold: float) -> DataFrame:
+    @released
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roots = _seeds(runs, 2)
         for batch in batches:
@@ -176,6 +178,7 @@ def _first_paths(sets: DataFrame, runs: int, threshold: float) -> DataFrame:
 
 
 def _next_paths(large: DataFrame, threshold: float) -> DataFrame:
+    @released
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -256,6 +259,7 @@ def _bucket_links(members: DataFrame) -> DataFrame:
     task, ``side`` says from which of them a row is.
     """
 
+    @released
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for group in _grouped(batches, 3):
@@ -345,6 +349,7 @@ def _family_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str
     Rows that repeat an id and its text are reduced to one before the shingles are made.
     """
 
+    @released
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(5)
@@ -417,6 +422,7 @@ def _exact_links(members: DataFrame, threshold: float) -> DataFrame:
     similar to in one pair of blocks.
     """
 
+    @released
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _grouped(batches, 3):
             ids, first = np.unique(group.column(3).to_numpy(), return_index=True)
@@ -428,6 +434,7 @@ def _exact_links(members: DataFrame, threshold: float) -> DataFrame:
             lists = group.column(6).combine_chunks().take(pick)
             sets = [lists[at].values.to_numpy() for at in range(len(ids))]
             left, right = group.column(1)[0].as_py(), group.column(2)[0].as_py()
+            del group, lists
             on_left = np.flatnonzero(own == left)
             on_right = np.flatnonzero(own == right)
             if not len(on_left) or not len(on_right):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from opdiag.llm.shipping import ship
+from opdiag.llm.shipping import released, ship
 from opdiag.llm.texts import mix, powers
 
 DIGESTS = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
@@ -396,6 +396,7 @@ def encoder(spark: SparkSession, path: str, with_ids: bool = False):
     shared = ship(spark).sparkContext.broadcast(_content(path))
 
     @F.arrow_udf(ENCODED if with_ids else DIGESTS)
+    @released
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(shared.value)
         for batch in batches:
@@ -421,6 +422,7 @@ def decoder(spark: SparkSession, path: str):
     shared = ship(spark).sparkContext.broadcast(_content(path))
 
     @F.arrow_udf("string")
+    @released
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = _vocabulary(shared.value)
         for batch in batches:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from opdiag.llm.shipping import ship
+from opdiag.llm.shipping import released, ship
 from opdiag.llm.texts import pieces, text_bytes
 
 REMEMBERED = 400_000
@@ -145,6 +145,7 @@ def counter(spark: SparkSession, path: str, ranks: bool = True):
     mark = b" " if ranks else b""
 
     @F.arrow_udf(COUNTED)
+    @released
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton = _automaton(shared.value, ranks)
         for batch in batches:
