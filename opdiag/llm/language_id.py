@@ -8,6 +8,7 @@ all of its windows; windows are scored in batches, so memory does not depend on
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opdiag.llm.samples import Adam, bounded_sample
-from opdiag.llm.shipping import ship
+from opdiag.llm.shipping import released, ship
 from opdiag.llm.texts import utf8
 
 WINDOW = 256
@@ -26,7 +27,7 @@ EMBEDDING = 8
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 BATCH = 256
-#: Labelled texts per language on average, and windows taken from each, spread evenly.
+#: Labelled texts per language on average, and windows of each that are drawn by their hash.
 SAMPLE_PER_LANGUAGE = 1000
 WINDOWS_PER_TEXT = 3
 EPOCHS = 4
@@ -114,6 +115,11 @@ def window_rows(raw: np.ndarray, low: int, high: int) -> np.ndarray:
     return out.reshape(count, WINDOW)
 
 
+def hash_of(place: int, window: np.ndarray) -> int:
+    """Number by which windows of a text are drawn, wherever in the text they stand."""
+    return zlib.crc32(window.tobytes(), place)
+
+
 def fit(windows: np.ndarray, target: np.ndarray, languages: tuple[str, ...]) -> Network:
     """Minimises the cross-entropy in shuffled batches."""
     network = Network.fresh(languages)
@@ -142,13 +148,15 @@ def train(
     )
     sample = bounded_sample(known, "lang", per_language, "id", "text").select("lang", "text")
 
+    @released
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = utf8(batch.column(1))
             langs, found = [], []
             for at, name in enumerate(batch.column(0).to_pylist()):
                 rows = window_rows(raw, int(offsets[at]), int(offsets[at + 1]))
-                picked = np.unique(np.linspace(0, len(rows) - 1, WINDOWS_PER_TEXT).astype(int))
+                drawn = [hash_of(at, row) for at, row in enumerate(rows)]
+                picked = np.argsort(drawn, kind="stable")[:WINDOWS_PER_TEXT]
                 langs += [name] * len(picked)
                 found += [rows[one].tobytes() for one in picked]
             yield pa.RecordBatch.from_arrays(
@@ -195,6 +203,7 @@ def namer(spark, network: Network):
     shared = ship(spark).sparkContext.broadcast(network)
 
     @F.arrow_udf(NAMED)
+    @released
     def name(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
         for batch in batches:

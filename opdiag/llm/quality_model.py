@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opdiag.llm.samples import Adam, Sparse, bounded_sample, sigmoid
-from opdiag.llm.shipping import ship
+from opdiag.llm.samples import Adam, Sparse, bounded_sample, one_text_per_id, sigmoid
+from opdiag.llm.shipping import released, ship
 from opdiag.llm.texts import BLANK, mix, text_words
 
 #: Rated rows that are fitted, per grade on average; all grades and the whole texts of these rows.
@@ -175,16 +175,18 @@ def train(
 ) -> OrdinalModel:
     """Fits the model on a bounded sample of ``ratings`` (id, integer grade; the higher the better).
 
-    Rows with a null grade or id are not used; a row rated more than once counts each time.
+    Rows with a null grade or id are not used. An id that is rated several times counts once per
+    grade; of several texts with one id one is used.
     """
     spark = ship(docs.sparkSession)
     known = ratings.select(
-        F.col(id_col).alias("rated"), F.col(grade_col).cast("int").alias("grade")
-    ).filter("rated is not null")
-    sample = bounded_sample(known, "grade", per_grade, "rated")
-    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    chosen = texts.join(F.broadcast(sample), F.col("doc") == F.col("rated")).select("grade", "text")
+        F.col(id_col).alias("doc"), F.col(grade_col).cast("int").alias("grade")
+    ).filter("doc is not null")
+    sample = bounded_sample(known, "grade", per_grade, "doc")
+    texts = one_text_per_id(docs, sample, id_col, text_col)
+    chosen = texts.join(F.broadcast(sample), "doc").select("grade", "text")
 
+    @released
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = list(_sparse_rows(batch.column(1)))
@@ -208,6 +210,7 @@ def scorer(spark, model: OrdinalModel, selected_from: int):
     shared = ship(spark).sparkContext.broadcast(model)
 
     @F.arrow_udf(SCORED)
+    @released
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
         grades = np.array(own.grades, np.float64)

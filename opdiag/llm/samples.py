@@ -14,22 +14,36 @@ def remainder(id_col: str, divisor: int) -> Column:
 
 
 def bounded_sample(rows: DataFrame, class_col: str, per_class: int, *keys: str) -> DataFrame:
-    """About ``per_class`` rows of each class, chosen by a hash of the keys.
+    """About ``per_class`` different rows of each class, chosen by a hash of the keys.
 
-    Every class keeps the share of its rows that gives the wanted number on average, so no group
-    meets in one task. Rows that agree in all keys are chosen together; where that makes many, the
-    first ``4 * per_class`` rows per class by hash stay, so the sample is bounded whatever the
-    data. Rows with a null class are left out. The number of classes must be small: one row per
-    class reaches the driver.
+    Rows that agree in all keys are one row. Every class keeps the share of its different rows that
+    gives the wanted number on average, so that no class takes another's place, however many rows it
+    has or repeats, and no group meets in one task. Rows with a null class are left out. The number
+    of classes must be small: one row per class reaches the driver.
     """
     known = rows.filter(F.col(class_col).isNotNull())
-    counts = known.groupBy(class_col).agg(F.count(F.lit(1)).alias("n")).collect()
-    place = F.pmod(F.xxhash64(*keys, F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
+    key = F.xxhash64(*keys, F.lit(5))
+    counts = known.groupBy(class_col).agg(
+        F.approx_count_distinct(key, 0.02).alias("n")
+    ).collect()
+    place = F.pmod(key, F.lit(1 << 30)) / float(1 << 30)
     share = F.lit(0.0)
     for row in counts:
         share = F.when(F.col(class_col) == row[0], min(1.0, per_class / row["n"])).otherwise(share)
-    bound = max(1, 4 * per_class * len(counts))
-    return known.filter(place < share).orderBy(place, *keys).limit(bound)
+    return known.filter(place < share).withColumn("__sample_key", key).dropDuplicates(
+        [class_col, "__sample_key"]
+    ).drop("__sample_key")
+
+
+def one_text_per_id(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc, text`` for sampled ids (``doc``): of an id's texts the first by hash.
+
+    ``ids`` is a bounded sample. Texts meet per id after those of one task were reduced to one.
+    """
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    chosen = texts.join(F.broadcast(ids.select("doc").distinct()), "doc")
+    first = F.min_by(F.struct("text"), F.struct(F.xxhash64("text"), "text")).alias("one")
+    return chosen.groupBy("doc").agg(first).select("doc", "one.text")
 
 
 class Sparse:

@@ -12,14 +12,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opdiag.llm.samples import Sparse, bounded_sample, sigmoid
-from opdiag.llm.shipping import ship
+from opdiag.llm.samples import Sparse, bounded_sample, one_text_per_id, sigmoid
+from opdiag.llm.shipping import released, ship
 from opdiag.llm.texts import PLAIN, text_words
 
 # Terms that may stand for one another, in lower case.
@@ -36,9 +37,8 @@ IDENTITY_TERMS = (
     ("mujeres", "hombres"), ("cristianos", "musulmanes", "judíos"), ("extranjeros", "refugiados"),
 )
 
-#: Labelled rows that are fitted, per class on average, and swapped sentences taken from one row.
+#: Labelled rows that are fitted, per class on average.
 SAMPLE_PER_CLASS = 2500
-SWAPS_PER_ROW = 20
 FAIRNESS = 1.0
 WORD_BITS = 17
 HEADS = (4, 6)
@@ -88,19 +88,44 @@ def _sparse_rows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def swapped_sentences(
-    text: str, groups: Sequence[Sequence[str]], most: int = SWAPS_PER_ROW
-) -> list[tuple[str, str]]:
-    """Sentences with a group's term, beside the same with each other term of its list."""
+    text: str, groups: Sequence[Sequence[str]]
+) -> Iterator[tuple[str, str, str, str]]:
+    """Every mention of a group's term with every other term of its list.
+
+    Yields the term, the other one, the sentence and the sentence with the other term in its place.
+    """
     others = {term: [x for x in group if x != term] for group in groups for term in group}
     pattern = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, others))})(?!\w)", re.IGNORECASE)
-    pairs = []
     for sentence in re.split(r"(?<=[.!?\n])", text):
         for found in pattern.finditer(sentence):
-            for other in others[found.group().lower()]:
-                if len(pairs) == most:
-                    return pairs
-                pairs.append((sentence, sentence[: found.start()] + other + sentence[found.end() :]))
-    return pairs
+            term = found.group().lower()
+            for other in others[term]:
+                yield term, other, sentence, sentence[: found.start()] + other + sentence[found.end() :]
+
+
+def swap_changes(
+    text: str, groups: Sequence[Sequence[str]], at_once: int = 256
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Change of the features per pair of terms, the mean over all mentions in a text.
+
+    There are as many changes as pairs of terms at most, however long the text is; the sentences are
+    taken up in parts.
+    """
+    totals: dict[tuple[str, str], list] = {}
+    swaps = swapped_sentences(text, groups)
+    while part := list(islice(swaps, at_once)):
+        before = _sparse_rows(pa.array([x[2] for x in part], pa.string()))
+        after = _sparse_rows(pa.array([x[3] for x in part], pa.string()))
+        for (term, other, *_), (index, value), (changed, new) in zip(part, before, after):
+            total = totals.setdefault((term, other), [np.zeros(0, np.int64), np.zeros(0), 0])
+            every = np.concatenate((total[0], index, changed))
+            total[0], place = np.unique(every, return_inverse=True)
+            total[1] = np.bincount(place, np.concatenate((total[1], -value, new)))
+            total[2] += 1
+    # features that a swap leaves as they are cancel out
+    return [
+        (index[value != 0], value[value != 0] / count) for index, value, count in totals.values()
+    ]
 
 
 @dataclass(frozen=True)
@@ -170,27 +195,25 @@ def train(
 ) -> ToxicityModel:
     """Fits the model on a bounded sample of ``labels`` (id, 1 for toxic and 0 for not).
 
-    Rows with a null label or id are not used; a row labelled more than once counts each time.
+    Rows with a null label or id are not used. An id that is labelled several times counts once per
+    label; of several texts with one id one is used.
     """
     spark = ship(docs.sparkSession)
     known = labels.select(
-        F.col(id_col).alias("labelled"), F.col(label_col).cast("int").alias("label")
-    ).filter("labelled is not null and label in (0, 1)")
-    sample = bounded_sample(known, "label", per_class, "labelled")
-    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    chosen = texts.join(F.broadcast(sample), F.col("doc") == F.col("labelled")).select("label", "text")
+        F.col(id_col).alias("doc"), F.col(label_col).cast("int").alias("label")
+    ).filter("doc is not null and label in (0, 1)")
+    sample = bounded_sample(known, "label", per_class, "doc")
+    texts = one_text_per_id(docs, sample, id_col, text_col)
+    chosen = texts.join(F.broadcast(sample), "doc").select("label", "text")
 
+    @released
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels_of, texts_of = batch.column(0).to_pylist(), batch.column(1)
             rows = [(label, False, *row) for label, row in zip(labels_of, _sparse_rows(texts_of))]
             for label, text in zip(labels_of, texts_of.to_pylist()):
-                pairs = swapped_sentences(text or "", groups)
-                before = _sparse_rows(pa.array([x for x, _ in pairs], pa.string()))
-                after = _sparse_rows(pa.array([x for _, x in pairs], pa.string()))
-                for (index, value), (other, changed) in zip(before, after):
-                    rows.append((label, True, np.concatenate((index, other)),
-                                 np.concatenate((-value, changed))))
+                for index, value in swap_changes(text or "", groups):
+                    rows.append((label, True, index, value))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.bool_()),
                  pa.array([x[2] for x in rows], pa.list_(pa.int32())),
@@ -209,6 +232,7 @@ def scorer(spark, model: ToxicityModel):
     shared = ship(spark).sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
+    @released
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array(shared.value.score(batch))

@@ -1,13 +1,16 @@
 """Classifiers: gradients, held-out accuracy, odd rows and models without labels."""
 
+import math
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from opdiag.llm import language_id, quality_model, toxicity
-from opdiag.llm.queries import QUERIES
+from opdiag.llm import language_id, quality_model, samples, texts, toxicity
+from opdiag.llm.queries import QUERIES, ratings
 from opdiag.llm.samples import Sparse
 
 DATA = "/root/testdata/sf0.01"
@@ -158,9 +161,124 @@ def test_swapping_groups_changes_less_with_the_penalty(spark):
 
 
 def test_swapped_sentences():
-    pairs = toxicity.swapped_sentences("Some Women came. None else.\nMen too!", [("women", "men")])
-    assert pairs == [("Some Women came.", "Some men came."), ("Men too!", "women too!")]
-    assert len(toxicity.swapped_sentences("men. " * 50, [("women", "men")], 7)) == 7
+    swaps = list(toxicity.swapped_sentences("Some Women came. None else.\nMen too!", [("women", "men")]))
+    assert swaps == [
+        ("women", "men", "Some Women came.", "Some men came."), ("men", "women", "Men too!", "women too!")
+    ]
+    assert len(list(toxicity.swapped_sentences("men. " * 50, [("women", "men")]))) == 50
+
+
+def test_a_group_named_last_in_a_long_text_counts():
+    groups = [("women", "men"), ("gay", "straight", "lesbian")]
+    short = toxicity.swap_changes("He is gay.", groups)
+    assert len(short) == 2
+    long = toxicity.swap_changes("The men came. " * 1000 + "He is gay.", groups)
+    assert len(long) == 3
+    for (index, value), (other, changed) in zip(short, long[1:]):
+        assert index.tolist() == other.tolist() and np.allclose(value, changed)
+    # the mean over equal mentions is that of one
+    one = toxicity.swap_changes("The men came.", groups)[0]
+    assert one[0].tolist() == long[0][0].tolist() and np.allclose(one[1], long[0][1])
+
+
+def test_samples_are_bounded_per_class_whatever_repeats(spark):
+    rows = [(n, 0) for n in range(300)] + [(7, 0)] * 3000 + [(1000 + n, 1) for n in range(20)]
+    frame = spark.createDataFrame(rows, "doc long, label int").repartition(4)
+    sample = samples.bounded_sample(frame, "label", 40, "doc")
+    found = [tuple(row) for row in sample.collect()]
+    assert len(found) == len(set(found))
+    counts = [sum(label == wanted for _, label in found) for wanted in (0, 1)]
+    # the rare class is whole, however often rows of the other one repeat
+    assert counts[1] == 20 and 15 <= counts[0] <= 80
+    docs = spark.createDataFrame([(1000, "b"), (1000, "a"), (1000, "a"), (1001, None)], "doc_id long, text string")
+    texts = samples.one_text_per_id(docs, sample, "doc_id", "text").collect()
+    assert len(texts) == 2 and {row.doc for row in texts} == {1000, 1001}
+
+
+def plain_words(text):
+    lower = re.sub("[A-Z]", lambda found: found[0].lower(), text or "")
+    return re.findall("[a-z0-9\x80-\U0010ffff]+", lower)
+
+
+def test_toxicity_scores_equal_a_loop_over_words(spark):
+    """Scores of all given documents against sums over words looked up one by one."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    known: dict[str, float] = {}
+
+    def of_word(word):
+        if word not in known:
+            column = pa.array([word])
+            _, words = next(iter(texts.text_words(column, texts.PLAIN)))
+            known[word] = sum(model.weights[int(bucket[0])] for bucket in toxicity._buckets(words))
+        return known[word]
+
+    for row in docs.select("doc_id", "text", toxicity.scorer(spark, model)("text").alias("s")).collect():
+        words = plain_words(row.text)
+        mean = sum(map(of_word, words)) / max(1, len(words))
+        want = 1 / (1 + math.exp(-max(-60, min(60, toxicity.SCALE * mean + model.bias))))
+        assert abs(row.s - want) < 1e-9
+
+
+def test_quality_scores_equal_a_loop_over_words(spark):
+    """Expected grades and tails of all given documents against sums over words one by one."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    model = quality_model.train(docs, ratings(spark.read.parquet(f"{SMALL}/labels.parquet")))
+    known: dict[str, float] = {}
+
+    def of_word(word):
+        if word not in known:
+            _, found = next(iter(texts.text_words(pa.array([word]), texts.BLANK)))
+            bucket, shape, _ = quality_model._word_features(found)
+            known[word] = model.weights[int(bucket[0])] + model.weights[int(shape[0])]
+        return known[word]
+
+    repeat = model.weights[quality_model._REPEAT]
+    scored = docs.select("text", quality_model.scorer(spark, model, 1)("text").alias("s")).collect()
+    for row in scored:
+        words = re.findall(r"[^\x20\x09-\x0D]+", row.text or "")
+        total = sum(map(of_word, words)) + repeat * sum(a == b for a, b in zip(words, words[1:]))
+        length = quality_model._LENGTHS + min(39, int(2 * math.log2(len(words) + 1)))
+        standing = quality_model.SCALE * total / max(1, len(words)) + model.weights[length]
+        tails = [1 / (1 + math.exp(cut - standing)) for cut in model.thresholds]
+        grades = model.grades
+        expected = grades[0] + sum(tail * (b - a) for tail, a, b in zip(tails, grades, grades[1:]))
+        assert abs(row.s.expected_grade - expected) < 1e-9
+        assert abs(row.s.tail - tails[sum(grade < 1 for grade in grades) - 1]) < 1e-9
+
+
+def test_language_scores_equal_a_loop_over_windows(spark):
+    """Predictions for all given documents against a forward pass window by window."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    network = language_id.train(docs, F.lit(True))
+    table, *banks, last, bias = [x.astype(float) for x in network.parameters]
+
+    def window_log(window):
+        embedded = table[window]
+        best = []
+        for at, width in enumerate(language_id.WIDTHS):
+            bank, shift = banks[2 * at], banks[2 * at + 1]
+            answers = [embedded[p : p + width].reshape(-1) @ bank for p in range(len(window) - width + 1)]
+            best.append(np.max(answers, axis=0) + shift)
+        logits = np.maximum(np.concatenate(best), 0) @ last + bias
+        return logits - np.log(np.exp(logits - logits.max()).sum()) - logits.max()
+
+    scored = docs.select("text", language_id.namer(spark, network)("text").alias("n")).collect()
+    for row in scored[:60]:
+        raw = (row.text or "").encode()
+        if not re.search(r"[^\W\d_]", row.text or ""):
+            continue
+        windows = [raw[at : at + language_id.WINDOW] for at in range(0, len(raw), language_id.WINDOW)]
+        logs = np.array([
+            window_log(np.frombuffer(one.ljust(language_id.WINDOW, b"\0"), np.uint8)) for one in windows
+        ])
+        mean = logs.mean(axis=0)
+        order = np.argsort(mean)
+        if len(order) > 1 and mean[order[-1]] - mean[order[-2]] < 1e-4:
+            continue
+        assert row.n.lang_pred == network.languages[int(order[-1])]
+        assert abs(row.n.score - np.exp(logs).mean(axis=0)[order[-1]]) < 1e-3
 
 
 @pytest.mark.parametrize("labels", [[], [(5, 1)], [(4, 0), (5, None)], [(1, 1), (5, 0), (5, 1), (None, 1)]])
