@@ -1,12 +1,14 @@
 """Personal data: fixed patterns, and terms that give protected values away.
 
-The patterns find e-mail addresses, network addresses, card and phone numbers; each value found is a
-protected entity. How strongly a term reveals an entity is estimated from the corpus: the pointwise
+The patterns find e-mail addresses, network addresses, card and phone numbers. Protected entities are
+each value found, what values share (the owner and the domain of an address, networks, the first
+digits of numbers), and the classes of data themselves. How strongly a term reveals an entity is estimated from the corpus: the pointwise
 mutual information of entity and term, counted per document over whole texts, however far apart they
 stand, against the information that the entity itself carries. Words inside of values are no terms. PMI(c;t) = log2(p(c,t) / (p(c) p(t))) and IC(c) = -log2 p(c), with the shares of documents as
 probabilities. A term with PMI >= ``GENERALISE`` * IC is replaced by a general word in the documents
 that hold the entity, one with PMI >= ``REMOVE`` * IC is taken out. A pair must be seen in at least
-``SUPPORT`` different texts: a word met once says nothing about its neighbour. A document with the
+``SUPPORT`` different texts, for what values share and for classes in ``LEVEL_SUPPORT``: a word met
+once says nothing about its neighbour. A document with the
 term alone keeps it: without the entity there is nothing that it could give away.
 
 Everything is made of built-in expressions, joins and aggregates. Patterns are written so that the
@@ -34,6 +36,9 @@ KINDS = ("email", "ip", "card", "phone")
 PATTERNS = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE)))
 
 SUPPORT = 2
+#: Texts in which a term must stand with a class of data, or with what values share.
+LEVEL_SUPPORT = 5
+CLASS = "class:"
 GENERALISE = 0.8
 REMOVE = 0.95
 #: Every word is a term, with its combining marks; support and PMI decide.
@@ -161,6 +166,21 @@ def _entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(kind + ":"), plain)
 
 
+def _levels(kind: str, value: Column) -> list[Column]:
+    """What a value belongs to: parts that other values share, and the class of data itself."""
+    digits = _digits(value)
+    parts = {
+        "email": [("owner", F.substring_index(F.lower(value), "@", 1)),
+                  ("domain", F.substring_index(F.lower(value), "@", -1))],
+        "ip": [("network", F.substring_index(value, ".", 3)), ("network", F.substring_index(value, ".", 2))],
+        "card": [("issuer", F.left(digits, F.lit(6)))],
+        "phone": [("area", F.left(digits, F.lit(5)))],
+    }[kind]
+    return [
+        *(F.concat(F.lit(f"{name}:"), part) for name, part in parts), F.lit(CLASS + kind)
+    ]
+
+
 def _masked(kind: str, text: Column) -> Column:
     """The text with a line end in place of each valid value of the kind."""
     pattern = F.lit(PATTERNS[kind])
@@ -189,46 +209,81 @@ def _entities(places: Column) -> Column:
     """Distinct entities of one text."""
 
     def of(kind: str) -> Column:
-        return F.transform(places[kind], lambda place: _entity(kind, place["value"]))
+        named = F.transform(places[kind], lambda place: F.array(
+            _entity(kind, place["value"]), *_levels(kind, place["value"])
+        ))
+        return F.flatten(named)
 
     return F.array_distinct(F.concat(*[of(kind) for kind in KINDS]))
 
 
+def _support(entity: Column) -> Column:
+    """Texts that a statement about an entity needs; a value is its own kind of entity."""
+    exact = entity.rlike("^(" + "|".join(KINDS) + "):")
+    return F.when(exact, SUPPORT).otherwise(LEVEL_SUPPORT)
+
+
+def _stored(frame: DataFrame, name: str) -> DataFrame:
+    """Writes a frame to the shared folder and reads it back."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _holding(docs: DataFrame, text_col: str) -> DataFrame:
+    """Rows that hold a value, with their base places; most documents hold none."""
+    places = docs.withColumn(_PLACES, base_places(F.col(text_col)))
+    return places.filter(_held(F.col(_PLACES))).withColumn(_HASH, F.xxhash64(text_col))
+
+
+def _held(places: Column) -> Column:
+    return sum((F.size(places[kind]) for kind in KINDS), F.lit(0)) > 0
+
+
 def entity_terms(docs: DataFrame, text_col: str) -> DataFrame:
     """``text_hash, rows, entity, term, with_entity, with_term``: what stands in one text.
 
     One row per different text, entity and term of it, wherever in the text they stand; ``rows`` is
     the number of documents with the text, ``with_entity`` and ``with_term`` are the documents with
     the one and the other. Left out are pairs that cannot exceed the threshold whatever their
-    number: entities and terms of less than ``SUPPORT`` texts or documents, and, as a PMI is at most
-    log2(total / with_term), terms of more than total * (with_entity / total) ** ``GENERALISE``
-    documents.
+    number: entities of too little support, terms of less than ``SUPPORT`` documents, and, as a PMI
+    is at most log2(total / with_term), terms of more than
+    total * (with_entity / total) ** ``GENERALISE`` documents.
     """
-    spark, text = docs.sparkSession, F.col(text_col)
-    texts = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    path = scratch_path(spark, "holding")
+    return _pairs(*_held_and_terms(docs, text_col, _holding(docs.select(text_col), text_col)))
+
+
+def _pairs(held: DataFrame, terms: DataFrame) -> DataFrame:
+    return held.join(terms, "text_hash").filter("with_term <= most").select(
+        "text_hash", "rows", "entity", "term", "with_entity", "with_term"
+    )
+
+
+def _held_and_terms(
+    docs: DataFrame, text_col: str, holding: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Supported entities and possible terms of every different text, each written once."""
+    text = F.col(text_col)
     found = (
-        texts.withColumn("entities", _entities(base_places(F.col("text"))))
-        .filter(F.size("entities") > 0).groupBy("text_hash")
+        holding.select(F.col(_HASH).alias("text_hash"), text.alias("text"),
+                       _entities(F.col(_PLACES)).alias("entities"))
+        .groupBy("text_hash")
         .agg(F.count(F.lit(1)).alias("rows"), F.first("entities").alias("entities"),
              F.first("text").alias("text"))
     )
-    _with_words(found, "text").write.parquet(path)
-    holding = spark.read.parquet(path)
-    held = holding.select("text_hash", "rows", F.explode("entities").alias("entity"))
+    found = _stored(_with_words(found, "text"), "holding")
+    held = found.select("text_hash", "rows", F.explode("entities").alias("entity"))
     total = docs.agg(F.count(F.lit(1)).alias("total")).scalar()
     supported = (
         held.groupBy("entity")
         .agg(F.sum("rows").alias("with_entity"), F.count(F.lit(1)).alias("texts"))
-        .filter(F.col("texts") >= SUPPORT).drop("texts")
+        .filter(F.col("texts") >= _support(F.col("entity"))).drop("texts")
         .withColumn("most", (1 + 1e-6) * total * F.pow(F.col("with_entity") / total, F.lit(GENERALISE)))
     )
-    path = scratch_path(spark, "held")
-    join_lookup(held, supported, ["entity"]).write.parquet(path)
-    held = spark.read.parquet(path)
+    held = _stored(join_lookup(held, supported, ["entity"]), "held")
     widest = held.groupBy("text_hash").agg(F.max("most").alias("widest"))
     terms = (
-        holding.select("text_hash", "words").join(widest, "text_hash")
+        found.select("text_hash", "words").join(widest, "text_hash")
         .select("text_hash", "widest", F.explode("words").alias("term"))
     )
     with_term = (
@@ -237,9 +292,7 @@ def entity_terms(docs: DataFrame, text_col: str) -> DataFrame:
         .filter(F.col("with_term") >= SUPPORT)
     )
     terms = join_lookup(terms, with_term, ["term"]).filter("with_term <= widest").drop("widest")
-    return held.join(terms, "text_hash").filter("with_term <= most").select(
-        "text_hash", "rows", "entity", "term", "with_entity", "with_term"
-    )
+    return held, _stored(terms, "terms-of-texts")
 
 
 def disclosing_terms(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -251,7 +304,7 @@ def disclosing_terms(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     joined = pairs.groupBy("entity", "term").agg(
         F.sum("rows").alias("both"), F.count(F.lit(1)).alias("texts"),
         F.first("with_entity").alias("with_entity"), F.first("with_term").alias("with_term"),
-    ).filter(F.col("texts") >= SUPPORT)
+    ).filter(F.col("texts") >= _support(F.col("entity")))
     joined = joined.withColumn("total", docs.agg(F.count(F.lit(1)).alias("total")).scalar())
     pmi = F.log2(F.col("both") * F.col("total") / (F.col("with_entity") * F.col("with_term")))
     information = F.log2(F.col("total") / F.col("with_entity"))
@@ -261,25 +314,32 @@ def disclosing_terms(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def _with_findings(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with the base places and the terms that each text must lose."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "pairs")
-    entity_terms(docs, text_col).write.parquet(path)
-    path, pairs = scratch_path(spark, "disclosing"), spark.read.parquet(path)
-    disclosing_terms(docs, pairs).write.parquet(path)
-    disclosing = spark.read.parquet(path)
-    path = scratch_path(spark, "terms")
-    (
-        join_lookup(pairs.select("text_hash", "entity", "term"), disclosing, ["entity", "term"])
+def _with_findings(docs: DataFrame, text_col: str, carried: list[Column | str]) -> DataFrame:
+    """Rows that hold a value: ``carried``, base places, and the terms that each text must lose.
+
+    Only these rows are written and joined: a text without a value cannot have terms.
+    """
+    holding = _stored(_holding(docs.select(*carried), text_col), "holding-rows")
+    held, words = _held_and_terms(docs, text_col, holding)
+    disclosing = _stored(disclosing_terms(docs, _pairs(held, words)), "disclosing")
+    # pairs are counted before they are joined with their texts; of a text's words only those that
+    # disclose something meet its entities
+    marked = join_lookup(
+        words.select("text_hash", "term"), disclosing.select("term").distinct(), ["term"]
+    )
+    suspects = (
+        join_lookup(
+            marked.join(held.select("text_hash", "entity"), "text_hash"), disclosing, ["entity", "term"]
+        )
         .groupBy("text_hash", "term").agg(F.max("remove").alias("remove"))
-        .groupBy("text_hash").agg(
-            F.sort_array(F.collect_list(F.struct("term", "remove"))).alias(_TERMS)
-        ).write.parquet(path)
     )
-    terms = spark.read.parquet(path).withColumnRenamed("text_hash", _HASH)
-    rows = join_lookup(docs.withColumn(_HASH, F.xxhash64(text_col)), terms, [_HASH], "left")
-    return rows.drop(_HASH).withColumn(_PLACES, base_places(F.col(text_col)))
+    terms = _stored(
+        suspects.groupBy("text_hash").agg(
+            F.sort_array(F.collect_list(F.struct("term", "remove"))).alias(_TERMS)
+        ),
+        "terms",
+    ).withColumnRenamed("text_hash", _HASH)
+    return join_lookup(holding, terms, [_HASH], "left").drop(_HASH)
 
 
 def _term_places(text: Column, terms: Column) -> Column:
@@ -327,9 +387,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``spans`` lists all places as kind:start:end, base kinds first and then ``term``. A null text is
     treated like an empty one. Rows with the same id are judged by their own texts.
     """
-    rows = _with_findings(docs.select(id_col, text_col), text_col)
+    found = _with_findings(docs, text_col, [id_col, text_col])
     base = F.concat(*[_named(kind, F.col(_PLACES)[kind]) for kind in KINDS])
-    return rows.select(
+    named = found.select(
         F.col(id_col).cast("long").alias("id"), F.col(_PLACES),
         F.array_join(base, ",").alias("base"),
         F.array_join(F.concat(base, _named("term", F.filter(
@@ -339,6 +399,12 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "id", *[F.size(F.col(_PLACES)[kind]).cast("long").alias(f"n_{kind}") for kind in KINDS],
         F.sha2(F.col("base"), 256).alias("base_sha256"), "spans",
     )
+    none = docs.filter(~_held(base_places(F.col(text_col)))).select(
+        F.col(id_col).cast("long").alias("id"),
+        *[F.lit(0).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(F.lit("").cast("binary"), 256).alias("base_sha256"), F.lit("").alias("spans"),
+    )
+    return named.unionByName(none)
 
 
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -346,7 +412,7 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     Places that overlap are replaced together, by the words of the one that starts first.
     """
-    rows = _with_findings(docs, text_col)
+    rows = _with_findings(docs, text_col, docs.columns)
     text = F.col(text_col)
     start = F.struct(F.lit(0).cast("long").alias("done"), F.array().cast("array<string>").alias("parts"))
 
@@ -366,6 +432,5 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             F.substring(text, (state["done"] + 1).cast("int"), F.length(text)),
         ),
     )
-    places = F.col(_PLACES)
-    untouched = F.col(_TERMS).isNull() & (sum((F.size(places[kind]) for kind in KINDS), F.lit(0)) == 0)
-    return rows.withColumn(text_col, F.when(untouched, text).otherwise(cleaned)).select(*docs.columns)
+    others = docs.filter(~_held(base_places(text)))
+    return rows.withColumn(text_col, cleaned).select(*docs.columns).unionByName(others)

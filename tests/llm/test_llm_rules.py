@@ -1,6 +1,8 @@
 """Quality rules and personal data: native expressions against plain versions."""
 
 import hashlib
+import math
+import random
 import re
 from collections import Counter
 
@@ -209,6 +211,79 @@ def test_terms_count_over_whole_texts(spark):
     assert not {"some", "text", "org"} & {row.term for row in found}
 
 
+def plain_disclosing(texts):
+    """Pairs over the thresholds from dictionaries; words, values and classes as sets per text."""
+    total, with_term, rows, held = len(texts), {}, {}, {}
+    for text in texts:
+        places = {
+            kind: [m.group() for m in re.finditer(pattern, text)] for kind, pattern in (
+                ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+                ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+            )
+        }
+        bare = text
+        for values in places.values():
+            for value in values:
+                bare = bare.replace(value, "\n")
+        words = set(re.findall(r"\w+", bare.lower()))
+        entities = set()
+        for value in map(str.lower, places["email"]):
+            owner, domain = value.rsplit("@", 1)
+            entities |= {f"email:{value}", f"owner:{owner}", f"domain:{domain}", "class:email"}
+        for value in places["phone"]:
+            digits = re.sub("[^0-9]", "", value)
+            entities |= {f"phone:{digits}", f"area:{digits[:5]}", "class:phone"}
+        for word in words:
+            with_term[word] = with_term.get(word, 0) + 1
+        if entities:
+            rows[text] = rows.get(text, 0) + 1
+            held[text] = (entities, words)
+    with_entity, support, both, together = {}, {}, {}, {}
+    for text, (entities, words) in held.items():
+        for entity in entities:
+            with_entity[entity] = with_entity.get(entity, 0) + rows[text]
+            support[entity] = support.get(entity, 0) + 1
+            for word in words:
+                both[entity, word] = both.get((entity, word), 0) + rows[text]
+                together[entity, word] = together.get((entity, word), 0) + 1
+    out = set()
+    for (entity, word), count in both.items():
+        least = pii.SUPPORT if entity.split(":")[0] in pii.KINDS else pii.LEVEL_SUPPORT
+        if together[entity, word] < least or with_term[word] < pii.SUPPORT:
+            continue
+        pmi = math.log2(count * total / (with_entity[entity] * with_term[word]))
+        information = math.log2(total / with_entity[entity])
+        if pmi > 0 and pmi >= pii.GENERALISE * information - 1e-9:
+            out.add((entity, word, pmi >= pii.REMOVE * information - 1e-9))
+    return out
+
+
+def test_terms_equal_brute_force_mutual_information(spark):
+    draw = random.Random(9)
+    words = [f"w{at}" for at in range(40)]
+    texts = []
+    for at in range(220):
+        own = [draw.choice(words) for _ in range(6)]
+        if at % 9 == 0:
+            who = draw.choice("abc")
+            own += [f"name{who}", f"{who}@{draw.choice('xy')}.org", "write"]
+        if at % 13 == 0:
+            own += ["call", f"+4930 {draw.choice((1234567, 7654321))}"]
+        draw.shuffle(own)
+        texts += [" ".join(own)] * (3 if at % 40 == 0 else 1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {tuple(row) for row in pii.disclosing_terms(docs, pii.entity_terms(docs, "text")).collect()}
+    want = plain_disclosing(texts)
+    assert found == want
+    # classes and shared parts are among them, not only single values
+    assert {("class:phone", "call", True), ("class:email", "write", True)} <= want
+    rows = pii.personal_data(docs).collect()
+    spans = {row.id: row.spans for row in rows}
+    for at, text in enumerate(texts):
+        assert ("term:" in spans[at]) == (" call" in f" {text}" or "write" in text)
+        assert spans[at] or not re.search("[@+]", text)
+
+
 def test_terms_go_wherever_they_stand_beside_the_entity(spark):
     plain = [(at, f"some text of number {at}") for at in range(100, 160)]
     filler = "some text of number " * 10
