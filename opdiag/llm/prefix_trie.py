@@ -30,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opdiag.llm.shipping import ship
-from opdiag.operators.sized import cut
+from opdiag.operators.sized import cut, join_lookup
 
 WIDTH = 32  # turns of one matrix
 SHARD_ROWS = 1 << 14  # conversations of one matrix, about
+BROADCAST_ROWS = 1 << 18  # nodes of several shards, of some forty bytes each, that are broadcast
 CHUNK = 1 << 16  # ids that travel in one row
 WORDS = "[^\\x20\\x09-\\x0D]+"
 LEAST = np.iinfo(np.int64).min
@@ -304,7 +305,7 @@ def _combined(made: DataFrame) -> DataFrame:
 
     There are at most two paths of ``WIDTH`` nodes per shard to put together.
     """
-    parts, _ = cut(
+    parts, count = cut(
         made.where("kind = 'part'").groupBy("key").agg(
             F.first("parent_key").alias("parent_key"), F.first("ancestors").alias("ancestors"),
             F.first("depth").alias("depth"), F.min("conv_id").alias("conv_id"),
@@ -333,11 +334,17 @@ def _combined(made: DataFrame) -> DataFrame:
         .withColumn("saved_tokens", F.expr("saved_tokens + repeated"))
         .withColumn("ends_sha256", F.coalesce("ends_sha256", F.lit(NO_ENDS)))
     )
-    inner = made.where("kind = 'node'").withColumnRenamed("parent_conv_id", "in_shard")
-    inner = inner.join(parents, "parent_key", "left").withColumn(
-        "parent_conv_id", F.coalesce("parent_conv_id", "in_shard")
+    inner = made.where("kind = 'node'")
+    # a node of several shards may have very many children: its key is no key to shuffle by
+    below = inner.where("parent_key is not null").drop("parent_conv_id")
+    if count <= BROADCAST_ROWS:
+        below = below.join(F.broadcast(parents), "parent_key")
+    else:
+        below = join_lookup(below, parents, ["parent_key"])
+    return (
+        inner.where("parent_key is null").select(*_NODE)
+        .unionByName(below.select(*_NODE)).unionByName(shared.select(*_NODE))
     )
-    return inner.select(*_NODE).unionByName(shared.select(*_NODE))
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
