@@ -51,11 +51,13 @@ def _defined_tasks(definitions: DataFrame) -> DataFrame:
     """Every task of every definition; of equally named ones the last counts.
 
     The last one is an aggregate, so copies of a name within one input block collapse before the
-    shuffle.
+    shuffle. That sorts a block in memory, and tasks are many times larger than the stored
+    definitions they come from, so the blocks are made anew from the tasks.
     """
     document = F.from_json("process_definition_json", DEFINITION_JSON)
     return (
         definitions.select(*_PROCESS, F.posexplode(document["tasks"]).alias("pos", "task"))
+        .hint("rebalance")
         .groupBy("process_id", F.col("task.name").alias("task_name"))
         .agg(
             F.max_by(

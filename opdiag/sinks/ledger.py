@@ -116,12 +116,23 @@ def load_new(
 def loaded(spark: SparkSession, target: str, schema: str) -> DataFrame:
     """Rows that the ledger names, with ``file`` and ``part``.
 
-    ``schema`` is that of the rows with their partition columns. The ledger is small beside the
-    rows; the optimizer broadcasts it where its size allows.
+    ``schema`` is that of the rows with their partition columns. A committed load's entries name
+    all of its rows, so its folder is read whole, and only rows that a later load has replaced are
+    looked up; where no file has been loaded again there is no join.
     """
     whole = f"{schema}, file string, part string, load bigint"
-    counts = _newest(entries(spark, target)).select("file", "part", "load")
-    if counts.isEmpty():
+    known = entries(spark, target).where("part is not null")
+    loads = [row.load for row in known.select("load").distinct().collect()]
+    if not loads:
         return spark.createDataFrame([], whole).drop("load")
-    stored = spark.read.schema(whole).parquet(f"{target}/rows")
-    return stored.join(counts, ["file", "part", "load"], "left_semi").drop("load")
+    stored = spark.read.schema(whole).parquet(f"{target}/rows").where(
+        F.col("load").isin(loads) & F.col("file").isNotNull() & F.col("part").isNotNull()
+    )
+    replaced, n = cut(
+        known.groupBy("file", "part")
+        .agg(F.max("load").alias("last"), F.collect_set("load").alias("loads"))
+        .select("file", "part", F.explode(F.array_remove("loads", F.col("last"))).alias("load"))
+    )
+    if n:
+        stored = stored.join(replaced, ["file", "part", "load"], "left_anti")
+    return stored.drop("load")

@@ -97,6 +97,9 @@ def _by_kind(lines: DataFrame) -> DataFrame:
     return lines.withColumn("kind", kind).where(F.col("kind").isin(*KINDS))
 
 
+_LISTING_TASKS = 100
+
+
 def land_new(
     spark: SparkSession, logs: str, target: str, file_bytes: int = Ours.FILE_BYTES
 ) -> int:
@@ -106,17 +109,23 @@ def land_new(
     the number of files written does not depend on how many applications there are. Returns the
     number of files read.
     """
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
+    # very many logs would otherwise be listed by as many tasks
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(_LISTING_TASKS),
+    }
+    before = {key: spark.conf.get(key) for key in settings}
 
     def read(files: list[str]) -> DataFrame:
         return _by_kind(_read(spark, files)).withColumn("part", F.lit("")).hint("rebalance", "kind")
 
-    spark.conf.set(key, str(file_bytes))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         return ledger.load_new(spark, ledger.listed(spark, logs), read, target, partition_by=["kind"])
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def landed_new(spark: SparkSession, target: str) -> DataFrame:

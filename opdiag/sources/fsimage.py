@@ -52,6 +52,20 @@ def latest_partition(spark: SparkSession, table: str) -> str | None:
 
 
 def newest_file(spark: SparkSession, folder: str, name_glob: str = "*") -> str | None:
-    """Path of the last changed file; only the folder is listed, no content is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(folder)
-    return files.agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
+    """Path of the last changed listing; only the folder is listed, no content is read.
+
+    A listing is a file in the folder, or a folder of part files in it, as parallel writers leave
+    them; the newest of its part files tells when it has changed.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(folder)
+    whole = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    parts = F.split(F.substr("path", F.lit(len(whole.rstrip("/")) + 2)), "/")
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+        .select("modificationTime", parts.alias("parts"))
+        .where(F.size("parts") <= 2)
+        .where(F.get("parts", F.lit(0)).rlike(f"^(?:{hadoop.GlobPattern(name_glob).compiled().pattern()})$"))
+        .select("modificationTime", F.concat(F.lit(whole.rstrip("/") + "/"), F.get("parts", F.lit(0))).alias("listing"))
+    )
+    return files.agg(F.max_by("listing", F.struct("modificationTime", "listing"))).first()[0]

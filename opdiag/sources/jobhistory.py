@@ -68,7 +68,10 @@ def attempts(lines: DataFrame) -> DataFrame:
         F.col("trackerName").alias("executor_id"),
         (F.coalesce("avataar", F.lit("")) == "SPECULATIVE").alias("speculative"),
     ))
-    whole = shaped.groupBy("attemptId").agg(F.min(started).alias("s"), F.max(ended).alias("f"))
+    # The events of an attempt are brought together as they are: the aggregate below sorts its input,
+    # and before the shuffle it would sort all events only to merge two at a time.
+    events = shaped.select("attemptId", started.alias("s"), ended.alias("f")).repartition("attemptId")
+    whole = events.groupBy("attemptId").agg(F.min("s").alias("s"), F.max("f").alias("f"))
     return whole.where("s is not null").select(
         F.concat(F.lit("job_"), F.regexp_extract("attemptId", JOB_IN_ATTEMPT, 1)).alias("app_id"),
         F.when(F.col("s.kind") == "MAP", 0).otherwise(1).alias("stage_id"),

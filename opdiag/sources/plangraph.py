@@ -36,6 +36,17 @@ def _children(level: str) -> str:
     )
 
 
+def _described(level: str) -> str:
+    """What is kept of the nodes of a column: not the subtrees, which every level would repeat."""
+    fields = {
+        "node": "'$.nodeName', 'string'", "detail": "'$.simpleString', 'string'",
+        "partition_filters": "'$.metadata.PartitionFilters', 'string'",
+        "metrics": f"'$.metrics', '{_METRICS}'",
+    }
+    got = ", ".join(f"try_variant_get(p.node, {where}) as {name}" for name, where in fields.items())
+    return f"transform({level}, p -> struct(p.path as path, {got}))"
+
+
 def plan_nodes(lines: DataFrame) -> DataFrame:
     """``APP_PLAN_NODE``: the nodes of all versions of a plan, one row per node and metric.
 
@@ -43,7 +54,9 @@ def plan_nodes(lines: DataFrame) -> DataFrame:
     metric have one row with a null ``accumulator``. Events without a readable plan have no nodes.
     """
     event = F.try_parse_json("value")
-    roots = of_kind(lines, *PLANNED).select("app_id", event.alias("event")).select(
+    # plans are many times larger than the files they are read from, so they are dealt out anew
+    planned = of_kind(lines, *PLANNED).select("app_id", "value").hint("rebalance")
+    roots = planned.select("app_id", event.alias("event")).select(
         "app_id",
         F.try_variant_get("event", "$.executionId", "bigint").alias("execution_id"),
         F.expr(
@@ -57,7 +70,8 @@ def plan_nodes(lines: DataFrame) -> DataFrame:
             rows = rows.withColumn(f"level_{level + 1}", F.expr(_children(f"level_{level}")))
         unfolded, _ = cut(rows.select(
             "app_id", "execution_id",
-            F.flatten(F.array(*[f"level_{level}" for level in range(LEVELS)])).alias("nodes"),
+            F.flatten(F.array(*[F.expr(_described(f"level_{level}")) for level in range(LEVELS)]))
+            .alias("nodes"),
             F.col(f"level_{LEVELS}").alias("level_0"),
         ))
         found.append(unfolded.select("app_id", "execution_id", F.explode("nodes").alias("n")))
@@ -65,14 +79,9 @@ def plan_nodes(lines: DataFrame) -> DataFrame:
         if deeper.isEmpty():
             break
 
-    def text(path: str):
-        return F.try_variant_get("n.node", path, "string")
-
     nodes = reduce(DataFrame.unionByName, found).select(
-        "app_id", "execution_id", "n.path", text("$.nodeName").alias("node"),
-        text("$.simpleString").alias("detail"),
-        text("$.metadata.PartitionFilters").alias("partition_filters"),
-        F.explode_outer(F.try_variant_get("n.node", "$.metrics", _METRICS)).alias("metric"),
+        "app_id", "execution_id", "n.path", "n.node", "n.detail", "n.partition_filters",
+        F.explode_outer("n.metrics").alias("metric"),
     )
     return nodes.select(
         "app_id", "execution_id", "path", "node", "detail", "partition_filters",

@@ -488,10 +488,13 @@ def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
     listener, sql = "SparkListener", "org.apache.spark.sql.execution.ui.SparkListener"
 
-    def lines(rows: DataFrame, kind: str, prefix: str = listener, **fields) -> DataFrame:
+    def line(kind: str, prefix: str = listener, **fields) -> Column:
         parts = [F.lit(prefix + kind).alias("Event")]
         parts += [value.alias(name.replace("_", " ")) for name, value in fields.items()]
-        return rows.select("app_id", F.to_json(F.struct(*parts)).alias("value"))
+        return F.to_json(F.struct(*parts))
+
+    def lines(rows: DataFrame, *values: Column) -> DataFrame:
+        return rows.select("app_id", F.explode(F.array(*values)).alias("value"))
 
     stage, executor = sparse_stage(spark, sf_dir), app_executor(spark, sf_dir)
     attempts = stage.withColumn("attempt", F.explode(
@@ -514,26 +517,35 @@ def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     apps = executor.groupBy("app_id").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"))
     workers = executor.where("executor_id <> 'driver'")
     made = [
-        lines(attempts, "StageCompleted", Stage_Info=F.struct(
+        lines(attempts, line("StageCompleted", Stage_Info=F.struct(
             c("stage_id").alias("Stage ID"), c("attempt").alias("Stage Attempt ID"),
             (c("submit_ms") + c("attempt")).alias("Submission Time"),
             (c("end_ms") + c("attempt")).alias("Completion Time"),
-        )),
-        lines(jobs, "JobStart", Job_ID=c("job_id"), Submission_Time=c("submit_ms"), Stage_IDs=c("stages"),
-              Properties=F.create_map(F.lit("spark.sql.execution.id"), c("job_id").cast("string"))),
-        lines(jobs, "JobEnd", Job_ID=c("job_id"), Completion_Time=c("end_ms"), Job_Result=result),
-        lines(jobs, "SQLExecutionEnd", sql, executionId=c("job_id"), time=c("end_ms"),
-              errorMessage=F.when(failed, _text("AnalysisException: ", c("job_id"))).otherwise("")),
-        lines(workers, "ExecutorAdded", Timestamp=c("start_ms"), Executor_ID=c("executor_id"),
-              Executor_Info=F.struct(c("cores").alias("Total Cores"))),
-        lines(workers, "ExecutorRemoved", Timestamp=c("end_ms"), Executor_ID=c("executor_id"),
-              Removed_Reason=_text("Container killed by ", c("executor_id"), " for exceeding memory limits")),
-        lines(apps, "ApplicationStart", Timestamp=c("start_ms")),
-        lines(apps, "ApplicationEnd", Timestamp=c("end_ms")),
-        lines(apps, "EnvironmentUpdate", Spark_Properties=F.create_map(
-            F.lit("spark.driver.cores"), (c("end_ms") % 4 + 1).cast("string"),
-            F.lit("spark.driver.memory"), _text(c("end_ms") % 4 + 1, "g"),
-        )),
+        ))),
+        lines(
+            jobs,
+            line("JobStart", Job_ID=c("job_id"), Submission_Time=c("submit_ms"), Stage_IDs=c("stages"),
+                 Properties=F.create_map(F.lit("spark.sql.execution.id"), c("job_id").cast("string"))),
+            line("JobEnd", Job_ID=c("job_id"), Completion_Time=c("end_ms"), Job_Result=result),
+            line("SQLExecutionEnd", sql, executionId=c("job_id"), time=c("end_ms"),
+                 errorMessage=F.when(failed, _text("AnalysisException: ", c("job_id"))).otherwise("")),
+        ),
+        lines(
+            workers,
+            line("ExecutorAdded", Timestamp=c("start_ms"), Executor_ID=c("executor_id"),
+                 Executor_Info=F.struct(c("cores").alias("Total Cores"))),
+            line("ExecutorRemoved", Timestamp=c("end_ms"), Executor_ID=c("executor_id"),
+                 Removed_Reason=_text("Container killed by ", c("executor_id"), " for exceeding memory limits")),
+        ),
+        lines(
+            apps,
+            line("ApplicationStart", Timestamp=c("start_ms")),
+            line("ApplicationEnd", Timestamp=c("end_ms")),
+            line("EnvironmentUpdate", Spark_Properties=F.create_map(
+                F.lit("spark.driver.cores"), (c("end_ms") % 4 + 1).cast("string"),
+                F.lit("spark.driver.memory"), _text(c("end_ms") % 4 + 1, "g"),
+            )),
+        ),
     ]
     both = made[0]
     for frame in made[1:]:

@@ -323,13 +323,73 @@ def _relation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, read)
 
 
+# Lines of a written log, after which its next file begins: text is many times its compressed size.
+_LOG_LINES = 1_000_000
+
+
+def _write_lines(lines: DataFrame, folder: str, by: tuple[str, ...] = ()) -> None:
+    """Compressed text files of bounded length."""
+    (
+        lines.write.partitionBy(*by).option("compression", "gzip")
+        .option("maxRecordsPerFile", _LOG_LINES).text(folder)
+    )
+
+
 def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task events go through log files named by application."""
     folder = scratch_path(spark, "events")
-    fx.task_end_events(spark, sf_dir).write.partitionBy("app").text(folder)
+    # few applications: their files are open at once, in place of a sort of all lines
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16")
+    try:
+        _write_lines(fx.task_end_events(spark, sf_dir), folder, ("app",))
+    finally:
+        spark.conf.set(key, before)
     return eventlog.tasks(eventlog.read_lines(spark, folder)).drop("allocated_memory")
 
 
+def _write_logs(lines: DataFrame, folder: str) -> None:
+    """Writes ``value`` to compressed logs in one folder, named by ``app``, one per application.
+
+    An application's lines meet in one task. Spark's own writer would make a folder per application
+    and set the rights of every folder and file, each in a process of its own on a local disk, which
+    takes longer than all lines. Tasks that are run again write the same files.
+    """
+    most, shared = _LOG_LINES, folder if "://" in folder or folder.startswith("file:/") else f"file://{folder}"
+
+    def write(batches):
+        from itertools import groupby
+
+        from pyarrow import RecordBatch, fs
+
+        store, base = fs.FileSystem.from_uri(shared)
+        open_app, log, n, number = None, None, 0, 0
+        for batch in batches:
+            rows = zip(batch.column(1).to_pylist(), batch.column(0).to_pylist())
+            for app, group in groupby(rows, key=lambda row: row[0] or "__HIVE_DEFAULT_PARTITION__"):
+                if app != open_app or n >= most:
+                    if log is not None:
+                        log.close()
+                    number = number + 1 if app == open_app else 0
+                    open_app, n = app, 0
+                    log = store.open_output_stream(f"{base}/app={app}.{number}.gz", compression="gzip")
+                text = [value or "" for _, value in group]
+                log.write(("\n".join(text) + "\n").encode())
+                n += len(text)
+        if log is not None:
+            log.close()
+        yield RecordBatch.from_pydict({"done": [True]})
+
+    spark = lines.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    (
+        lines.select("value", "app").repartition("app").sortWithinPartitions("app")
+        .mapInArrow(write, "done boolean").agg(F.count(F.lit(1))).collect()
+    )
+
+
 _LANDED: dict[tuple, str] = {}
 
 
@@ -344,7 +404,7 @@ def _landed(table: Callable[[DataFrame], DataFrame], events: Callable = fx.app_e
         key = (spark.sparkContext.applicationId, sf_dir, events.__name__)
         if key not in _LANDED:
             folder = scratch_path(spark, "events")
-            events(spark, sf_dir).write.partitionBy("app").text(f"{folder}/logs")
+            _write_logs(events(spark, sf_dir), f"{folder}/logs")
             _LANDED[key] = folder
         folder = _LANDED[key]
         eventlog.land_new(spark, f"{folder}/logs", f"{folder}/landed")
@@ -362,7 +422,7 @@ def _planned(table: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _by_name(spark: SparkSession, lines: DataFrame, folder: str) -> None:
-    """Writes one log file per host, named by kind and host (``host``); it replaces an older one."""
+    """Writes one log file per name (``host``), in a task of its own; it replaces an older one."""
     arrived = scratch_path(spark, "arrived")
     lines.repartition("host").write.partitionBy("host").text(arrived)
     paths = spark._jvm.org.apache.hadoop.fs.Path
@@ -375,8 +435,13 @@ def _by_name(spark: SparkSession, lines: DataFrame, folder: str) -> None:
         files.rename(path, named)
 
 
+_ROLLED = 32  # files per host
+
+
 def _host_files(spark: SparkSession, lines: DataFrame, kind: str, folder: str) -> None:
-    host = F.concat(F.lit(f"{kind}-"), "server_ip", F.lit(".log")).alias("host")
+    """The log of a host is rolled: a line's file depends on the line alone, so files only grow."""
+    rolled = (F.crc32("value") % _ROLLED).cast("string")
+    host = F.concat(F.lit(f"{kind}-"), "server_ip", F.lit(".log."), rolled).alias("host")
     _by_name(spark, lines.select("value", host), folder)
 
 
@@ -385,8 +450,10 @@ def _files_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "log-files")
     _host_files(spark, fx.nm_log(spark, sf_dir), logs.NODE_MANAGER, folder)
     _host_files(spark, fx.rm_log(spark, sf_dir), logs.RESOURCE_MANAGER, folder)
-    old = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{logs.NODE_MANAGER}-nm-host-0.log")
-    old.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(old, 946684800000, -1)  # 2000
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{logs.NODE_MANAGER}-nm-host-0.log.*")
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(old):
+        files.setTimes(status.getPath(), 946684800000, -1)  # 2000
     lines = logs.read_lines(spark, folder, logs.NODE_MANAGER, "2020-01-01T00:00:00")
     return containers.nm_container_transitions(lines)
 
@@ -457,12 +524,11 @@ def _appended(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _newest_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three listings of growing length arrive; the newest file is loaded."""
+    """Three listings of growing length arrive, in part files; the newest one is loaded."""
     folder = scratch_path(spark, "listings")
     whole = fx.fsimage(spark, sf_dir)
     for number, rows in enumerate((whole.where("blockscount = 1"), whole.where("blockscount < 3"), whole)):
-        lines = _listing_lines(rows).withColumn("host", F.lit(f"fsimage_{number}.csv"))
-        _by_name(spark, lines, folder)
+        _listing_lines(rows).write.text(f"{folder}/fsimage_{number}.csv")
     newest = fsimage.newest_file(spark, folder, "fsimage_*")
     return fsimage.read_listing(spark, newest, fx.PARTITION).drop("partition_key")
 
@@ -493,7 +559,7 @@ def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "history")
-    fx.job_history(spark, sf_dir).write.text(folder)
+    _write_lines(fx.job_history(spark, sf_dir), folder)
     return jobhistory.attempts(jobhistory.read_history(spark, folder))
 
 
