@@ -52,12 +52,13 @@ def _defined_tasks(definitions: DataFrame) -> DataFrame:
 
     The last one is an aggregate, so copies of a name within one input block collapse before the
     shuffle. That sorts a block in memory, and tasks are many times larger than the stored
-    definitions they come from, so the blocks are made anew from the tasks.
+    definitions they come from, so the blocks are made anew from the tasks. These are dealt out by
+    hash: a deal without columns would sort all tasks of a stored block first.
     """
     document = F.from_json("process_definition_json", DEFINITION_JSON)
     return (
         definitions.select(*_PROCESS, F.posexplode(document["tasks"]).alias("pos", "task"))
-        .hint("rebalance")
+        .hint("rebalance", "process_id", "pos")
         .groupBy("process_id", F.col("task.name").alias("task_name"))
         .agg(
             F.max_by(

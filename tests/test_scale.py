@@ -119,3 +119,12 @@ def test_tasks_are_dealt_out_before_they_are_sorted(spark):
         [(1, "p", 1, "w", '{"tasks":[{"name":"a","type":"SHELL"}]}')], shape
     ))))
     assert "REBALANCE" in plan
+
+
+def test_tasks_are_dealt_out_without_a_sort_of_a_stored_block(spark):
+    shape = "project_id bigint, project_name string, process_id bigint, process_name string, process_definition_json string"
+    document = '{"tasks":[{"name":"a","type":"SHELL"},{"name":"b","type":"SHELL"},{"name":"a","type":"PYTHON"}]}'
+    made = spark.createDataFrame([(1, "p", n, "w", document) for n in (1, 1, None)], shape)
+    tasks = lineage.workflow_tasks(made)
+    assert "RoundRobinPartitioning" not in plan_of(tasks)
+    assert rows(tasks, "process_id", "task_name") == [(1, "b"), (None, "b")]
