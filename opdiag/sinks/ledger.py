@@ -39,8 +39,8 @@ def listed(
 
 def entries(spark: SparkSession, target: str) -> DataFrame:
     """Committed entries: one per file and load (``part`` is null), and one per part loaded."""
-    nothing = spark.createDataFrame([], ENTRIES).drop("load")
-    nothing.write.mode("ignore").parquet(f"{target}/ledger/load=0")
+    nothing = spark.range(0).select(F.from_json(F.lit("{}"), ENTRIES).alias("e")).select("e.*")
+    nothing.drop("load").write.mode("ignore").parquet(f"{target}/ledger/load=0")
     return spark.read.schema(ENTRIES).parquet(f"{target}/ledger")
 
 

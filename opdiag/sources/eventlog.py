@@ -60,9 +60,10 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _read(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    ids = F.regexp_extract_all("_metadata.file_path", F.lit(APP_IN_NAME), F.lit(1))
+    # searched from the end of the name, which is looked at for every line
+    found = F.regexp_extract("_metadata.file_path", f"(?s).*{APP_IN_NAME}", 1)
     return spark.read.option("recursiveFileLookup", True).text(path).select(
-        "value", F.try_element_at(ids, F.lit(-1)).alias("app_id"),
+        "value", F.nullif(found, F.lit("")).alias("app_id"),
         F.col("_metadata.file_path").alias("file"),
     )
 
@@ -98,6 +99,8 @@ def _by_kind(lines: DataFrame) -> DataFrame:
 
 
 _LISTING_TASKS = 100
+_OPEN_COST = 2**20  # bytes that opening a log counts as
+_SHUFFLED = 8  # how many times smaller lines are while they are shuffled
 
 
 def land_new(
@@ -109,10 +112,13 @@ def land_new(
     the number of files written does not depend on how many applications there are. Returns the
     number of files read.
     """
-    # very many logs would otherwise be listed by as many tasks
     settings = {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(max(1, file_bytes // _SHUFFLED)),
+        # very many logs would otherwise be listed and read by as many tasks
         "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(_LISTING_TASKS),
+        "spark.sql.files.openCostInBytes": str(_OPEN_COST),
+        # the files of all kinds may be open at once, in place of a sort of all lines
+        "spark.sql.maxConcurrentOutputFileWriters": str(len(KINDS)),
     }
     before = {key: spark.conf.get(key) for key in settings}
 

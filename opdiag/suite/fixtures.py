@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opdiag.operators.sized import cut
+
 AS_OF = "2011-11-05"
 PARTITION = "20111105"
 TODAY, LASTDAY = "2024-01-10", "2024-01-09"
@@ -496,7 +498,9 @@ def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     def lines(rows: DataFrame, *values: Column) -> DataFrame:
         return rows.select("app_id", F.explode(F.array(*values)).alias("value"))
 
-    stage, executor = sparse_stage(spark, sf_dir), app_executor(spark, sf_dir)
+    stage = sparse_stage(spark, sf_dir)
+    # read twice below, with other filters: the tasks are read once
+    executor, _ = cut(app_executor(spark, sf_dir))
     attempts = stage.withColumn("attempt", F.explode(
         F.when(c("stage_id") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     ))

@@ -325,6 +325,7 @@ def _relation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Lines of a written log, after which its next file begins: text is many times its compressed size.
 _LOG_LINES = 1_000_000
+_LOG_LEVEL = 1  # of compression; higher ones take several times as long for little
 
 
 def _write_lines(lines: DataFrame, folder: str, by: tuple[str, ...] = ()) -> None:
@@ -354,38 +355,46 @@ def _write_logs(lines: DataFrame, folder: str) -> None:
 
     An application's lines meet in one task. Spark's own writer would make a folder per application
     and set the rights of every folder and file, each in a process of its own on a local disk, which
-    takes longer than all lines. Tasks that are run again write the same files.
+    takes longer than all lines. Lines are written as the bytes that a batch holds them in. Tasks
+    that are run again write the same files.
     """
     most, shared = _LOG_LINES, folder if "://" in folder or folder.startswith("file:/") else f"file://{folder}"
 
     def write(batches):
-        from itertools import groupby
+        from contextlib import ExitStack
+        from gzip import GzipFile
 
-        from pyarrow import RecordBatch, fs
+        import numpy as np
+        from pyarrow import RecordBatch, compute, fs, large_binary
 
         store, base = fs.FileSystem.from_uri(shared)
         open_app, log, n, number = None, None, 0, 0
-        for batch in batches:
-            rows = zip(batch.column(1).to_pylist(), batch.column(0).to_pylist())
-            for app, group in groupby(rows, key=lambda row: row[0] or "__HIVE_DEFAULT_PARTITION__"):
-                if app != open_app or n >= most:
-                    if log is not None:
-                        log.close()
-                    number = number + 1 if app == open_app else 0
-                    open_app, n = app, 0
-                    log = store.open_output_stream(f"{base}/app={app}.{number}.gz", compression="gzip")
-                text = [value or "" for _, value in group]
-                log.write(("\n".join(text) + "\n").encode())
-                n += len(text)
-        if log is not None:
-            log.close()
+        with ExitStack() as files:
+            for batch in batches:
+                lines = batch.column(0).cast(large_binary())
+                _, offsets, text = lines.buffers()
+                ends = np.frombuffer(offsets, np.int64)[lines.offset : lines.offset + len(lines) + 1]
+                runs = compute.run_end_encode(batch.column(1))
+                first = 0
+                for end, app in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
+                    app = app or "__HIVE_DEFAULT_PARTITION__"
+                    if app != open_app or n >= most:
+                        files.close()
+                        number = number + 1 if app == open_app else 0
+                        open_app, n = app, 0
+                        path = f"{base}/app={app}.{number}.gz"
+                        raw = files.enter_context(store.open_output_stream(path, compression=None))
+                        log = files.enter_context(GzipFile("", "wb", _LOG_LEVEL, raw, mtime=0))
+                    log.write(memoryview(text)[ends[first] : ends[end]])
+                    n, first = n + end - first, end
         yield RecordBatch.from_pydict({"done": [True]})
 
     spark = lines.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    line = F.concat(F.coalesce("value", F.lit("")), F.lit("\n")).alias("value")
     (
-        lines.select("value", "app").repartition("app").sortWithinPartitions("app")
+        lines.repartition("app").sortWithinPartitions("app").select(line, "app")
         .mapInArrow(write, "done boolean").agg(F.count(F.lit(1))).collect()
     )
 

@@ -1,11 +1,13 @@
 """Shared steps on larger inputs: what is written, sorted and joined on the way."""
 
+import gzip
 import json
 
 from pyspark.sql import functions as F
 
 from conftest import rows
 from opdiag.operators import lineage
+from opdiag.operators.sized import cut
 from opdiag.sinks import ledger
 from opdiag.sources import eventlog, fsimage, jobhistory, plangraph
 from opdiag.suite import queries
@@ -128,3 +130,54 @@ def test_tasks_are_dealt_out_without_a_sort_of_a_stored_block(spark):
     tasks = lineage.workflow_tasks(made)
     assert "RoundRobinPartitioning" not in plan_of(tasks)
     assert rows(tasks, "process_id", "task_name") == [(1, "b"), (None, "b")]
+
+
+def test_plans_are_dealt_out_without_a_sort_of_a_stored_block(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(plangraph, "cut", lambda frame: (plans.append(plan_of(frame)), cut(frame))[1])
+    event = '{"Event":"org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart","executionId":1,"sparkPlanInfo":{"nodeName":"Scan"}}'
+    lines = spark.createDataFrame([("a", event), ("a", event), (None, event)], "app_id string, value string")
+    assert rows(plangraph.plan_nodes(lines), "app_id", "node") == [("a", "Scan"), (None, "Scan")]
+    assert "REBALANCE" in plans[0] and not any("RoundRobinPartitioning" in plan for plan in plans)
+
+
+def test_landed_lines_are_in_files_of_a_bounded_length_before_compression(spark, tmp_path):
+    logs, target = tmp_path / "logs", tmp_path / "landed"
+    logs.mkdir()
+    line = json.dumps({"Event": "SparkListenerJobEnd", "Job ID": 1, "text": "x" * 1000}, separators=(",", ":"))
+    for n in range(8):
+        (logs / f"app-1-{n}").write_text((line + "\n") * 2000)  # 2 MB
+    before = {key: spark.conf.get(key) for key in CHANGED}
+    eventlog.land_new(spark, str(logs), str(target), file_bytes=200_000)
+    assert {key: spark.conf.get(key) for key in CHANGED} == before
+    assert len(list((target / "rows").rglob("*.parquet"))) > 4
+    assert eventlog.landed_new(spark, str(target)).count() == 16_000
+
+
+CHANGED = ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_kinds_are_landed_without_a_sort(spark, tmp_path, monkeypatch):
+    (tmp_path / "app-1-1").write_text('{"Event":"SparkListenerJobEnd","Job ID":1}\n')
+    found = []
+    load = ledger.load_new
+    monkeypatch.setattr(ledger, "load_new", lambda *a, **k: (
+        found.append(int(spark.conf.get(CHANGED[0]))), load(*a, **k))[1])
+    assert eventlog.land_new(spark, str(tmp_path), f"{tmp_path}/../landed") == 1
+    assert found[0] >= len(eventlog.KINDS)
+
+
+def test_logs_keep_empty_and_foreign_lines_in_order(spark, tmp_path):
+    made = [("app-1-1", None, 0), ("app-1-1", "", 1), ("app-1-1", "grüße 漢", 2), (None, "a", 3), ("", "b", 4)]
+    lines = spark.createDataFrame(made, "app string, value string, n int").coalesce(1)
+    queries._write_logs(lines, f"{tmp_path}/logs")
+    read = {name.name: gzip.decompress(name.read_bytes()) for name in (tmp_path / "logs").iterdir() if name.suffix == ".gz"}
+    assert sorted(read["app=app-1-1.0.gz"].decode().split("\n")) == ["", "", "", "grüße 漢"]
+    assert sorted(read["app=__HIVE_DEFAULT_PARTITION__.0.gz"].split()) == [b"a", b"b"]
+
+
+def test_written_logs_are_the_bytes_of_the_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "_LOG_LEVEL", 0)
+    text = "x" * 20_000
+    queries._write_logs(spark.createDataFrame([("app-1-1", text)], "app string, value string"), f"{tmp_path}/logs")
+    assert (tmp_path / "logs" / "app=app-1-1.0.gz").stat().st_size > 20_000
