@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opdiag.defaults import Fixed
-from opdiag.operators.sized import cut, join_lookup
+from opdiag.operators.sized import cut, dealt, join_lookup
 from opdiag.schemas import DEFINITION_JSON
 
 EDGE = ["src_kind", "src_id", "dst_kind", "dst_id", "label"]
@@ -52,13 +52,16 @@ def _defined_tasks(definitions: DataFrame) -> DataFrame:
 
     The last one is an aggregate, so copies of a name within one input block collapse before the
     shuffle. That sorts a block in memory, and tasks are many times larger than the stored
-    definitions they come from, so the blocks are made anew from the tasks. These are dealt out by
-    hash: a deal without columns would sort all tasks of a stored block first.
+    definitions they come from, so the blocks are made anew from the tasks. These are dealt out as
+    they come: a deal without columns, or to more parts than files are written for at once, would
+    sort all tasks of a stored block first.
     """
     document = F.from_json("process_definition_json", DEFINITION_JSON)
     return (
-        definitions.select(*_PROCESS, F.posexplode(document["tasks"]).alias("pos", "task"))
-        .hint("rebalance", "process_id", "pos")
+        dealt(
+            definitions.select(*_PROCESS, F.posexplode(document["tasks"]).alias("pos", "task")),
+            "process_id", "pos",
+        )
         .groupBy("process_id", F.col("task.name").alias("task_name"))
         .agg(
             F.max_by(

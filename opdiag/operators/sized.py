@@ -1,4 +1,4 @@
-"""Intermediate results: frames that are written down, and skewed lookups."""
+"""Intermediate results: frames that are written down or dealt out anew, and skewed lookups."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opdiag.session import scratch_path
 
+
 def cut(frame: DataFrame) -> tuple[DataFrame, int]:
     """Writes a frame to the shared folder, reads it back, and counts its rows on the way.
 
@@ -21,6 +22,21 @@ def cut(frame: DataFrame) -> tuple[DataFrame, int]:
     return spark.read.schema(frame.schema).parquet(path), observed.get["rows"]
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out anew by the hash of keys, without being held in the task that deals them.
+
+    Up to a number of parts Spark writes every row to its part's file at once; beyond it, a task
+    first collects and sorts all rows it read. A part that gets too large is split afterwards.
+    """
+    conf = rows.sparkSession.conf
+    parts = min(
+        int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+            or conf.get("spark.sql.shuffle.partitions")),
+        int(conf.get("spark.shuffle.sort.bypassMergeThreshold", None) or 200),
+    )
+    return rows.hint("rebalance", max(1, parts), *keys)
+
+
 def join_lookup(
     rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:

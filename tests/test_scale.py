@@ -132,6 +132,22 @@ def test_tasks_are_dealt_out_without_a_sort_of_a_stored_block(spark):
     assert rows(tasks, "process_id", "task_name") == [(1, "b"), (None, "b")]
 
 
+def test_tasks_are_not_held_while_they_are_dealt_to_many_parts(spark):
+    shape = "project_id bigint, project_name string, process_id bigint, process_name string, process_definition_json string"
+    document = '{"tasks":[{"name":"a","type":"SHELL"},{"name":"a","type":"PYTHON"}]}'
+    made = spark.createDataFrame([(1, "p", n, "w", document) for n in range(9)], shape)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "640")
+    try:
+        tasks = plan_of(lineage._defined_tasks(made))
+    finally:
+        spark.conf.set(key, before)
+    # more parts than files that a task of a shuffle has open at once would be sorted in its memory
+    dealt = [line for line in tasks.splitlines() if "REBALANCE" in line]
+    assert dealt and all("640" not in line for line in dealt)
+
+
 def test_plans_are_dealt_out_without_a_sort_of_a_stored_block(spark, monkeypatch):
     plans = []
     monkeypatch.setattr(plangraph, "cut", lambda frame: (plans.append(plan_of(frame)), cut(frame))[1])
