@@ -59,14 +59,25 @@ def load_new(
     target: str,
     until: str = "",
     partition_by: Sequence[str] = (),
+    folder: str | None = None,
 ) -> int:
     """Loads files that are new, have changed, or were read up to a lower ``until`` only.
 
     ``read`` gets file names and returns rows with the columns ``file`` and ``part``; it may leave
     out parts beyond ``until``, which a later load with a higher one then finds. Returns the number
     of files read. The driver sees file names, as it does for any scan.
+
+    ``folder`` is what ``found`` lists whole, if it does. The first load then reads it by this one
+    name. A file that arrives meanwhile is read too: its entries name what was read of it, and the
+    next load, which finds no version of it, compares its rows with them.
     """
     known = entries(spark, target)
+    number = (known.agg(F.max("load")).first()[0] or 0) + 1
+    if folder is not None and number == 1:
+        files, n = cut(found.select("file", "modified"))
+        if n:
+            _commit(spark, read([folder]), files, target, number, until, partition_by)
+        return n
     versions = known.where("part is null").groupBy("file", "modified").agg(
         F.max("until").alias("until")
     )
@@ -78,7 +89,6 @@ def load_new(
     )
     if not todo:
         return 0
-    number = (known.agg(F.max("load")).first()[0] or 0) + 1
     frames = []
     if fresh := [row.file for row in todo if not row.again]:
         frames.append(read(fresh))
@@ -91,7 +101,24 @@ def load_new(
             .select("file", "part")
         )
         frames.append(rows.join(changed, ["file", "part"], "left_semi"))
+    files = spark.createDataFrame(
+        [(row.file, row.modified) for row in todo], "file string, modified timestamp"
+    )
     whole = reduce(DataFrame.unionByName, frames)
+    _commit(spark, whole, files, target, number, until, partition_by)
+    return len(todo)
+
+
+def _commit(
+    spark: SparkSession,
+    whole: DataFrame,
+    files: DataFrame,
+    target: str,
+    number: int,
+    until: str,
+    partition_by: Sequence[str],
+) -> None:
+    """Writes a load's rows and then the entries of its files (file, modified) and their parts."""
     path = f"{target}/rows/load={number}"
     whole.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     parts = (
@@ -99,9 +126,6 @@ def load_new(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     none = F.lit(None)
-    files = spark.createDataFrame(
-        [(row.file, row.modified) for row in todo], "file string, modified timestamp"
-    )
     made = files.select(
         "file", "modified", F.lit(until).alias("until"), none.cast("string").alias("part"),
         none.cast("bigint").alias("n"),
@@ -110,7 +134,6 @@ def load_new(
         "part", "n",
     ))
     made.coalesce(1).write.mode("overwrite").parquet(f"{target}/ledger/load={number}")
-    return len(todo)
 
 
 def loaded(spark: SparkSession, target: str, schema: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opdiag.defaults import Ours
+from opdiag.operators.sized import dealt
 from opdiag.schemas import (
     APP_BROADCAST,
     APP_EXECUTOR,
@@ -123,12 +124,14 @@ def land_new(
     before = {key: spark.conf.get(key) for key in settings}
 
     def read(files: list[str]) -> DataFrame:
-        return _by_kind(_read(spark, files)).withColumn("part", F.lit("")).hint("rebalance", "kind")
+        return dealt(_by_kind(_read(spark, files)).withColumn("part", F.lit("")), "kind")
 
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        return ledger.load_new(spark, ledger.listed(spark, logs), read, target, partition_by=["kind"])
+        return ledger.load_new(
+            spark, ledger.listed(spark, logs), read, target, partition_by=["kind"], folder=logs
+        )
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opdiag.operators.sized import cut
+from opdiag.operators.sized import cut, dealt
 from opdiag.schemas import APP_PLAN_NODE, STAGE_NODE
 from opdiag.sources.eventlog import PLANNED, of_kind, parsed
 
@@ -54,9 +54,8 @@ def plan_nodes(lines: DataFrame) -> DataFrame:
     metric have one row with a null ``accumulator``. Events without a readable plan have no nodes.
     """
     event = F.try_parse_json("value")
-    # plans are many times larger than the files they are read from, so they are dealt out anew; by
-    # their hash, since a deal without columns sorts a whole block first
-    planned = of_kind(lines, *PLANNED).select("app_id", "value").hint("rebalance", "app_id", "value")
+    # plans are many times larger than the files they are read from, so they are dealt out anew
+    planned = dealt(of_kind(lines, *PLANNED).select("app_id", "value"), "app_id", "value")
     roots = planned.select("app_id", event.alias("event")).select(
         "app_id",
         F.try_variant_get("event", "$.executionId", "bigint").alias("execution_id"),

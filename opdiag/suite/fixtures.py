@@ -343,10 +343,15 @@ def app_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sparse_task(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Few long tasks per stage, so that stages have gaps."""
+    return _sparse_task(spark, sf_dir).select(_text("app_", F.col("app")).alias("app_id"), "*").drop("app")
+
+
+def _sparse_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the application's number."""
     c = F.col
     stage = c("l_partkey") % 200
     return table(spark, sf_dir, "lineitem").select(
-        _text("app_", c("l_suppkey")).alias("app_id"),
+        c("l_suppkey").alias("app"),
         stage.cast("int").alias("stage_id"),
         _launch(stage % 20).alias("launch_ms"),
         (c("l_quantity").cast("bigint") * 60000).alias("duration_ms"),
@@ -354,10 +359,11 @@ def sparse_task(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sparse_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sparse_task(spark, sf_dir).groupBy("app_id", "stage_id").agg(
+    # numbers are grouped quicker than the ids made of them
+    return _sparse_task(spark, sf_dir).groupBy("app", "stage_id").agg(
         F.min("launch_ms").alias("submit_ms"),
         F.max(F.col("launch_ms") + F.col("duration_ms")).alias("end_ms"),
-    )
+    ).select(_text("app_", F.col("app")).alias("app_id"), "stage_id", "submit_ms", "end_ms")
 
 
 def job_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -567,7 +573,9 @@ def plan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     c = F.col
     listener, sql = "SparkListener", "org.apache.spark.sql.execution.ui.SparkListener"
-    stage = sparse_stage(spark, sf_dir).withColumn("execution", F.floor(c("stage_id") / 4))
+    # read four times below, with other columns: the tasks are read once
+    stage, _ = cut(sparse_stage(spark, sf_dir))
+    stage = stage.withColumn("execution", F.floor(c("stage_id") / 4))
     first, kind = c("execution") * 10, c("stage_id") % 4
 
     def accumulator(number: Column, value: Column) -> Column:

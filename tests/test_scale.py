@@ -10,7 +10,7 @@ from opdiag.operators import lineage
 from opdiag.operators.sized import cut
 from opdiag.sinks import ledger
 from opdiag.sources import eventlog, fsimage, jobhistory, plangraph
-from opdiag.suite import queries
+from opdiag.suite import fixtures, queries
 
 
 def plan_of(frame) -> str:
@@ -197,3 +197,43 @@ def test_written_logs_are_the_bytes_of_the_batches(spark, tmp_path, monkeypatch)
     text = "x" * 20_000
     queries._write_logs(spark.createDataFrame([("app-1-1", text)], "app string, value string"), f"{tmp_path}/logs")
     assert (tmp_path / "logs" / "app=app-1-1.0.gz").stat().st_size > 20_000
+
+
+def test_a_first_load_reads_a_folder_by_its_name_and_each_file_once(spark, tmp_path):
+    logs, target = tmp_path / "logs", f"{tmp_path}/target"
+    logs.mkdir()
+    asked = []
+
+    def read(paths):
+        asked.append(paths)
+        if len(asked) == 1:  # arrives after the listing
+            (logs / "late log").write_text("line\n" * 3)
+        return spark.read.text(paths).select(
+            "value", F.col("_metadata.file_path").alias("file"), F.lit("").alias("part")
+        )
+
+    def load() -> int:
+        return ledger.load_new(spark, ledger.listed(spark, str(logs)), read, target, folder=str(logs))
+
+    assert load() == 0 and asked == []
+    for name in ("a", "b"):
+        (logs / name).write_text("line\n" * 2)
+    assert load() == 2 and asked == [[str(logs)]]
+    assert ledger.loaded(spark, target, "value string").count() == 7
+    assert load() == 1 and load() == 0
+    assert ledger.loaded(spark, target, "value string").count() == 7
+    (logs / "b").write_text("line\n" * 5)
+    assert load() == 1 and len(asked[-1]) == 1
+    assert ledger.loaded(spark, target, "value string").count() == 10
+
+
+def test_plan_events_read_the_tasks_once(spark, monkeypatch):
+    shape = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double"
+    made = [(n, n % 9, n % 4 if n % 5 else None, 1, 2.0) for n in range(60)]
+    monkeypatch.setattr(fixtures, "table", lambda s, d, name: s.createDataFrame(made, shape))
+    stages = fixtures.sparse_stage(spark, "")
+    spans = fixtures.sparse_task(spark, "").groupBy("app_id", "stage_id").agg(
+        F.min("launch_ms"), F.max(F.col("launch_ms") + F.col("duration_ms"))
+    )
+    assert rows(stages) == rows(spans) and stages.where("app_id is null").count() > 0
+    assert "ExistingRDD" not in plan_of(fixtures.plan_events(spark, ""))
