@@ -59,10 +59,13 @@ def plan_nodes(lines: DataFrame) -> DataFrame:
     roots = planned.select("app_id", event.alias("event")).select(
         "app_id",
         F.try_variant_get("event", "$.executionId", "bigint").alias("execution_id"),
+        # no node where there is no plan: as a filter of rows this would be tested before the deal as
+        # well, and every plan be parsed twice
         F.expr(
-            "array(struct('0' as path, try_variant_get(event, '$.sparkPlanInfo', 'variant') as node))"
+            "filter(array(struct('0' as path, try_variant_get(event, '$.sparkPlanInfo', 'variant') as node)), "
+            "p -> p.node is not null)"
         ).alias("level_0"),
-    ).where("level_0[0].node is not null")
+    )
     found, deeper = [], roots
     while True:  # as many rounds as the deepest plan has times LEVELS
         rows = deeper

@@ -237,3 +237,14 @@ def test_plan_events_read_the_tasks_once(spark, monkeypatch):
     )
     assert rows(stages) == rows(spans) and stages.where("app_id is null").count() > 0
     assert "ExistingRDD" not in plan_of(fixtures.plan_events(spark, ""))
+
+
+def test_plans_are_parsed_after_they_were_dealt_out_only(spark, monkeypatch):
+    plans, head = [], '{"Event":"org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart"'
+    monkeypatch.setattr(plangraph, "cut", lambda frame: (plans.append(plan_of(frame)), cut(frame))[1])
+    made = [("a", head + text) for text in (
+        ',"executionId":1,"sparkPlanInfo":{"nodeName":"Scan"}}', ',"executionId":2}', ',"executionId":3,"sparkPla',
+    )]
+    nodes = plangraph.plan_nodes(spark.createDataFrame(made, "app_id string, value string"))
+    assert rows(nodes, "execution_id", "node") == [(1, "Scan")]
+    assert plans[0].count("parseJson") == 1
