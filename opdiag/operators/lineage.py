@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opdiag.defaults import Fixed
-from opdiag.operators.sized import cut, dealt, join_lookup
+from opdiag.operators.sized import cut, dealt, join_lookup, written_parts
 from opdiag.schemas import DEFINITION_JSON
 
 EDGE = ["src_kind", "src_id", "dst_kind", "dst_id", "label"]
@@ -50,19 +50,23 @@ def rejected_definitions(definitions: DataFrame) -> DataFrame:
 def _defined_tasks(definitions: DataFrame) -> DataFrame:
     """Every task of every definition; of equally named ones the last counts.
 
-    The last one is an aggregate, so copies of a name within one input block collapse before the
-    shuffle. That sorts a block in memory, and tasks are many times larger than the stored
-    definitions they come from, so the blocks are made anew from the tasks. These are dealt out as
-    they come: a deal without columns, or to more parts than files are written for at once, would
-    sort all tasks of a stored block first.
+    The last one is an aggregate that sorts a part of the tasks in memory, and tasks are many times
+    larger than the stored definitions they come from. So the definitions are dealt out and read
+    there, and the tasks go to a number of parts that adaptive execution does not merge again: a
+    merged part is bounded by its compressed bytes only, and one task would sort several hundred MB.
     """
     document = F.from_json("process_definition_json", DEFINITION_JSON)
+    documents = dealt(
+        definitions.select(*_PROCESS, "process_definition_json"),
+        "process_id", "process_definition_json",
+    )
+    # an inner explode would be tested before the deal as well, and every definition be read twice
+    tasks = documents.select(
+        *_PROCESS, F.posexplode_outer(document["tasks"]).alias("pos", "task")
+    ).where("pos is not null").withColumn("task_name", F.col("task.name"))
     return (
-        dealt(
-            definitions.select(*_PROCESS, F.posexplode(document["tasks"]).alias("pos", "task")),
-            "process_id", "pos",
-        )
-        .groupBy("process_id", F.col("task.name").alias("task_name"))
+        tasks.repartition(written_parts(definitions.sparkSession), "process_id", "task_name")
+        .groupBy("process_id", "task_name")
         .agg(
             F.max_by(
                 F.struct(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from opdiag.session import scratch_path
@@ -22,19 +22,26 @@ def cut(frame: DataFrame) -> tuple[DataFrame, int]:
     return spark.read.schema(frame.schema).parquet(path), observed.get["rows"]
 
 
-def dealt(rows: DataFrame, *keys: str) -> DataFrame:
-    """Rows dealt out anew by the hash of keys, without being held in the task that deals them.
+def written_parts(spark: SparkSession) -> int:
+    """Parts that a shuffle writes at once, the configured number if it is lower.
 
     Up to a number of parts Spark writes every row to its part's file at once; beyond it, a task
-    first collects and sorts all rows it read. A part that gets too large is split afterwards.
+    first collects and sorts all rows it read.
     """
-    conf = rows.sparkSession.conf
     parts = min(
-        int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-            or conf.get("spark.sql.shuffle.partitions")),
-        int(conf.get("spark.shuffle.sort.bypassMergeThreshold", None) or 200),
+        int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+            or spark.conf.get("spark.sql.shuffle.partitions")),
+        int(spark.conf.get("spark.shuffle.sort.bypassMergeThreshold", None) or 200),
     )
-    return rows.hint("rebalance", max(1, parts), *keys)
+    return max(1, parts)
+
+
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out anew by the hash of keys, without being held in the task that deals them.
+
+    A part that gets too large is split afterwards, and small ones are merged.
+    """
+    return rows.hint("rebalance", written_parts(rows.sparkSession), *keys)
 
 
 def join_lookup(

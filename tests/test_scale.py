@@ -248,3 +248,19 @@ def test_plans_are_parsed_after_they_were_dealt_out_only(spark, monkeypatch):
     nodes = plangraph.plan_nodes(spark.createDataFrame(made, "app_id string, value string"))
     assert rows(nodes, "execution_id", "node") == [(1, "Scan")]
     assert plans[0].count("parseJson") == 1
+
+
+def test_tasks_are_sorted_in_parts_that_are_not_merged_again(spark):
+    shape = "project_id bigint, project_name string, process_id bigint, process_name string, process_definition_json string"
+    document = '{"tasks":[{"name":"a","type":"SHELL"},{"name":"a","type":"PYTHON"},{"name":"b","type":"SHELL"}]}'
+    made = [(1, "p", n if n % 5 else None, "w", document) for n in range(40)]
+    made += [(1, "p", 100, "w", text) for text in (None, "", '{"tasks":[]}', '{"tasks":nul')]
+    defined = lineage._defined_tasks(spark.createDataFrame(made, shape))
+    plan = plan_of(defined)
+    # the definitions are dealt out unread, and the aggregate takes the parts as they were asked for
+    assert plan.count("from_json") == 1 and plan.index("from_json") < plan.index("REBALANCE")
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+    assert rows(defined, "process_id", "task_name", "task_type") == rows(spark.createDataFrame(
+        [(n, name, kind) for n in [None, *(n for n in range(40) if n % 5)] for name, kind in (("a", "PYTHON"), ("b", "SHELL"))],
+        "process_id bigint, task_name string, task_type string",
+    ))
