@@ -95,7 +95,9 @@ def land(lines: DataFrame, folder: str, day: str) -> None:
 
 def _by_kind(lines: DataFrame) -> DataFrame:
     """Lines of the known kinds."""
-    kind = F.regexp_extract("value", r'^\{"Event":"[A-Za-z.]*?(SparkListener[A-Za-z]+)"', 1)
+    # an event's name ends at the fourth quote: the pattern needs no more of a line, however long it is
+    head = F.substring_index("value", '"', 5)
+    kind = F.regexp_extract(head, r'^\{"Event":"[A-Za-z.]*?(SparkListener[A-Za-z]+)"', 1)
     return lines.withColumn("kind", kind).where(F.col("kind").isin(*KINDS))
 
 
@@ -157,7 +159,8 @@ def of_kind(lines: DataFrame, *kinds: str) -> DataFrame:
 
 def parsed(lines: DataFrame, kind: str | tuple[str, ...], schema: str) -> DataFrame:
     chosen = of_kind(lines, *([kind] if isinstance(kind, str) else kind))
-    return chosen.select("app_id", F.from_json("value", schema).alias("e")).select("app_id", "e.*")
+    # from a generator: tests on fields, those of joins included, would otherwise read the text again
+    return chosen.select("app_id", F.inline(F.array(F.from_json("value", schema))))
 
 
 def _bytes(size: Column) -> Column:

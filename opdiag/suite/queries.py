@@ -325,6 +325,7 @@ def _relation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Lines of a written log, after which its next file begins: text is many times its compressed size.
 _LOG_LINES = 1_000_000
+_SORTED_BYTES = 2**24  # shuffled bytes that a task sorts
 _LOG_LEVEL = 1  # of compression; higher ones take several times as long for little
 
 
@@ -393,10 +394,17 @@ def _write_logs(lines: DataFrame, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     line = F.concat(F.coalesce("value", F.lit("")), F.lit("\n")).alias("value")
-    (
-        lines.repartition("app").sortWithinPartitions("app").select(line, "app")
-        .mapInArrow(write, "done boolean").agg(F.count(F.lit(1))).collect()
-    )
+    # a task sorts its part as text, which is several times as large as what is shuffled
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(_SORTED_BYTES))
+    try:
+        (
+            lines.repartition("app").sortWithinPartitions("app").select(line, "app")
+            .mapInArrow(write, "done boolean").agg(F.count(F.lit(1))).collect()
+        )
+    finally:
+        spark.conf.set(key, before)
 
 
 _LANDED: dict[tuple, str] = {}

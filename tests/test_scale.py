@@ -264,3 +264,35 @@ def test_tasks_are_sorted_in_parts_that_are_not_merged_again(spark):
         [(n, name, kind) for n in [None, *(n for n in range(40) if n % 5)] for name, kind in (("a", "PYTHON"), ("b", "SHELL"))],
         "process_id bigint, task_name string, task_type string",
     ))
+
+
+def test_logs_are_sorted_in_parts_of_a_bounded_size(spark, tmp_path, monkeypatch):
+    key, found = "spark.sql.adaptive.advisoryPartitionSizeInBytes", []
+    made = spark.createDataFrame([("app-1-1", "x")], "app string, value string")
+    before = spark.conf.get(key)
+    arranged = type(made).sortWithinPartitions
+    monkeypatch.setattr(type(made), "sortWithinPartitions", lambda self, *by: (found.append(spark.conf.get(key)), arranged(self, *by))[1])
+    queries._write_logs(made, f"{tmp_path}/logs")
+    assert found == [str(2**24)] and spark.conf.get(key) == before
+
+
+def test_event_lines_are_parsed_once(spark):
+    head = '{"Event":"org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart"'
+    made = [("a", head + text) for text in (
+        ',"executionId":1,"physicalPlanDescription":"p"}', ',"physicalPlanDescription":"q"}', ',"executionId":2,"physicalPl', "",
+    )]
+    lines = spark.createDataFrame(made, "app_id string, value string")
+    plans = eventlog.plans(lines)
+    assert plan_of(plans).count("from_json") == 1
+    assert rows(plans) == [("a", 1, "p")]
+
+
+def test_kinds_are_found_in_the_head_of_a_line(spark):
+    made = [
+        '{"Event":"SparkListenerJobEnd","Job ID":1,"text":"' + "x" * 1000 + '"}', '{"Event":"SparkListenerJobEnd"}',
+        '{"Event":"SparkListenerJobEnd', '{"Event":"Other","a":"SparkListenerJobEnd"}', '{"Event":"a.SparkListenerJobStart","b', "", None,
+    ]
+    lines = spark.createDataFrame([(line,) for line in made], "value string")
+    kinds = eventlog._by_kind(lines)
+    assert sorted(row.kind for row in kinds.collect()) == ["SparkListenerJobEnd", "SparkListenerJobEnd", "SparkListenerJobStart"]
+    assert "substring_index" in plan_of(kinds)
