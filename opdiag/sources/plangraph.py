@@ -110,7 +110,9 @@ def stage_nodes(nodes: DataFrame, accumulators: DataFrame) -> DataFrame:
 
     Both inputs have a row per accumulator; an accumulator belongs to one node.
     """
-    ran = nodes.where("accumulator is not null").join(accumulators, ["app_id", "accumulator"])
+    # plans are alike, so files of millions of nodes have few bytes: the optimizer would take the nodes
+    # for small, and adaptive execution does not give up a broadcast for a join that shuffles more
+    ran = nodes.where("accumulator is not null").hint("merge").join(accumulators, ["app_id", "accumulator"])
     keys = ["app_id", "execution_id", "stage_id", "stage_attempt", "path", "node", "detail",
             "partition_filters"]
     rows = F.max(F.when(F.col("metric") == ROWS, F.col("value"))).alias("rows_out")

@@ -6,7 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from conftest import rows
-from opdiag.operators import lineage
+from opdiag.operators import jobs, lineage
 from opdiag.operators.sized import cut
 from opdiag.sinks import ledger
 from opdiag.sources import eventlog, fsimage, jobhistory, plangraph
@@ -250,6 +250,28 @@ def test_plans_are_parsed_after_they_were_dealt_out_only(spark, monkeypatch):
     assert plans[0].count("parseJson") == 1
 
 
+def test_plan_nodes_are_not_broadcast(spark):
+    start = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart"
+
+    def events(n):
+        scan = {"nodeName": "Scan parquet t", "simpleString": "PartitionFilters: []", "children": [],
+                "metrics": [{"name": plangraph.ROWS, "accumulatorId": 10 * n}, {"name": "size", "accumulatorId": 10 * n + 1}]}
+        yield {"Event": start, "executionId": n, "sparkPlanInfo": scan}
+        values = [{"ID": 10 * n, "Value": f"{20_000_000 + n}"}, {"ID": 10 * n + 1, "Value": None}]
+        for stage in (2 * n, 2 * n + 1)[: 1 + n % 2]:
+            yield {"Event": "SparkListenerStageCompleted", "Stage Info": {"Stage ID": stage, "Accumulables": values}}
+
+    made = [(f"app {n % 3}" if n % 5 else None, json.dumps(e, separators=(",", ":"))) for n in range(30) for e in events(n)]
+    lines = spark.createDataFrame(made, "app_id string, value string")
+    # the files of equal plans are smaller than any limit for broadcasts
+    ran = plangraph.stage_nodes(plangraph.plan_nodes(lines), plangraph.stage_accumulators(lines))
+    known = [(f"app {n % 3}", n, 2 * n + more, 20_000_000 + n) for n in range(30) if n % 5 for more in range(1 + n % 2)]
+    for frame in (ran, jobs.open_scans(ran)):
+        assert rows(frame, "app_id", "execution_id", "stage_id", "rows_out") == sorted(known, key=str)
+        plan = plan_of(frame)
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_tasks_are_sorted_in_parts_that_are_not_merged_again(spark):
     shape = "project_id bigint, project_name string, process_id bigint, process_name string, process_definition_json string"
     document = '{"tasks":[{"name":"a","type":"SHELL"},{"name":"a","type":"PYTHON"},{"name":"b","type":"SHELL"}]}'
